@@ -129,11 +129,52 @@ SELECT doc_id AS file_id, CAST(generate_subscripts(string_split(text, chr(10)),
 FROM documents
 """
 
+FIXTURE_SQL["incidents_clean"] = """
+SELECT incident_seq, CAST(TRY_CAST(fecha AS TIMESTAMP) AS DATE) AS fecha_accidente, hora AS hora_accidente,
+       gravedad AS gravedad_accidente, clase_incidente AS clase_accidente, 'DESCONOCIDO' AS lugar_accidente,
+       comuna, barrio, TRY_CAST(latitud AS DECIMAL(10,6)) AS latitud, TRY_CAST(longitud AS DECIMAL(10,6)) AS longitud
+FROM incidents_raw
+WHERE TRY_CAST(latitud AS DECIMAL(10,6)) IS NOT NULL AND TRY_CAST(longitud AS DECIMAL(10,6)) IS NOT NULL
+"""
+
+FIXTURE_SQL["videos_stg"] = """
+SELECT video_id,
+       CAST(try_strptime(CASE WHEN CAST(substr(trending_date, 1, 2) AS INTEGER) >= 70 THEN '19' ELSE '20' END
+                         || trending_date, '%Y.%d.%m') AS DATE) AS trending_date,
+       title, channel_title, category_id, publish_time, tags, views, likes, dislikes, comment_count,
+       thumbnail_link, comments_disabled, ratings_disabled, video_error_or_removed, description
+FROM videos_raw
+"""
+
+FIXTURE_SQL["videos_fct"] = """
+SELECT video_id, trending_date, title, channel_title, category_id, views, likes, dislikes, comment_count,
+       CAST(likes + dislikes + comment_count AS DOUBLE) / CAST(views AS DOUBLE) AS engagement_rate,
+       dayname(trending_date) AS trending_day_of_week
+FROM videos_stg WHERE views > 0
+"""
+
+_TS = "CAST(make_timestamp(CAST(round({e} * 1e6) AS BIGINT)) AS TIMESTAMP)"
+
+FIXTURE_SQL["price_stream"] = " UNION ALL ".join(
+    f"""SELECT CAST(NULL AS BIGINT) AS trade_id, '{c}' AS coin, {c}_usd AS price, event_epoch,
+       {_TS.format(e="event_epoch")} AS event_timestamp, 'streaming' AS source
+FROM price_flat WHERE {c}_usd IS NOT NULL""" for c in ("bitcoin", "ethereum", "dogecoin"))
+
+FIXTURE_SQL["price_batch_norm"] = f"""
+SELECT CAST(trade_id AS BIGINT) AS trade_id, coin_name AS coin, CAST(price_usd AS DOUBLE) AS price,
+       CAST(trade_timestamp AS DOUBLE) AS event_epoch,
+       {_TS.format(e="CAST(trade_timestamp AS DOUBLE)")} AS event_timestamp, 'batch' AS source
+FROM price_batch
+"""
+
 # Which fixtures each fixture needs (CTE order).
 _DEPS = {
     "posts": [], "lex": ["posts"], "sentiment": ["posts", "lex"], "incidents": [],
-    "incidents_raw": ["incidents"], "sec_logs": [], "videos_raw": [], "price_flat": [],
-    "price_batch": [], "log_lines": [],
+    "incidents_raw": ["incidents"], "incidents_clean": ["incidents", "incidents_raw"],
+    "sec_logs": [], "videos_raw": [], "videos_stg": ["videos_raw"],
+    "videos_fct": ["videos_raw", "videos_stg"], "price_flat": [],
+    "price_stream": ["price_flat"], "price_batch": [], "price_batch_norm": ["price_batch"],
+    "log_lines": [],
 }
 
 
@@ -156,5 +197,6 @@ def round6(sql: str, cols) -> str:
     """Round the named double columns to 6 digits (hash hygiene)."""
     if not cols:
         return sql
-    rep = ", ".join(f"ROUND({c}, 6) + 0.0 AS {c}" for c in cols)
+    rep = ", ".join(f"CASE WHEN abs({c}) < 1e12 THEN floor({c} * 1e6 + 0.5) / 1e6 + 0.0 ELSE {c} END AS {c}"
+                    for c in cols)
     return f"SELECT * REPLACE ({rep}) FROM ({sql}) q_round"

@@ -22,9 +22,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def round6_col(c):
+    """Round half up at 6 decimals with IEEE operations only
+    (``floor(x * 1e6 + 0.5) / 1e6``): unlike ``round``, which each engine
+    applies to a different decimal view of the double, these steps give the
+    same bits in Spark and DuckDB.  ``+ 0.0`` folds -0.0 into 0.0."""
+    scaled = F.floor(c * F.lit(1e6) + F.lit(0.5)).cast("double") / F.lit(1e6) + F.lit(0.0)
+    return F.when(F.abs(c) < F.lit(1e12), scaled).otherwise(c)
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    # "+ 0.0" turns a rounded -0.0 into 0.0 so both engines hash the same value
-    return df.select(*[(F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name)
+    return df.select(*[round6_col(F.col(f.name)).alias(f.name)
                        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 

@@ -7,6 +7,7 @@ import importlib
 _MODULES = (
     "eventlens.plans.sentiment_queries",
     "eventlens.plans.lake_queries",
+    "eventlens.plans.security_queries",
 )
 
 

@@ -167,6 +167,77 @@ SELECT CAST(trade_id AS BIGINT) AS trade_id, coin_name AS coin, CAST(price_usd A
 FROM price_batch
 """
 
+def _arr(cond: str, *vals: str) -> str:
+    lit = ", ".join(f"'{v}'" for v in vals)
+    return f"(CASE WHEN COALESCE({cond}, FALSE) THEN [{lit}] ELSE CAST([] AS VARCHAR[]) END)"
+
+
+_WEB_ATTACK = "regexp_matches(path, '(?i)(union|select|insert|delete|drop|script|alert|javascript)')"
+_TOOL = "regexp_matches(user_agent, '(?i)(sqlmap|nikto|nmap|curl|wget|python-requests)')"
+_R = {
+    "web_attack": f"log_type = 'web' AND {_WEB_ATTACK}",
+    "tool": f"log_type = 'web' AND {_TOOL}",
+    "client_error": "log_type = 'web' AND status_code >= 400 AND status_code < 500",
+    "server_error": "log_type = 'web' AND status_code >= 500",
+    "port_scan": "log_type = 'firewall' AND packet_count > 50",
+    "sensitive_port": "log_type = 'firewall' AND dst_port IN (22, 23, 3389, 1433, 3306, 5432)",
+    "auth_failure": "log_type = 'auth' AND result = 'FAILED'",
+    "brute": "log_type = 'auth' AND result = 'FAILED' AND username IN ('admin', 'root', 'administrator')",
+    "proc": "log_type = 'system' AND process_name IN ('powershell.exe', 'cmd.exe', 'nc.exe', 'wget.exe')",
+    "privesc": "log_type = 'system' AND event_type = 'privilege_escalation'",
+    "mal_dns": "log_type = 'dns' AND regexp_matches(query, '(?i)(evil|malware|phishing|suspicious|attacker)')",
+    "dns_failure": "log_type = 'dns' AND response_code IN ('NXDOMAIN', 'REFUSED')",
+}
+
+FIXTURE_SQL["sec_tagged"] = f"""
+SELECT *, strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,
+       list_distinct({" || ".join([
+           _arr(_R["web_attack"], "sql_injection_attempt", "web_attack"),
+           _arr(_R["tool"], "suspicious_user_agent", "web_attack"),
+           _arr(_R["client_error"], "client_error"), _arr(_R["server_error"], "server_error"),
+           _arr(_R["port_scan"], "port_scan", "network_attack"), _arr(_R["sensitive_port"], "sensitive_port"),
+           _arr(_R["auth_failure"], "auth_failure"), _arr(_R["brute"], "admin_brute_force", "auth_attack"),
+           _arr(_R["proc"], "suspicious_process", "system_attack"),
+           _arr(_R["privesc"], "privilege_escalation", "system_attack"),
+           _arr(_R["mal_dns"], "malicious_domain", "dns_attack"), _arr(_R["dns_failure"], "dns_failure")])}) AS tag_list,
+       {" || ".join([_arr(_R["web_attack"], "web_attack"), _arr(_R["tool"], "automated_tool"),
+                     _arr(_R["port_scan"], "port_scan"), _arr(_R["brute"], "brute_force"),
+                     _arr(_R["proc"], "suspicious_execution"), _arr(_R["privesc"], "privilege_escalation"),
+                     _arr(_R["mal_dns"], "malicious_dns")])} AS threat_list,
+       CASE WHEN COALESCE({_R["sensitive_port"]}, FALSE) THEN 'high' END AS port_risk
+FROM sec_logs
+"""
+
+FIXTURE_SQL["sec_enriched"] = """
+SELECT *, threat_list[-1] AS threat_type,
+       CASE WHEN list_has_any(tag_list, ['web_attack', 'network_attack', 'auth_attack', 'system_attack', 'dns_attack'])
+            THEN 'HIGH'
+            WHEN list_has_any(tag_list, ['client_error', 'auth_failure', 'dns_failure']) THEN 'MEDIUM'
+            ELSE 'LOW' END AS severity,
+       sha256(concat_ws('|', '∅', '∅', timestamp)) AS event_hash
+FROM sec_tagged
+"""
+
+FIXTURE_SQL["ranges"] = """
+SELECT CAST(167772160 + n_nationkey * 256 AS BIGINT) AS start_ip,
+       CAST(167772160 + n_nationkey * 256 + 255 AS BIGINT) AS end_ip,
+       n_name AS country_name, r_name AS city_name
+FROM nation LEFT JOIN region ON n_regionkey = r_regionkey
+"""
+
+FIXTURE_SQL["sec_geo"] = """
+SELECT e.*, r.country_name, r.city_name
+FROM (SELECT *, CASE WHEN log_type IN ('web', 'auth')
+                       OR (log_type = 'firewall'
+                           AND NOT regexp_matches(src_ip, '^(10\.|192\.168\.|172\.(1[6-9]|2[0-9]|3[01])\.)'))
+                     THEN CAST(split_part(src_ip, '.', 1) AS BIGINT) * 16777216
+                          + CAST(split_part(src_ip, '.', 2) AS BIGINT) * 65536
+                          + CAST(split_part(src_ip, '.', 3) AS BIGINT) * 256
+                          + CAST(split_part(src_ip, '.', 4) AS BIGINT) END AS ip_long
+      FROM sec_enriched) e
+LEFT JOIN ranges r ON e.ip_long BETWEEN r.start_ip AND r.end_ip
+"""
+
 # Which fixtures each fixture needs (CTE order).
 _DEPS = {
     "posts": [], "lex": ["posts"], "sentiment": ["posts", "lex"], "incidents": [],
@@ -174,7 +245,8 @@ _DEPS = {
     "sec_logs": [], "videos_raw": [], "videos_stg": ["videos_raw"],
     "videos_fct": ["videos_raw", "videos_stg"], "price_flat": [],
     "price_stream": ["price_flat"], "price_batch": [], "price_batch_norm": ["price_batch"],
-    "log_lines": [],
+    "log_lines": [], "sec_tagged": ["sec_logs"], "sec_enriched": ["sec_logs", "sec_tagged"],
+    "ranges": [], "sec_geo": ["sec_logs", "sec_tagged", "sec_enriched", "ranges"],
 }
 
 
@@ -188,6 +260,8 @@ def with_fixtures(sql: str, *names: str) -> str:
                 order.append(d)
     ctes = ",\n".join(f"{n} AS ({FIXTURE_SQL[n]})" for n in order)
     body = sql.strip()
+    if body[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{body[14:].lstrip()}"
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"

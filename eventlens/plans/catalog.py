@@ -8,6 +8,7 @@ _MODULES = (
     "eventlens.plans.sentiment_queries",
     "eventlens.plans.lake_queries",
     "eventlens.plans.security_queries",
+    "eventlens.plans.ml_queries",
 )
 
 

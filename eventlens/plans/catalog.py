@@ -9,6 +9,7 @@ _MODULES = (
     "eventlens.plans.lake_queries",
     "eventlens.plans.security_queries",
     "eventlens.plans.ml_queries",
+    "eventlens.plans.stream_queries",
 )
 
 

@@ -29,7 +29,8 @@ DROPPED_FIELDS = ("message", "ident", "auth", "rawrequest", "params")
 # ---------------------------------------------------------------------------
 
 LOG_TYPES = ("web", "firewall", "auth", "system", "dns")
-_EMPTY = F.array().cast("array<string>")
+def _empty() -> Column:
+    return F.array().cast("array<string>")
 
 
 def _field(df: DataFrame, name: str, dtype: str = "string") -> Column:
@@ -37,7 +38,7 @@ def _field(df: DataFrame, name: str, dtype: str = "string") -> Column:
 
 
 def _when(cond: Column, *values: str) -> Column:
-    return F.when(cond, F.array(*[F.lit(v) for v in values])).otherwise(_EMPTY)
+    return F.when(cond, F.array(*[F.lit(v) for v in values])).otherwise(_empty())
 
 
 def rule_columns(df: DataFrame, scan_query: bool = False) -> dict[str, Column]:

@@ -19,7 +19,7 @@ def parse_yy_dd_mm(c) -> Column:
     text gives null instead of failing the job."""
     s = F.col(c) if isinstance(c, str) else c
     yy = F.substring(s, 1, 2)
-    century = F.when(yy.cast("int") >= YEAR_PIVOT, F.lit("19")).otherwise(F.lit("20"))
+    century = F.when(yy.try_cast("int") >= YEAR_PIVOT, F.lit("19")).otherwise(F.lit("20"))
     return F.try_to_date(F.concat(century, s), "yyyy.dd.MM")
 
 

@@ -225,7 +225,7 @@ SELECT CAST(167772160 + n_nationkey * 256 AS BIGINT) AS start_ip,
 FROM nation LEFT JOIN region ON n_regionkey = r_regionkey
 """
 
-FIXTURE_SQL["sec_geo"] = """
+FIXTURE_SQL["sec_geo"] = r"""
 SELECT e.*, r.country_name, r.city_name
 FROM (SELECT *, CASE WHEN log_type IN ('web', 'auth')
                        OR (log_type = 'firewall'

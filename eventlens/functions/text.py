@@ -48,26 +48,37 @@ def _col(c) -> Column:
 def clean_text(c, max_len: int | None = None) -> Column:
     """drop URLs, turn every symbol except ``@`` and ``#`` into a space,
     squeeze whitespace and trim.  The text is kept whole; ``max_len`` exists
-    only for model inputs with a hard length limit."""
-    out = F.regexp_replace(_col(c), URL_PATTERN, "")
-    out = F.regexp_replace(out, r"(?U)[^\w\s@#]", " ")
-    out = F.trim(F.regexp_replace(out, r"(?U)\s+", " "))
+    only for model inputs with a hard length limit.
+
+    One regex pass: a URL always ends at whitespace or at the end, so
+    replacing it by a space instead of removing it gives the same text once
+    runs of non-word characters (symbols and whitespace alike) become one
+    space and the ends are trimmed.
+    """
+    out = F.trim(F.regexp_replace(_col(c), URL_PATTERN + r"|(?U:[^\w@#]+)", " "))
     if max_len is not None:
         out = F.substring(out, 1, max_len)
     return out
 
 
 def words(c, min_len: int = 3, pattern: str | None = None) -> Column:
-    """array of lower-case ASCII letter runs of at least ``min_len``."""
+    """array of lower-case ASCII letter runs of at least ``min_len``.
+
+    Runs are found in the original text and each word is lower-cased (the
+    reports lower-case ASCII only, so the runs are the same as in the
+    lower-cased text); lower-casing whole multi-lingual texts is the slow
+    path of ``lower``."""
     pat = pattern or f"[a-zA-Z]{{{min_len},}}"
-    return F.regexp_extract_all(F.lower(_col(c)), F.lit(pat), 0)
+    return F.transform(F.regexp_extract_all(_col(c), F.lit(pat), 0), lambda w: F.lower(w))
 
 
 def explode_words(df, text_col: str, min_len: int = 3, stop_words=(), alias: str = "word",
-                  pattern: str | None = None):
+                  pattern: str | None = None, keep_text: bool = False):
     """Explode F02 words into rows and drop stop words.  Each occurrence is a
-    row (the reference counts occurrences, not documents)."""
-    out = df.withColumn(alias, F.explode(words(text_col, min_len, pattern)))
+    row (the reference counts occurrences, not documents).  The text column
+    is not carried into the exploded rows unless ``keep_text``."""
+    others = [c for c in df.columns if keep_text or c != text_col]
+    out = df.select(*others, F.explode(words(text_col, min_len, pattern)).alias(alias))
     if stop_words:
         out = out.where(~F.col(alias).isin(*sorted(set(stop_words))))
     return out

@@ -11,13 +11,29 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-def read_parquet_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_parquet_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """One of the driver's tables, ``{sf_dir}/{name}.parquet``.
 
     Parquet keeps filters and projections pushed into the scan, so callers
-    select and filter freely afterwards.
+    select and filter freely afterwards.  ``spread=True`` is for fact tables
+    that feed heavy per-row work: when the scan yields fewer splits than the
+    cluster has cores (a single small file with one row group), the rows are
+    dealt round-robin over ``defaultParallelism`` partitions.  On large
+    inputs the scan already has enough splits and nothing is shuffled.
     """
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        df = spread_partitions(df)
+    return df
+
+
+def spread_partitions(df: DataFrame, target: int | None = None) -> DataFrame:
+    """Round-robin repartition only when ``df`` has fewer partitions than
+    ``target`` (default: the session's default parallelism)."""
+    target = target or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

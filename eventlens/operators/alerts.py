@@ -392,3 +392,15 @@ def http_error_bursts(df: DataFrame, ts_col: str = "event_time", threshold: int
     g = (e.groupBy(F.col("src_ip").alias("ip"), F.window(ts_col, window).alias("w"))
          .agg(F.count("*").alias("errors")).where(F.col("errors") >= threshold))
     return g.select("ip", F.col("w.start").alias("window_start"), "errors")
+
+
+def ml_anomalies(alerts: DataFrame, threshold: float = ANOMALY_THRESHOLD,
+                 alert_type: str = "anomaly_detected") -> DataFrame:
+    """Model alerts at or above a score."""
+    return alerts.where((F.col("alert_type") == alert_type) & (F.col("anomaly_score") >= threshold))
+
+
+def alerts_per_hour(alerts: DataFrame, ts_col: str = "timestamp") -> DataFrame:
+    """Alerts per hour (tumbling windows)."""
+    g = alerts.groupBy(F.window(ts_col, "1 hour").alias("w")).agg(F.count("*").alias("alerts"))
+    return g.select(F.col("w.start").alias("hour"), "alerts")

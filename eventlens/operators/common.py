@@ -77,3 +77,14 @@ def safe_div(num: Column, den: Column) -> Column:
     """Division that yields 0 when the denominator is 0 (the reference's
     zero guards)."""
     return F.when(den > 0, num / den).otherwise(F.lit(0.0))
+
+
+def record_explorer(df: DataFrame, id_col: str, n: int = 100) -> DataFrame:
+    """The first ``n`` records by id (the dashboard's record table)."""
+    return df.orderBy(F.asc(id_col)).limit(n)
+
+
+def newest(df: DataFrame, ts_col: str, n: int = 10, tie_col: str | None = None) -> DataFrame:
+    """The ``n`` newest rows by a timestamp (id breaks ties)."""
+    order = [F.desc(ts_col)] + ([F.asc(tie_col)] if tie_col else [])
+    return df.orderBy(*order).limit(n)

@@ -413,3 +413,33 @@ def keyword_filter(df: DataFrame, keywords, lang: str = "en", limit: int = 1000,
     base = df.where((F.col("lang") == lang) & ~F.col(text_col).startswith("RT @"))
     m = base.withColumn("keyword", F.explode(F.filter(kws, lambda k: low.contains(k))))
     return top_n_per_group(m, ["keyword"], limit, F.desc(order_col), F.asc(id_col), rank_col="rank")
+
+
+# --------------------------------------------------------------------------- promised in prose
+
+
+def trending_hashtags(df: DataFrame, as_of, hours: int = 24, k: int = 10,
+                      ts_col: str = "processing_timestamp") -> DataFrame:
+    """Most used hashtags (``#`` + word characters, lower-cased)."""
+    tags = (recent(df, ts_col, hours, as_of)
+            .select(F.explode(F.regexp_extract_all(F.col("text"), F.lit(r"#(\w+)"), 1)).alias("tag"))
+            .select(F.lower("tag").alias("hashtag")))
+    g = tags.groupBy("hashtag").agg(F.count("*").alias("mentions"))
+    return top_k(g, k, F.desc("mentions"), F.asc("hashtag"))
+
+
+def negative_spike(df: DataFrame, window_hours: int = 1, trailing: int = 24, factor: float = 1.5,
+                   min_posts: int = 1, ts_col: str = "created_at") -> DataFrame:
+    """Hours whose negative share exceeds ``factor`` x the mean share of
+    the previous ``trailing`` hours.  The per-hour table is tiny (one row per
+    hour), so the trailing mean is a window over it."""
+    from pyspark.sql import Window
+    h = (df.groupBy(F.date_trunc("hour", ts_col).alias("hour"))
+         .agg(F.count("*").alias("posts"), _count_if(_is("negative")).alias("negative"))
+         .withColumn("negative_share", F.col("negative") / F.col("posts")))
+    secs = F.unix_seconds(F.col("hour").cast("timestamp"))
+    w = Window.orderBy(secs).rangeBetween(-trailing * 3600, -1)
+    h = h.withColumn("trailing_share", F.avg("negative_share").over(w))
+    return h.withColumn("is_spike", F.coalesce((F.col("posts") >= min_posts)
+                                                & (F.col("negative_share") > F.col("trailing_share") * factor),
+                                                F.lit(False)))

@@ -214,3 +214,10 @@ def q_unified_prices(spark, sf):
     """U01 the unified table after the merge."""
     target, batch = _lake_state(spark, sf)
     return P.unified(target, P.merge_insert_only(target, batch))
+
+
+@query("record_explorer", "SELECT * FROM incidents ORDER BY incident_seq LIMIT 100", fixtures=["incidents"])
+def q_record_explorer(spark, sf):
+    """T02 first 100 records of the incident table."""
+    from eventlens.operators.common import record_explorer
+    return record_explorer(fx.incidents(spark, sf), "incident_seq", 100)

@@ -276,3 +276,40 @@ def q_parse_access_log(spark, sf):
                     F.col("p.path").alias("path"), F.col("p.status_code").alias("status_code"),
                     F.col("p.response_size").alias("response_size"), F.col("p.user_agent").alias("user_agent"),
                     parse_ts(F.col("p.timestamp")).cast("timestamp_ntz").alias("ts"))
+
+
+@query("alerts_per_hour", """
+SELECT date_trunc('hour', event_time) AS hour, COUNT(*) AS alerts FROM sec_enriched
+WHERE severity = 'HIGH' GROUP BY 1
+""", fixtures=["sec_enriched"])
+def q_alerts_per_hour(spark, sf):
+    """D01 rule alerts per hour."""
+    a = AL.alerts_from_rules(_enriched(spark, sf), ("src_ip",))
+    return AL.alerts_per_hour(a).withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+
+
+@query("log_kpis", """
+SELECT date_trunc('minute', event_time) AS minute, COUNT(*) AS events FROM sec_logs GROUP BY 1
+""", fixtures=["sec_logs"])
+def q_log_kpis(spark, sf):
+    """D01 events per minute."""
+    return AL.log_kpis(fx.sec_logs(spark, sf)).withColumn("minute", F.col("minute").cast("timestamp_ntz"))
+
+
+@query("off_hours", """
+SELECT log_type, COUNT(*) AS events FROM sec_logs
+WHERE hour(event_time) < 8 OR hour(event_time) >= 18 GROUP BY log_type
+""", fixtures=["sec_logs"])
+def q_off_hours(spark, sf):
+    """D05 events outside 08:00-18:00 by log type."""
+    return AL.off_hours(fx.sec_logs(spark, sf)).groupBy("log_type").agg(F.count("*").alias("events"))
+
+
+@query("http_error_bursts", """
+SELECT src_ip AS ip, time_bucket(INTERVAL 1 HOUR, event_time) AS window_start, COUNT(*) AS errors
+FROM sec_logs WHERE log_type = 'web' AND status_code >= 400 GROUP BY 1, 2 HAVING COUNT(*) >= 2
+""", fixtures=["sec_logs"])
+def q_http_error_bursts(spark, sf):
+    """D06 web 4xx/5xx per address per hour (>= 2 in the stand-in)."""
+    out = AL.http_error_bursts(fx.sec_logs(spark, sf), threshold=2, window="1 hour")
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

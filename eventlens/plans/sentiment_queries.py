@@ -335,3 +335,40 @@ FROM posts
 def q_clean_text(spark, sf):
     """F01 cleaned text of every post, whole texts."""
     return fx.posts(spark, sf).select("post_id", clean_text("text").alias("clean_text"))
+
+
+@query("trending_hashtags", f"""
+SELECT hashtag, COUNT(*) AS mentions FROM (
+  SELECT lower(unnest(regexp_extract_all(text, '#(\\w+)', 1))) AS hashtag FROM sentiment
+  WHERE processing_timestamp >= {AS_OF_SQL} - INTERVAL 24 HOUR) h
+GROUP BY hashtag ORDER BY mentions DESC, hashtag LIMIT 10
+""", fixtures=["sentiment"])
+def q_trending_hashtags(spark, sf):
+    """D03 most used hashtags of the last 24 hours."""
+    return S.trending_hashtags(_scored(spark, sf), AS_OF)
+
+
+@query("negative_spike", """
+SELECT hour, posts, negative, negative_share, trailing_share,
+       COALESCE(posts >= 1 AND negative_share > trailing_share * 1.5, FALSE) AS is_spike
+FROM (SELECT *, AVG(negative_share) OVER (ORDER BY hour RANGE BETWEEN INTERVAL 24 HOUR PRECEDING
+                                           AND INTERVAL 1 SECOND PRECEDING) AS trailing_share
+      FROM (SELECT date_trunc('hour', created_at) AS hour, COUNT(*) AS posts,
+                   COUNT(*) FILTER (WHERE predicted_sentiment = 'negative') AS negative,
+                   COUNT(*) FILTER (WHERE predicted_sentiment = 'negative') / COUNT(*) AS negative_share
+            FROM posts GROUP BY 1) h) w
+""", fixtures=["posts"], doubles=["negative_share", "trailing_share"])
+def q_negative_spike(spark, sf):
+    """D04 hourly negative share against the trailing 24-hour mean."""
+    return S.negative_spike(fx.posts(spark, sf))
+
+
+@query("newest_posts", """
+SELECT post_id, created_at, author_id, predicted_sentiment FROM posts
+ORDER BY created_at DESC, post_id LIMIT 10
+""", fixtures=["posts"])
+def q_newest_posts(spark, sf):
+    """T04 ten newest posts."""
+    from eventlens.operators.common import newest
+    return newest(fx.posts(spark, sf).select("post_id", "created_at", "author_id", "predicted_sentiment"),
+                  "created_at", 10, "post_id")

@@ -28,7 +28,7 @@ def q_stream_hourly(spark, sf):
     base = _scratch(spark, "stream-hourly")
     posts = fx.posts(spark, sf)
     posts.write.mode("overwrite").parquet(f"{base}/in")
-    src = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/in")
+    src = spark.readStream.schema(posts.schema).parquet(f"{base}/in")
     q = hourly_stream(src, f"{base}/out", f"{base}/ckpt", available_now=True)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")

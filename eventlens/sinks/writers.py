@@ -68,8 +68,10 @@ def merge_insert_only_table(spark: SparkSession, source: DataFrame, path: str, o
     of rows appended."""
     from eventlens.operators.prices import merge_insert_only
     if not table_exists(spark, path):
-        create_or_overwrite(source, path, partition_by)
-        return spark.read.parquet(path).count()
+        # first load: only the batch partition is written (a stream may own
+        # a sibling partition of the same table)
+        overwrite_partitions(source, path, partition_by)
+        return spark.read.parquet(path).where(F.col("source") == "batch").count()
     target = spark.read.parquet(path)
     new = merge_insert_only(target, source, on=on)
     # materialise before writing into the table being read: the anti-join

@@ -43,12 +43,14 @@ def _trigger(w, interval: str | None, available_now: bool):
 def price_stream(spark: SparkSession, ticks: DataFrame, table_path: str, checkpoint: str,
                  available_now: bool = False):
     """ST01/ST10: price topic -> parsed ticks -> one row per coin -> the lake
-    table's ``source=streaming`` partition (the batch loader owns
-    ``source=batch``, so the two writers never share files)."""
+    table's ``source=streaming`` folder.  The batch loader owns
+    ``source=batch``, so the two writers never share files, and the stream's
+    commit log stays inside its own folder: reading the table root lists both
+    folders (a sink log at the root would hide the batch files)."""
     parsed = parse_json_value(ticks, PRICE_TICK_SCHEMA, keep_broker_time=False)
-    rows = unpivot_prices(parsed, source="streaming")
-    w = (rows.writeStream.outputMode("append").format("parquet").partitionBy("source")
-         .option("path", table_path).option("checkpointLocation", checkpoint))
+    rows = unpivot_prices(parsed, source="streaming").drop("source")
+    w = (rows.writeStream.outputMode("append").format("parquet")
+         .option("path", f"{table_path.rstrip('/')}/source=streaming").option("checkpointLocation", checkpoint))
     return _trigger(w, None, available_now).start()
 
 

@@ -313,3 +313,25 @@ def q_http_error_bursts(spark, sf):
     """D06 web 4xx/5xx per address per hour (>= 2 in the stand-in)."""
     out = AL.http_error_bursts(fx.sec_logs(spark, sf), threshold=2, window="1 hour")
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def _enriched_alerts(spark, sf):
+    e = _enriched(spark, sf)
+    return AL.enrich_alerts(AL.alerts_from_rules(e, LOG_FIELDS + ("event_id",)))
+
+
+@query("enrich_alerts")
+def q_enrich_alerts(spark, sf):
+    """R17 rule alerts keyed (R09), suppressed for 15 minutes (R10), with id,
+    related-alert count (J03/R11), recommendations (R12) and channels (R13)
+    (rows-only: a composition of operators that each have an oracle)."""
+    a = _enriched_alerts(spark, sf)
+    return a.select("alert_id", "alert_key", "timestamp", "severity", "related_alerts_count",
+                    "is_part_of_campaign", F.array_join("response_recommendations", " | ").alias("recommendations"),
+                    F.array_join("notification_channels", ",").alias("channels"))
+
+
+@query("notification_outbox")
+def q_notification_outbox(spark, sf):
+    """K16 one payload per (alert, channel) (rows-only)."""
+    return AL.notification_outbox(_enriched_alerts(spark, sf))

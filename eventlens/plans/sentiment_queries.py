@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventlens import fixtures as fx
-from eventlens.functions.text import TRENDING_STOP_WORDS, EXPLORE_STOP_WORDS, clean_text, with_lexicon_sentiment
+from eventlens.functions.text import (EXPLORE_STOP_WORDS, NEGATIVE_WORDS, POSITIVE_WORDS, TRENDING_STOP_WORDS,
+                                      clean_text, with_lexicon_sentiment)
 from eventlens.operators import sentiment as S
 from eventlens.plans.fixture_sql import AS_OF_SQL
 from eventlens.plans.registry import query
@@ -372,3 +373,38 @@ def q_newest_posts(spark, sf):
     from eventlens.operators.common import newest
     return newest(fx.posts(spark, sf).select("post_id", "created_at", "author_id", "predicted_sentiment"),
                   "created_at", 10, "post_id")
+
+
+def _lex_sql(words) -> str:
+    return "(" + " + ".join(f"(CASE WHEN contains(lower(text), '{w}') THEN 1 ELSE 0 END)" for w in words) + ")"
+
+
+_P0 = f"CAST({_lex_sql(POSITIVE_WORDS)} AS DOUBLE) / {float(len(POSITIVE_WORDS))}"
+_N0 = f"CAST({_lex_sql(NEGATIVE_WORDS)} AS DOUBLE) / {float(len(NEGATIVE_WORDS))}"
+
+
+@query("normalise_tweets", f"""
+WITH raw AS (SELECT post_id AS id, text, created_at, author_id, lang, like_count, retweet_count FROM posts),
+s AS (SELECT *, {_P0} AS p0, {_N0} AS n0 FROM raw WHERE text IS NOT NULL),
+n AS (SELECT *, CASE WHEN text = '' THEN 0.33 ELSE p0 / (p0 + n0 + (1.0 - p0 - n0)) END AS sp,
+             CASE WHEN text = '' THEN 0.34 ELSE (1.0 - p0 - n0) / (p0 + n0 + (1.0 - p0 - n0)) END AS su,
+             CASE WHEN text = '' THEN 0.33 ELSE n0 / (p0 + n0 + (1.0 - p0 - n0)) END AS sn FROM s)
+SELECT id AS tweet_id, created_at, author_id, lang, retweet_count, like_count, 0 AS reply_count, 0 AS quote_count,
+       sp AS sentiment_positive, su AS sentiment_neutral, sn AS sentiment_negative,
+       CASE WHEN sp >= su AND sp >= sn THEN 'positive' WHEN su >= sn THEN 'neutral' ELSE 'negative' END
+         AS predicted_sentiment,
+       CASE WHEN sp >= su AND sp >= sn THEN sp WHEN su >= sn THEN su ELSE sn END AS confidence,
+       CAST(created_at AS DATE) AS date_partition
+FROM n
+""", fixtures=["posts"], doubles=["sentiment_positive", "sentiment_neutral", "sentiment_negative", "confidence"])
+def q_normalise_tweets(spark, sf):
+    """P08/P09/F03 the stream job's projection of raw tweets (ISO time text,
+    metrics map without reply/quote counts) with the reference lexicon."""
+    p = fx.posts(spark, sf)
+    raw = p.select(F.col("post_id").alias("id"), "text",
+                   F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("created_at"),
+                   "author_id", "lang",
+                   F.create_map(F.lit("like_count"), F.col("like_count"),
+                                F.lit("retweet_count"), F.col("retweet_count")).alias("public_metrics"))
+    out = S.normalise_tweets(raw).drop("processing_timestamp", "text")
+    return out.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))

@@ -27,17 +27,28 @@ def _terms(df: DataFrame, value: Column, facet: str, size: int = TERMS_SIZE) ->
 def facet_counts(df: DataFrame, facets: dict[str, Column], size: int = TERMS_SIZE,
                  multi: dict[str, Column] | None = None) -> DataFrame:
     """Total plus top-``size`` counts per facet as (facet, value, count, rank).
-    ``multi`` facets are arrays, exploded before counting."""
-    total = df.agg(F.count("*").alias("count")).select(
-        F.lit("total").alias("facet"), F.lit(None).cast("string").alias("value"), "count",
-        F.lit(1).alias("rank"))
-    parts = [total] + [_terms(df, c, name, size) for name, c in facets.items()]
+    ``multi`` facets are arrays (each value counted).
+
+    One scan and one shuffle: every row emits (facet, value) pairs - one for
+    the total, one per single-valued facet, one per array element - and a
+    single ``groupBy(facet, value)`` counts them (partially, before the
+    shuffle).  The top-``size`` per facet is then taken on the small table
+    of distinct values.
+    """
+    pair = "struct<facet:string,value:string>"
+    parts = [F.array(F.struct(F.lit("total").alias("facet"), F.lit(None).cast("string").alias("value")))]
+    for name, c in facets.items():
+        parts.append(F.array(F.struct(F.lit(name).alias("facet"), c.cast("string").alias("value"))))
+    def tag(name):
+        return lambda v: F.struct(F.lit(name).alias("facet"), v.cast("string").alias("value"))
     for name, arr in (multi or {}).items():
-        parts.append(_terms(df.select(F.explode(arr).alias("_v")), F.col("_v"), name, size))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("count", F.col("count").cast("bigint")).withColumn("rank", F.col("rank").cast("bigint"))
+        parts.append(F.coalesce(F.transform(arr, tag(name)), F.array().cast(f"array<{pair}>")))
+    pairs = df.select(F.explode(F.concat(*parts)).alias("p")).select("p.facet", "p.value")
+    counts = (pairs.where(F.col("value").isNotNull() | (F.col("facet") == "total"))
+              .groupBy("facet", "value").agg(F.count("*").cast("bigint").alias("count")))
+    w = Window.partitionBy("facet").orderBy(F.desc("count"), F.asc("value"))
+    ranked = counts.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= size)
+    return ranked.select("facet", "value", "count", "rank")
 
 
 def log_summary(logs: DataFrame, size: int = TERMS_SIZE) -> DataFrame:
@@ -54,21 +65,31 @@ def alert_summary(alerts: DataFrame, size: int = TERMS_SIZE) -> DataFrame:
 def top_attackers(logs: DataFrame, k: int = 10, ip_col: str = "source_ip",
                   country_col: str = "country_name", size: int = TERMS_SIZE) -> DataFrame:
     """HIGH/CRITICAL events by address: count, threat types in terms
-    order, the most frequent country or ``Unknown``."""
+    order, the most frequent country or ``Unknown``.
+
+    One scan and one shuffle: each event emits one ``country`` pair (the
+    event count) and one pair per threat type; ``groupBy(ip, kind, value)``
+    leaves a small table (addresses x values) from which the top ``k``
+    addresses, their threat lists and countries are read.
+    """
     hi = logs.where(F.col("severity").isin("HIGH", "CRITICAL") & F.col(ip_col).isNotNull())
-    top = (hi.groupBy(F.col(ip_col).alias("ip")).agg(F.count("*").alias("attack_count"))
-           .orderBy(F.desc("attack_count"), F.asc("ip")).limit(k))
-    # per (ip, threat) counts restricted to the k addresses (a semi join on k keys)
-    sub = hi.select(F.col(ip_col).alias("ip"), "threat_types",
-                    (F.col(country_col) if country_col in hi.columns else F.lit(None).cast("string")).alias("country"))
-    sub = sub.join(F.broadcast(top.select("ip")), "ip", "left_semi")
-    th = (sub.select("ip", F.explode("threat_types").alias("t")).groupBy("ip", "t").agg(F.count("*").alias("n")))
-    th = th.groupBy("ip").agg(F.array_sort(F.collect_list(F.struct(-F.col("n"), F.col("t"))),).alias("_s"))
-    th = th.select("ip", F.concat_ws(",", F.slice(F.transform("_s", lambda x: x["t"]), 1, size)).alias("threat_types"))
-    co = (sub.where(F.col("country").isNotNull()).groupBy("ip", "country").agg(F.count("*").alias("n"))
-          .groupBy("ip").agg(F.min_by("country", F.struct(-F.col("n"), F.col("country"))).alias("country")))
-    out = top.join(th, "ip", "left").join(co, "ip", "left")
-    return out.select("ip", "attack_count", F.coalesce("threat_types", F.lit("")).alias("threat_types"),
+    country = F.col(country_col) if country_col in hi.columns else F.lit(None).cast("string")
+    pair = "struct<kind:string,value:string>"
+    pairs = hi.select(F.col(ip_col).alias("ip"), F.explode(F.concat(
+        F.array(F.struct(F.lit("c").alias("kind"), country.cast("string").alias("value"))),
+        F.coalesce(F.transform("threat_types", lambda t: F.struct(F.lit("t").alias("kind"), t.alias("value"))),
+                   F.array().cast(f"array<{pair}>")))).alias("p")).select("ip", "p.kind", "p.value")
+    counts = pairs.groupBy("ip", "kind", "value").agg(F.count("*").alias("n"))
+    per_ip = counts.groupBy("ip").agg(
+        F.sum(F.when(F.col("kind") == "c", F.col("n"))).alias("attack_count"),
+        F.min_by(F.when((F.col("kind") == "c") & F.col("value").isNotNull(), F.col("value")),
+                 F.when((F.col("kind") == "c") & F.col("value").isNotNull(),
+                        F.struct(-F.col("n"), F.col("value")))).alias("country"),
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "t", F.struct(-F.col("n"), F.col("value")))))
+        .alias("_t"))
+    top = per_ip.orderBy(F.desc("attack_count"), F.asc("ip")).limit(k)
+    return top.select("ip", F.col("attack_count").cast("bigint").alias("attack_count"),
+                      F.concat_ws(",", F.slice(F.transform("_t", lambda x: x["value"]), 1, size)).alias("threat_types"),
                       F.coalesce("country", F.lit("Unknown")).alias("country"))
 
 

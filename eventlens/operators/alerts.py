@@ -248,17 +248,17 @@ def _bucket_summary_carry(df: DataFrame, keys, bucket_col: str, value_col: str,
 
 
 def gap_segments(df: DataFrame, key_cols, ts_col: str, gap_seconds: int, order_cols=(),
-                 bucket_seconds: int = 86400) -> DataFrame:
+                 bucket_seconds: int = 3600) -> DataFrame:
     """Split each key's timeline into segments at gaps of at least
     ``gap_seconds`` and add ``_seg`` (micros of the segment's first row).
 
-    Windows run per (key, day bucket); what crosses a bucket boundary (last
+    Windows run per (key, hour bucket); what crosses a bucket boundary (last
     time, last segment start) comes from per-(key, bucket) summaries, a table
-    with one row per active key-day.
+    with one row per active key-hour.
     """
     keys = list(key_cols)
     g_us = int(gap_seconds) * 1_000_000
-    b_us = max(int(bucket_seconds), int(gap_seconds)) * 1_000_000
+    b_us = int(bucket_seconds) * 1_000_000     # any size works: the carries span buckets
     d = df.withColumns({"_t": _micros(ts_col)}).withColumn("_b", F.floor(F.col("_t") / F.lit(b_us)))
     order = [F.col("_t")] + [F.col(c) for c in order_cols]
     w = Window.partitionBy(*keys, "_b").orderBy(*order)

@@ -50,7 +50,7 @@ def q_stream_suppress(spark, sf):
 
 
 @query("fold_multiline", """
-WITH s AS (SELECT *, CASE WHEN regexp_matches(line, '^[A-Z]') OR line_no = 1 THEN 1 ELSE 0 END AS st
+WITH s AS (SELECT *, CASE WHEN regexp_matches(line, '^[A-Z]') THEN 1 ELSE 0 END AS st
            FROM log_lines),
 g AS (SELECT *, SUM(st) OVER (PARTITION BY file_id ORDER BY line_no) AS event_no FROM s)
 SELECT file_id, CAST(event_no AS BIGINT) AS event_no, MIN(line_no) AS first_line, COUNT(*) AS n_lines,

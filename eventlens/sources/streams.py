@@ -65,12 +65,16 @@ def read_incidents_json(spark: SparkSession, path: str, newest: int | None = 100
 def read_log_files(spark: SparkSession, directory: str, log_type: str, source: str,
                    streaming: bool = True) -> DataFrame:
     """Tail text log files; the static fields sit at the row root.
-    ``file`` and ``line_no`` (position in the file) are kept for multi-line
+    ``file`` and, in batch, ``line_no`` (an order key that increases along a
+    file: splits of a file are read in offset order) are kept for multi-line
     folding."""
     reader = spark.readStream if streaming else spark.read
     df = reader.text(directory)
-    return df.select(F.col("value").alias("message"), F.input_file_name().alias("file"),
-                     F.lit(log_type).alias("log_type"), F.lit(source).alias("source"))
+    out = df.select(F.col("value").alias("message"), F.input_file_name().alias("file"),
+                    F.lit(log_type).alias("log_type"), F.lit(source).alias("source"))
+    if not streaming:
+        out = out.withColumn("line_no", F.monotonically_increasing_id())
+    return out
 
 
 def decode_json(df: DataFrame, schema: StructType, col: str = "message",
@@ -79,14 +83,17 @@ def decode_json(df: DataFrame, schema: StructType, col: str = "message",
     parse keep their text in ``error_col`` (PERMISSIVE mode)."""
     parsed = F.from_json(F.col(col), schema, {"mode": "PERMISSIVE"})
     out = df.withColumn("_p", parsed)
-    bad = F.col("_p").isNull() & F.col(col).isNotNull()
+    # malformed text parses to a struct of nulls; the raw path test tells it
+    # apart from a valid object whose fields are all absent
+    bad = F.col(col).isNotNull() & F.get_json_object(F.col(col), "$").isNull()
     return out.select("*", *[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields],
                       F.when(bad, F.col(col)).alias(error_col)).drop("_p")
 
 
 # --------------------------------------------------------------------------- multi-line folding
 
-IPV4_START = r"^[0-9]{1,3}\."
+# Fixed value: an event starts with an IPv4 address (the shipper's multiline pattern).
+IPV4_START = r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
 
 
 def running_count(df: DataFrame, key_cols, order_col: str, flag: str, alias: str,
@@ -112,10 +119,11 @@ def running_count(df: DataFrame, key_cols, order_col: str, flag: str, alias: str
 def fold_multiline(lines: DataFrame, start_pattern: str = IPV4_START, file_col: str = "file_id",
                    line_col: str = "line_no", text_col: str = "line") -> DataFrame:
     """Join lines that do not start an event (``start_pattern``) to the
-    previous event of the same file; the first line of a file always starts
-    one.  Returns one row per event: file, event number, first line, line
-    count, text joined with newlines."""
-    flagged = lines.withColumn("_start", F.col(text_col).rlike(start_pattern) | (F.col(line_col) == 1))
+    previous event of the same file; lines before a file's first start form
+    event 0.  Only the order of ``line_col`` matters (it need not be dense).
+    Returns one row per event: file, event number, first line, line count,
+    text joined with newlines."""
+    flagged = lines.withColumn("_start", F.coalesce(F.col(text_col).rlike(start_pattern), F.lit(False)))
     g = running_count(flagged, [file_col], line_col, "_start", "event_no")
     ev = g.groupBy(file_col, "event_no").agg(
         F.min(line_col).alias("first_line"), F.count("*").alias("n_lines"),

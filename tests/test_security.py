@@ -3,6 +3,7 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from eventlens.functions.security import event_hash, ip_to_long, parse_access_log, parse_ts
 from eventlens.operators import alerts as AL
@@ -106,7 +107,7 @@ def test_fold_multiline(spark):
     df = spark.createDataFrame(lines, "file_id long, line_no long, line string")
     out = sorted((r.file_id, r.event_no, r.n_lines, r.text) for r in fold_multiline(df).collect())
     assert out == [(1, 1, 3, "1.2.3.4 start\n  at x\n  at y"), (1, 2, 1, "5.6.7.8 next"),
-                   (2, 1, 1, "orphan"), (2, 2, 1, "9.9.9.9 ok")]
+                   (2, 0, 1, "orphan"), (2, 1, 1, "9.9.9.9 ok")]
 
 
 def test_fold_multiline_chunked_prefix(spark):
@@ -123,3 +124,28 @@ def test_brute_force_threshold(spark):
     df = spark.createDataFrame(rows, "src_ip string, event_time timestamp_ntz, result string")
     out = AL.brute_force(df).collect()
     assert out and all(r.failures >= 10 for r in out)
+
+
+def test_log_files_decode_and_fold(spark, tmpdir_path):
+    from eventlens.sources.streams import decode_json, read_log_files
+    web = f"{tmpdir_path}/web"
+    fw = f"{tmpdir_path}/fw"
+    import os
+    os.makedirs(web)
+    os.makedirs(fw)
+    with open(f"{web}/web.log", "w") as f:
+        f.write("1.2.3.4 - - [15/Jan/2024:10:00:00 +0000] \"GET /a HTTP/1.1\" 500 1 \"-\" \"x\"\n"
+                "  stack line 1\n  stack line 2\n"
+                "5.6.7.8 - - [15/Jan/2024:10:00:01 +0000] \"GET /b HTTP/1.1\" 200 1 \"-\" \"x\"\n")
+    with open(f"{fw}/fw.log", "w") as f:
+        f.write('{"src_ip": "8.8.8.8", "packet_count": 99}\nnot json\n')
+    lines = read_log_files(spark, web, "web", "apache", streaming=False)
+    events = fold_multiline(lines.withColumnRenamed("message", "line"), file_col="file")
+    texts = sorted(r.text.split("\n")[0][:7] for r in events.collect())
+    assert texts == ["1.2.3.4", "5.6.7.8"]
+    assert sorted(r.n_lines for r in events.collect()) == [1, 3]
+    raw = read_log_files(spark, fw, "firewall", "iptables", streaming=False)
+    dec = decode_json(raw, StructType([StructField("src_ip", StringType()), StructField("packet_count", IntegerType())]))
+    rows = sorted(dec.collect(), key=lambda r: r.message)
+    assert rows[1].packet_count == 99 and rows[1]._json_error is None
+    assert rows[0].src_ip is None and rows[0]._json_error == "not json"

@@ -87,12 +87,12 @@ def assert_checks(report: DataFrame) -> None:
 def video_suite() -> list[Check]:
     """The reference's model tests for the video models."""
     return [
-        Check("stg_yt_videos", "unique", ["video_id"]),
-        Check("stg_yt_videos", "not_null", "video_id"),
-        Check("stg_yt_videos", "not_null", "trending_date"),
-        Check("stg_yt_videos", "not_null", "views"),
-        Check("stg_yt_videos", "at_least_one", "views"),
-        Check("stg_yt_videos", "expression", "views", "views > 0"),
+        Check("stg_videos", "unique", ["video_id"]),
+        Check("stg_videos", "not_null", "video_id"),
+        Check("stg_videos", "not_null", "trending_date"),
+        Check("stg_videos", "not_null", "views"),
+        Check("stg_videos", "at_least_one", "views"),
+        Check("stg_videos", "expression", "views", "views > 0"),
         Check("fct_video_trends", "unique", ["video_id"]),
         Check("fct_video_trends", "not_null", "video_id"),
         Check("fct_video_trends", "not_null", "engagement_rate"),

@@ -41,13 +41,13 @@ def _check_sql(model: str, label: str, failures: str, table: str) -> str:
 
 
 _QSQL = " UNION ALL ".join([
-    _check_sql("stg_yt_videos", "not_null:video_id", "COUNT(*) FILTER (WHERE video_id IS NULL)", "videos_stg"),
-    _check_sql("stg_yt_videos", "not_null:trending_date", "COUNT(*) FILTER (WHERE trending_date IS NULL)", "videos_stg"),
-    _check_sql("stg_yt_videos", "not_null:views", "COUNT(*) FILTER (WHERE views IS NULL)", "videos_stg"),
-    _check_sql("stg_yt_videos", "at_least_one:views", "CASE WHEN COUNT(views) = 0 THEN 1 ELSE 0 END", "videos_stg"),
-    _check_sql("stg_yt_videos", "expression:views:views > 0",
+    _check_sql("stg_videos", "not_null:video_id", "COUNT(*) FILTER (WHERE video_id IS NULL)", "videos_stg"),
+    _check_sql("stg_videos", "not_null:trending_date", "COUNT(*) FILTER (WHERE trending_date IS NULL)", "videos_stg"),
+    _check_sql("stg_videos", "not_null:views", "COUNT(*) FILTER (WHERE views IS NULL)", "videos_stg"),
+    _check_sql("stg_videos", "at_least_one:views", "CASE WHEN COUNT(views) = 0 THEN 1 ELSE 0 END", "videos_stg"),
+    _check_sql("stg_videos", "expression:views:views > 0",
                "COUNT(*) FILTER (WHERE NOT COALESCE(views > 0, FALSE))", "videos_stg"),
-    "SELECT 'stg_yt_videos' AS model, 'unique:video_id' AS check_name, CAST(COUNT(*) AS BIGINT) AS failures "
+    "SELECT 'stg_videos' AS model, 'unique:video_id' AS check_name, CAST(COUNT(*) AS BIGINT) AS failures "
     "FROM (SELECT video_id FROM videos_stg GROUP BY video_id HAVING COUNT(*) > 1) d",
     _check_sql("fct_video_trends", "not_null:video_id", "COUNT(*) FILTER (WHERE video_id IS NULL)", "videos_fct"),
     _check_sql("fct_video_trends", "not_null:engagement_rate",
@@ -68,7 +68,7 @@ FROM ({_QSQL}) r
 def q_quality_report(spark, sf):
     """Q01-Q05 the model test suite as one report."""
     stg = V.stg_videos(fx.videos_raw(spark, sf))
-    return Q.run_checks({"stg_yt_videos": stg, "fct_video_trends": V.fct_video_trends(stg)}, Q.video_suite())
+    return Q.run_checks({"stg_videos": stg, "fct_video_trends": V.fct_video_trends(stg)}, Q.video_suite())
 
 
 # --------------------------------------------------------------------------- incidents

@@ -8,9 +8,9 @@ partitions with the largest imbalance merge, the heavy windows of one with the
 light windows of the other, until one partition is left.  Its windows are nearly
 equal; if one is above capacity, ``m`` rises by one and the block is dealt anew.
 
-Words repeat, so a task tokenises each distinct word of a piece once.  The
-tokenizer drops white space and never joins across it, so a text's ids are its
-words' ids in order.
+Words repeat, so a worker remembers the ids of the words (cut into letters and
+others) it has met.  The tokenizer drops white space and cuts words there too,
+so a text's ids are its units' ids in order.
 
 ``sequence_id`` is the task's partition number times 2**32 plus a counter; it is
 unique, and a task that runs again gives the same ids for the same rows.
@@ -34,8 +34,9 @@ from pyspark.sql import functions as F
 from eventlens.llm import arrays as A
 
 CAPACITY, WINDOWS, END_ID = 4096, 512, 2
-#: words whose ids a worker remembers
-REMEMBERED = 300_000
+#: places for units whose ids a worker remembers, and the most ids it keeps
+SLOT_BITS = 21
+SLOTS, MOST_IDS = 1 << SLOT_BITS, 16 << 20
 _state: dict = {}
 
 
@@ -44,37 +45,94 @@ def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: bytes that decide whether a word may be cut: letters, others
+_KIND = np.full(256, 2, np.uint8)
+_KIND[65:91] = _KIND[97:123] = _KIND[128:] = 1
+_KIND[[32, 9, 10, 11, 12, 13]] = 0
+
+
+def units(buf, off):
+    """Cuts words between letters and other characters: (bytes with small
+    letters, starts, ends, first unit of each text).
+
+    The tokenizer itself cuts there and lower-cases, and equal units then meet
+    more often.  Words with an apostrophe (contractions), ``<`` (special
+    tokens) or characters beyond Latin-1 letters are left whole and as they
+    are.
+    """
+    starts, ends, first = A.find_words(buf, off, A.SPACED)
+    if not len(starts):
+        return buf, starts, ends, first
+    led = np.zeros(len(buf), bool)
+    led[1:] = buf[:-1] == 0xC3
+    odd = (buf == 0x27) | (buf == 0x3C) | ((buf >= 0x80) & (buf != 0xC3) & ~led) | (led & ((buf == 0x97) | (buf == 0xB7)))
+    whole = np.diff(np.r_[0, np.cumsum(odd)][np.stack([starts, ends], 1)], axis=1).ravel() > 0
+    step = np.zeros(len(buf) + 1, np.int8)
+    step[starts[whole]] += 1
+    step[ends[whole]] -= 1
+    inside = np.cumsum(step[:-1], dtype=np.int8) > 0
+    kind = _KIND[buf]
+    kind[inside] = 1
+    new = np.zeros(len(buf) + 1, bool)
+    np.not_equal(kind[1:], kind[:-1], out=new[1:-1])
+    new[starts] = True
+    starts = np.flatnonzero(new[:-1] & (kind > 0))
+    new[ends] = True
+    cuts = np.flatnonzero(new)
+    return np.where(inside, buf, A.LOWER[buf]), starts, cuts[np.searchsorted(cuts, starts, "right")], np.searchsorted(starts, off)
+
+
 class WordTokens:
-    """Token ids of texts by way of their distinct words."""
+    """Token ids of texts by way of the ids of their units.
+
+    Ids of units met before are remembered in a table of ``SLOTS`` places by
+    64-bit hash; a later unit takes the place of an earlier one.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.encode = Tokenizer.from_file(path).encode_batch_fast
-        self.known: dict[bytes, np.ndarray] = {}
+        self.reset()
+
+    def reset(self):
+        self.hash = np.zeros(SLOTS, np.uint64)
+        self.at = np.zeros(SLOTS, np.int64)
+        self.count = np.zeros(SLOTS, np.int32)
+        self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
+
+    def learn(self, buf, starts, ends, h):
+        """Tokenises the distinct units among these."""
+        _, first = np.unique(h, return_index=True)
+        raw = buf.tobytes()
+        found = self.encode([raw[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist())], add_special_tokens=False)
+        ids = [e.ids for e in found]
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter((t for x in ids for t in x), np.uint32, int(count.sum()))
+        if self.used + len(flat) > len(self.ids):
+            self.ids = np.r_[self.ids, np.zeros(max(len(self.ids), len(flat)), np.uint32)]
+        self.ids[self.used:self.used + len(flat)] = flat
+        at = self.used + np.cumsum(count) - count
+        self.used += len(flat)
+        return h[first], at, count
 
     def __call__(self, buf, off):
         """(ids of all texts, n + 1 bounds), without end ids."""
-        starts, ends, first = A.find_words(buf, off, A.SPACED)
+        buf, starts, ends, first = units(buf, off)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
-        _, at, back = np.unique(A.word_hashes(buf, starts, ends), return_index=True, return_inverse=True)
-        raw = buf.tobytes()
-        words = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
-        known = self.known
-        new = [w for w in words if w not in known]
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = words
-            for w, e in zip(new, self.encode([w.decode() for w in new], add_special_tokens=False)):
-                known[w] = np.array(e.ids, np.uint32)
-        ids = [known[w] for w in words]
-        size = np.array([len(x) for x in ids], np.int64)
-        flat = np.concatenate(ids)
-        begin = np.cumsum(size) - size
-        count = size[back]
-        return flat[A.ranges(begin[back], count)], np.r_[0, np.cumsum(count)][first]
+        if self.used > MOST_IDS:
+            self.reset()
+        h = A.word_hashes(buf, starts, ends) | A.U(1)
+        slot = (h >> A.U(64 - SLOT_BITS)).astype(np.int64)
+        at, count = self.at[slot], self.count[slot].astype(np.int64)
+        miss = np.flatnonzero(self.hash[slot] != h)
+        if len(miss):
+            known, new_at, new_count = self.learn(buf, starts[miss], ends[miss], h[miss])
+            k = np.searchsorted(known, h[miss])
+            at[miss], count[miss] = new_at[k], new_count[k]
+            self.hash[slot[miss]], self.at[slot[miss]], self.count[slot[miss]] = h[miss], at[miss], count[miss]
+        return self.ids[A.ranges(at, count)], np.r_[0, np.cumsum(count)][first]
 
 
 def differencing(sizes, m: int):

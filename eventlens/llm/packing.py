@@ -92,7 +92,11 @@ class WordTokens:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
+        tokenizer = Tokenizer.from_file(path)
+        self.encode = tokenizer.encode_batch_fast
+        vocabulary = tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.reset()
 
     def reset(self):
@@ -101,20 +105,39 @@ class WordTokens:
         self.count = np.zeros(SLOTS, np.int32)
         self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
 
+    def tokenise(self, texts):
+        """(ids in a row, ids per text).  Texts of letters alone are one
+        pre-token each, so they are joined, and the ids that end a word tell
+        them apart again."""
+        joined = [" ".join(texts[k:k + 256]) for k in range(0, len(texts), 256)]
+        flat = np.array([t for e in self.encode(joined, add_special_tokens=False) for t in e.ids], np.uint32)
+        stop = np.flatnonzero(self.ends_word[flat]) + 1
+        if len(stop) == len(texts):
+            return flat, np.diff(stop, prepend=0)
+        ids = [e.ids for e in self.encode(texts, add_special_tokens=False)]
+        return np.array([t for x in ids for t in x], np.uint32), np.array([len(x) for x in ids], np.int64)
+
     def learn(self, buf, starts, ends, h):
         """Tokenises the distinct units among these."""
         _, first = np.unique(h, return_index=True)
         raw = buf.tobytes()
-        found = self.encode([raw[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist())], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((t for x in ids for t in x), np.uint32, int(count.sum()))
+        texts = [raw[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        plain = np.array([t.isalpha() for t in texts])
+        order = np.argsort(~plain, kind="stable")
+        first, k = first[order], int(plain.sum())
+        texts = [texts[i] for i in order.tolist()]
+        parts = [self.tokenise(texts[:k])] if k else []
+        if k < len(texts):
+            ids = [e.ids for e in self.encode(texts[k:], add_special_tokens=False)]
+            parts.append((np.array([t for x in ids for t in x], np.uint32), np.array([len(x) for x in ids], np.int64)))
+        flat, count = (np.concatenate(c) for c in zip(*parts))
         if self.used + len(flat) > len(self.ids):
             self.ids = np.r_[self.ids, np.zeros(max(len(self.ids), len(flat)), np.uint32)]
         self.ids[self.used:self.used + len(flat)] = flat
         at = self.used + np.cumsum(count) - count
         self.used += len(flat)
-        return h[first], at, count
+        order = np.argsort(h[first])
+        return h[first][order], at[order], count[order]
 
     def __call__(self, buf, off):
         """(ids of all texts, n + 1 bounds), without end ids."""
@@ -139,32 +162,32 @@ def differencing(sizes, m: int):
     """Karmarkar-Karp for ``m`` windows: (loads, item numbers per window)."""
     n = len(sizes)
     left, right = [], []  # inner nodes of the merged windows; items are 0 .. n - 1
-    heap = []
-    for k, s in enumerate(sizes):
-        load = np.zeros(m, np.int64)
-        load[0] = s
-        node = np.full(m, -1, np.int64)
-        node[0] = k
-        heap.append((-int(s), k, load, node))
+    # a partial partition holds its loads in falling order, without empty windows
+    heap = [(-int(s), k, np.array([s]), np.array([k])) for k, s in enumerate(sizes)]
     heapq.heapify(heap)
     turn = n
     while len(heap) > 1:
         _, _, la, na = heapq.heappop(heap)
         _, _, lb, nb = heapq.heappop(heap)
-        load, other = la + lb[::-1], nb[::-1]
-        node = np.where(na < 0, other, na)
-        both = np.flatnonzero((na >= 0) & (other >= 0))
-        node[both] = n + len(left) + np.arange(len(both))
-        left.extend(na[both].tolist())
-        right.extend(other[both].tolist())
+        shared = len(la) + len(lb) - m
+        if shared <= 0:
+            load, node = np.concatenate([la, lb]), np.concatenate([na, nb])
+        else:
+            # the lightest windows of one take the heaviest of the other, in turn
+            ka, kb = len(la) - shared, len(lb) - shared
+            load = np.concatenate([la[:ka], la[ka:] + lb[kb:][::-1], lb[:kb]])
+            node = np.concatenate([na[:ka], np.arange(n + len(left), n + len(left) + shared), nb[:kb]])
+            left.extend(na[ka:].tolist())
+            right.extend(nb[kb:][::-1].tolist())
         order = np.argsort(-load, kind="stable")
         load, node = load[order], node[order]
-        heapq.heappush(heap, (int(load[-1] - load[0]), turn, load, node))
+        spread = load[0] - (load[-1] if len(load) == m else 0)
+        heapq.heappush(heap, (-int(spread), turn, load, node))
         turn += 1
     _, _, load, node = heap[0]
     windows = []
     for root in node.tolist():
-        items, todo = [], [root] if root >= 0 else []
+        items, todo = [], [root]
         while todo:
             x = todo.pop()
             if x < n:
@@ -225,7 +248,8 @@ def _pack(path, capacity: int, windows: int, end_id: int):
                     own = np.append(ids[bounds[r]:bounds[r + 1]], np.uint32(end_id)).astype("<u4")
                     held.append((doc_ids[i + r], own))
                     size += len(own) % capacity
-                    if size >= windows * capacity - capacity // 2:
+                    # a block ends where its windows would have some room each
+                    if size >= (windows - 1) * capacity and (size % capacity < capacity // 2 or size >= (windows + 1) * capacity):
                         rows, counter = block(held, counter)
                         held, size = [], 0
                         yield A.batch_of(SCHEMA, list(zip(*rows)))

@@ -1,8 +1,9 @@
 """Connected components by alternating large-star and small-star steps.
 
-Every step is a ``groupBy(...).min`` and a join back, so a node with a third
-of all edges is pre-aggregated and its join is one that AQE can split; no
-adjacency list is ever gathered.  Each round is written to the shared
+Every step is a ``groupBy(...).min`` and a join back.  A node with a third of
+all edges is pre-aggregated; the minima are written before they are joined, so
+the join has an exchange of its own on both sides and AQE can split a hot node.
+No adjacency list is ever gathered.  Each round is written to the shared
 checkpoint folder.
 """
 
@@ -28,11 +29,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     mark = _mark(e)
     while mark[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), name)
         large = (both.join(low, "u").where("v > u and v > m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         large = written(large, name)
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), name)
         small = (large.join(low, "u").where("v <> m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())

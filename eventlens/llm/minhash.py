@@ -267,14 +267,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     classes = written(classes.select("node", "low.doc_id", "low.th", "n_shingles", "bands", "sketch"), "classes")
 
     rows_ = classes.select("node", F.explode("bands").alias("key"))
-    heads = rows_.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
+    # written before they are joined back: AQE can then split a hot key's join
+    heads = written(rows_.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1"), "heads")
     star = rows_.join(heads, "key").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
     group = components(star, "candidates")
 
     limit = sketch_limit(num / den, bands * rows, bits)
     member = group.withColumnRenamed("component", "comp").join(classes.drop("bands"), "node")
-    blocks = member.groupBy("comp").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n_shingles") / BLOCK_WORDS)).cast("int").alias("blocks"))
+    blocks = written(member.groupBy("comp").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n_shingles") / BLOCK_WORDS)).cast("int").alias("blocks")), "blocks")
     member = (member.join(blocks, "comp")
               .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")))
     member = written(member.select("comp", "node", "block", "blocks", "sketch", "doc_id", "th"), "members")
@@ -289,8 +290,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
 
     label = classes.select("node", "doc_id", "th").join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
-    low = label.groupBy("component").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")).alias("low"))
+    low = written(label.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")).alias("low")), "lowest")
     named = label.select("node", "component").join(low, "component").select(
         "node", F.col("low.doc_id").alias("component_id"), F.col("low.th").alias("kept_th"))
     named = written(named, "named")

@@ -15,34 +15,32 @@ from pyspark.sql import functions as F
 
 from eventlens.sources.tables import read_parquet_table
 
-# The tweet stand-in joins each event to document ``event_id % 200``.
-POST_DOC_KEYS = 200
 # Clock used by every "last N hours" report over the stand-ins (the event
 # data ends on 2024-01-30).
 AS_OF = "2024-01-31 00:00:00"
 
 
-def _t(spark, sf_dir, name, spread: bool = False):
-    return read_parquet_table(spark, sf_dir, name, spread=spread)
+def _t(spark, sf_dir, name):
+    return read_parquet_table(spark, sf_dir, name)
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def posts(spark: SparkSession, sf_dir: str, per_text=None, keep=()) -> DataFrame:
     """Tweets after sentiment scoring (the ``sentiment_analysis`` table shape).
 
-    The join key ``event_id % 200`` can only hit ``doc_id`` 0..199 and
-    ``doc_id`` is the documents key, so the filtered documents side holds at
-    most 200 rows whatever the scale: a proven bound, hence the broadcast.
-    The events side is never shuffled.
+    Each event is a post of document ``event_id % number of documents``, so
+    all documents are reached where events outnumber them.  ``per_text``
+    (DataFrame -> DataFrame) runs on the documents before the join, once per
+    text; its columns ``keep`` are carried along.  The join is the planner's.
     """
-    # each event row grows by a whole text here: spread the narrow event rows
-    # first when the scan has fewer splits than cores
-    e = _t(spark, sf_dir, "events", spread=True)
-    d = (read_parquet_table(spark, sf_dir, "documents")
-         .where(F.col("doc_id").between(0, POST_DOC_KEYS - 1))
-         .select("doc_id", "text", "lang"))
-    j = e.join(F.broadcast(d), (e.event_id % POST_DOC_KEYS) == d.doc_id)
+    e = _t(spark, sf_dir, "events")
+    d = _t(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    n = max(1, d.count())
+    if per_text is not None:
+        d = per_text(d)
+    j = e.join(d, (e.event_id % n) == d.doc_id)
     et = F.col("event_type")
     return j.select(
+        *keep,
         F.col("event_id").cast("string").alias("post_id"),
         F.col("text"),
         F.col("ts").alias("created_at"),
@@ -64,13 +62,10 @@ def sentiment_table(spark: SparkSession, sf_dir: str, positive=None, negative=No
     from eventlens.functions.text import with_lexicon_sentiment
     pos = positive or COMMON_POSITIVE
     neg = negative or COMMON_NEGATIVE
-    p = posts(spark, sf_dir)
     # the stand-in keeps its own labels; only the three scores come from F03
-    scored = with_lexicon_sentiment(p.withColumnsRenamed({"predicted_sentiment": "_label",
-                                                          "confidence": "_conf"}),
-                                    "text", pos, neg)
-    return (scored.drop("predicted_sentiment", "confidence")
-            .withColumnsRenamed({"_label": "predicted_sentiment", "_conf": "confidence"})
+    scores = ("sentiment_positive", "sentiment_neutral", "sentiment_negative")
+    scored = posts(spark, sf_dir, lambda d: with_lexicon_sentiment(d, "text", pos, neg), scores)
+    return (scored
             .withColumns({"processing_timestamp": F.col("created_at"),
                           "date_partition": F.to_date("created_at")}))
 
@@ -223,7 +218,7 @@ def price_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Physical log lines: every document split on newlines, numbered from 1
     within its document (the "file")."""
-    d = _t(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
+    d = _t(spark, sf_dir, "documents").select("doc_id", "text")
     return d.select(
         F.col("doc_id").alias("file_id"),
         F.posexplode(F.split("text", "\n")).alias("pos", "line"),

@@ -58,9 +58,10 @@ def parse_ts(c) -> Column:
 
 def event_hash(*cols) -> Column:
     """SHA-256 fingerprint of the fields joined with ``|``; nulls become a
-    marker so (a, null) and (null, a) differ (``concat_ws`` would skip them)."""
+    marker so (a, null) and (null, a) differ (``concat_ws`` would skip them).
+    Null when all fields are null: such events have nothing to compare."""
     parts = [F.coalesce(_c(x).cast("string"), F.lit(HASH_NULL_MARKER)) for x in cols]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    return F.when(F.coalesce(*[_c(x).cast("string") for x in cols]).isNotNull(), F.sha2(F.concat_ws("|", *parts), 256))
 
 
 def ip_private_rfc1918(c) -> Column:
@@ -78,10 +79,10 @@ def ip_private_prefix(c) -> Column:
 
 
 def ip_to_long(c) -> Column:
-    """dotted IPv4 -> 32-bit number (null when not four octets)."""
+    """dotted IPv4 -> 32-bit number (null when not four octets of 0-255)."""
     parts = F.split(_c(c), r"\.")
-    num = F.aggregate(parts, F.lit(0).cast("long"),
-                      lambda acc, x: acc * 256 + x.try_cast("long"))
+    octets = F.transform(parts, lambda x: F.when(x.rlike("^[0-9]{1,3}$") & (x.try_cast("int") <= 255), x.try_cast("long")))
+    num = F.aggregate(octets, F.lit(0).cast("long"), lambda acc, x: acc * 256 + x)
     return F.when(F.size(parts) == 4, num)
 
 

@@ -29,9 +29,9 @@ EXPLORE_STOP_WORDS = (
 )
 # Lexicon of the streaming sentiment scorer.
 POSITIVE_WORDS = ("good", "great", "excellent", "amazing", "love", "best", "awesome",
-                  "\U0001F680", "\U0001F48E", "\U0001F4C8")
+                  "🚀", "💎", "📈")
 NEGATIVE_WORDS = ("bad", "terrible", "awful", "hate", "worst", "crash", "dump",
-                  "\U0001F4C9", "\U0001F630", "\U0001F4B8")
+                  "📉", "😰", "💸")
 # Scores given to empty text.
 EMPTY_SCORES = (0.33, 0.34, 0.33)
 # Model label names.

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlens.ml.features import FEATURES, extract_features
+from eventlens.sinks.writers import table_exists
 
 N_TREES = 100
 SAMPLE_SIZE = 256
@@ -64,17 +65,15 @@ def fit_encoders(feats: DataFrame, log_type: str) -> DataFrame:
     return pairs.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
 
 
-def encode(feats: DataFrame, encoders: DataFrame, log_type: str, max_broadcast: int = 1_000_000) -> DataFrame:
+def encode(feats: DataFrame, encoders: DataFrame, log_type: str) -> DataFrame:
     """Categories -> codes; unseen categories -> 0 (as the reference)."""
     out = feats
     enc = encoders
-    n = enc.count()
     for name, kind in FEATURES[log_type]:
         if kind != "cat":
             continue
         e = enc.where(F.col("feature") == name).select(F.col("category").alias(f"_cat_{name}"),
                                                         F.col("code").alias(f"_code_{name}"))
-        e = F.broadcast(e) if n <= max_broadcast else e
         out = (out.join(e, out[name].cast("string") == e[f"_cat_{name}"], "left")
                .withColumn(name, F.coalesce(F.col(f"_code_{name}"), F.lit(0)).cast("double"))
                .drop(f"_cat_{name}", f"_code_{name}"))
@@ -83,12 +82,13 @@ def encode(feats: DataFrame, encoders: DataFrame, log_type: str, max_broadcast:
 
 def fit_scaler(encoded: DataFrame, log_type: str) -> dict:
     """Mean and population std per feature (zero std -> 1), one pass.
-    The result is one row of 2 x features numbers."""
+    The result is one row of 2 x features numbers, to 12 digits: sums in
+    another order of rows then give the same model."""
     names = [n for n, _ in FEATURES[log_type]]
     row = encoded.agg(*[F.avg(F.col(n).cast("double")).alias(f"m_{n}") for n in names],
                       *[F.stddev_pop(F.col(n).cast("double")).alias(f"s_{n}") for n in names]).first()
-    mean = [float(row[f"m_{n}"] or 0.0) for n in names]
-    std = [float(row[f"s_{n}"]) if row[f"s_{n}"] else 1.0 for n in names]
+    mean = [float(f"{row[f'm_{n}'] or 0.0:.12g}") for n in names]
+    std = [float(f"{row[f's_{n}']:.12g}") if row[f"s_{n}"] else 1.0 for n in names]
     return {"names": names, "mean": mean, "std": std}
 
 
@@ -259,12 +259,11 @@ def save_model(model: ForestModel, path: str) -> None:
 def load_model(spark, path: str, log_type: str) -> ForestModel | None:
     """Missing model -> None (no score), as the reference."""
     base = f"{path.rstrip('/')}/{log_type}"
-    try:
-        nodes = spark.read.parquet(f"{base}/nodes").toPandas()
-        encoders = spark.read.parquet(f"{base}/encoders")
-        meta = spark.read.parquet(f"{base}/scaler").toPandas()
-    except Exception:
+    if not table_exists(spark, f"{base}/scaler"):  # written last
         return None
+    nodes = spark.read.parquet(f"{base}/nodes").toPandas()
+    encoders = spark.read.parquet(f"{base}/encoders")
+    meta = spark.read.parquet(f"{base}/scaler").toPandas()
     order = {n: i for i, (n, _) in enumerate(FEATURES[log_type])}
     meta = meta.sort_values("name", key=lambda s: s.map(order))
     scaler = {"names": meta["name"].tolist(), "mean": meta["mean"].tolist(), "std": meta["std"].tolist()}
@@ -273,8 +272,11 @@ def load_model(spark, path: str, log_type: str) -> ForestModel | None:
 
 
 def score_all(df: DataFrame, models: dict, keep=("event_id",)) -> DataFrame:
-    """Score every log type that has a model; types without one get no rows."""
+    """Score every log type that has a model; types without one get no rows
+    (without any model: an error, so that detection never stops silently)."""
     parts = [m.score(df, keep) for m in models.values() if m is not None]
+    if not parts:
+        raise ValueError("no fitted model to score with")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -8,10 +8,8 @@ carried between buckets.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
 
 from eventlens.functions.security import alert_id, source_ip_of
 
@@ -19,7 +17,6 @@ from eventlens.functions.security import alert_id, source_ip_of
 # Fixed values that must equal the reference's.
 SUPPRESS_MINUTES = 15
 RELATED_HOURS = 2
-RELATED_CAP = 10
 CAMPAIGN_MIN = 3            # campaign when more than this many related alerts
 BRUTE_FORCE_THRESHOLD = 10
 BRUTE_FORCE_WINDOW = "5 minutes"
@@ -221,10 +218,11 @@ def trailing_count(df: DataFrame, key_cols, ts_col: str, window_seconds: int, co
     return out.where(F.col("_ctx") == 0).drop("_t", "_cnt", "_b", "_ctx")
 
 
-def related_alerts(alerts: DataFrame, hours: int = RELATED_HOURS, cap: int = RELATED_CAP,
+def related_alerts(alerts: DataFrame, hours: int = RELATED_HOURS, cap: int | None = None,
                    ts_col: str = "timestamp") -> DataFrame:
     """J03 + R11: HIGH alerts (CRITICAL excluded) from the same address in the
-    previous ``hours``, at most ``cap``; the alert itself is not counted.
+    previous ``hours``; the alert itself is not counted.  ``cap`` limits the
+    count to a search page (default: the true count).
     ``related_alerts_count`` and ``is_part_of_campaign`` stay null when there
     are none, as the reference only sets them for a non-empty result."""
     a = alerts.withColumn("_ip", alert_ip(alerts))
@@ -232,47 +230,66 @@ def related_alerts(alerts: DataFrame, hours: int = RELATED_HOURS, cap: int = REL
     no_ip = a.where(F.col("_ip").isNull()).withColumn("_n", F.lit(0).cast("bigint"))
     counted = trailing_count(with_ip, ["_ip"], ts_col, hours * 3600, F.col("severity") == "HIGH", "_n")
     out = counted.unionByName(no_ip)
-    n = F.least(F.col("_n"), F.lit(cap))
+    n = F.least(F.col("_n"), F.lit(cap)) if cap else F.col("_n")
     return out.withColumns({
         "related_alerts_count": F.when(n > 0, n),
         "is_part_of_campaign": F.when(n > 0, n > CAMPAIGN_MIN),
     }).drop("_ip", "_n")
 
 
-def _bucket_summary_carry(df: DataFrame, keys, bucket_col: str, value_col: str, how: str) -> DataFrame:
-    """Per (key, bucket): the ``max`` of ``value_col`` over all earlier
-    buckets of the key.  Runs on the small per-bucket summary table."""
-    summ = df.groupBy(*keys, bucket_col).agg(F.max(value_col).alias("_bmax"))
-    w = Window.partitionBy(*keys).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
-    return summ.withColumn(how, F.max("_bmax").over(w)).drop("_bmax")
+def _next_after(points: DataFrame, gap_us: int) -> DataFrame:
+    """``points`` (distinct ``_k``, ``_t``) with ``_next``, the key's first
+    time at least ``gap_us`` later, and ``_root``: no time of the key lies
+    less than ``gap_us`` before.
 
-
-def gap_segments(df: DataFrame, key_cols, ts_col: str, gap_seconds: int, order_cols=(),
-                 bucket_seconds: int = 3600) -> DataFrame:
-    """Split each key's timeline into segments at gaps of at least
-    ``gap_seconds`` and add ``_seg`` (micros of the segment's first row).
-
-    Windows run per (key, hour bucket); what crosses a bucket boundary (last
-    time, last segment start) comes from per-(key, bucket) summaries, a table
-    with one row per active key-hour.
+    Times are cut into buckets of one gap: ``_t + gap`` lies in the bucket
+    after ``_t``'s own, so windows run per (key, bucket), and only one row per
+    key and bucket crosses bucket borders.
     """
-    keys = list(key_cols)
-    g_us = int(gap_seconds) * 1_000_000
-    b_us = int(bucket_seconds) * 1_000_000     # any size works: the carries span buckets
-    d = df.withColumns({"_t": _micros(ts_col)}).withColumn("_b", F.floor(F.col("_t") / F.lit(b_us)))
-    order = [F.col("_t")] + [F.col(c) for c in order_cols]
-    w = Window.partitionBy(*keys, "_b").orderBy(*order)
-    d = d.withColumn("_prev_in", F.lag("_t").over(w))
-    carry_t = _bucket_summary_carry(d, keys, "_b", "_t", "_prev_out")
-    d = d.join(carry_t, on=[*keys, "_b"], how="left")
-    prev = F.coalesce(F.col("_prev_in"), F.col("_prev_out"))
-    d = d.withColumn("_start", F.when(prev.isNull() | (F.col("_t") - prev >= g_us), F.col("_t")))
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_seg_in", F.max("_start").over(run))
-    carry_s = _bucket_summary_carry(d, keys, "_b", "_start", "_seg_out")
-    d = d.join(carry_s, on=[*keys, "_b"], how="left")
-    return (d.withColumn("_seg", F.coalesce(F.col("_seg_in"), F.col("_seg_out")))
-            .drop("_b", "_prev_in", "_prev_out", "_start", "_seg_in", "_seg_out"))
+    gap = F.lit(gap_us)
+    p = points.withColumn("_b", F.floor(F.col("_t") / gap))
+    per = Window.partitionBy("_k").orderBy("_b")
+    edge = p.groupBy("_k", "_b").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
+    beside = F.lead("_b").over(per) == F.col("_b") + 1
+    edge = edge.select("_k", "_b", F.lag("_last").over(per).alias("_before"),
+                       F.when(beside, F.lead("_first", 2).over(per)).otherwise(F.lead("_first").over(per)).alias("_after"))
+    # a point asks its next bucket for the first point at or after _t + gap
+    asks = p.select("_k", (F.col("_b") + 1).alias("_b"), (F.col("_t") + gap).alias("_x"), F.lit(None).cast("long").alias("_at"), "_t")
+    have = p.select("_k", "_b", F.col("_t").alias("_x"), F.col("_t").alias("_at"), F.lit(None).cast("long").alias("_t"))
+    ahead = Window.partitionBy("_k", "_b").orderBy("_x").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    inside = (asks.unionByName(have).withColumn("_in", F.min("_at").over(ahead)).where("_t is not null")
+              .select("_k", "_t", "_in"))
+    prev = F.lag("_t").over(Window.partitionBy("_k", "_b").orderBy("_t"))
+    p = p.withColumn("_prev", prev).join(edge, ["_k", "_b"])
+    p = p.withColumn("_prev", F.coalesce("_prev", "_before"))
+    return p.join(inside, ["_k", "_t"]).select(
+        "_k", "_t", F.coalesce("_in", "_after").alias("_next"),
+        (F.col("_prev").isNull() | (F.col("_t") - F.col("_prev") >= gap)).alias("_root"))
+
+
+def _kept_times(points: DataFrame, gap_us: int) -> DataFrame:
+    """The times (``_k``, ``_t``) whose alerts are kept.
+
+    After a silence of one gap the next time is always kept (a root), and a
+    kept time is followed by its ``_next``.  Pointer doubling follows all
+    chains at once: with round k the first 2**k steps of every chain are
+    known, so a key that never rests takes a few more rounds, not one long
+    task.  Rounds are written to the shared checkpoint folder.
+    """
+    from eventlens.sinks.writers import staged
+    steps = staged(_next_after(points, gap_us), "suppress-next")
+    kept = staged(steps.where("_root").select("_k", "_t"), "suppress-kept")
+    jump = steps.where("_next is not null").select("_k", "_t", "_next")
+    n = kept.count()
+    while n:
+        more = kept.join(jump, ["_k", "_t"]).select("_k", F.col("_next").alias("_t"))
+        kept = staged(kept.unionByName(more).distinct(), "suppress-kept")
+        last, n = n, kept.count()
+        if n == last:
+            break
+        onward = jump.select("_k", F.col("_t").alias("_next"), F.col("_next").alias("_far"))
+        jump = staged(jump.join(onward, ["_k", "_next"]).select("_k", "_t", F.col("_far").alias("_next")), "suppress-jump")
+    return kept
 
 
 def suppress_alerts(alerts: DataFrame, key_cols, ts_col: str = "timestamp", minutes: int = SUPPRESS_MINUTES,
@@ -280,37 +297,18 @@ def suppress_alerts(alerts: DataFrame, key_cols, ts_col: str = "timestamp", minu
     """R10 (batch): keep an alert only if the last *kept* alert of its key is
     at least ``minutes`` older (alerts at 0, 10, 20, 29, 35 min keep 0, 20, 35).
 
-    Exact and parallel: after a gap of ``minutes`` the next alert is always
-    kept, so keys are cut into independent segments at such gaps
-    (:func:`gap_segments`); each segment is folded in order by a grouped
-    pandas function that only walks a sorted array.  The clock is the
-    alert's own time, so replays agree.  Adds ``kept`` (boolean).
+    Works on the distinct (key, time) pairs alone (:func:`_kept_times`); of
+    alerts of one key and time the first by ``order_cols`` is kept (any one
+    of full ties).  The clock is the alert's own time, so replays agree; an
+    alert without a time is kept.  Adds ``kept`` (boolean).
     """
-    keys = list(key_cols)
-    g_us = int(minutes) * 60 * 1_000_000
-    seg = gap_segments(alerts, keys, ts_col, minutes * 60, order_cols)
-    schema = StructType(list(seg.schema.fields) + [StructField("kept", BooleanType(), True)])
-    group = [*keys, "_seg"]
-    # one pass over rows sorted by (segment, time): no per-group call, and a
-    # hot key's segments are hashed to different partitions
-    ordered = seg.repartition(*group).sortWithinPartitions(*group, "_t", *order_cols)
-
-    def fold(batches):
-        current, last = None, None
-        for pdf in batches:
-            ids = list(zip(*[pdf[c].tolist() for c in group]))
-            t = pdf["_t"].to_numpy()
-            kept = [False] * len(t)
-            for i in range(len(t)):
-                if ids[i] != current:
-                    current, last = ids[i], None
-                if last is None or t[i] - last >= g_us:
-                    kept[i] = True
-                    last = t[i]
-            pdf["kept"] = kept
-            yield pdf
-
-    return ordered.mapInPandas(fold, schema).drop("_t", "_seg")
+    a = alerts.withColumns({"_k": F.to_json(F.struct(*key_cols)), "_t": _micros(ts_col)})
+    kept = _kept_times(a.where("_t is not null").select("_k", "_t").distinct(), int(minutes) * 60 * 1_000_000)
+    kept = kept.withColumn("_hit", F.lit(True))
+    first = Window.partitionBy("_k", "_t").orderBy(*(order_cols or ["_t"]))
+    a = a.withColumn("_n", F.row_number().over(first)).join(kept, ["_k", "_t"], "left")
+    keep = F.col("_t").isNull() | ((F.col("_n") == 1) & F.coalesce("_hit", F.lit(False)))
+    return a.withColumn("kept", keep).drop("_k", "_t", "_n", "_hit")
 
 
 # --------------------------------------------------------------------------- enrichment and outbox
@@ -318,13 +316,17 @@ def suppress_alerts(alerts: DataFrame, key_cols, ts_col: str = "timestamp", minu
 
 def enrich_alerts(alerts: DataFrame, key_cols=("alert_key",), ts_col: str = "timestamp",
                   minutes: int = SUPPRESS_MINUTES) -> DataFrame:
-    """Key (R09) -> suppression (R10) -> id and processing time (F12) ->
-    related alerts (J03, R11) -> recommendations (R12) -> channels (R13)."""
-    a = alerts.withColumn("alert_key", alert_key(alerts))
-    a = suppress_alerts(a, list(key_cols), ts_col, minutes).where(F.col("kept")).drop("kept")
+    """Key (R09) -> related alerts (J03, R11, counted over all alerts, as
+    the index they are searched in holds them all) -> suppression (R10) -> id
+    and processing time (F12) -> recommendations (R12) -> channels (R13).  The
+    alerts are written once, so their source is read once."""
+    from eventlens.sinks.writers import staged
+    a = staged(alerts.withColumn("alert_key", alert_key(alerts)), "alerts")
+    a = related_alerts(a, ts_col=ts_col)
+    tie = [F.to_json("original_log")] if "original_log" in a.columns else []
+    a = suppress_alerts(a, list(key_cols), ts_col, minutes, tie).where(F.col("kept")).drop("kept")
     a = a.withColumns({"alert_id": alert_id(F.col(ts_col), F.col("alert_key")),
                        "processed_at": F.col(ts_col)})
-    a = related_alerts(a, ts_col=ts_col)
     return a.withColumns({"response_recommendations": recommendations(_orig(a, "threat_type")),
                           "notification_channels": channels_for("severity")})
 

@@ -1,5 +1,5 @@
 """Shared relational helpers: time windows relative to an explicit clock,
-top-k with tie-breaks, latest/first row per key, size-checked broadcast."""
+top-k with tie-breaks, latest row per key."""
 
 from __future__ import annotations
 
@@ -15,17 +15,22 @@ def ts_literal(df: DataFrame, ts_col: str, value) -> Column:
 
 
 def recent(df: DataFrame, ts_col: str, hours: float | None = None, as_of=None,
-           days: float | None = None) -> DataFrame:
+           days: float | None = None, part_col: str | None = None) -> DataFrame:
     """Rows with ``ts_col >= as_of - interval``.
 
     ``as_of`` is explicit (never ``now()`` inside), so reruns and tests are
     reproducible; pass ``F.current_timestamp()`` for the live form.
+    ``part_col`` names a date partition column of ``ts_col``'s own day.
     """
     if as_of is None:
         raise ValueError("recent() needs an explicit as_of")
     clock = as_of if isinstance(as_of, Column) else ts_literal(df, ts_col, as_of)
     seconds = (hours or 0) * 3600 + (days or 0) * 86400
-    return df.where(F.col(ts_col) >= clock - F.make_dt_interval(secs=F.lit(seconds)))
+    start = clock - F.make_dt_interval(secs=F.lit(seconds))
+    out = df.where(F.col(ts_col) >= start)
+    if part_col:  # the same limit on the partition column prunes folders
+        out = out.where(F.col(part_col) >= F.to_date(start))
+    return out
 
 
 def time_range(df: DataFrame, ts_col: str, start, end) -> DataFrame:
@@ -58,21 +63,6 @@ def latest_per_key(df: DataFrame, keys, order_col: str, tie_cols=()) -> DataFram
     return agg.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
 
 
-def first_per_key(df: DataFrame, keys, order_col: str) -> DataFrame:
-    """First row per key in arrival order, as a partial aggregation."""
-    others = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*others), F.col(order_col)).alias("_row"))
-    return agg.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after counting it: at most ``max_rows`` rows gets
-    the hint, anything bigger is left to the planner (shuffle join, with AQE
-    free to convert at runtime)."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def safe_div(num: Column, den: Column) -> Column:
     """Division that yields 0 when the denominator is 0 (the reference's
     zero guards)."""

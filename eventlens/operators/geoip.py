@@ -3,10 +3,9 @@ nested-loop join.
 
 Each range is exploded into the fixed-width address buckets it covers
 (``ip >> (32 - bucket_bits)``), so the lookup becomes an equi-join on the
-bucket plus the ``BETWEEN`` test on the few ranges sharing it.  The range
-table is broadcast only after a row count proves it small; otherwise both
-sides are shuffled on the bucket (finer buckets spread a hot network over
-more tasks, and AQE splits skewed partitions).
+bucket plus the ``BETWEEN`` test on the few ranges sharing it.  The planner
+picks the join by size; rows without an address do not take part, so they
+never meet in one partition, and AQE splits a hot network.
 """
 
 from __future__ import annotations
@@ -17,8 +16,6 @@ from pyspark.sql import functions as F
 from eventlens.functions.security import ip_to_long
 
 GEO_COLUMNS = ("country_name", "city_name", "location")
-# Ranges broadcast only up to this many exploded rows (~100 bytes each).
-MAX_BROADCAST_RANGE_ROWS = 2_000_000
 
 
 def explode_ranges(ranges: DataFrame, bucket_bits: int = 16) -> DataFrame:
@@ -28,8 +25,7 @@ def explode_ranges(ranges: DataFrame, bucket_bits: int = 16) -> DataFrame:
                                   F.shiftright(F.col("end_ip"), shift))).alias("_bucket"))
 
 
-def geoip_enrich(df: DataFrame, ip_col: str, ranges: DataFrame, bucket_bits: int = 16,
-                 max_broadcast_rows: int = MAX_BROADCAST_RANGE_ROWS) -> DataFrame:
+def geoip_enrich(df: DataFrame, ip_col: str, ranges: DataFrame, bucket_bits: int = 16) -> DataFrame:
     """Left-join ``ranges`` (start_ip, end_ip, geo columns) to ``df`` by the
     IPv4 in ``ip_col``; rows without an IP or a range keep null geo fields.
     Ranges are assumed not to overlap (as GeoIP tables are)."""
@@ -38,15 +34,15 @@ def geoip_enrich(df: DataFrame, ip_col: str, ranges: DataFrame, bucket_bits: int
     r = explode_ranges(ranges.select("start_ip", "end_ip", *geo), bucket_bits)
     r = r.select(F.col("_bucket").alias("_g_bucket"), F.col("start_ip").alias("_g_start"),
                  F.col("end_ip").alias("_g_end"), *geo)
-    n = r.count()
-    if n <= max_broadcast_rows:
-        r = F.broadcast(r)
     left = df.withColumn("_g_ip", ip_to_long(F.col(ip_col)))
+    no_ip = left.where(F.col("_g_ip").isNull()).drop("_g_ip")
+    left = left.where(F.col("_g_ip").isNotNull())
     left = left.withColumn("_g_bucket_l", F.shiftright(F.col("_g_ip"), shift))
     cond = ((F.col("_g_bucket_l") == F.col("_g_bucket"))
             & F.col("_g_ip").between(F.col("_g_start"), F.col("_g_end")))
     out = left.join(r, cond, "left")
-    return out.drop("_g_ip", "_g_bucket_l", "_g_bucket", "_g_start", "_g_end")
+    out = out.drop("_g_ip", "_g_bucket_l", "_g_bucket", "_g_start", "_g_end")
+    return out.unionByName(no_ip, allowMissingColumns=True)
 
 
 def nation_ranges(nation: DataFrame, region: DataFrame | None = None) -> DataFrame:

@@ -62,9 +62,9 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
         row_checks = [c for c in mine if c.kind != "unique"]
         if row_checks:
             agg = df.agg(*[_failing_rows(c).cast("bigint").alias(f"c{i}") for i, c in enumerate(row_checks)])
-            stack = ", ".join(f"'{c.label()}', c{i}" for i, c in enumerate(row_checks))
-            parts.append(agg.selectExpr(f"'{model}' AS model",
-                                        f"stack({len(row_checks)}, {stack}) AS (check_name, failures)"))
+            rows = F.array(*[F.struct(F.lit(c.label()).alias("check_name"), F.col(f"c{i}").alias("failures"))
+                             for i, c in enumerate(row_checks)])
+            parts.append(agg.select(F.lit(model).alias("model"), F.inline(rows)))
         for c in mine:
             if c.kind == "unique":                  # Q01: number of duplicated keys
                 n = dup_keys(df, c.target).agg(F.count("*").cast("bigint").alias("failures"))

@@ -156,8 +156,9 @@ def dedupe_events(df: DataFrame, hash_col: str = "event_hash", order_col: str =
             return df.withWatermark(ts_col, watermark).dropDuplicatesWithinWatermark([hash_col])
         return df.dropDuplicates([hash_col])
     others = [c for c in df.columns if c != hash_col]
-    return (df.groupBy(hash_col).agg(F.min_by(F.struct(*others), F.col(order_col)).alias("_r"))
-            .select(hash_col, *[F.col(f"_r.{c}").alias(c) for c in others]))
+    bare = df.where(F.col(hash_col).isNull())  # nothing to compare: never duplicates
+    return (df.where(F.col(hash_col).isNotNull()).groupBy(hash_col).agg(F.min_by(F.struct(*others), F.col(order_col)).alias("_r"))
+            .select(hash_col, *[F.col(f"_r.{c}").alias(c) for c in others]).unionByName(bare))
 
 
 def stamp_processing_time(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:

@@ -52,16 +52,17 @@ def trending_words(df: DataFrame, as_of, hours: int = 24, min_mentions: int = 5,
     """Words of 3+ letters in the last ``hours``; mentions in total and by
     sentiment, score ``(pos - neg) / total``, ``HAVING total >= min``, top k.
 
-    The reference groups by (word, sentiment) and then by word; one
-    ``groupBy(word)`` with conditional sums is the same result and Spark
-    pre-aggregates it per partition before the shuffle.
+    The reference groups by (word, sentiment) and then by word; sums of the
+    counts per distinct text are the same result, pre-aggregated twice.
     """
-    w = explode_words(recent(df, ts_col, hours, as_of).select("text", "predicted_sentiment"),
-                      "text", 3, TRENDING_STOP_WORDS)
+    # posts per distinct text first: a repeated text is cut into words once
+    texts = recent(df, ts_col, hours, as_of).groupBy("text").agg(
+        F.count("*").alias("n"), _count_if(_is("positive")).alias("n_pos"), _count_if(_is("negative")).alias("n_neg"))
+    w = explode_words(texts, "text", 3, TRENDING_STOP_WORDS)
     agg = w.groupBy("word").agg(
-        F.count("*").alias("total_mentions"),
-        _count_if(_is("positive")).alias("positive_mentions"),
-        _count_if(_is("negative")).alias("negative_mentions"),
+        F.sum("n").alias("total_mentions"),
+        F.sum("n_pos").alias("positive_mentions"),
+        F.sum("n_neg").alias("negative_mentions"),
     ).where(F.col("total_mentions") >= min_mentions)
     agg = agg.withColumn("sentiment_score",
                          (F.col("positive_mentions") - F.col("negative_mentions")) / F.col("total_mentions"))
@@ -72,9 +73,9 @@ def words_by_sentiment(df: DataFrame, as_of, hours: int = 24, min_frequency: int
                        ts_col: str = "created_at") -> DataFrame:
     """Words of 4+ letters by (word, sentiment), ``frequency >= min``,
     top k overall."""
-    w = explode_words(recent(df, ts_col, hours, as_of).select("text", "predicted_sentiment"),
-                      "text", 4, EXPLORE_STOP_WORDS)
-    agg = (w.groupBy("word", "predicted_sentiment").agg(F.count("*").alias("frequency"))
+    texts = recent(df, ts_col, hours, as_of).groupBy("text", "predicted_sentiment").agg(F.count("*").alias("n"))
+    w = explode_words(texts, "text", 4, EXPLORE_STOP_WORDS)
+    agg = (w.groupBy("word", "predicted_sentiment").agg(F.sum("n").alias("frequency"))
            .where(F.col("frequency") >= min_frequency))
     return top_k(agg, k, F.desc("frequency"), F.asc("word"), F.asc("predicted_sentiment"))
 
@@ -396,10 +397,10 @@ def tweet_envelope(df: DataFrame) -> DataFrame:
         F.lit("twitter_api").alias("source"))
 
 
-def keyword_filter(df: DataFrame, keywords, lang: str = "en", limit: int = 1000,
+def keyword_filter(df: DataFrame, keywords, lang: str = "en", limit: int | None = None,
                    text_col: str = "text", order_col: str = "created_at", id_col: str = "post_id") -> DataFrame:
-    """P10: the search ``"<kw> -is:retweet lang:en"`` with at most ``limit``
-    newest posts per keyword.
+    """P10: the search ``"<kw> -is:retweet lang:en"`` ; ``limit`` keeps
+    the newest posts per keyword (a page of the search; default: all).
 
     The keywords are a literal array; each post is matched against it with a
     higher-order ``filter`` and exploded, so there is no join at all.  A post
@@ -412,6 +413,8 @@ def keyword_filter(df: DataFrame, keywords, lang: str = "en", limit: int = 1000,
     kws = F.array(*[F.lit(k.lower()) for k in keywords])
     base = df.where((F.col("lang") == lang) & ~F.col(text_col).startswith("RT @"))
     m = base.withColumn("keyword", F.explode(F.filter(kws, lambda k: low.contains(k))))
+    if limit is None:
+        return m
     return top_n_per_group(m, ["keyword"], limit, F.desc(order_col), F.asc(id_col), rank_col="rank")
 
 
@@ -422,7 +425,7 @@ def trending_hashtags(df: DataFrame, as_of, hours: int = 24, k: int = 10,
                       ts_col: str = "processing_timestamp") -> DataFrame:
     """Most used hashtags (``#`` + word characters, lower-cased)."""
     tags = (recent(df, ts_col, hours, as_of)
-            .select(F.explode(F.regexp_extract_all(F.col("text"), F.lit(r"#(\w+)"), 1)).alias("tag"))
+            .select(F.explode(F.regexp_extract_all(F.col("text"), F.lit(r"(?U)#(\w+)"), 1)).alias("tag"))
             .select(F.lower("tag").alias("hashtag")))
     g = tags.groupBy("hashtag").agg(F.count("*").alias("mentions"))
     return top_k(g, k, F.desc("mentions"), F.asc("hashtag"))

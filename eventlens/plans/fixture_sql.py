@@ -26,7 +26,7 @@ SELECT CAST(e.event_id AS VARCHAR) AS post_id, d.text AS text, e.ts AS created_a
        CASE e.event_type WHEN 'purchase' THEN 'positive' WHEN 'signup' THEN 'positive'
                          WHEN 'error' THEN 'negative' ELSE 'neutral' END AS predicted_sentiment,
        CAST(ROUND((e.event_id % 101) / 100.0, 2) AS DOUBLE) AS confidence
-FROM events e JOIN documents d ON d.doc_id = e.event_id % 200
+FROM events e JOIN documents d ON d.doc_id = e.event_id % (SELECT COUNT(*) FROM documents)
 """
 
 FIXTURE_SQL["lex"] = f"""

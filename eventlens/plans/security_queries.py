@@ -178,8 +178,8 @@ c AS (SELECT a.event_id, a.src_ip,
                 AND b.event_time >= a.event_time - INTERVAL 2 HOUR AND b.event_time < a.event_time) AS n
       FROM a)
 SELECT event_id, src_ip AS ip,
-       CASE WHEN n > 0 THEN LEAST(n, 10) END AS related_alerts_count,
-       CASE WHEN n > 0 THEN LEAST(n, 10) > 3 END AS is_part_of_campaign
+       CASE WHEN n > 0 THEN n END AS related_alerts_count,
+       CASE WHEN n > 0 THEN n > 3 END AS is_part_of_campaign
 FROM c
 """, fixtures=["sec_enriched"])
 def q_related_alerts(spark, sf):
@@ -226,11 +226,11 @@ _SEV_SQL = "CASE WHEN s > 0.9 THEN 'CRITICAL' WHEN s > 0.8 THEN 'HIGH' WHEN s >
 SELECT event_id, severity,
        CASE severity WHEN 'CRITICAL' THEN 'slack,email,pagerduty' WHEN 'HIGH' THEN 'slack,email'
                      WHEN 'MEDIUM' THEN 'slack' ELSE '' END AS channels,
-       CASE WHEN contains(COALESCE(threat_type, ''), 'brute_force') THEN '{AL.RECOMMENDATIONS[0][1][0]}'
-            WHEN contains(COALESCE(threat_type, ''), 'web_attack') THEN '{AL.RECOMMENDATIONS[1][1][0]}'
-            WHEN contains(COALESCE(threat_type, ''), 'port_scan') THEN '{AL.RECOMMENDATIONS[2][1][0]}'
-            WHEN contains(COALESCE(threat_type, ''), 'malicious_dns') THEN '{AL.RECOMMENDATIONS[3][1][0]}'
-            ELSE '{AL.DEFAULT_RECOMMENDATIONS[0]}' END AS first_step
+       CASE WHEN contains(COALESCE(threat_type, ''), 'brute_force') THEN 'Bloquear IP origen en firewall'
+            WHEN contains(COALESCE(threat_type, ''), 'web_attack') THEN 'Revisar logs del servidor web para otros ataques'
+            WHEN contains(COALESCE(threat_type, ''), 'port_scan') THEN 'Bloquear IP origen en firewall perimetral'
+            WHEN contains(COALESCE(threat_type, ''), 'malicious_dns') THEN 'Bloquear dominio en DNS resolver'
+            ELSE 'Investigar el evento en detalle' END AS first_step
 FROM (SELECT event_id, threat_type, {_SEV_SQL} AS severity
       FROM (SELECT event_id, threat_type, (event_id % 100) / 100.0 AS s FROM sec_enriched) x) y
 """, fixtures=["sec_enriched"])
@@ -320,11 +320,45 @@ def _enriched_alerts(spark, sf):
     return AL.enrich_alerts(AL.alerts_from_rules(e, LOG_FIELDS + ("event_id",)))
 
 
-@query("enrich_alerts")
+_ENRICHED_ALERTS_SQL = """
+WITH RECURSIVE a AS (
+  SELECT event_id, event_time, src_ip, severity, threat_type,
+         CONCAT('rule:', log_type, ':', COALESCE(src_ip, 'unknown')) AS alert_key
+  FROM sec_enriched WHERE severity = 'HIGH'),
+o AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY alert_key ORDER BY event_time, event_id) AS rn FROM a),
+f(alert_key, rn, event_id, last_kept, kept) AS (
+  SELECT alert_key, rn, event_id, event_time, TRUE FROM o WHERE rn = 1
+  UNION ALL
+  SELECT o.alert_key, o.rn, o.event_id,
+         CASE WHEN o.event_time >= f.last_kept + INTERVAL 15 MINUTE THEN o.event_time ELSE f.last_kept END,
+         o.event_time >= f.last_kept + INTERVAL 15 MINUTE
+  FROM f JOIN o ON o.alert_key = f.alert_key AND o.rn = f.rn + 1),
+c AS (SELECT a.*, (SELECT COUNT(*) FROM a b WHERE b.src_ip = a.src_ip AND b.severity = 'HIGH'
+                   AND b.event_time >= a.event_time - INTERVAL 2 HOUR AND b.event_time < a.event_time) AS n
+      FROM a JOIN f ON f.event_id = a.event_id WHERE f.kept)
+SELECT CONCAT('SEC-', strftime(event_time, '%Y%m%d%H%M%S'), '-', substr(sha256(alert_key), 1, 8)) AS alert_id,
+       alert_key, event_time AS timestamp, severity, CASE WHEN n > 0 THEN n END AS related_alerts_count,
+       CASE WHEN n > 0 THEN n > 3 END AS is_part_of_campaign,
+       CASE WHEN contains(COALESCE(threat_type, ''), 'brute_force')
+              THEN 'Bloquear IP origen en firewall | Revisar logs de autenticación para otros intentos | Considerar implementar rate limiting | Verificar si las credenciales fueron comprometidas'
+            WHEN contains(COALESCE(threat_type, ''), 'web_attack')
+              THEN 'Revisar logs del servidor web para otros ataques | Verificar integridad de la aplicación web | Considerar bloquear IP en WAF | Revisar configuración de seguridad web'
+            WHEN contains(COALESCE(threat_type, ''), 'port_scan')
+              THEN 'Bloquear IP origen en firewall perimetral | Revisar configuración de servicios expuestos | Verificar logs de otros sistemas | Considerar implementar IPS'
+            WHEN contains(COALESCE(threat_type, ''), 'malicious_dns')
+              THEN 'Bloquear dominio en DNS resolver | Investigar sistema que realizó la consulta | Buscar indicadores de compromiso | Revisar tráfico de red del host afectado'
+            ELSE 'Investigar el evento en detalle | Revisar logs relacionados | Verificar si es un falso positivo | Documentar el incidente' END AS recommendations,
+       CASE severity WHEN 'CRITICAL' THEN 'slack,email,pagerduty' WHEN 'HIGH' THEN 'slack,email'
+                     WHEN 'MEDIUM' THEN 'slack' ELSE '' END AS channels
+FROM c
+"""
+
+
+@query("enrich_alerts", _ENRICHED_ALERTS_SQL, fixtures=["sec_enriched"])
 def q_enrich_alerts(spark, sf):
-    """R17 rule alerts keyed (R09), suppressed for 15 minutes (R10), with id,
-    related-alert count (J03/R11), recommendations (R12) and channels (R13)
-    (rows-only: a composition of operators that each have an oracle)."""
+    """R17 rule alerts keyed (R09), with the related-alert count over all
+    alerts (J03/R11), suppressed for 15 minutes (R10), with id,
+    recommendations (R12) and channels (R13)."""
     a = _enriched_alerts(spark, sf)
     return a.select("alert_id", "alert_key", "timestamp", "severity", "related_alerts_count",
                     "is_part_of_campaign", F.array_join("response_recommendations", " | ").alias("recommendations"),

@@ -314,18 +314,14 @@ KEYWORDS = ("market", "the", "que", "und")
 
 
 @query("keyword_filter", f"""
-SELECT * FROM (
-  SELECT post_id, created_at, author_id, keyword,
-         ROW_NUMBER() OVER (PARTITION BY keyword ORDER BY created_at DESC, post_id) AS rank
-  FROM (SELECT p.*, k.keyword FROM posts p,
-        (SELECT unnest([{_sql_list(KEYWORDS)}]) AS keyword) k
-        WHERE p.lang = 'en' AND NOT starts_with(p.text, 'RT @') AND contains(lower(p.text), k.keyword)) m
-) r WHERE rank <= 1000
+SELECT post_id, created_at, author_id, k.keyword
+FROM posts p, (SELECT unnest([{_sql_list(KEYWORDS)}]) AS keyword) k
+WHERE p.lang = 'en' AND NOT starts_with(p.text, 'RT @') AND contains(lower(p.text), k.keyword)
 """, fixtures=["posts"])
 def q_keyword_filter(spark, sf):
-    """P10 keyword search, English, no retweets, 1000 newest per keyword."""
+    """P10 keyword search, English, no retweets, all matches."""
     out = S.keyword_filter(fx.posts(spark, sf), KEYWORDS)
-    return out.select("post_id", "created_at", "author_id", "keyword", F.col("rank").cast("bigint"))
+    return out.select("post_id", "created_at", "author_id", "keyword")
 
 
 @query("clean_text", r"""

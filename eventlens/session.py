@@ -39,16 +39,16 @@ def get_spark(master: str | None = None, app: str = "eventlens",
               extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
-    ``master`` defaults to ``local[$BENCH_CPUS]`` only when no master is
-    configured by ``spark-submit``; on a cluster pass nothing.
+    ``master`` is set only when the caller names one, so the master given to
+    ``spark-submit`` stands; so does its driver memory, unless
+    ``SPARK_DRIVER_MEMORY`` is set.
     """
     builder = SparkSession.builder.appName(app)
-    if master is None and "SPARK_MASTER" not in os.environ:
-        master = f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-    builder = builder.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
+    if "SPARK_DRIVER_MEMORY" in os.environ:
+        builder = builder.config("spark.driver.memory", os.environ["SPARK_DRIVER_MEMORY"])
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**DEFAULT_CONF, **(extra or {})}.items():
@@ -63,15 +63,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names a shared file system path and is used as
-    is.  Only when it is unset (local tests) do we create a scratch folder.
+    is; without it there is no folder that all executors see, which is an
+    error.  Only a ``local`` master (one machine, as in tests) gets a scratch
+    folder of its own.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="eventlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
     return current
 
 

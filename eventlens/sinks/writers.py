@@ -9,37 +9,61 @@ overwriting only its own partition (dynamic partition overwrite).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def append_stream(df: DataFrame, path: str, checkpoint: str, partition_by=(), trigger: dict | None = None,
-                  fmt: str = "parquet"):
-    """Streaming append to a file table; exactly-once through the file
-    sink's commit log plus the checkpoint."""
-    w = df.writeStream.outputMode("append").format(fmt).option("path", path).option("checkpointLocation", checkpoint)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if trigger:
-        w = w.trigger(**trigger)
-    return w.start()
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path as Hadoop objects."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:
+    """Whether ``path`` is a folder with data files or partitions.  Only the
+    listing decides: a table that cannot be read raises where it is read."""
+    fs, p = _hadoop(spark, path)
+    if not fs.exists(p):
         return False
+    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
+
+
+def _staged(df: DataFrame, name: str):
+    """``df`` written to a folder of its own below the shared checkpoint
+    folder, and that folder's path; the caller drops it after use."""
+    from eventlens.session import checkpoint_path
+    spark = df.sparkSession
+    path = checkpoint_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
-def create_or_overwrite(df: DataFrame, path: str, partition_by=()) -> None:
-    """First load (or full replace)."""
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back: cuts
+    the lineage, and later reads do not compute it again."""
+    return _staged(df, name)[0]
+
+
+def append_stream(df: DataFrame, path: str, checkpoint: str, partition_by=(), fmt: str = "parquet"):
+    """A streaming append to a file table, to be started by the caller;
+    exactly-once through the file sink's commit log plus the checkpoint."""
+    w = df.writeStream.outputMode("append").format(fmt).option("path", path).option("checkpointLocation", checkpoint)
+    return w.partitionBy(*partition_by) if partition_by else w
+
+
+def replace_table(df: DataFrame, target: str, partition_by=()) -> None:
+    """Full replace of a catalog table, or of a path (with a slash)."""
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    w.parquet(target) if "/" in target else w.saveAsTable(target)
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
 
 
 def append(df: DataFrame, path: str, partition_by=()) -> None:
@@ -51,38 +75,24 @@ def append(df: DataFrame, path: str, partition_by=()) -> None:
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by) -> None:
     """Replace exactly the partitions present in ``df`` (idempotent re-runs,
-    K10/K14)."""
-    spark = df.sparkSession
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    K10/K14).  The mode is an option of this write, not of the session."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
 
 
 def merge_insert_only_table(spark: SparkSession, source: DataFrame, path: str, on: str = "trade_id",
                             partition_by=("source",)) -> int:
-    """K02 + K03 on a file table: create when absent, else append the rows
-    the insert-only merge adds (re-running adds nothing).  Returns the number
-    of rows appended."""
+    """K02 + K03 on a file table: append the rows the insert-only merge adds
+    (all of them when the table is absent; re-running adds nothing).  Nothing
+    is ever overwritten.  Returns the number of rows appended."""
     from eventlens.operators.prices import merge_insert_only
-    if not table_exists(spark, path):
-        # first load: only the batch partition is written (a stream may own
-        # a sibling partition of the same table)
-        overwrite_partitions(source, path, partition_by)
-        return spark.read.parquet(path).where(F.col("source") == "batch").count()
-    target = spark.read.parquet(path)
-    new = merge_insert_only(target, source, on=on)
-    # materialise before writing into the table being read: the anti-join
-    # result is written to a staging folder first, then appended
-    from eventlens.session import checkpoint_path
-    stage = checkpoint_path(spark, f"stage-{abs(hash(path))}-{dt.datetime.now().strftime('%Y%m%d%H%M%S%f')}")
-    new.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
+    target = spark.read.parquet(path) if table_exists(spark, path) else spark.createDataFrame([], source.schema)
+    # the result is staged before it is appended to the table being read
+    staged, stage = _staged(merge_insert_only(target, source, on=on), "stage")
     n = staged.count()
     if n:
         append(staged.select(*target.columns), path, partition_by)
+    _drop(spark, stage)
     return n
 
 
@@ -90,18 +100,13 @@ def insert_ignore_table(spark: SparkSession, batch: DataFrame, path: str, key, o
     """K07 on a file table: create or append the rows ``ON CONFLICT DO
     NOTHING`` would insert."""
     from eventlens.operators.incidents import insert_ignore
-    from eventlens.session import checkpoint_path
-    if not table_exists(spark, path):
-        target = spark.createDataFrame([], batch.schema)
-    else:
-        target = spark.read.parquet(path)
-    new = insert_ignore(target, batch, key, order_col)
-    stage = checkpoint_path(spark, f"stage-{abs(hash(path))}-{dt.datetime.now().strftime('%Y%m%d%H%M%S%f')}")
-    new.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
+    there = table_exists(spark, path)
+    target = spark.read.parquet(path) if there else spark.createDataFrame([], batch.schema)
+    staged, stage = _staged(insert_ignore(target, batch, key, order_col), "stage")
     n = staged.count()
-    if n or not table_exists(spark, path):
+    if n or not there:
         append(staged, path)
+    _drop(spark, stage)
     return n
 
 
@@ -110,11 +115,13 @@ def write_csv(df: DataFrame, uri: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(uri)
 
 
-def write_daily(df: DataFrame, path: str, ts_col: str, monthly: bool = False) -> None:
-    """Date-suffixed indices as ``dt=`` (or ``month=``) partitions."""
+def write_daily(df: DataFrame, path: str, ts_col: str, load_id, monthly: bool = False) -> None:
+    """Date-suffixed indices as ``dt=2024-10-15`` (or ``month=2024-10``)
+    folders, each with one ``load_id`` folder per load: another load of a day
+    adds to it, the same load written again replaces itself."""
     part = "month" if monthly else "dt"
-    val = F.date_format(ts_col, "yyyy.MM") if monthly else F.date_format(ts_col, "yyyy.MM.dd")
-    overwrite_partitions(df.withColumn(part, val), path, [part])
+    val = F.date_format(ts_col, "yyyy-MM") if monthly else F.to_date(ts_col)
+    overwrite_partitions(df.withColumn(part, val).withColumn("load_id", F.lit(str(load_id))), path, [part, "load_id"])
 
 
 def route(batch: DataFrame, batch_id: int, base: str, high_col: str = "severity") -> None:
@@ -133,50 +140,58 @@ def route(batch: DataFrame, batch_id: int, base: str, high_col: str = "severity"
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """A (one-row) report as JSON."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """A one-row report as JSON (an error if there are more rows)."""
+    rows = df.limit(2).collect()
+    if len(rows) > 1:
+        raise ValueError("a report is one row")
+    df.sparkSession.createDataFrame(rows, df.schema).coalesce(1).write.mode("overwrite").json(path)
 
 
 def drop_older_than(spark: SparkSession, path: str, part_col: str, cutoff) -> list[str]:
     """Retention - delete partition folders with ``part_col < cutoff``
-    (ruling C7).  Partition values come from the folder listing, not the
-    data."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
+    (ruling C7).  Values are ISO dates or months, compared as such; a folder
+    whose value is neither is left alone."""
+    fs, p = _hadoop(spark, path)
+    limit = dt.date.fromisoformat(str(cutoff)[:10])
     dropped = []
     if not fs.exists(p):
         return dropped
     for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(f"{part_col}="):
-            value = name.split("=", 1)[1]
-            if value < str(cutoff):
-                fs.delete(st.getPath(), True)
-                dropped.append(value)
+        name, _, value = st.getPath().getName().partition("=")
+        if not st.isDirectory() or name != part_col:
+            continue
+        try:
+            day = dt.date.fromisoformat(value if len(value) > 7 else f"{value}-01")
+        except ValueError:
+            continue
+        if day < (limit if len(value) > 7 else limit.replace(day=1)):
+            fs.delete(st.getPath(), True)
+            dropped.append(value)
     return dropped
 
 
-def compact(spark: SparkSession, path: str, part_col: str, value, files: int = 1, sort_cols=()) -> None:
-    """Rewrite one partition into ``files`` sorted files (a read of the
-    partition, staged, then a dynamic overwrite of that partition)."""
-    from eventlens.session import checkpoint_path
+def compact(spark: SparkSession, path: str, part_col: str, value, files: int | None = None, sort_cols=()) -> None:
+    """Rewrite one partition into ``files`` sorted files (default: as
+    many as the advisory partition size gives), through a staged copy and a
+    dynamic overwrite of that partition alone."""
     part = spark.read.parquet(path).where(F.col(part_col) == F.lit(value))
-    out = part.repartition(files)
+    out = part.repartition(files) if files else part.hint("rebalance")
     if sort_cols:
         out = out.sortWithinPartitions(*sort_cols)
-    stage = checkpoint_path(spark, f"compact-{abs(hash(path))}-{dt.datetime.now().strftime('%Y%m%d%H%M%S%f')}")
-    out.write.mode("overwrite").parquet(stage)
-    overwrite_partitions(spark.read.parquet(stage), path, [part_col])
+    staged, stage = _staged(out, "compact")
+    overwrite_partitions(staged, path, [part_col])
+    _drop(spark, stage)
 
 
-def layout(df: DataFrame, path: str, partition_by=(), sort_cols=(), bloom_cols=(), files_per_partition=None) -> None:
+def layout(df: DataFrame, path: str, partition_by=(), sort_cols=(), bloom_cols=(), files_per_partition: int = 0) -> None:
     """Partitioned, sorted Parquet with optional bloom filters (skip
-    indexes); min/max statistics come with every Parquet row group."""
+    indexes); min/max statistics come with every Parquet row group.  The rows
+    of a partition are dealt to ``files_per_partition`` tasks, so a large one
+    is not written by one."""
     out = df
     if partition_by and files_per_partition:
-        out = out.repartition(*partition_by)
+        file = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
+        out = out.repartition(*partition_by, file)
     if sort_cols:
         out = out.sortWithinPartitions(*partition_by, *sort_cols)
     w = out.write.mode("overwrite")

@@ -52,13 +52,13 @@ def read_videos_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema, multiLine=True, escape='"')
 
 
-def read_incidents_json(spark: SparkSession, path: str, newest: int | None = 1000,
+def read_incidents_json(spark: SparkSession, path: str, newest: int | None = None,
                         order_col: str = "fecha") -> DataFrame:
-    """Incident records; ``newest`` keeps the API's page of the latest
-    records by date (a top-k, planned as TakeOrderedAndProject)."""
+    """Incident records; ``newest`` keeps a page of the latest records by
+    date (a top-k; the whole record breaks ties)."""
     df = spark.read.json(path)
     if newest:
-        df = df.orderBy(F.desc(order_col)).limit(newest)
+        df = df.orderBy(F.desc(order_col), F.to_json(F.struct(*df.columns))).limit(newest)
     return df
 
 
@@ -80,14 +80,14 @@ def read_log_files(spark: SparkSession, directory: str, log_type: str, source: s
 def decode_json(df: DataFrame, schema: StructType, col: str = "message",
                 error_col: str = "_json_error") -> DataFrame:
     """Decode a JSON text column into root columns; rows that do not
-    parse keep their text in ``error_col`` (PERMISSIVE mode)."""
-    parsed = F.from_json(F.col(col), schema, {"mode": "PERMISSIVE"})
+    parse, are no object, or have a field of the wrong type keep their text
+    in ``error_col`` (the reader's corrupt-record column)."""
+    with_error = StructType([*schema.fields, StructField(error_col, StringType(), True)])
+    parsed = F.from_json(F.col(col), with_error, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": error_col})
     out = df.withColumn("_p", parsed)
-    # malformed text parses to a struct of nulls; the raw path test tells it
-    # apart from a valid object whose fields are all absent
-    bad = F.col(col).isNotNull() & F.get_json_object(F.col(col), "$").isNull()
+    not_object = F.col(col).isNotNull() & ~F.col(col).rlike(r"^\s*\{")
     return out.select("*", *[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields],
-                      F.when(bad, F.col(col)).alias(error_col)).drop("_p")
+                      F.when(not_object, F.col(col)).otherwise(F.col(f"_p.{error_col}")).alias(error_col)).drop("_p")
 
 
 # --------------------------------------------------------------------------- multi-line folding

@@ -11,29 +11,13 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-def read_parquet_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+def read_parquet_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables, ``{sf_dir}/{name}.parquet``.
 
     Parquet keeps filters and projections pushed into the scan, so callers
-    select and filter freely afterwards.  ``spread=True`` is for fact tables
-    that feed heavy per-row work: when the scan yields fewer splits than the
-    cluster has cores (a single small file with one row group), the rows are
-    dealt round-robin over ``defaultParallelism`` partitions.  On large
-    inputs the scan already has enough splits and nothing is shuffled.
+    select and filter freely afterwards.
     """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread:
-        df = spread_partitions(df)
-    return df
-
-
-def spread_partitions(df: DataFrame, target: int | None = None) -> DataFrame:
-    """Round-robin repartition only when ``df`` has fewer partitions than
-    ``target`` (default: the session's default parallelism)."""
-    target = target or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -55,6 +39,8 @@ def read_daily(spark: SparkSession, path: str, start, end, part_col: str = "dt",
                fmt: str = "parquet") -> DataFrame:
     """Read a date-partitioned table (the index pattern) limited to
     ``start <= part_col <= end``; the predicate on the partition column prunes
-    folders before any file is opened."""
+    folders before any file is opened.  Days are dates (``dt=2024-10-15``),
+    months strings (``month=2024-10``; ISO text sorts by time)."""
     df = spark.read.format(fmt).load(path)
-    return df.where(F.col(part_col).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    kind = df.schema[part_col].dataType
+    return df.where(F.col(part_col).between(F.lit(str(start)).cast(kind), F.lit(str(end)).cast(kind)))

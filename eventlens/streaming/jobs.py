@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from eventlens.operators.alerts import build_alerts
 from eventlens.operators.prices import PRICE_TICK_SCHEMA, parse_json_value, unpivot_prices
 from eventlens.operators.security_rules import enrich_logs
-from eventlens.operators.sentiment import normalise_tweets
-from eventlens.sinks.writers import overwrite_partitions, route
+from eventlens.operators.sentiment import hourly_partials, normalise_tweets
+from eventlens.sinks.writers import append_stream, overwrite_partitions, route
 
 STORE_TRIGGER = "30 seconds"
 TOPIC_TRIGGER = "10 seconds"
@@ -49,8 +50,7 @@ def price_stream(spark: SparkSession, ticks: DataFrame, table_path: str, checkpo
     folders (a sink log at the root would hide the batch files)."""
     parsed = parse_json_value(ticks, PRICE_TICK_SCHEMA, keep_broker_time=False)
     rows = unpivot_prices(parsed, source="streaming").drop("source")
-    w = (rows.writeStream.outputMode("append").format("parquet")
-         .option("path", f"{table_path.rstrip('/')}/source=streaming").option("checkpointLocation", checkpoint))
+    w = append_stream(rows, f"{table_path.rstrip('/')}/source=streaming", checkpoint)
     return _trigger(w, None, available_now).start()
 
 
@@ -69,30 +69,20 @@ def tweet_stream(spark: SparkSession, tweets: DataFrame, schema, table_path: str
     q1 = _trigger(scored.writeStream.foreachBatch(to_table)
                   .option("checkpointLocation", f"{checkpoint_base}/store"), STORE_TRIGGER, available_now).start()
     keyed = scored.select(F.col("tweet_id").alias("key"), F.to_json(F.struct(*scored.columns)).alias("value"))
-    q2 = _trigger(keyed.writeStream.format("json").option("path", topic_path)
-                  .option("checkpointLocation", f"{checkpoint_base}/topic"), TOPIC_TRIGGER, available_now).start()
+    q2 = _trigger(append_stream(keyed, topic_path, f"{checkpoint_base}/topic", fmt="json"), TOPIC_TRIGGER, available_now).start()
     return q1, q2
 
 
-def hourly_stream(scored: DataFrame, out_path: str, checkpoint: str, available_now: bool = False,
-                  watermark: str = WATERMARK):
-    """ST03/A02: the hourly view kept up to date: event-time windows with a
-    watermark, appended once an hour can no longer change.  Averages are
-    stored as sums and counts (mergeable, ruling C2)."""
-    g = (_event_time(scored, "created_at").withWatermark("created_at", watermark)
-         .groupBy(F.window("created_at", "1 hour").alias("w"))
-         .agg(F.count("*").alias("total_tweets"),
-              F.count_if(F.col("predicted_sentiment") == "positive").alias("positive_tweets"),
-              F.count_if(F.col("predicted_sentiment") == "neutral").alias("neutral_tweets"),
-              F.count_if(F.col("predicted_sentiment") == "negative").alias("negative_tweets"),
-              F.sum("confidence").alias("sum_confidence"),
-              F.sum("like_count").alias("total_likes"),
-              F.sum("retweet_count").alias("total_retweets")))
-    out = g.select(F.col("w.start").alias("hour_timestamp"), F.to_date("w.start").alias("date_partition"),
-                   "total_tweets", "positive_tweets", "neutral_tweets", "negative_tweets",
-                   "sum_confidence", "total_likes", "total_retweets")
-    w = (out.writeStream.outputMode("append").format("parquet").option("path", out_path)
-         .option("checkpointLocation", checkpoint))
+def hourly_stream(scored: DataFrame, out_path: str, checkpoint: str, available_now: bool = False):
+    """ST03/A02: the hourly view kept up to date.  Every micro-batch writes its
+    mergeable hourly parts (sums, counts, author sketch) into its own
+    ``batch_id`` partition, and readers merge the parts with ``hourly_merge``:
+    late posts count, the running hour is there, a replayed batch replaces
+    itself, and there is no state to keep."""
+    def write_parts(batch: DataFrame, batch_id: int):
+        overwrite_partitions(hourly_partials(batch).withColumn("batch_id", F.lit(batch_id)), out_path, ["batch_id"])
+
+    w = scored.writeStream.foreachBatch(write_parts).option("checkpointLocation", checkpoint)
     return _trigger(w, None, available_now).start()
 
 
@@ -112,13 +102,12 @@ def brute_force_stream(logs: DataFrame, out_path: str, checkpoint: str, threshol
     from eventlens.operators.alerts import brute_force
     f = _event_time(logs, ts_col).withWatermark(ts_col, watermark)
     out = brute_force(f, ip_col, ts_col, threshold, window, slide)
-    w = (out.writeStream.outputMode("append").format("parquet").option("path", out_path)
-         .option("checkpointLocation", checkpoint))
+    w = append_stream(out, out_path, checkpoint)
     return _trigger(w, None, available_now).start()
 
 
 SUPPRESS_STATE = "last_kept long"
-SUPPRESS_OUT = "alert_key string, ts timestamp, kept boolean"
+SUPPRESS_OUT = "alert_key string, ts timestamp, alert string, kept boolean"
 
 
 def suppress_stream(alerts: DataFrame, out_path: str, checkpoint: str, minutes: int = 15,
@@ -126,13 +115,18 @@ def suppress_stream(alerts: DataFrame, out_path: str, checkpoint: str, minutes:
                     watermark: str = WATERMARK):
     """ST06/R10 in a stream: per key, the time of the last kept alert is
     keyed state (RocksDB store); each micro-batch's alerts of a key are
-    walked in time order against it.  Event time drives the state (and its
-    timeout), so replays give the same answer."""
+    walked in time order against it.  Event time drives the state and its
+    timeout: once the watermark is a window past the last kept alert, the
+    key's state goes.  The whole alert is carried as JSON (``alert``), so the
+    enrichment and the outbox can follow."""
     gap_us = minutes * 60 * 1_000_000
 
     def fold(key, pdfs, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
         last = state.get[0] if state.exists else None
-        rows = pd.concat(list(pdfs)).sort_values("ts", kind="mergesort")
+        rows = pd.concat(list(pdfs)).sort_values(["ts", "alert"], kind="mergesort")
         t = rows["ts"].astype("datetime64[us]").astype("int64").to_numpy()
         kept = []
         for v in t:
@@ -141,26 +135,30 @@ def suppress_stream(alerts: DataFrame, out_path: str, checkpoint: str, minutes:
             if ok:
                 last = int(v)
         state.update((last,))
-        yield pd.DataFrame({"alert_key": [key[0]] * len(rows), "ts": rows["ts"].to_numpy(), "kept": kept})
+        state.setTimeoutTimestamp(max((last + gap_us) // 1000, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"alert_key": [key[0]] * len(rows), "ts": rows["ts"].to_numpy(),
+                            "alert": rows["alert"].to_numpy(), "kept": kept})
 
-    src = _event_time(alerts.select(F.col(key_col).alias("alert_key"), F.col(ts_col).alias("ts")), "ts")
-    src = src.withWatermark("ts", watermark)
+    src = alerts.select(F.col(key_col).alias("alert_key"), F.col(ts_col).alias("ts"),
+                        F.to_json(F.struct(*alerts.columns)).alias("alert"))
+    src = _event_time(src, "ts").withWatermark("ts", watermark)
     out = src.groupBy("alert_key").applyInPandasWithState(
-        fold, SUPPRESS_OUT, SUPPRESS_STATE, "append", GroupStateTimeout.NoTimeout)
-    w = (out.writeStream.outputMode("append").format("parquet").option("path", out_path)
-         .option("checkpointLocation", checkpoint))
-    return _trigger(w, None, available_now).start()
+        fold, SUPPRESS_OUT, SUPPRESS_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return _trigger(append_stream(out, out_path, checkpoint), None, available_now).start()
 
 
 def score_stream(logs: DataFrame, models: dict, out_path: str, checkpoint: str, available_now: bool = False):
     """ST05/M11: score each micro-batch with the fitted models and append the
-    alerts they raise (batch-id partitions, so replays overwrite)."""
+    alert records they raise (R16: the log, its score, severity and
+    description; batch-id partitions, so replays overwrite).  Logs without a
+    model of their type raise none."""
     from eventlens.ml.forest import score_all
 
     def handle(batch: DataFrame, batch_id: int):
-        scored = score_all(batch, models, keep=("event_id",))
-        flagged = scored.where(F.col("is_anomaly_pred")).withColumn("batch_id", F.lit(batch_id))
-        overwrite_partitions(flagged, out_path, ["batch_id"])
+        scored = score_all(batch, models, keep=("event_id",)).where(F.col("is_anomaly_pred"))
+        flagged = batch.join(scored.drop("log_type"), "event_id")
+        records = build_alerts(flagged, batch.columns)
+        overwrite_partitions(records.withColumn("batch_id", F.lit(batch_id)), out_path, ["batch_id"])
 
     w = logs.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return _trigger(w, None, available_now).start()

@@ -133,3 +133,17 @@ def test_channels_and_recommendations(spark):
     assert rows[0].r[0] == AL.RECOMMENDATIONS[0][1][0]
     assert rows[1].r == AL.DEFAULT_RECOMMENDATIONS
     assert rows[2].r[0] == AL.RECOMMENDATIONS[2][1][0]
+
+
+def test_a_key_that_never_rests_keeps_every_fifteenth_minute(spark):
+    # an alert every minute for ten days: one chain of 960 kept alerts
+    a = spark.range(14400).select(F.lit("hot").alias("k"), F.timestamp_seconds(F.col("id") * 60 + 1700000000).alias("ts"), "id")
+    out = AL.suppress_alerts(a, ["k"], "ts", 15, ["id"])
+    assert sorted(r.id for r in out.where("kept").collect()) == list(range(0, 14400, 15))
+
+
+def test_suppression_ties_and_missing_times(spark):
+    t = dt.datetime(2024, 1, 15)
+    a = spark.createDataFrame([("k", t, 2), ("k", t, 1), ("k", None, 3), (None, t, 4)], "k string, ts timestamp_ntz, id int")
+    out = AL.suppress_alerts(a, ["k"], "ts", 15, ["id"])
+    assert sorted(r.id for r in out.where("kept").collect()) == [1, 3, 4] and out.count() == 4

@@ -17,21 +17,128 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_hourly_stream_equals_batch(spark, tmpdir_path):
-    posts = fx.posts(spark, SF)
-    posts.write.parquet(f"{tmpdir_path}/in")
-    # one micro-batch: rows are not in time order across files, and a second
-    # batch would drop the late ones (correct streaming semantics, not batch)
-    src = spark.readStream.schema(posts.schema).parquet(f"{tmpdir_path}/in")
+    posts = fx.posts(spark, SF).withColumns({"sentiment_positive": F.lit(0.0), "sentiment_neutral": F.lit(0.0),
+                                             "sentiment_negative": F.lit(0.0), "date_partition": F.to_date("created_at")})
+    # several micro-batches, each with posts of all hours: late posts count
+    posts.repartition(3, "author_id").write.parquet(f"{tmpdir_path}/in")
+    src = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmpdir_path}/in")
     hourly_stream(src, f"{tmpdir_path}/out", f"{tmpdir_path}/ckpt", available_now=True).awaitTermination()
-    stream = {(r.hour_timestamp.replace(tzinfo=None), r.total_tweets, r.negative_tweets)
-              for r in spark.read.parquet(f"{tmpdir_path}/out").collect()}
-    batch = posts.withColumns({"sentiment_positive": F.lit(0.0), "sentiment_neutral": F.lit(0.0),
-                               "sentiment_negative": F.lit(0.0), "date_partition": F.to_date("created_at")})
-    b = {(r.hour_timestamp, r.total_tweets, r.negative_tweets) for r in S.sentiment_hourly(batch).collect()}
-    assert stream and stream <= b
-    # only the hours still open when the stream ended may be missing
-    last = max(h for h, _, _ in b)
-    assert {x for x in b if x[0] < last - dt.timedelta(hours=1)} <= stream
+    parts = spark.read.parquet(f"{tmpdir_path}/out")
+    assert parts.select("batch_id").distinct().count() > 1
+    rows = lambda df: {(r.hour_timestamp, r.total_tweets, r.negative_tweets, r.total_likes) for r in df.collect()}
+    assert rows(S.hourly_merge(parts)) == rows(S.sentiment_hourly(posts))
+
+
+def test_posts_reach_all_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert fx.posts(spark, SF, lambda d: d, ("doc_id",)).select("doc_id").distinct().count() == docs
+
+
+def test_daily_table_loads_read_retention_and_compaction(spark, tmpdir_path):
+    from eventlens.sinks.writers import compact, drop_older_than, table_exists, write_daily
+    from eventlens.sources.tables import read_daily
+    path = f"{tmpdir_path}/daily"
+    rows = lambda *days: spark.createDataFrame([(f"{d}-{k}", dt.datetime(2024, 10, d, 3)) for d in days for k in range(3)],
+                                               "id string, ts timestamp_ntz")
+    assert not table_exists(spark, path)
+    write_daily(rows(14, 15), path, "ts", "a")
+    write_daily(rows(15), path, "ts", "b")          # another load of the same day adds
+    write_daily(rows(15), path, "ts", "b")          # the same load again replaces itself
+    assert table_exists(spark, path)
+    day = read_daily(spark, path, "2024-10-15", "2024-10-15")
+    assert day.count() == 6 and "PartitionFilters: [isnotnull(dt" in day._jdf.queryExecution().toString()
+    assert drop_older_than(spark, path, "dt", "2024-10-15") == ["2024-10-14"]
+    compact(spark, path, "dt", dt.date(2024, 10, 15), files=1, sort_cols=["id"])
+    assert spark.read.parquet(path).count() == 6
+    month = f"{tmpdir_path}/monthly"
+    write_daily(rows(14, 15), month, "ts", "a", monthly=True)
+    assert read_daily(spark, month, "2024-10", "2024-10", "month").count() == 6
+    assert drop_older_than(spark, month, "month", "2024-11-02") == ["2024-10"]
+
+
+def test_merge_does_not_overwrite_what_it_cannot_read(spark, tmpdir_path):
+    import pytest
+    table = f"{tmpdir_path}/broken"
+    os.makedirs(f"{table}/source=batch")
+    with open(f"{table}/source=batch/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    batch = spark.createDataFrame([(1, "batch")], "trade_id int, source string")
+    with pytest.raises(Exception):
+        merge_insert_only_table(spark, batch, table)
+    assert os.path.exists(f"{table}/source=batch/part-0.parquet")
+
+
+def test_session_keeps_a_submitted_master(monkeypatch):
+    from pyspark.sql import SparkSession
+    from eventlens import session
+    set_to = {}
+
+    class Builder:
+        def appName(self, name):
+            return self
+
+        def master(self, value):
+            set_to["master"] = value
+            return self
+
+        def config(self, key, value):
+            set_to[key] = value
+            return self
+
+        def getOrCreate(self):
+            return SparkSession.getActiveSession()
+
+    monkeypatch.setattr(session.SparkSession, "builder", Builder())
+    monkeypatch.delenv("SPARK_DRIVER_MEMORY", raising=False)
+    session.get_spark()
+    assert "master" not in set_to and "spark.driver.memory" not in set_to
+
+
+def test_json_errors_keep_their_text(spark):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+    from eventlens.sources.streams import decode_json
+    schema = StructType([StructField("n", IntegerType()), StructField("s", StringType())])
+    lines = ['{"n":1,"s":"a"}', '{"n":"x"}', "[1]", "broken", "{}", None]
+    got = decode_json(spark.createDataFrame([(x,) for x in lines], "message string"), schema).collect()
+    assert [(r.n, r._json_error) for r in got] == [(1, None), (None, '{"n":"x"}'), (None, "[1]"), (None, "broken"), (None, None), (None, None)]
+
+
+def test_checks_with_quotes_addresses_and_bare_events(spark):
+    from eventlens.functions.security import event_hash, ip_to_long
+    from eventlens.operators.quality import Check, run_checks
+    from eventlens.operators.security_rules import dedupe_events
+    df = spark.createDataFrame([("it's", 1), ("b", 2)], "a string, n int")
+    report = run_checks({"m's": df}, [Check("m's", "expression", "a", "a <> 'it''s'")]).collect()
+    assert [(r.model, r.failures) for r in report] == [("m's", 1)]
+    ips = spark.createDataFrame([("10.0.0.1",), ("10.0.0.300",), ("1.2.3",), ("a.b.c.d",), (None,)], "ip string")
+    assert [r[0] for r in ips.select(ip_to_long("ip")).collect()] == [167772161, None, None, None, None]
+    ev = spark.createDataFrame([(1, "a", "t"), (2, "a", "t"), (3, "b", "t"), (4, None, None), (5, None, None)], "event_id int, message string, ts string")
+    ev = ev.withColumn("event_hash", event_hash("ts", "message"))
+    assert sorted(r.event_id for r in dedupe_events(ev).collect()) == [1, 3, 4, 5]
+
+
+def test_layout_report_and_models(spark, tmpdir_path):
+    import pytest
+    from eventlens.ml.forest import load_model, score_all
+    from eventlens.sinks.writers import create_views, layout, replace_table, write_csv, write_report
+    df = spark.range(100).selectExpr("id", "id % 2 AS part")
+    layout(df, f"{tmpdir_path}/l", ["part"], ["id"], ["id"], files_per_partition=3)
+    assert spark.read.parquet(f"{tmpdir_path}/l").count() == 100
+    assert len([f for f in os.listdir(f"{tmpdir_path}/l/part=0") if f.endswith(".parquet")]) <= 3
+    write_report(df.limit(1), f"{tmpdir_path}/r")
+    assert spark.read.json(f"{tmpdir_path}/r").count() == 1
+    with pytest.raises(ValueError):
+        write_report(df, f"{tmpdir_path}/r2")
+    replace_table(df, f"{tmpdir_path}/t")
+    replace_table(df.limit(3), f"{tmpdir_path}/t")
+    assert spark.read.parquet(f"{tmpdir_path}/t").count() == 3
+    write_csv(df, f"{tmpdir_path}/c")
+    assert spark.read.csv(f"{tmpdir_path}/c", header=True).count() == 100
+    create_views(spark, {"stg_numbers": df})
+    assert spark.table("stg_numbers").count() == 100
+    assert load_model(spark, f"{tmpdir_path}/none", "web") is None
+    with pytest.raises(ValueError):
+        score_all(df, {"web": None})
 
 
 def test_price_stream_and_batch_merge_twice(spark, tmpdir_path):

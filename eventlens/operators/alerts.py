@@ -61,6 +61,8 @@ REPORT_RECOMMENDATIONS = [
     "Implementar monitoreo de integridad de archivos críticos",
     "Revisar políticas de retención y backup de logs de seguridad",
 ]
+SLACK_EMOJI = {"CRITICAL": "🚨", "HIGH": "⚠️", "MEDIUM": "⚡", "LOW": "ℹ️"}
+SLACK_COLORS = {"CRITICAL": "#FF0000", "HIGH": "#FF8C00", "MEDIUM": "#FFD700", "LOW": "#00CED1"}
 DESCRIPTION_TEMPLATES = {
     "web": ("Actividad web anómala detectada desde %s", ("source_ip",)),
     "firewall": ("Tráfico de red sospechoso: %s → %s:%s", ("src_ip", "dst_ip", "dst_port")),
@@ -331,13 +333,56 @@ def enrich_alerts(alerts: DataFrame, key_cols=("alert_key",), ts_col: str = "tim
                           "notification_channels": channels_for("severity")})
 
 
+def slack_payload(a: DataFrame) -> Column:
+    """Slack message: colour, title, description, four short fields, and the
+    first three response steps."""
+    sev = F.coalesce("severity", F.lit("LOW"))
+    style = lambda values: F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), sev), F.lit(values["LOW"]))
+    field = lambda title, value, short=True: F.struct(F.lit(title).alias("title"), value.alias("value"), F.lit(short).alias("short"))
+    fields = F.array(
+        field("Tipo de Alerta", F.coalesce("alert_type", F.lit("unknown"))), field("IP Origen", F.coalesce(alert_ip(a), F.lit("N/A"))),
+        field("Timestamp", F.coalesce(F.col("timestamp").cast("string"), F.lit("N/A"))),
+        field("Score de Anomalía", F.format_string("%.3f", F.coalesce("anomaly_score", F.lit(0.0)))),
+        field("Recomendaciones", F.array_join(F.transform(F.slice("response_recommendations", 1, 3), lambda r: F.concat(F.lit("• "), r)), "\n"), False))
+    return F.to_json(F.struct(F.array(F.struct(
+        style(SLACK_COLORS).alias("color"), F.concat(style(SLACK_EMOJI), F.lit(" Alerta de Seguridad - "), sev).alias("title"),
+        F.coalesce("description", F.lit("Sin descripción")).alias("text"), fields.alias("fields"),
+        F.lit("Security Pipeline").alias("footer"))).alias("attachments")))
+
+
+def email_payload(a: DataFrame) -> Column:
+    """E-mail subject and body, with the original log and all steps."""
+    sev = F.coalesce("severity", F.lit("LOW"))
+    kind = F.coalesce("alert_type", F.lit("unknown"))
+    steps = F.array_join(F.transform("response_recommendations", lambda r, i: F.concat((i + 1).cast("string"), F.lit(". "), r)), "\n")
+    log = F.to_json("original_log") if "original_log" in a.columns else F.lit("{}")
+    body = F.concat_ws("\n", F.lit("ALERTA DE SEGURIDAD"), F.concat(F.lit("Severidad: "), sev), F.concat(F.lit("Tipo: "), kind),
+                       F.concat(F.lit("Descripción: "), F.coalesce("description", F.lit("Sin descripción"))),
+                       F.concat(F.lit("Timestamp: "), F.coalesce(F.col("timestamp").cast("string"), F.lit("N/A"))),
+                       F.lit("Detalles del Log Original:"), log, F.lit("Recomendaciones de Respuesta:"), steps,
+                       F.concat(F.lit("ID: "), F.coalesce("alert_id", F.lit("N/A"))))
+    subject = F.concat(F.lit("["), sev, F.lit("] Alerta de Seguridad - "), kind)
+    return F.to_json(F.struct(subject.alias("subject"), body.alias("body")))
+
+
+def pagerduty_payload(a: DataFrame) -> Column:
+    """PagerDuty trigger event, deduplicated by alert id."""
+    log = F.col("original_log") if "original_log" in a.columns else F.create_map()
+    return F.to_json(F.struct(
+        F.lit("trigger").alias("event_action"), F.col("alert_id").alias("dedup_key"), F.struct(
+            F.coalesce("description", F.lit("Alerta de seguridad")).alias("summary"),
+            F.lower(F.coalesce("severity", F.lit("low"))).alias("severity"), F.lit("Security Pipeline").alias("source"),
+            F.coalesce("log_type", F.lit("unknown")).alias("component"), F.lit("security").alias("group"),
+            F.coalesce("alert_type", F.lit("unknown")).alias("class"), log.alias("custom_details")).alias("payload")))
+
+
 def notification_outbox(enriched: DataFrame) -> DataFrame:
-    """One payload row per (alert, channel) for a sender job (sending
-    itself is out of scope)."""
-    return enriched.select(
-        "alert_id", F.explode("notification_channels").alias("channel"),
-        F.to_json(F.struct("alert_id", "alert_type", "log_type", "severity", "description",
-                           "timestamp", "response_recommendations")).alias("payload"))
+    """One payload row per (alert, channel) in the channel's own shape,
+    for a sender job (sending itself is out of scope)."""
+    out = enriched.withColumn("channel", F.explode("notification_channels"))
+    payload = (F.when(F.col("channel") == "slack", slack_payload(out)).when(F.col("channel") == "email", email_payload(out))
+               .when(F.col("channel") == "pagerduty", pagerduty_payload(out)))
+    return out.select("alert_id", "channel", payload.alias("payload"))
 
 
 # --------------------------------------------------------------------------- thresholds on windows

@@ -131,21 +131,25 @@ def value_counts(df: DataFrame, col: str, k: int | None = None) -> DataFrame:
     return out.limit(k) if k else out
 
 
-def peak_hour(hora: Column) -> Column:
-    """hour prefix of a time text plus ``:00``."""
-    return F.concat(F.substring(hora.cast("string"), 1, 2), F.lit(":00"))
-
-
 def incident_kpis(df: DataFrame) -> DataFrame:
-    """Total, most affected comuna, most common class and peak hour in
-    one row; ``N/A`` when there are no rows.  The three modes are three small
-    aggregations (distinct values only) cross-joined as one-row frames."""
-    total = df.agg(F.count("*").alias("total"))
-    comuna = mode_of(df, "comuna", "comuna_mas_afectada")
-    clase = mode_of(df, "clase_accidente", "clase_mas_comun")
-    hora = mode_of(df.select(F.substring(F.col("hora_accidente").cast("string"), 1, 2).alias("h")), "h", "_h")
-    hora = hora.select(F.when(F.col("_h").isNotNull(), F.concat("_h", F.lit(":00"))).alias("hora_pico"))
-    one = total.join(comuna, how="inner").join(clase, how="inner").join(hora, how="inner")
+    """Total, most affected comuna, most common class and peak hour
+    in one row; ``N/A`` when there are no rows.
+
+    One pass over the incidents: each emits its (facet, value) pairs, which are
+    counted together; the modes are read from that small table.
+    """
+    facets = {"total": F.lit("all"), "comuna": F.col("comuna"), "clase": F.col("clase_accidente"),
+              "hora": F.substring(F.col("hora_accidente").cast("string"), 1, 2)}
+    pairs = F.array(*[F.struct(F.lit(f).alias("facet"), c.cast("string").alias("value")) for f, c in facets.items()])
+    counts = df.select(F.inline(pairs)).where(F.col("value").isNotNull()).groupBy("facet", "value").agg(F.count("*").alias("n"))
+
+    def mode(facet):
+        mine = F.col("facet") == facet
+        return F.min_by(F.when(mine, F.col("value")), F.when(mine, F.struct(-F.col("n"), F.col("value"))))
+
+    one = counts.agg(F.coalesce(F.sum(F.when(F.col("facet") == "total", F.col("n"))), F.lit(0)).alias("total"),
+                     mode("comuna").alias("comuna_mas_afectada"), mode("clase").alias("clase_mas_comun"), mode("hora").alias("_h"))
+    one = one.withColumn("hora_pico", F.concat("_h", F.lit(":00")))
     na = F.col("total") == 0
     return one.select("total", *[F.when(na, F.lit(NOT_AVAILABLE)).otherwise(F.col(c)).alias(c)
                                  for c in ("comuna_mas_afectada", "clase_mas_comun", "hora_pico")])

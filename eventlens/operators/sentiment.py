@@ -273,17 +273,17 @@ def volume_by_hour(df: DataFrame, as_of, hours: int = 24, ts_col: str = "created
             .orderBy("hour"))
 
 
-def confidence_stats(df: DataFrame, as_of, hours: int = 24, ts_col: str = "created_at") -> DataFrame:
+def confidence_stats(df: DataFrame, as_of, hours: int = 24, ts_col: str = "created_at", exact: bool = False) -> DataFrame:
     """Confidence avg / median / min / max / count per label.
 
-    ``percentile`` is exact and interpolated; it aggregates partially into a
-    value->count map, so its memory per label grows with distinct values
-    (101 here), not with rows.  ``percentile_approx`` is the bounded-memory
-    choice for continuous scores.
+    The median is ``percentile_approx`` (bounded memory); ``exact`` takes the
+    interpolated ``percentile``, whose memory per label grows with its distinct
+    values (fine for scores of two digits).
     """
+    median = F.percentile("confidence", 0.5) if exact else F.percentile_approx("confidence", 0.5)
     return (recent(df, ts_col, hours, as_of).groupBy("predicted_sentiment")
             .agg(F.avg("confidence").alias("avg_confidence"),
-                 F.percentile("confidence", 0.5).alias("median_confidence"),
+                 median.cast("double").alias("median_confidence"),
                  F.min("confidence").alias("min_confidence"),
                  F.max("confidence").alias("max_confidence"),
                  F.count("*").alias("count")))

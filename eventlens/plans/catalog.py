@@ -10,6 +10,7 @@ _MODULES = (
     "eventlens.plans.security_queries",
     "eventlens.plans.ml_queries",
     "eventlens.plans.stream_queries",
+    "eventlens.plans.pipeline_queries",
 )
 
 

@@ -253,6 +253,8 @@ _DEPS = {
 def with_fixtures(sql: str, *names: str) -> str:
     """Prefix ``sql`` with ``WITH`` CTEs for the named fixtures (and what they
     need).  ``sql`` may start with its own ``WITH``; its CTEs are appended."""
+    if not names:
+        return sql.strip()
     order: list[str] = []
     for n in names:
         for d in _DEPS[n] + [n]:

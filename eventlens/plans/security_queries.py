@@ -58,11 +58,22 @@ def q_rule_severity(spark, sf):
 
 
 @query("dedupe_events", """
-SELECT event_hash, MIN(event_id) AS event_id FROM sec_enriched GROUP BY event_hash
+SELECT MIN(event_id) AS event_id, COUNT(*) AS copies FROM (
+  SELECT event_id, timestamp, src_ip, 'event of ' || username AS message FROM sec_enriched
+  UNION ALL SELECT event_id + 1000000000, timestamp, src_ip, 'event of ' || username FROM sec_enriched WHERE event_id % 20 = 0
+  UNION ALL SELECT event_id + 2000000000, timestamp, src_ip, 'another event' FROM sec_enriched WHERE event_id % 30 = 0) e
+GROUP BY timestamp, src_ip, message
 """, fixtures=["sec_enriched"])
 def q_dedupe_events(spark, sf):
-    """R08 one event per fingerprint (earliest id wins)."""
-    return dedupe_events(_enriched(spark, sf).select("event_hash", "event_id"))
+    """R08/F06 one event per fingerprint of time, address and message
+    (earliest id wins): with repeated events, and others of the same time."""
+    logs = _logs(spark, sf).withColumns({"message": F.concat(F.lit("event of "), "username"), "source_ip": F.col("src_ip")})
+    again = logs.where("event_id % 20 = 0").withColumn("event_id", F.col("event_id") + 1000000000)
+    other = logs.where("event_id % 30 = 0").withColumns({"event_id": F.col("event_id") + 2000000000, "message": F.lit("another event")})
+    events = enrich_logs(logs.unionByName(again).unionByName(other)).select("event_hash", "event_id")
+    kept = dedupe_events(events)
+    copies = events.groupBy("event_hash").agg(F.count("*").alias("copies"))
+    return kept.join(copies, "event_hash").select("event_id", "copies")
 
 
 def _facet_sql(table: str, facets: dict[str, str], multi: dict[str, str] | None = None) -> str:
@@ -365,7 +376,18 @@ def q_enrich_alerts(spark, sf):
                     F.array_join("notification_channels", ",").alias("channels"))
 
 
-@query("notification_outbox")
+@query("notification_outbox", f"""
+SELECT alert_id, channel,
+       CASE channel WHEN 'slack' THEN '⚠️ Alerta de Seguridad - HIGH' ELSE '[HIGH] Alerta de Seguridad - rule' END AS heading,
+       CASE channel WHEN 'slack' THEN '#FF8C00' END AS color,
+       CASE channel WHEN 'slack' THEN split_part(alert_key, ':', 3) END AS source_ip,
+       CASE channel WHEN 'slack' THEN '• ' || array_to_string(string_split(recommendations, ' | ')[1:3], chr(10) || '• ') END AS first_steps
+FROM (SELECT *, unnest(string_split(channels, ',')) AS channel FROM ({_ENRICHED_ALERTS_SQL}) e) o
+""", fixtures=["sec_enriched"])
 def q_notification_outbox(spark, sf):
-    """K16 one payload per (alert, channel) (rows-only)."""
-    return AL.notification_outbox(_enriched_alerts(spark, sf))
+    """K16 one payload per (alert, channel), read back from its JSON."""
+    out = AL.notification_outbox(_enriched_alerts(spark, sf))
+    get = lambda path: F.get_json_object("payload", path)
+    return out.select("alert_id", "channel", F.coalesce(get("$.attachments[0].title"), get("$.subject"), get("$.payload.summary")).alias("heading"),
+                      get("$.attachments[0].color").alias("color"), get("$.attachments[0].fields[1].value").alias("source_ip"),
+                      get("$.attachments[0].fields[4].value").alias("first_steps"))

@@ -196,7 +196,7 @@ FROM posts WHERE created_at >= {AS_OF_SQL} - INTERVAL 24 HOUR GROUP BY predicted
 """, fixtures=["posts"], doubles=["avg_confidence", "median_confidence", "min_confidence", "max_confidence"])
 def q_confidence_stats(spark, sf):
     """A13 confidence statistics."""
-    return S.confidence_stats(fx.posts(spark, sf), AS_OF)
+    return S.confidence_stats(fx.posts(spark, sf), AS_OF, exact=True)
 
 
 @query("engagement_by_sentiment", f"""
@@ -336,13 +336,17 @@ def q_clean_text(spark, sf):
 
 @query("trending_hashtags", f"""
 SELECT hashtag, COUNT(*) AS mentions FROM (
-  SELECT lower(unnest(regexp_extract_all(text, '#(\\w+)', 1))) AS hashtag FROM sentiment
+  SELECT lower(unnest(regexp_extract_all(text || ' #Café' || CAST(like_count % 7 AS VARCHAR) || ' #tag_' || CAST(retweet_count % 5 AS VARCHAR) || '.',
+                                         '#([\\p{{L}}\\p{{M}}\\p{{N}}_]+)', 1))) AS hashtag FROM sentiment
   WHERE processing_timestamp >= {AS_OF_SQL} - INTERVAL 24 HOUR) h
 GROUP BY hashtag ORDER BY mentions DESC, hashtag LIMIT 10
 """, fixtures=["sentiment"])
 def q_trending_hashtags(spark, sf):
-    """D03 most used hashtags of the last 24 hours."""
-    return S.trending_hashtags(_scored(spark, sf), AS_OF)
+    """D03 most used hashtags of the last 24 hours (each post gets two, one
+    with an accent: the stand-in texts have none)."""
+    tags = F.concat(F.col("text"), F.lit(" #Café"), (F.col("like_count") % 7).cast("string"),
+                    F.lit(" #tag_"), (F.col("retweet_count") % 5).cast("string"), F.lit("."))
+    return S.trending_hashtags(_scored(spark, sf).withColumn("text", tags), AS_OF)
 
 
 @query("negative_spike", """

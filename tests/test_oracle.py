@@ -12,7 +12,8 @@ from eventlens.sources.tables import TABLES
 SF = "/root/testdata/sf0.001"
 SAMPLE = ("trending_words", "sentiment_hourly", "pipeline_health", "fct_video_trends", "quality_report",
           "insert_ignore", "incident_kpis", "unified_prices", "enrich_logs", "log_summary", "top_attackers",
-          "related_alerts", "suppress_alerts", "geoip_enrich", "fold_multiline", "keyword_filter")
+          "related_alerts", "suppress_alerts", "geoip_enrich", "fold_multiline", "keyword_filter", "trending_hashtags",
+          "enrich_alerts", "notification_outbox", "raw_log_events", "stream_hourly", "stream_suppress", "security_report")
 
 
 def _norm(v):

@@ -191,3 +191,112 @@ def test_log_stream_routes_and_replays(spark, tmpdir_path):
     from eventlens.operators.security_rules import enrich_logs
     route(enrich_logs(logs), 0, f"{tmpdir_path}/out")
     assert spark.read.parquet(f"{tmpdir_path}/out/store").count() == logs.count()
+
+
+def _json_topic(spark, path, topic, rows):
+    os.makedirs(f"{path}/{topic}")
+    with open(f"{path}/{topic}/part-0.json", "w") as f:
+        for r in rows:
+            f.write(json.dumps({"key": None, "value": json.dumps(r), "timestamp": "2024-01-01T00:00:00Z"}) + "\n")
+    return read_topic(spark, topic, path=path)
+
+
+def test_tweet_stream_writes_table_and_topic(spark, tmpdir_path):
+    from eventlens.streaming.jobs import tweet_stream
+    rows = [{"id": "1", "text": "love this, great", "created_at": "2024-01-15T10:00:00+00:00", "author_id": "a", "lang": "en",
+             "public_metrics": {"like_count": 3}}, {"id": "2", "text": None, "created_at": None, "author_id": "b", "lang": "en", "public_metrics": {}}]
+    tweets = _json_topic(spark, f"{tmpdir_path}/topics", "tweets", rows)
+    schema = "id string, text string, created_at string, author_id string, lang string, public_metrics map<string,int>"
+    for q in tweet_stream(spark, tweets, schema, f"{tmpdir_path}/table", f"{tmpdir_path}/out", f"{tmpdir_path}/ckpt", available_now=True):
+        q.awaitTermination()
+    table = spark.read.parquet(f"{tmpdir_path}/table").collect()
+    assert [(r.tweet_id, r.predicted_sentiment, r.like_count, r.retweet_count) for r in table] == [("1", "neutral", 3, 0)]
+    topic = spark.read.json(f"{tmpdir_path}/out").collect()
+    assert [(r.key, json.loads(r.value)["author_id"]) for r in topic] == [("1", "a")]
+
+
+def test_brute_force_stream_equals_batch(spark, tmpdir_path):
+    from eventlens.operators.alerts import brute_force
+    from eventlens.streaming.jobs import brute_force_stream
+    t = dt.datetime(2024, 1, 15, 10)
+    rows = [("1.1.1.1", t + dt.timedelta(seconds=10 * k), "FAILED") for k in range(12)]
+    rows += [("2.2.2.2", t, "FAILED"), ("9.9.9.9", t + dt.timedelta(hours=2), "SUCCESS"), ("9.9.9.9", t + dt.timedelta(hours=3), "FAILED")]
+    logs = spark.createDataFrame(rows, "src_ip string, event_time timestamp, result string")
+    logs.coalesce(1).write.parquet(f"{tmpdir_path}/in")
+    src = spark.readStream.schema(logs.schema).parquet(f"{tmpdir_path}/in")
+    brute_force_stream(src, f"{tmpdir_path}/out", f"{tmpdir_path}/ckpt", available_now=True).awaitTermination()
+    rows = lambda df: sorted((r.ip, r.window_start, r.failures) for r in df.collect())
+    assert rows(spark.read.parquet(f"{tmpdir_path}/out")) == rows(brute_force(logs)) != []
+
+
+def test_score_stream_writes_alert_records(spark, tmpdir_path):
+    from test_ml import _firewall
+    from eventlens.ml.forest import fit_forest
+    from eventlens.streaming.jobs import score_stream
+    logs = _firewall(spark, 600, 20)
+    model = fit_forest(logs, "firewall", n_trees=30)
+    logs.write.parquet(f"{tmpdir_path}/in")
+    src = spark.readStream.schema(logs.schema).parquet(f"{tmpdir_path}/in")
+    score_stream(src, {"firewall": model, "web": None}, f"{tmpdir_path}/out", f"{tmpdir_path}/ckpt", available_now=True).awaitTermination()
+    out = spark.read.parquet(f"{tmpdir_path}/out").collect()
+    assert set(range(20)) <= {r.original_log.event_id for r in out}
+    assert {r.alert_type for r in out} == {"anomaly_detected"}
+    assert all(r.description.startswith("Tráfico de red sospechoso: 10.0.0.1") for r in out)
+
+
+def test_suppression_state_outlives_a_batch_and_expires(spark, tmpdir_path):
+    from eventlens.streaming.jobs import suppress_stream
+    t = dt.datetime(2024, 1, 15, 10)
+    for k, minutes in enumerate(([0, 5], [10, 16], [600])):
+        rows = [("k", t + dt.timedelta(minutes=m), f"log {m}") for m in minutes]
+        spark.createDataFrame(rows, "alert_key string, timestamp timestamp, note string").coalesce(1).write.mode("append").parquet(f"{tmpdir_path}/in")
+    schema = "alert_key string, timestamp timestamp, note string"
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmpdir_path}/in")
+    suppress_stream(src, f"{tmpdir_path}/out", f"{tmpdir_path}/ckpt", available_now=True, watermark="1 hour").awaitTermination()
+    kept = [json.loads(r.alert)["note"] for r in spark.read.parquet(f"{tmpdir_path}/out").where("kept").orderBy("ts").collect()]
+    assert kept == ["log 0", "log 16", "log 600"]
+
+
+def test_video_and_incident_sources(spark, tmpdir_path):
+    from eventlens.sources.streams import read_incidents_json, read_videos_csv
+    with open(f"{tmpdir_path}/v.csv", "w") as f:
+        f.write("video_id,trending_date,title,channel_title,category_id,publish_time,tags,views,likes,dislikes,comment_count,"
+                "thumbnail_link,comments_disabled,ratings_disabled,video_error_or_removed,description\n"
+                'v1,17.14.11,"a ""quoted"", title",ch,22,2017-11-13T17:13:01.000Z,x|y,100,5,1,2,http://t,False,False,False,"two\nlines"\n')
+    v = read_videos_csv(spark, f"{tmpdir_path}/v.csv").collect()
+    assert [(r.video_id, r.title, r.views, r.description) for r in v] == [("v1", 'a "quoted", title', 100, "two\nlines")]
+    with open(f"{tmpdir_path}/i.json", "w") as f:
+        for k in range(5):
+            f.write(json.dumps({"fecha": f"2024-01-0{k % 3 + 1}", "id": k}) + "\n")
+    assert read_incidents_json(spark, f"{tmpdir_path}/i.json").count() == 5
+    newest = [(r.fecha, r.id) for r in read_incidents_json(spark, f"{tmpdir_path}/i.json", newest=2).collect()]
+    assert newest == [("2024-01-03", 2), ("2024-01-02", 1)]
+
+
+def test_model_scores_labels_and_fallback(spark):
+    from eventlens.functions.text import label_name
+    from eventlens.ml.text_model import score_text
+    df = spark.createDataFrame([("good",), ("",), (None,), ("boom",)], "text string")
+
+    def factory():
+        def model(texts):
+            if "boom" in texts:
+                raise RuntimeError("model failed")
+            return [[{"label": "LABEL_2", "score": 0.9}, {"label": "LABEL_1", "score": 0.06}, {"label": "LABEL_0", "score": 0.04}] for _ in texts]
+        return model
+
+    got = {r.text: r for r in score_text(df.where("text is null or text <> 'boom'"), scorer_factory=factory).collect()}
+    assert got["good"].predicted_sentiment == "positive" and got[""].predicted_sentiment == "neutral"
+    failed = score_text(df.where("text = 'boom'"), scorer_factory=factory).first()
+    assert failed.predicted_sentiment == "neutral"
+    assert [r[0] for r in spark.createDataFrame([("LABEL_0",), ("Other",)], "l string").select(label_name("l")).collect()] == ["negative", "other"]
+
+
+def test_recent_prunes_folders(spark, tmpdir_path):
+    from eventlens.operators.common import recent
+    rows = [(dt.datetime(2024, 1, d, 12), d) for d in range(1, 29)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, n int").withColumn("day", F.to_date("ts"))
+    df.write.partitionBy("day").parquet(f"{tmpdir_path}/days")
+    out = recent(spark.read.parquet(f"{tmpdir_path}/days"), "ts", hours=24, as_of="2024-01-28 13:00:00", part_col="day")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert [r.n for r in out.collect()] == [28] and "PartitionFilters: [isnotnull(day" in plan

@@ -86,10 +86,32 @@ def q_sentiment_hourly(spark, sf):
     return S.sentiment_hourly(_scored(spark, sf))
 
 
-@query("hourly_partials")
+def with_author_bound(merged, posts):
+    """Replaces the author estimate by whether it lies within 10 % (or two) of
+    the exact count of ``posts``."""
+    exact = (posts.groupBy(F.date_trunc("hour", "created_at").alias("hour_timestamp"), "date_partition")
+             .agg(F.count_distinct("author_id").alias("authors")))
+    near = F.abs(F.col("unique_authors") - F.col("authors")) <= F.greatest(F.lit(2.0), 0.1 * F.col("authors"))
+    return (merged.join(exact, ["hour_timestamp", "date_partition"], "left")
+            .withColumn("authors_in_bound", F.coalesce(near, F.lit(False))).drop("unique_authors", "authors"))
+
+
+MERGED_HOURLY_SQL = f"""
+SELECT hour_timestamp, date_partition, total_tweets, positive_tweets, neutral_tweets, negative_tweets,
+       avg_positive_score, avg_neutral_score, avg_negative_score, avg_confidence, total_likes, total_retweets,
+       TRUE AS authors_in_bound
+FROM ({_HOURLY_SQL}) h
+"""
+MERGED_HOURLY_DOUBLES = ["avg_positive_score", "avg_neutral_score", "avg_negative_score", "avg_confidence"]
+
+
+@query("hourly_partials", MERGED_HOURLY_SQL, fixtures=["sentiment"], doubles=MERGED_HOURLY_DOUBLES)
 def q_hourly_partials(spark, sf):
-    """A02 mergeable hourly parts, merged back (HLL estimate: rows-only check)."""
-    return S.hourly_merge(S.hourly_partials(_scored(spark, sf)))
+    """A02 mergeable hourly parts of two loads, merged back."""
+    posts = _scored(spark, sf)
+    half = F.pmod(F.xxhash64("post_id"), F.lit(2)) == 0
+    parts = S.hourly_partials(posts.where(half)).unionByName(S.hourly_partials(posts.where(~half)))
+    return with_author_bound(S.hourly_merge(parts), posts)
 
 
 @query("hourly_trends", f"""

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from eventlens import fixtures as fx
 from eventlens.operators import sentiment as S
 from eventlens.plans.registry import query
-from eventlens.plans.sentiment_queries import _HOURLY_SQL
+from eventlens.plans.sentiment_queries import MERGED_HOURLY_DOUBLES, MERGED_HOURLY_SQL, with_author_bound
 from eventlens.session import checkpoint_path
 from eventlens.sources.streams import fold_multiline
 from eventlens.streaming.jobs import hourly_stream, suppress_stream
@@ -22,12 +22,7 @@ def _scratch(spark, name):
     return checkpoint_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-@query("stream_hourly", f"""
-SELECT hour_timestamp, date_partition, total_tweets, positive_tweets, neutral_tweets, negative_tweets,
-       avg_positive_score, avg_neutral_score, avg_negative_score, avg_confidence, total_likes, total_retweets,
-       TRUE AS authors_in_bound
-FROM ({_HOURLY_SQL}) h
-""", fixtures=["sentiment"], doubles=["avg_positive_score", "avg_neutral_score", "avg_negative_score", "avg_confidence"])
+@query("stream_hourly", MERGED_HOURLY_SQL, fixtures=["sentiment"], doubles=MERGED_HOURLY_DOUBLES)
 def q_stream_hourly(spark, sf):
     """ST03 the hourly view kept by a stream of mergeable parts over the whole
     tweet stand-in (three micro-batches at least, dealt by post, so hours meet
@@ -39,13 +34,8 @@ def q_stream_hourly(spark, sf):
     posts.repartition(3, "author_id").write.mode("overwrite").parquet(f"{base}/in")
     src = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
     hourly_stream(src, f"{base}/out", f"{base}/ckpt", available_now=True).awaitTermination()
-    merged = S.hourly_merge(spark.read.parquet(f"{base}/out"))
-    exact = (spark.read.schema(posts.schema).parquet(f"{base}/in")
-             .groupBy(F.date_trunc("hour", "created_at").alias("hour_timestamp"), "date_partition")
-             .agg(F.count_distinct("author_id").alias("authors")))
-    near = F.abs(F.col("unique_authors") - F.col("authors")) <= F.greatest(F.lit(2.0), 0.1 * F.col("authors"))
-    return (merged.join(exact, ["hour_timestamp", "date_partition"], "left")
-            .withColumn("authors_in_bound", F.coalesce(near, F.lit(False))).drop("unique_authors", "authors"))
+    return with_author_bound(S.hourly_merge(spark.read.parquet(f"{base}/out")),
+                             spark.read.schema(posts.schema).parquet(f"{base}/in"))
 
 
 @query("stream_suppress", """

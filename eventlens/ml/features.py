@@ -147,3 +147,15 @@ def extract_features(df: DataFrame, log_type: str, keep=("event_id",), ts_col: s
     cols = feature_columns(rows, log_type, ts_col)
     return rows.select(*[F.col(k) for k in keep if k in rows.columns],
                        *[v.alias(k) for k, v in cols.items()])
+
+
+def with_trailing_failure_rate(df: DataFrame, window_seconds: int = 3600, key: str = "username",
+                               ts_col: str = "event_time") -> DataFrame:
+    """M03 option: adds ``trailing_failure_rate``, the share of the key's
+    events in the ``window_seconds`` before this one that failed (0 without
+    any).  Windows run per key and time bucket, so a hot key is split."""
+    from eventlens.operators.alerts import trailing_count
+    out = trailing_count(df, [key], ts_col, window_seconds, F.lit(True), "_all")
+    out = trailing_count(out, [key], ts_col, window_seconds, F.col("result") == "FAILED", "_failed")
+    rate = F.when(F.col("_all") > 0, F.col("_failed") / F.col("_all")).otherwise(F.lit(0.0))
+    return out.withColumn("trailing_failure_rate", rate).drop("_all", "_failed")

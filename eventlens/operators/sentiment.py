@@ -148,16 +148,24 @@ def hourly_merge(parts: DataFrame) -> DataFrame:
 def trending_topics_hourly(df: DataFrame, min_len: int = 3, stop_words=TRENDING_STOP_WORDS) -> DataFrame:
     """Hour x keyword mentions, by sentiment, and mean post score
     (``sentiment_positive - sentiment_negative``).  The reference declares
-    the table without a writer; the keyword rule is F02's."""
-    w = explode_words(df.select("created_at", "date_partition", "text", "predicted_sentiment",
-                                (F.col("sentiment_positive") - F.col("sentiment_negative")).alias("score")),
-                      "text", min_len, stop_words, alias="keyword")
-    return (w.groupBy("date_partition", F.date_trunc("hour", "created_at").alias("hour_timestamp"), "keyword")
-            .agg(F.count("*").alias("mention_count"),
-                 _count_if(_is("positive")).alias("positive_mentions"),
-                 _count_if(_is("neutral")).alias("neutral_mentions"),
-                 _count_if(_is("negative")).alias("negative_mentions"),
-                 F.avg("score").alias("avg_sentiment_score")))
+    the table without a writer; the keyword rule is F02's.
+
+    A text is cut into words once and its words counted; posts, summed by hour
+    and text, meet these counts."""
+    key = F.sha2("text", 256).alias("text_key")
+    posts = df.select("date_partition", F.date_trunc("hour", "created_at").alias("hour_timestamp"), key, "predicted_sentiment",
+                      (F.col("sentiment_positive") - F.col("sentiment_negative")).alias("score"))
+    posts = posts.groupBy("date_partition", "hour_timestamp", "text_key").agg(
+        F.count("*").alias("n"), _count_if(_is("positive")).alias("n_pos"), _count_if(_is("neutral")).alias("n_neu"),
+        _count_if(_is("negative")).alias("n_neg"), F.sum("score").alias("score"), F.count("score").alias("n_score"))
+    texts = df.select(key, "text").dropDuplicates(["text_key"])
+    words = (explode_words(texts, "text", min_len, stop_words, alias="keyword")
+             .groupBy("text_key", "keyword").agg(F.count("*").alias("m")))
+    m = F.col("m")
+    return (posts.join(words, "text_key").groupBy("date_partition", "hour_timestamp", "keyword")
+            .agg(F.sum(m * F.col("n")).alias("mention_count"), F.sum(m * F.col("n_pos")).alias("positive_mentions"),
+                 F.sum(m * F.col("n_neu")).alias("neutral_mentions"), F.sum(m * F.col("n_neg")).alias("negative_mentions"),
+                 (F.sum(m * F.col("score")) / F.nullif(F.sum(m * F.col("n_score")), F.lit(0))).alias("avg_sentiment_score")))
 
 
 def author_metrics(df: DataFrame, impact: Column | None = None) -> DataFrame:

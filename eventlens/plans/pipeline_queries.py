@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from eventlens import fixtures as fx
-from eventlens.ml.features import extract_features
+from eventlens.ml.features import extract_features, with_trailing_failure_rate
 from eventlens.operators import alerts as AL
 from eventlens.operators import sentiment as S
 from eventlens.operators.common import latest_per_key, time_range
@@ -103,6 +103,18 @@ def q_dns_features(spark, sf):
     return extract_features(fx.sec_logs(spark, sf), "dns")
 
 
+@query("trailing_failure_rate", """
+WITH a AS (SELECT event_id, username, event_time, result FROM sec_logs WHERE log_type = 'auth')
+SELECT a.event_id, COALESCE(AVG(CASE WHEN b.result = 'FAILED' THEN 1.0 WHEN b.result IS NOT NULL THEN 0.0 END), 0.0) AS trailing_failure_rate
+FROM a LEFT JOIN a b ON b.username = a.username AND b.event_time < a.event_time AND b.event_time >= a.event_time - INTERVAL 6 HOUR
+GROUP BY a.event_id
+""", fixtures=["sec_logs"], doubles=["trailing_failure_rate"])
+def q_trailing_failure_rate(spark, sf):
+    """M03 option: share of failed logins of the user in the six hours before."""
+    auth = fx.sec_logs(spark, sf).where("log_type = 'auth'").select("event_id", "username", "event_time", "result")
+    return with_trailing_failure_rate(auth, 6 * 3600).select("event_id", "trailing_failure_rate")
+
+
 @query("scaled_features", """
 WITH f AS (SELECT event_id, CAST(dst_port AS DOUBLE) AS port, CAST(packet_count AS DOUBLE) AS packets,
                   CAST(CASE WHEN dst_port IN (22, 23, 3389, 1433, 3306, 5432, 21, 25) THEN 1 ELSE 0 END AS DOUBLE) AS risk

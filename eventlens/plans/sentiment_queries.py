@@ -327,9 +327,10 @@ FROM sentiment
 """, fixtures=["sentiment"], doubles=["positive", "neutral", "negative", "confidence"])
 def q_lexicon_sentiment(spark, sf):
     """F03 lexicon scores for every post (whole texts), common-word lists."""
-    p = fx.posts(spark, sf).select("post_id", "text")
-    s = with_lexicon_sentiment(p, "text", _LEX_POS, _LEX_NEG, prefix="")
-    return s.select("post_id", "positive", "neutral", "negative", "predicted_sentiment", "confidence")
+    cols = ("positive", "neutral", "negative", "label", "sureness")
+    s = fx.posts(spark, sf, lambda d: with_lexicon_sentiment(d, "text", _LEX_POS, _LEX_NEG, prefix="").withColumnsRenamed(
+        {"predicted_sentiment": "label", "confidence": "sureness"}), cols)
+    return s.select("post_id", "positive", "neutral", "negative", F.col("label").alias("predicted_sentiment"), F.col("sureness").alias("confidence"))
 
 
 KEYWORDS = ("market", "the", "que", "und")
@@ -353,7 +354,8 @@ FROM posts
 """, fixtures=["posts"])
 def q_clean_text(spark, sf):
     """F01 cleaned text of every post, whole texts."""
-    return fx.posts(spark, sf).select("post_id", clean_text("text").alias("clean_text"))
+    return fx.posts(spark, sf, lambda d: d.withColumn("clean", clean_text("text")), ("clean",)).select(
+        "post_id", F.col("clean").alias("clean_text"))
 
 
 @query("trending_hashtags", f"""

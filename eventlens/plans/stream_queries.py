@@ -73,7 +73,7 @@ WITH s AS (SELECT *, CASE WHEN regexp_matches(line, '^[A-Z]') THEN 1 ELSE 0 END
            FROM log_lines),
 g AS (SELECT *, SUM(st) OVER (PARTITION BY file_id ORDER BY line_no) AS event_no FROM s)
 SELECT file_id, CAST(event_no AS BIGINT) AS event_no, MIN(line_no) AS first_line, COUNT(*) AS n_lines,
-       string_agg(line, chr(10) ORDER BY line_no) AS text
+       string_agg(line, chr(10) ORDER BY line_no) AS text, 0::BIGINT AS part
 FROM g GROUP BY file_id, event_no
 """, fixtures=["log_lines"])
 def q_fold_multiline(spark, sf):

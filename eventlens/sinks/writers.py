@@ -53,6 +53,23 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, partition_by=(), fm
     return w.partitionBy(*partition_by) if partition_by else w
 
 
+def topic_sink(df: DataFrame, topic: str, checkpoint: str, bootstrap: str | None = None, path: str | None = None):
+    """A streaming write of (key, value) rows to a topic, to be started by
+    the caller: the Kafka sink with ``bootstrap``, else JSON files in the
+    topic's folder below ``path``."""
+    if bootstrap:
+        return (df.writeStream.outputMode("append").format("kafka").option("kafka.bootstrap.servers", bootstrap)
+                .option("topic", topic).option("checkpointLocation", checkpoint))
+    return append_stream(df, f"{path.rstrip('/')}/{topic}", checkpoint, fmt="json")
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, connections: int = 8, batch_rows: int = 10_000, **options) -> None:
+    """Append rows to a warehouse table over at most ``connections``
+    connections, ``batch_rows`` a round trip."""
+    (df.coalesce(connections).write.format("jdbc").option("url", url).option("dbtable", table)
+     .option("batchsize", batch_rows).options(**options).mode("append").save())
+
+
 def replace_table(df: DataFrame, target: str, partition_by=()) -> None:
     """Full replace of a catalog table, or of a path (with a slash)."""
     w = df.write.mode("overwrite")

@@ -96,37 +96,50 @@ def decode_json(df: DataFrame, schema: StructType, col: str = "message",
 IPV4_START = r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
 
 
-def running_count(df: DataFrame, key_cols, order_col: str, flag: str, alias: str,
-                  chunk_rows: int = 1_000_000) -> DataFrame:
-    """Per key, the running count of ``flag`` rows in ``order_col`` order.
+def running(df: DataFrame, key_cols, order_col: str, values: dict, chunk_rows: int = 1_000_000) -> DataFrame:
+    """Per key and in ``order_col`` order, running figures: ``values`` maps a
+    new column to (aggregate function, column expression), e.g. a running sum.
 
     A window over a whole key would put a huge file in one task, so the key
     is cut into chunks of ``chunk_rows`` positions: a window runs per
-    (key, chunk), chunk totals (one row per chunk) are summed cumulatively,
-    and the offset is joined back.
+    (key, chunk), chunk totals (one row per chunk) are carried forward, and
+    the carry is joined back.
     """
     keys = list(key_cols)
     d = df.withColumn("_chunk", F.floor(F.col(order_col) / F.lit(chunk_rows)))
     w = Window.partitionBy(*keys, "_chunk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_local", F.sum(F.col(flag).cast("long")).over(w))
-    tot = d.groupBy(*keys, "_chunk").agg(F.sum(F.col(flag).cast("long")).alias("_tot"))
     wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.withColumn("_offset", F.coalesce(F.sum("_tot").over(wc), F.lit(0))).drop("_tot")
-    d = d.join(tot, on=[*keys, "_chunk"], how="left")
-    return d.withColumn(alias, F.col("_offset") + F.col("_local")).drop("_chunk", "_local", "_offset")
+    totals = d.groupBy(*keys, "_chunk").agg(*[fn(expr).alias(f"_tot_{c}") for c, (fn, expr) in values.items()])
+    totals = totals.select(*keys, "_chunk", *[fn(f"_tot_{c}").over(wc).alias(f"_off_{c}") for c, (fn, _) in values.items()])
+    d = d.withColumns({f"_in_{c}": fn(expr).over(w) for c, (fn, expr) in values.items()})
+    d = d.join(totals, on=[*keys, "_chunk"], how="left")
+    both = {c: (F.coalesce(F.col(f"_off_{c}"), F.lit(0)) + F.col(f"_in_{c}")) if fn is F.sum
+            else fn_of_two(fn)(F.col(f"_off_{c}"), F.col(f"_in_{c}")) for c, (fn, _) in values.items()}
+    return d.withColumns(both).drop("_chunk", *[f"_{k}_{c}" for k in ("in", "off") for c in values])
+
+
+def fn_of_two(fn):
+    """The two-value form of ``max`` or ``min`` (nulls are skipped)."""
+    return {F.max: F.greatest, F.min: F.least}[fn]
 
 
 def fold_multiline(lines: DataFrame, start_pattern: str = IPV4_START, file_col: str = "file_id",
-                   line_col: str = "line_no", text_col: str = "line") -> DataFrame:
+                   line_col: str = "line_no", text_col: str = "line", max_lines: int = 10_000) -> DataFrame:
     """Join lines that do not start an event (``start_pattern``) to the
     previous event of the same file; lines before a file's first start form
     event 0.  Only the order of ``line_col`` matters (it need not be dense).
     Returns one row per event: file, event number, first line, line count,
-    text joined with newlines."""
-    flagged = lines.withColumn("_start", F.coalesce(F.col(text_col).rlike(start_pattern), F.lit(False)))
-    g = running_count(flagged, [file_col], line_col, "_start", "event_no")
-    ev = g.groupBy(file_col, "event_no").agg(
+    text joined with newlines.
+
+    An event whose lines span more than ``max_lines`` positions comes in
+    several rows, numbered by ``part`` from 0: no line is lost, and a file that
+    never starts an event does not become one row."""
+    start = F.coalesce(F.col(text_col).rlike(start_pattern), F.lit(False))
+    g = running(lines, [file_col], line_col, {
+        "event_no": (F.sum, start.cast("long")), "_from": (F.max, F.when(start, F.col(line_col)))})
+    g = g.withColumn("part", F.floor((F.col(line_col) - F.coalesce(F.col("_from"), F.lit(1))) / max_lines).cast("long"))
+    return g.groupBy(file_col, "event_no", "part").agg(
         F.min(line_col).alias("first_line"), F.count("*").alias("n_lines"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(line_col), F.col(text_col)))),
-                                 lambda x: x[text_col]), "\n").alias("text"))
-    return ev
+                                 lambda x: x[text_col]), "\n").alias("text")
+    ).select(file_col, "event_no", "first_line", "n_lines", "text", "part")

@@ -18,7 +18,7 @@ from eventlens.operators.alerts import build_alerts
 from eventlens.operators.prices import PRICE_TICK_SCHEMA, parse_json_value, unpivot_prices
 from eventlens.operators.security_rules import enrich_logs
 from eventlens.operators.sentiment import hourly_partials, normalise_tweets
-from eventlens.sinks.writers import append_stream, overwrite_partitions, route
+from eventlens.sinks.writers import append_stream, overwrite_partitions, route, topic_sink, write_jdbc
 
 STORE_TRIGGER = "30 seconds"
 TOPIC_TRIGGER = "10 seconds"
@@ -55,21 +55,25 @@ def price_stream(spark: SparkSession, ticks: DataFrame, table_path: str, checkpo
 
 
 def tweet_stream(spark: SparkSession, tweets: DataFrame, schema, table_path: str, topic_path: str,
-                 checkpoint_base: str, available_now: bool = False):
+                 checkpoint_base: str, available_now: bool = False, topic: str = "processed_tweets",
+                 bootstrap: str | None = None, jdbc: dict | None = None):
     """ST02: raw tweets -> scored rows -> (a) the analysis table, appended per
     micro-batch with the batch id as partition so a replay overwrites itself
-    (K04, ruling C10: errors propagate), (b) the processed topic as keyed
-    JSON (K05).  Two queries with their own checkpoints, as the reference."""
+    (K04, ruling C10: errors propagate; with ``jdbc`` options to a warehouse
+    table as well), (b) the processed topic as keyed JSON (K05; Kafka with
+    ``bootstrap``).  Two queries with their own checkpoints, as the reference."""
     raw = tweets.select(F.from_json(F.col("value").cast("string"), schema).alias("t")).select("t.*")
     scored = normalise_tweets(raw)
 
     def to_table(batch: DataFrame, batch_id: int):
         overwrite_partitions(batch.withColumn("batch_id", F.lit(batch_id)), table_path, ["batch_id"])
+        if jdbc:
+            write_jdbc(spark.read.parquet(table_path).where(F.col("batch_id") == batch_id).drop("batch_id"), **jdbc)
 
     q1 = _trigger(scored.writeStream.foreachBatch(to_table)
                   .option("checkpointLocation", f"{checkpoint_base}/store"), STORE_TRIGGER, available_now).start()
     keyed = scored.select(F.col("tweet_id").alias("key"), F.to_json(F.struct(*scored.columns)).alias("value"))
-    q2 = _trigger(append_stream(keyed, topic_path, f"{checkpoint_base}/topic", fmt="json"), TOPIC_TRIGGER, available_now).start()
+    q2 = _trigger(topic_sink(keyed, topic, f"{checkpoint_base}/topic", bootstrap, topic_path), TOPIC_TRIGGER, available_now).start()
     return q1, q2
 
 

@@ -112,9 +112,9 @@ def test_fold_multiline(spark):
 
 def test_fold_multiline_chunked_prefix(spark):
     # a chunk size of 2 lines forces the cross-chunk offset path
-    from eventlens.sources.streams import running_count
+    from eventlens.sources.streams import running
     df = spark.createDataFrame([(1, i, i % 3 == 0) for i in range(1, 11)], "f long, n long, s boolean")
-    out = {r.n: r.c for r in running_count(df, ["f"], "n", "s", "c", chunk_rows=2).collect()}
+    out = {r.n: r.c for r in running(df, ["f"], "n", {"c": (F.sum, F.col("s").cast("long"))}, chunk_rows=2).collect()}
     assert [out[i] for i in range(1, 11)] == [0, 0, 1, 1, 1, 2, 2, 2, 3, 3]
 
 

@@ -211,7 +211,7 @@ def test_tweet_stream_writes_table_and_topic(spark, tmpdir_path):
         q.awaitTermination()
     table = spark.read.parquet(f"{tmpdir_path}/table").collect()
     assert [(r.tweet_id, r.predicted_sentiment, r.like_count, r.retweet_count) for r in table] == [("1", "neutral", 3, 0)]
-    topic = spark.read.json(f"{tmpdir_path}/out").collect()
+    topic = spark.read.json(f"{tmpdir_path}/out/processed_tweets").collect()
     assert [(r.key, json.loads(r.value)["author_id"]) for r in topic] == [("1", "a")]
 
 
@@ -300,3 +300,14 @@ def test_recent_prunes_folders(spark, tmpdir_path):
     out = recent(spark.read.parquet(f"{tmpdir_path}/days"), "ts", hours=24, as_of="2024-01-28 13:00:00", part_col="day")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert [r.n for r in out.collect()] == [28] and "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_long_events_come_in_parts(spark):
+    from eventlens.sources.streams import fold_multiline, running
+    lines = spark.range(1, 41).selectExpr("1 AS file_id", "id AS line_no", "CASE WHEN id IN (5, 30) THEN '1.1.1.1 x' ELSE concat('l', id) END AS line")
+    got = sorted((r.event_no, r.part, r.first_line, r.n_lines) for r in fold_multiline(lines, max_lines=10).collect())
+    assert got == [(0, 0, 1, 4), (1, 0, 5, 10), (1, 1, 15, 10), (1, 2, 25, 5), (2, 0, 30, 10), (2, 1, 40, 1)]
+    # chunks of three rows give the same running sums as one window
+    run = running(lines, ["file_id"], "line_no", {"s": (F.sum, F.col("line_no")), "m": (F.max, F.when(F.col("line_no") % 7 == 0, F.col("line_no")))}, 3)
+    rows = {r.line_no: (r.s, r.m) for r in run.collect()}
+    assert all(rows[n] == (n * (n + 1) // 2, n // 7 * 7 or None) for n in range(1, 41))

@@ -31,7 +31,7 @@ from eventlens.llm.spans import SPAN_ROW, SpanRows, keyed, span_lists, strings,
 from eventlens.llm.spill import shuffle_parts
 
 #: windows that a map task holds before it ships them
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 SEED_WORDS = 3
 BLOCK = "bucket int, hashes binary, checks binary, key binary, th binary, pos binary, n binary"
 

@@ -46,7 +46,7 @@ from eventlens.llm.substring_dedup import _sliding_min
 
 SEED = 24
 #: segments that a map task holds before it ships them
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 
 FIELDS = (("anchor", np.uint32), ("content", np.uint64), ("key", np.int64), ("th", np.int32), ("pos", np.int32), ("n", np.uint8))
 BLOCK = "bucket int, " + ", ".join(f"{f} binary" for f, _ in FIELDS)

@@ -7,9 +7,12 @@ one named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import math
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from eventlens.session import checkpoint_path
 
@@ -25,3 +28,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def shuffle_parts(df: DataFrame) -> int:
     """The number of shuffle partitions the session is set to."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def bucket_keys(df: DataFrame, parts: int) -> np.ndarray:
+    """``parts`` ints of which ``repartition(parts, key)`` sends one to each
+    partition: bucket numbers themselves would leave some partitions empty
+    and give others several."""
+    ids = df.sparkSession.range(parts * (int(math.log(parts)) + 12)).select(F.col("id").cast("int").alias("k"))
+    rows = ids.groupBy(F.pmod(F.hash("k"), F.lit(parts)).alias("p")).agg(F.min("k").alias("k")).collect()
+    keys = [r["k"] for r in sorted(rows, key=lambda r: r["p"])]
+    return np.array(keys + [-1 - i for i in range(parts - len(keys))], np.int32)

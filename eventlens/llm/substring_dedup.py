@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from eventlens.llm import arrays as A
 from eventlens.llm.spans import SPAN_ROW, SpanRows, keyed, span_lists, strings, unpack, with_spans
-from eventlens.llm.spill import shuffle_parts
+from eventlens.llm.spill import bucket_keys, shuffle_parts
 
 #: windows that a map task holds before it ships them
 FLUSH = 1 << 20
@@ -60,7 +60,9 @@ def _runs(key, th, pos):
     return np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (th[1:] != th[:-1]) | (pos[1:] != pos[:-1] + 1)])
 
 
-def _ship(width: int, buckets: int, check_bytes: int):
+def _ship(width: int, names: np.ndarray, check_bytes: int):
+    """``names``: the number that each bucket goes by."""
+    buckets = len(names)
     schema = pa.schema([("bucket", pa.int32())] + [(c, pa.binary()) for c in ("hashes", "checks", "key", "th", "pos", "n")])
     small = np.uint16 if buckets <= 1 << 16 else np.uint32
 
@@ -81,7 +83,7 @@ def _ship(width: int, buckets: int, check_bytes: int):
             n = np.diff(np.r_[at, len(p)]).astype(np.int32)
             raw = h[sel].tobytes() if with_hash else b""
             more = A.planes(extra[sel])[:check_bytes * len(p)] if with_hash and check_bytes else b""
-            rows.append((to, raw, more, A.planes(A.deltas(k[at])), A.planes(A.deltas(t[at])),
+            rows.append((int(names[to]), raw, more, A.planes(A.deltas(k[at])), A.planes(A.deltas(t[at])),
                          A.planes(A.deltas(p[at])), A.planes(n)))
 
         if again.any():
@@ -98,7 +100,7 @@ def _ship(width: int, buckets: int, check_bytes: int):
     def run(batches):
         held, n, turn = [], 0, 0
         for batch in batches:
-            keys = A.column(batch, "key").to_numpy()
+            ids = A.column(batch, "key").to_numpy()
             ths = A.column(batch, "th").to_numpy()
             for i, j, buf, off in A.pieces(A.column(batch, "text")):
                 starts, ends, first = A.find_words(buf, off, A.SPACED)
@@ -108,7 +110,7 @@ def _ship(width: int, buckets: int, check_bytes: int):
                     continue
                 extra = A.mix(h ^ A.mix(words[at] + words[at + width - 1] * A.U(3) + words[at + width // 2])) if check_bytes else h
                 row = np.repeat(np.arange(i, j), counts)
-                held.append((h, extra, _buckets(words, at, width, buckets), keys[row], ths[row],
+                held.append((h, extra, _buckets(words, at, width, buckets), ids[row], ths[row],
                              (at - first[row - i]).astype(np.int32)))
                 n += len(h)
                 if n >= FLUSH:
@@ -231,7 +233,7 @@ def remove_repeats(docs: DataFrame, width: int = 20, check_bytes: int = 0) -> Da
     intervals, end exclusive), kept_text (kept words joined by one space)."""
     parts = shuffle_parts(docs)
     docs = keyed(docs)
-    blocks = docs.mapInArrow(_ship(width, parts, check_bytes), BLOCK)
+    blocks = docs.mapInArrow(_ship(width, bucket_keys(docs, parts), check_bytes), BLOCK)
     spans = (blocks.repartition(parts, "bucket").sortWithinPartitions("bucket")
              .mapInArrow(_count(check_bytes), SPAN_ROW))
     return with_spans(docs, spans).select("doc_id", "text", "spans").mapInArrow(

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from eventlens.llm import arrays as A
 from eventlens.llm.spans import SpanRows, keyed, span_lists, unpack, with_spans
-from eventlens.llm.spill import shuffle_parts, written
+from eventlens.llm.spill import bucket_keys, shuffle_parts, written
 from eventlens.llm.substring_dedup import _sliding_min
 
 SEED = 24
@@ -109,7 +109,9 @@ def _hot(width: int, share: int):
     return run
 
 
-def _ship(width: int, buckets: int, hot):
+def _ship(width: int, names: np.ndarray, hot):
+    """``names``: the number that each bucket goes by."""
+    buckets = len(names)
     small = np.uint16 if buckets <= 1 << 16 else np.uint32
 
     def flush(held):
@@ -127,7 +129,7 @@ def _ship(width: int, buckets: int, hot):
         rows = []
         for s, e in zip(cut[:-1], cut[1:]):
             sel = order[s:e]
-            rows.append((int(b[s]), anchor[sel].tobytes(), A.planes(content[sel])[:6 * len(sel)], A.planes(A.deltas(key[sel])),
+            rows.append((int(names[b[s]]), anchor[sel].tobytes(), A.planes(content[sel])[:6 * len(sel)], A.planes(A.deltas(key[sel])),
                          A.planes(A.deltas(th[sel])), A.planes(A.deltas(pos[sel])), n[sel].tobytes()))
         return A.batch_of(BLOCK_SCHEMA, list(zip(*rows)))
 
@@ -239,6 +241,8 @@ def _segment_groups(buckets: int):
     return run
 
 
+#: suffixes whose bytes are compared at a time
+CHUNK = 1 << 15
 TEXTS = "bucket int, key long, th int, pos int, before int, text binary"
 
 
@@ -275,13 +279,17 @@ def suffix_array(texts, width: int):
     place = (np.cumsum(size) - size)[text] + offset
     cols = -(-longest // 8) * 8
     view = np.lib.stride_tricks.sliding_window_view(np.r_[flat, np.zeros(8, np.uint8)], cols) if len(flat) + 8 >= cols else flat[None]
-    rows = view[np.minimum(place, len(view) - 1)].copy()
-    rows[np.arange(cols)[None, :] >= left[:, None]] = 0
-    words = rows.view(">u8").astype(np.uint64)
-    order = np.lexsort((left,) + tuple(words[:, c] for c in range(words.shape[1] - 1, -1, -1)))
-    same = rows[order[1:]] == rows[order[:-1]]
-    lcp = np.where(same.all(1), cols, same.argmin(1))
-    lcp = np.r_[0, np.minimum(lcp, np.minimum(left[order[1:]], left[order[:-1]]))] if len(order) else np.zeros(0, np.int64)
+    rows = view[np.minimum(place, len(view) - 1)]
+    lcp = np.zeros(len(rows), np.int64)
+    for i in range(0, len(rows), CHUNK):
+        part = rows[i:i + CHUNK]
+        part[np.arange(cols)[None, :] >= left[i:i + CHUNK, None]] = 0
+    order = np.argsort(rows.view(f"S{cols}").ravel(), kind="stable")
+    for i in range(1, len(rows), CHUNK):
+        one, two = order[i - 1:min(i + CHUNK, len(rows)) - 1], order[i:i + CHUNK]
+        same = rows[one] == rows[two]
+        common = np.where(same.all(1), cols, same.argmin(1))
+        lcp[i:i + CHUNK] = np.minimum(common, np.minimum(left[one], left[two]))
     return text[order], offset[order], lcp
 
 
@@ -398,7 +406,7 @@ def remove_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
     spark = docs.sparkSession
     docs = keyed(docs)
     hot = spark.sparkContext.broadcast(hot_minimizers(docs, width, parts))
-    blocks = docs.mapInArrow(_ship(width, parts, hot), BLOCK)
+    blocks = docs.mapInArrow(_ship(width, bucket_keys(docs, parts), hot), BLOCK)
     found = written(blocks.repartition(parts, "bucket").sortWithinPartitions("bucket")
                     .mapInArrow(_segment_groups(parts), "kind int, bucket int, key long, th int, spans binary"), "segments")
     asked = found.where("kind = 1").groupBy("key", "th").agg(F.collect_list(F.struct("bucket", "spans")).alias("asked"))

@@ -111,6 +111,17 @@ def _base(df: DataFrame) -> DataFrame:
     return df.drop("hit", "gap", "size", "size_step", "size_steps", *[f"base_{k}" for k in KINDS])
 
 
+def _with_runs(df: DataFrame) -> DataFrame:
+    """Adds ``runs``: the base spans in runs of about sqrt(n), each with its
+    lowest start and highest end, so that a word meets few of them."""
+    step = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size("base")))).cast("int")
+    df = df.withColumn("run", step)
+    cut = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("base")), F.col("run")), lambda i: F.slice("base", i, F.col("run")))
+    return df.withColumn("runs", F.transform(cut, lambda r: F.struct(
+        F.array_min(F.transform(r, lambda s: s["start"])).alias("low"),
+        F.array_max(F.transform(r, lambda s: s["end"])).alias("high"), r.alias("spans")))).drop("run")
+
+
 def _occurrences(df: DataFrame) -> DataFrame:
     """Adds ``seen``: (left, instance, kind, start, end) of the base entities
     and of all other words with digits.  Words keep the white space after them,
@@ -118,26 +129,40 @@ def _occurrences(df: DataFrame) -> DataFrame:
     word = F.when(F.col("text").rlike("[0-9]") | (F.size("base") > 0), F.split("text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])", -1))
     df = df.withColumn("word", F.coalesce(word, F.array().cast("array<string>")))
     df = df.withColumn("at", F.transform("word", lambda w: F.char_length(w)))
-    df = _with_steps(df, "at")
+    df = _with_steps(_with_runs(df), "at")
     bare = lambda w: F.regexp_replace(w, r"[\x20\x09-\x0D]+$", "")
-    before = lambda i, k: F.when(i >= k, F.lower(bare(F.element_at("word", i - k + 1)))).otherwise(F.lit("^"))
-    digits = F.filter(F.transform("word", lambda w, i: F.when(w.rlike("[0-9]"), i)), lambda i: i.isNotNull())
-
-    def occurrence(i):
-        w = bare(F.element_at("word", i + 1))
-        start = sum_before(F.col("at"), F.col("at_steps"), F.col("at_step"), i).cast("int")
-        end = start + F.char_length(w)
-        touching = F.filter("base", lambda s: (s["start"] < end) & (s["end"] > start))
-        opens = F.filter(touching, lambda s: s["start"] >= start)
-        kind = F.when(F.size(opens) > 0, F.get(opens, F.lit(0))["kind"])
-        plain = (F.size(touching) == 0) & (F.char_length(w) >= LONG) & (F.char_length(F.regexp_replace(w, "[^0-9]", "")) >= DIGITS)
-        return F.when(kind.isNotNull() | plain, F.struct(
-            F.concat_ws(" ", before(i, 2), before(i, 1)).alias("left"),
-            F.when(kind.isNotNull(), F.get(opens, F.lit(0))["text"]).otherwise(w).alias("instance"),
-            kind.alias("kind"), start.alias("start"), end.alias("end")))
-
-    seen = F.filter(F.transform(digits, occurrence), lambda o: o.isNotNull())
-    return df.withColumn("seen", seen).drop("word", "at", "at_step", "at_steps")
+    env = F.struct("word", "at", "at_steps", "at_step", "runs")
+    # every step is a transform of its own, so that its values are computed once for each word
+    seen = F.get(F.transform(F.array(env), lambda e: _words(e, bare)), F.lit(0))
+    return df.withColumn("seen", seen).drop("word", "at", "at_step", "at_steps", "runs")
+
+
+def _words(e: Column, bare) -> Column:
+    """The occurrences of a text's words ``e`` (word, at, at_steps, at_step, runs)."""
+    before = lambda i, k: F.when(i >= k, F.lower(bare(F.element_at(e["word"], i - k + 1)))).otherwise(F.lit("^"))
+
+    def touching(o):
+        near = F.filter(e["runs"], lambda r: (r["low"] < o["end"]) & (r["high"] > o["start"]))
+        return F.filter(F.flatten(F.transform(near, lambda r: r["spans"])), lambda s: (s["start"] < o["end"]) & (s["end"] > o["start"]))
+
+    def occurrence(t):
+        o, own = t["o"], t["own"]
+        plain = (t["n"] == 0) & (F.char_length(o["w"]) >= LONG) & (F.char_length(F.regexp_replace(o["w"], "[^0-9]", "")) >= DIGITS)
+        return F.when(own.isNotNull() | plain, F.struct(
+            F.concat_ws(" ", before(o["i"], 2), before(o["i"], 1)).alias("left"),
+            F.coalesce(own["text"], o["w"]).alias("instance"), own["kind"].alias("kind"),
+            o["start"].alias("start"), o["end"].alias("end")))
+
+    digits = F.filter(F.transform(e["word"], lambda w, i: F.when(w.rlike("[0-9]"), i)), lambda i: i.isNotNull())
+    words = F.transform(digits, lambda i: F.struct(
+        i.alias("i"), bare(F.element_at(e["word"], i + 1)).alias("w"),
+        sum_before(e["at"], e["at_steps"], e["at_step"], i).cast("int").alias("start")))
+    words = F.transform(words, lambda o: F.struct(
+        o["i"].alias("i"), o["w"].alias("w"), o["start"].alias("start"), (o["start"] + F.char_length(o["w"])).alias("end")))
+    met = F.transform(words, lambda o: F.struct(o.alias("o"), touching(o).alias("near")))
+    met = F.transform(met, lambda t: F.struct(t["o"].alias("o"), F.size(t["near"]).alias("n"), F.get(
+        F.filter(t["near"], lambda s: s["start"] >= t["o"]["start"]), F.lit(0)).alias("own")))
+    return F.filter(F.transform(met, occurrence), lambda o: o.isNotNull())
 
 
 def score_patterns(seen: DataFrame) -> DataFrame:

@@ -138,6 +138,14 @@ def test_base_entities(spark, odd_docs, odd_rows):
     assert got == sorted([(i, base_spans(t)) for i, t in enumerate(TRICKY, 100)] + [(i or 0, base_spans(t)) for i, t in odd_rows])
 
 
+def test_text_full_of_personal_data(spark):
+    """Thousands of entities in one text: the work grows with the text."""
+    text = " ".join(f"word u{k}@ex.org say {k}7{k}33 at 10.0.{k % 256}.{k % 300}" for k in range(3000))
+    found = pii.entities(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    got = found.select(F.size("base").alias("n"), pii.listed(F.col("base")).alias("b")).first()
+    assert got.n > 5000 and got.b == base_spans(text)
+
+
 def test_patterns_of_seeds_find_unseen_identifiers(spark, no_docs):
     rows = [(k, f"my badge number is +1 (017) 555-77{k}3 ok") for k in range(5)]
     rows += [(10, "my badge number is QX-99812 ok"), (11, "page number 99812 ok"), (12, "my badge number is 7")]

@@ -68,8 +68,13 @@ def _ship(width: int, names: np.ndarray, check_bytes: int):
 
     def flush(held, turn):
         h, extra, bucket, key, th, pos = (np.concatenate(c) for c in zip(*held))
-        if (key[1:] < key[:-1]).any():
+        after = (key[1:] > key[:-1]) | ((key[1:] == key[:-1]) & (
+            (th[1:] > th[:-1]) | ((th[1:] == th[:-1]) & (pos[1:] > pos[:-1]))))
+        if not after.all():
             order = np.lexsort((pos, th, key))
+            # a repeated row has its copy's places: they are one place, not repeats of each other
+            k, t, p = key[order], th[order], pos[order]
+            order = order[np.r_[True, (k[1:] != k[:-1]) | (t[1:] != t[:-1]) | (p[1:] != p[:-1])]]
             h, extra, bucket, key, th, pos = (a[order] for a in (h, extra, bucket, key, th, pos))
         order = np.argsort(h, kind="stable")
         same = h[order[1:]] == h[order[:-1]]

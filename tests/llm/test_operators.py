@@ -105,6 +105,23 @@ def test_repeated_windows(odd_docs, odd_rows, width, check):
     assert [r for r in got if r[1] != 16] == sorted(out[r] for r in odd_rows if r[0] != 16)
 
 
+def test_repeated_rows_are_one_document(spark):
+    text = [" ".join(f"{c}{k}" for k in range(30)) for c in "abc"]
+    rows = [(5, text[0]), (4, text[1]), (5, text[0]), (6, text[0] + " end"), (7, text[2]), (7, text[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted((r.doc_id, r.kept_text) for r in substring_dedup.remove_repeats(docs).collect())
+    assert got == [(4, text[1]), (5, text[0]), (5, text[0]), (6, "end"), (7, text[2]), (7, text[2])]
+
+
+def test_rows_of_one_id_keep_the_first_by_text_hash(spark):
+    same = " ".join(f"s{k}" for k in range(25))
+    for rows in ([(1, same + " x"), (1, same + " y")], [(1, same + " y"), (1, same + " x")]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        first = docs.orderBy(F.shiftright(F.xxhash64("text"), 32).cast("int")).first().text
+        got = sorted(r.kept_text for r in substring_dedup.remove_repeats(docs).collect())
+        assert got == sorted([first, "y" if first.endswith("x") else "x"])
+
+
 def test_repeated_windows_of_no_rows(no_docs):
     assert substring_dedup.remove_repeats(no_docs).count() == 0
 

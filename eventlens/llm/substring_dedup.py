@@ -10,6 +10,11 @@ merge into maximal removal intervals over its words.
 
 A task drops the windows it has itself seen before shipping them, so a passage
 that a third of all documents share reaches its bucket once per task flush.
+Minimizers that hold a large share of all windows so thinned (a phrase shorter
+than ``width`` that many documents have has other text beside it each time) are
+found in a first pass over all texts; their windows are dealt singly, by their
+own hash, so no bucket gathers a hot minimizer.  At most ``4 * buckets``
+minimizers can hold that share, which bounds the broadcast set.
 Two different windows share a hash with chance n**2 / 2**65 over n windows:
 5e-4 at 1.4e8 words.  ``check_bytes`` adds up to 8 bytes of a second hash.
 
@@ -24,11 +29,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from eventlens.llm import arrays as A
 from eventlens.llm.spans import SPAN_ROW, SpanRows, keyed, span_lists, strings, unpack, with_spans
-from eventlens.llm.spill import bucket_keys, shuffle_parts
+from eventlens.llm.spill import bucket_keys, shuffle_parts, written
 
 #: windows that a map task holds before it ships them
 FLUSH = 1 << 20
@@ -45,14 +52,14 @@ def _sliding_min(v: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(v[:len(v) - (w - have)], v[w - have:]) if have < w else v
 
 
-def _buckets(words, at, width, buckets):
-    """Bucket of the windows that start at words ``at``."""
+def _minimizers(words, at, width):
+    """Smallest three-word hash of the windows that start at words ``at``."""
     seed = min(SEED_WORDS, width)
     prefix = A.prefix_hash(words, A.WORD_BASE)
     i = np.arange(len(words) - seed + 1)
     grams = A.mix(A.span_hash(prefix, i, i + seed, A.WORD_BASE))
     low = _sliding_min(grams, width - seed + 1)
-    return (A.mix(low)[at] % A.U(buckets)).astype(np.uint32)
+    return A.mix(low)[at]
 
 
 def _runs(key, th, pos):
@@ -60,7 +67,48 @@ def _runs(key, th, pos):
     return np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (th[1:] != th[:-1]) | (pos[1:] != pos[:-1] + 1)])
 
 
-def _ship(width: int, names: np.ndarray, check_bytes: int):
+def _hot(width: int, share: int):
+    """Minimizers with over 1 / share of the different windows of a flush."""
+    schema = pa.schema([("low", pa.int64()), ("n", pa.int64()), ("total", pa.int64())])
+
+    def report(held):
+        h, low = (np.concatenate(c) for c in zip(*held))
+        low = low[np.unique(h, return_index=True)[1]]
+        values, n = np.unique(low, return_counts=True)
+        top = n > max(16, len(low) // share)
+        return A.batch_of(schema, (np.r_[values[top].view(np.int64), np.int64(0)], np.r_[n[top], 0],
+                                   np.r_[np.zeros(top.sum(), np.int64), len(low)]))
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            for i, j, buf, off in A.pieces(A.column(batch, "text")):
+                starts, ends, first = A.find_words(buf, off, A.SPACED)
+                words = A.word_hashes(buf, starts, ends)
+                h, at, _ = A.window_hashes(words, first, width)
+                if not len(h):
+                    continue
+                held.append((h, _minimizers(words, at, width)))
+                n += len(h)
+                if n >= FLUSH:
+                    yield report(held)
+                    held, n = [], 0
+        if held:
+            yield report(held)
+    return run
+
+
+def hot_minimizers(docs: DataFrame, width: int, buckets: int) -> np.ndarray:
+    """Minimizers with over 1 / (4 * buckets) of all windows that are shipped
+    with their hash (at most 4 * buckets of them)."""
+    seen = docs.select("text").mapInArrow(_hot(width, 8 * buckets), "low long, n long, total long")
+    seen = written(seen.groupBy("low").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "minimizers")
+    total = seen.agg(F.sum("total")).first()[0] or 0
+    top = seen.where(F.col("n") > max(64, total // (4 * buckets))).select("low").collect()
+    return np.array(sorted(r[0] for r in top), np.int64).view(np.uint64)
+
+
+def _ship(width: int, names: np.ndarray, check_bytes: int, hot):
     """``names``: the number that each bucket goes by."""
     buckets = len(names)
     schema = pa.schema([("bucket", pa.int32())] + [(c, pa.binary()) for c in ("hashes", "checks", "key", "th", "pos", "n")])
@@ -103,7 +151,9 @@ def _ship(width: int, names: np.ndarray, check_bytes: int):
         return A.batch_of(schema, list(zip(*rows)))
 
     def run(batches):
-        held, n, turn = [], 0, 0
+        singles = hot.value
+        # known repeats go round the buckets, from another one in each task
+        held, n, turn = [], 0, int(A.mix(np.array([TaskContext.get().partitionId()], np.uint64))[0] % A.U(buckets))
         for batch in batches:
             ids = A.column(batch, "key").to_numpy()
             ths = A.column(batch, "th").to_numpy()
@@ -115,7 +165,10 @@ def _ship(width: int, names: np.ndarray, check_bytes: int):
                     continue
                 extra = A.mix(h ^ A.mix(words[at] + words[at + width - 1] * A.U(3) + words[at + width // 2])) if check_bytes else h
                 row = np.repeat(np.arange(i, j), counts)
-                held.append((h, extra, _buckets(words, at, width, buckets), ids[row], ths[row],
+                low = _minimizers(words, at, width)
+                if len(singles):
+                    low = np.where(np.isin(low, singles), A.mix(h), low)
+                held.append((h, extra, (low % A.U(buckets)).astype(np.uint32), ids[row], ths[row],
                              (at - first[row - i]).astype(np.int32)))
                 n += len(h)
                 if n >= FLUSH:
@@ -233,13 +286,18 @@ def _cut(width: int):
     return run
 
 
+def _blocks(docs: DataFrame, width: int, check_bytes: int, parts: int) -> DataFrame:
+    """Windows of ``keyed`` documents as blocks of ``parts`` buckets."""
+    hot = docs.sparkSession.sparkContext.broadcast(hot_minimizers(docs, width, parts))
+    return docs.mapInArrow(_ship(width, bucket_keys(docs, parts), check_bytes, hot), BLOCK)
+
+
 def remove_repeats(docs: DataFrame, width: int = 20, check_bytes: int = 0) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, n_words, spans (removed word
     intervals, end exclusive), kept_text (kept words joined by one space)."""
     parts = shuffle_parts(docs)
     docs = keyed(docs)
-    blocks = docs.mapInArrow(_ship(width, bucket_keys(docs, parts), check_bytes), BLOCK)
-    spans = (blocks.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    spans = (_blocks(docs, width, check_bytes, parts).repartition(parts, "bucket").sortWithinPartitions("bucket")
              .mapInArrow(_count(check_bytes), SPAN_ROW))
     return with_spans(docs, spans).select("doc_id", "text", "spans").mapInArrow(
         _cut(width), "doc_id long, n_words long, spans array<struct<start: long, end: long>>, kept_text string")

@@ -122,6 +122,22 @@ def test_rows_of_one_id_keep_the_first_by_text_hash(spark):
         assert got == sorted([first, "y" if first.endswith("x") else "x"])
 
 
+def test_windows_of_a_hot_phrase_meet_in_many_buckets(spark, monkeypatch):
+    phrase = " ".join(f"licence{k}" for k in range(18))
+    rows = [(k, f"a{k} b{k} c{k} {phrase} d{k} e{k} f{k}") for k in range(400)] + [(900, f"c7 {phrase} d7 z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    blocks = substring_dedup._blocks(substring_dedup.keyed(docs), 20, 0, 8)
+    n = [r.n for r in blocks.groupBy("bucket").agg(F.sum(F.length("hashes") / 8).alias("n")).collect()]
+    assert len(n) == 8 and max(n) < sum(n) / 4
+    got = sorted(map(str, substring_dedup.remove_repeats(docs).collect()))
+    assert [r.kept_text for r in substring_dedup.remove_repeats(docs).where("doc_id = 900").collect()] == ["z"]
+    monkeypatch.setattr(substring_dedup, "hot_minimizers", lambda *a: np.zeros(0, np.uint64))
+    assert sorted(map(str, substring_dedup.remove_repeats(docs).collect())) == got
+    together = [r.n for r in substring_dedup._blocks(substring_dedup.keyed(docs), 20, 0, 8).groupBy("bucket")
+                .agg(F.sum(F.length("hashes") / 8).alias("n")).collect()]
+    assert max(together) > sum(together) / 3
+
+
 def test_repeated_windows_of_no_rows(no_docs):
     assert substring_dedup.remove_repeats(no_docs).count() == 0
 

@@ -4,8 +4,11 @@ DataFrame functions only.
 1. Base entities (e-mail, ip, card, phone) are found by pattern and checked
    (octets, Luhn sum, digit counts).  The patterns are possessive and start at
    the head of a run, so matching is linear in the text.
-2. Every base entity is a seed; every other word with digits is a candidate.
-   Both are occurrences of a lexical pattern: the two words before them.
+2. Every base entity is a seed, whatever its characters; every word with digits
+   that touches none opens a candidate: itself and the groups of digits after it,
+   as far as the separators of the base patterns (space, hyphen, dot, brackets)
+   and ``MOST`` digits go.  Both are occurrences of a lexical pattern: the two
+   words before them.
 3. ``score_patterns`` works on the graph of patterns and instances.  A
    pattern's confidence in a kind is the mean score of its distinct instances;
    an unlabelled instance's score is the noisy-or of its patterns.  Seeds keep
@@ -46,6 +49,8 @@ MAYBE = {
 ROUNDS, SEEDS, LEAST = 3, 3, 0.8
 #: a candidate has so many characters and digits at least
 LONG, DIGITS = 5, 3
+#: a candidate of several words has so many digits at most, as a base entity has
+MOST = 19
 
 SPAN = "struct<start: int, kind_no: int, end: int, kind: string, text: string>"
 
@@ -145,24 +150,60 @@ def _words(e: Column, bare) -> Column:
         near = F.filter(e["runs"], lambda r: (r["low"] < o["end"]) & (r["high"] > o["start"]))
         return F.filter(F.flatten(F.transform(near, lambda r: r["spans"])), lambda s: (s["start"] < o["end"]) & (s["end"] > o["start"]))
 
-    def occurrence(t):
-        o, own = t["o"], t["own"]
-        plain = (t["n"] == 0) & (F.char_length(o["w"]) >= LONG) & (F.char_length(F.regexp_replace(o["w"], "[^0-9]", "")) >= DIGITS)
-        return F.when(own.isNotNull() | plain, F.struct(
-            F.concat_ws(" ", before(o["i"], 2), before(o["i"], 1)).alias("left"),
-            F.coalesce(own["text"], o["w"]).alias("instance"), own["kind"].alias("kind"),
-            o["start"].alias("start"), o["end"].alias("end")))
-
-    digits = F.filter(F.transform(e["word"], lambda w, i: F.when(w.rlike("[0-9]"), i)), lambda i: i.isNotNull())
+    def seeds(t):
+        """The base entities that a word opens; of overlapping ones the first."""
+        apart = F.filter(t["own"], lambda s, j: (j == 0) | (F.get(t["own"], j - 1)["end"] <= s["start"]))
+        return F.transform(apart, lambda s: seen(t, s["text"], s["kind"], t["o"]["end"]))
+
+    def seen(t, instance, kind, end):
+        o = t["o"]
+        return F.struct(F.concat_ws(" ", before(o["i"], 2), before(o["i"], 1)).alias("left"), instance.alias("instance"),
+                        kind.alias("kind"), o["start"].alias("start"), end.alias("end"))
+
+    def joins(met, t, p):
+        """Whether a word of digits goes on from the one before it."""
+        last = F.get(met, p - 1)
+        between = F.slice(e["word"], last["o"]["i"] + 2, t["o"]["i"] - last["o"]["i"] - 1)
+        return F.coalesce(t["goes_on"] & last["opens"] & F.forall(between, lambda w: w.rlike(r"^[().-]++\x20++$")), F.lit(False))
+
+    def more(met, t, p):
+        """Words that go on from a word, and the digits of them all."""
+        start = F.struct(F.lit(0).alias("n"), t["d"].alias("d"), F.lit(True).alias("on"))
+
+        def add(a, u):
+            on = a["on"] & u["joins"] & (a["d"] + u["d"] <= MOST)
+            return F.struct((a["n"] + on.cast("int")).alias("n"), F.when(on, a["d"] + u["d"]).otherwise(a["d"]).alias("d"), on.alias("on"))
+
+        return F.when(F.coalesce(F.get(met, p + 1)["joins"], F.lit(False)),
+                      F.aggregate(F.slice(met, p + 2, F.lit(MOST)), start, add)).otherwise(start)
+
+    def occurrences(met, t):
+        run = F.slice(met, t["p"] + 1, t["more"]["n"] + 1)
+        end = F.element_at(run, -1)["o"]["end"]
+        plain = (t["n"] == 0) & (end - t["o"]["start"] >= LONG) & (t["more"]["d"] >= DIGITS)
+        text = F.array_join(F.transform(run, lambda u: u["o"]["w"]), " ")
+        none = F.array().cast("array<struct<left: string, instance: string, kind: string, start: int, end: int>>")
+        return F.when(F.size(t["own"]) > 0, seeds(t)).when(plain, F.array(seen(t, text, F.lit(None).cast("string"), end))).otherwise(none)
+
+    once = lambda a, f: F.flatten(F.transform(F.array(a), f))
+    # words of base entities have a digit or an @
+    digits = F.filter(F.transform(e["word"], lambda w, i: F.when(w.rlike("[0-9@]"), i)), lambda i: i.isNotNull())
     words = F.transform(digits, lambda i: F.struct(
         i.alias("i"), bare(F.element_at(e["word"], i + 1)).alias("w"),
         sum_before(e["at"], e["at_steps"], e["at_step"], i).cast("int").alias("start")))
     words = F.transform(words, lambda o: F.struct(
         o["i"].alias("i"), o["w"].alias("w"), o["start"].alias("start"), (o["start"] + F.char_length(o["w"])).alias("end")))
     met = F.transform(words, lambda o: F.struct(o.alias("o"), touching(o).alias("near")))
-    met = F.transform(met, lambda t: F.struct(t["o"].alias("o"), F.size(t["near"]).alias("n"), F.get(
-        F.filter(t["near"], lambda s: s["start"] >= t["o"]["start"]), F.lit(0)).alias("own")))
-    return F.filter(F.transform(met, occurrence), lambda o: o.isNotNull())
+    met = F.transform(met, lambda t: F.struct(
+        t["o"].alias("o"), F.size(t["near"]).alias("n"), F.filter(t["near"], lambda s: s["start"] >= t["o"]["start"]).alias("own"),
+        F.char_length(F.regexp_replace(t["o"]["w"], "[^0-9]", "")).alias("d"),
+        ((F.size(t["near"]) == 0) & F.element_at(e["word"], t["o"]["i"] + 1).rlike(r"[0-9][().-]*+\x20++$")).alias("opens"),
+        ((F.size(t["near"]) == 0) & t["o"]["w"].rlike(r"^[(.-]*+[0-9][0-9().-]*+[^\p{L}\p{N}]*+$")).alias("goes_on")))
+    met = once(met, lambda m: F.transform(m, lambda t, p: F.struct(
+        t["o"].alias("o"), t["n"].alias("n"), t["own"].alias("own"), t["d"].alias("d"), joins(m, t, p).alias("joins"))))
+    return once(met, lambda m: once(F.transform(m, lambda t, p: F.struct(
+        p.alias("p"), t["o"].alias("o"), t["n"].alias("n"), t["own"].alias("own"), more(m, t, p).alias("more"))),
+        lambda r: F.flatten(F.transform(r, lambda t: occurrences(m, t)))))
 
 
 def score_patterns(seen: DataFrame) -> DataFrame:

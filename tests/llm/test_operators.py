@@ -189,6 +189,21 @@ def test_patterns_of_seeds_find_unseen_identifiers(spark, no_docs):
     assert pii.entities(no_docs).count() == 0 and pii.redact(no_docs).columns == no_docs.columns
 
 
+def test_seeds_without_digits_and_identifiers_in_groups(spark):
+    names = ["jane.doe", "ann", "bob-b", "carla"]
+    rows = [(k, f"please write to {n}@example.org soon") for k, n in enumerate(names)]
+    rows += [(10 + k, f"dial me at +1 (017) 555-77{k}3 ok") for k in range(4)] + [(20 + k, f"paid with card {c} ok") for k, c in enumerate(
+        ["4111 1111 1111 1111", "5500 0000 0000 0004", "378282246310005"])]
+    rows += [(30, "please write to user99812 soon"), (31, "dial me at 555 123 4567, ok"), (32, "dial me at (555) 123 - 4567 ok"),
+             (33, "paid with card 4111 1111 1111 1112 ok"), (34, "page 555 123 4567 ok"), (35, "dial me at 555\n123 4567"),
+             (36, "see a@b.org,d@e.org and 1 2"), (37, "dial me at " + "12345 " * 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.s for r in pii.entities(docs).select("doc_id", pii.listed(F.col("spans")).alias("s")).collect()}
+    assert got[30] == "email:16:25" and got[31] == "phone:11:24" and got[32] == "phone:11:27" and got[33] == "card:15:34"
+    assert got[34] == got[35] == "" and got[36] == "email:4:11,email:12:19" and got[37] == "phone:11:28"
+    assert {r.doc_id: r.text for r in pii.redact(docs).collect()}[32] == "dial me at [PHONE] ok"
+
+
 def test_redaction_keeps_rows_and_columns(odd_docs):
     out = pii.redact(odd_docs)
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count()

@@ -54,16 +54,21 @@ SELECT event_id, alert_key, kept FROM f
 """, fixtures=["sec_logs"])
 def q_stream_suppress(spark, sf):
     """ST06 stateful suppression (15 minutes) of the failed-login alerts,
-    keyed by log type and address, as a stream; the alert itself is read back
-    from what the stream carries."""
+    keyed by log type and address, as a stream that reads a third of the time
+    span at a time, started anew on its checkpoint; the alert itself is read
+    back from what the stream carries."""
     base = _scratch(spark, "stream-suppress")
     alerts = (fx.sec_logs(spark, sf).where(F.col("result") == "FAILED")
               .select("event_id", F.concat_ws(":", F.lit("rule"), "log_type", "src_ip").alias("alert_key"),
                       F.col("event_time").alias("timestamp")))
-    alerts.write.mode("overwrite").parquet(f"{base}/in")
-    src = spark.readStream.schema(alerts.schema).parquet(f"{base}/in")
-    q = suppress_stream(src, f"{base}/out", f"{base}/ckpt", available_now=True)
-    q.awaitTermination()
+    at = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    low, high = alerts.agg(F.min(at), F.max(at)).first()
+    third = ((high or 0) - (low or 0)) // 3 + 1
+    part = F.when(at >= (low or 0) + 2 * third, 2).when(at >= (low or 0) + third, 1).otherwise(0)
+    for k in range(3):
+        alerts.where(part == k).write.mode("append").parquet(f"{base}/in")
+        src = spark.readStream.schema(alerts.schema).parquet(f"{base}/in")
+        suppress_stream(src, f"{base}/out", f"{base}/ckpt", available_now=True).awaitTermination()
     out = spark.read.parquet(f"{base}/out")
     return out.select(F.get_json_object("alert", "$.event_id").cast("long").alias("event_id"), "alert_key", "kept")
 

@@ -111,6 +111,8 @@ def brute_force_stream(logs: DataFrame, out_path: str, checkpoint: str, threshol
 
 
 SUPPRESS_STATE = "last_kept long"
+#: a key's state stays so long after the key's last batch, in milliseconds of the wall clock
+SUPPRESS_IDLE_MS = 24 * 3600 * 1000
 SUPPRESS_OUT = "alert_key string, ts timestamp, alert string, kept boolean"
 
 
@@ -119,15 +121,22 @@ def suppress_stream(alerts: DataFrame, out_path: str, checkpoint: str, minutes:
                     watermark: str = WATERMARK):
     """ST06/R10 in a stream: per key, the time of the last kept alert is
     keyed state (RocksDB store); each micro-batch's alerts of a key are
-    walked in time order against it.  Event time drives the state and its
-    timeout: once the watermark is a window past the last kept alert, the
-    key's state goes.  The whole alert is carried as JSON (``alert``), so the
-    enrichment and the outbox can follow."""
+    walked in time order against it.  No alert is dropped, however late: the
+    timeout is one of processing time, as with an event-time timeout Spark
+    leaves out rows behind the watermark.  The watermark only says when a
+    key's state may go: it is a window past the last kept alert, and the key
+    was idle for ``SUPPRESS_IDLE_MS``.  An alert that comes later still starts
+    anew and is kept.  The whole alert is carried as JSON (``alert``), so the
+    enrichment and the outbox can follow.  A key's alerts of one micro-batch
+    are held by one task: bound the batch at the source."""
     gap_us = minutes * 60 * 1_000_000
 
     def fold(key, pdfs, state):
         if state.hasTimedOut:
-            state.remove()
+            if state.getCurrentWatermarkMs() >= (state.get[0] + gap_us) // 1000:
+                state.remove()
+            else:
+                state.setTimeoutDuration(SUPPRESS_IDLE_MS)
             return
         last = state.get[0] if state.exists else None
         rows = pd.concat(list(pdfs)).sort_values(["ts", "alert"], kind="mergesort")
@@ -139,7 +148,7 @@ def suppress_stream(alerts: DataFrame, out_path: str, checkpoint: str, minutes:
             if ok:
                 last = int(v)
         state.update((last,))
-        state.setTimeoutTimestamp(max((last + gap_us) // 1000, state.getCurrentWatermarkMs() + 1))
+        state.setTimeoutDuration(SUPPRESS_IDLE_MS)
         yield pd.DataFrame({"alert_key": [key[0]] * len(rows), "ts": rows["ts"].to_numpy(),
                             "alert": rows["alert"].to_numpy(), "kept": kept})
 
@@ -147,8 +156,22 @@ def suppress_stream(alerts: DataFrame, out_path: str, checkpoint: str, minutes:
                         F.to_json(F.struct(*alerts.columns)).alias("alert"))
     src = _event_time(src, "ts").withWatermark("ts", watermark)
     out = src.groupBy("alert_key").applyInPandasWithState(
-        fold, SUPPRESS_OUT, SUPPRESS_STATE, "append", GroupStateTimeout.EventTimeTimeout)
-    return _trigger(append_stream(out, out_path, checkpoint), None, available_now).start()
+        fold, SUPPRESS_OUT, SUPPRESS_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    w = _trigger(append_stream(out, out_path, checkpoint), None, available_now)
+    return _start_drain(alerts.sparkSession, w) if available_now else w.start()
+
+
+def _start_drain(spark: SparkSession, w):
+    """Start without batches that have no rows: with a processing-time timeout
+    there is always one more, and the drain would not end.  The query takes
+    the setting from the session when it starts."""
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(name, before)
 
 
 def score_stream(logs: DataFrame, models: dict, out_path: str, checkpoint: str, available_now: bool = False):

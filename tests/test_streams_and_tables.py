@@ -257,6 +257,33 @@ def test_suppression_state_outlives_a_batch_and_expires(spark, tmpdir_path):
     assert kept == ["log 0", "log 16", "log 600"]
 
 
+def test_late_alerts_are_kept_or_suppressed_but_never_lost(spark, tmpdir_path):
+    from eventlens.streaming.jobs import suppress_stream
+    t, schema = dt.datetime(2024, 1, 15, 10), "alert_key string, timestamp timestamp, note string"
+    # 600 moves the watermark far ahead of the alerts in the two batches after it
+    for batch in ([("a", 0)], [("b", 600)], [("c", 100), ("a", 5), ("a", 20)], [("a", 30), ("c", 99), ("d", 1)]):
+        rows = [(k, t + dt.timedelta(minutes=m), f"{k} {m}") for k, m in batch]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmpdir_path}/in")
+        src = spark.readStream.schema(schema).parquet(f"{tmpdir_path}/in")
+        suppress_stream(src, f"{tmpdir_path}/out", f"{tmpdir_path}/ckpt", available_now=True).awaitTermination()
+    got = {json.loads(r.alert)["note"]: r.kept for r in spark.read.parquet(f"{tmpdir_path}/out").collect()}
+    assert got == {"a 0": True, "b 600": True, "c 100": True, "a 5": False, "a 20": True, "a 30": False, "c 99": False, "d 1": True}
+
+
+def test_idle_suppression_state_goes_behind_the_watermark(spark, tmpdir_path, monkeypatch):
+    from eventlens.streaming import jobs
+    monkeypatch.setattr(jobs, "SUPPRESS_IDLE_MS", 1)
+    t, schema = dt.datetime(2024, 1, 15, 10), "alert_key string, timestamp timestamp, note string"
+    for batch in ([("a", 0)], [("b", 5)], [("a", 6), ("b", 600)], [("c", 600)], [("c", 601)], [("a", 7), ("b", 601)]):
+        rows = [(k, t + dt.timedelta(minutes=m), f"{k} {m}") for k, m in batch]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmpdir_path}/in")
+        src = spark.readStream.schema(schema).parquet(f"{tmpdir_path}/in")
+        jobs.suppress_stream(src, f"{tmpdir_path}/out", f"{tmpdir_path}/ckpt", available_now=True).awaitTermination()
+    got = {json.loads(r.alert)["note"]: r.kept for r in spark.read.parquet(f"{tmpdir_path}/out").collect()}
+    # a 6 meets its state, which is idle but not behind the watermark; a 7 comes when it is both
+    assert got == {"a 0": True, "b 5": True, "a 6": False, "b 600": True, "c 600": True, "c 601": False, "a 7": True, "b 601": False}
+
+
 def test_video_and_incident_sources(spark, tmpdir_path):
     from eventlens.sources.streams import read_incidents_json, read_videos_csv
     with open(f"{tmpdir_path}/v.csv", "w") as f:

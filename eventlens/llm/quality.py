@@ -135,11 +135,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).dropna()
     rows = rows.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("label").alias("label"))
     n = rows.count()
-    share = min(1.0, max_rows / max(1, n))
-    rows = rows.where(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    if n > max_rows:
+        rows = rows.where(F.shiftrightunsigned(F.xxhash64(F.lit(3), "doc_id"), 1) < F.lit((max_rows << 63) // n))
+        if rows.isEmpty():
+            raise ValueError(f"none of {n} labelled rows was drawn for a sample of {max_rows}")
     # bounded by max_rows, so the documents need not be shuffled to meet it
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(F.broadcast(rows), "doc_id")
+    texts = texts.join(F.broadcast(rows), "doc_id").withColumn("th", F.xxhash64("text")).dropDuplicates(["doc_id", "th"]).drop("th")
     parts = texts.repartition(SHARDS, F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(64))).mapInArrow(_train, "weights binary, n long").collect()
     total = sum(r["n"] for r in parts)
     out = np.zeros((1 << BITS) + 1, np.float64)

@@ -321,6 +321,24 @@ def test_quality_of_odd_rows(spark, odd_docs, no_docs):
     assert quality.score(no_docs, w).count() == 0 and quality.fit(no_docs, labels).any() == False  # noqa: E712
 
 
+def test_a_small_share_of_labels_is_still_drawn(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("some text "), F.col("id")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    with pytest.raises(ValueError):
+        quality.fit(docs, labels, max_rows=0)
+    # as many labels as would make the share less than 2**-20
+    many = spark.range(8_000_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    every = many.select("doc_id", F.lit("good").alias("text"))
+    assert quality.fit(every, many, max_rows=5).any()
+
+
+def test_repeated_labelled_rows_are_learnt_once(spark):
+    docs = spark.createDataFrame([(k, f"text {k} good" if k % 2 else f"bad {k} words") for k in range(40)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    again = docs.unionByName(docs.where("doc_id = 3")).unionByName(docs.where("doc_id < 9"))
+    assert (quality.fit(again, labels) == quality.fit(docs, labels)).all()
+
+
 # ---- 8
 
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 100, 1000])

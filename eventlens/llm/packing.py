@@ -214,17 +214,10 @@ SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.bi
 
 
 def _pack(path, capacity: int, windows: int, end_id: int):
-    def block(docs, counter):
-        """docs: (doc_id, ids) -> rows, next counter."""
-        rows, rests = [], []
-        for doc_id, ids in docs:
-            total, start = len(ids), 0
-            while total - start >= capacity:
-                rows.append((doc_id, start, ids[start:start + capacity].tobytes(), capacity, total, counter, 0))
-                counter, start = counter + 1, start + capacity
-            if start < total:
-                rests.append((doc_id, start, ids[start:], total))
-        for group in balanced([len(r[2]) for r in rests], capacity) if rests else []:
+    def block(rests, counter):
+        """rests: (doc_id, start, ids, doc_tokens) -> rows, next counter."""
+        rows = []
+        for group in balanced([len(r[2]) for r in rests], capacity):
             at = 0
             for k in sorted(group):
                 doc_id, start, ids, total = rests[k]
@@ -239,20 +232,31 @@ def _pack(path, capacity: int, windows: int, end_id: int):
             _state.update(path=where, tokens=WordTokens(where))
         tokens = _state["tokens"]
         counter = TaskContext.get().partitionId() << 32
-        held, size = [], 0
+        # a document's full windows go out at once, its rest is held for a block
+        held, size, full = [], 0, []
         for batch in batches:
             doc_ids = A.column(batch, "doc_id").to_pylist()
             for i, j, buf, off in A.pieces(A.column(batch, "text")):
                 ids, bounds = tokens(buf, off)
                 for r in range(j - i):
                     own = np.append(ids[bounds[r]:bounds[r + 1]], np.uint32(end_id)).astype("<u4")
-                    held.append((doc_ids[i + r], own))
-                    size += len(own) % capacity
+                    total, start = len(own), 0
+                    while total - start >= capacity:
+                        full.append((doc_ids[i + r], start, own[start:start + capacity].tobytes(), capacity, total, counter, 0))
+                        counter, start = counter + 1, start + capacity
+                        if len(full) >= windows:
+                            yield A.batch_of(SCHEMA, list(zip(*full)))
+                            full = []
+                    if start < total:
+                        held.append((doc_ids[i + r], start, own[start:].copy(), total))
+                        size += total - start
                     # a block ends where its windows would have some room each
                     if size >= (windows - 1) * capacity and (size % capacity < capacity // 2 or size >= (windows + 1) * capacity):
                         rows, counter = block(held, counter)
                         held, size = [], 0
                         yield A.batch_of(SCHEMA, list(zip(*rows)))
+        if full:
+            yield A.batch_of(SCHEMA, list(zip(*full)))
         if held:
             rows, counter = block(held, counter)
             yield A.batch_of(SCHEMA, list(zip(*rows)))

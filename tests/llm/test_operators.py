@@ -424,6 +424,24 @@ def test_packing_is_whole_and_tight(odd_docs, odd_rows, no_docs):
     assert packing.pack(no_docs).count() == 0
 
 
+def test_full_windows_of_long_documents_are_not_held(spark):
+    text = " ".join(f"word{k % 50}" for k in range(3000))
+    docs = spark.createDataFrame([(k, text) for k in range(40)], "doc_id long, text string").coalesce(1)
+    rows = docs.mapInArrow(lambda bs: packing._pack(None, 64, 16, packing.END_ID)(bs), packing.FIELDS).collect()
+    docs_of = {}
+    for r in rows:
+        docs_of.setdefault(r.doc_id, []).append((r.start, r.length, r.doc_tokens))
+    for parts in docs_of.values():
+        parts.sort()
+        assert [s for s, _, _ in parts] == np.cumsum([0] + [n for _, n, _ in parts[:-1]]).tolist() and sum(n for _, n, _ in parts) == parts[0][2]
+    windows = {}
+    for r in rows:
+        windows[r.sequence_id] = windows.get(r.sequence_id, 0) + r.length
+    assert len(docs_of) == 40 and max(windows.values()) <= 64
+    sizes = docs.mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in packing._pack(None, 64, 16, packing.END_ID)(bs)), "n long")
+    assert max(r.n for r in sizes.collect()) <= 100
+
+
 def test_units_keep_the_tokenizer_s_ids():
     from tokenizers import Tokenizer
     path = packing.public_tokenizer()

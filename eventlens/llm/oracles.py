@@ -83,5 +83,16 @@ select h.doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(r, 0)::bigint as
 from h left join total on total.doc_id = h.doc_id
 """
 
+OP13 = """
+with line as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as t,
+                     unnest(generate_series(1, len(string_split(coalesce(text, ''), chr(10))))) as i from documents),
+k as (select *, translate(trim(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k from line),
+low as (select k, min(doc_id) as low from k where length(k) >= 10 group by k having count(distinct doc_id) > 1)
+select doc_id, count(*) as n_lines, count(*) filter (where low < doc_id) as n_dropped,
+       sha256(coalesce(string_agg(t, chr(10) order by i) filter (where low is null or low = doc_id), '')) as kept_sha256
+from k left join low using (k) group by doc_id
+"""
+
 ORACLES = {"op1_near_duplicates": OP1, "op2_substring_dedup": OP2, "op4_chat_format": OP4, "op6_decontaminate": OP6,
-           "op9_suffix_dedup": OP9}
+           "op9_suffix_dedup": OP9, "op13_line_dedup": OP13}

@@ -83,6 +83,59 @@ select h.doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(r, 0)::bigint as
 from h left join total on total.doc_id = h.doc_id
 """
 
+# A prefix of edits is its cost in nine digits and its letters: the least string
+# is the cheapest prefix, and the ASCII-least of equal ones.
+def _edit(state: int, cost: str, letter: str, when: str = "") -> str:
+    new = f"lpad((substr(b[{state}], 1, 9)::bigint + {cost})::varchar, 9, '0') || substr(b[{state}], 10) || '{letter}'"
+    return f"case when {when} then {new} end" if when else new
+
+
+def _stay(state: int, initial: str) -> str:
+    ok = "x[3] = ''"
+    keep = _edit(state, "x[4]::bigint", "K", f"{ok} and x[2] = '{initial}'")
+    return f"{keep}, {_edit(state, 'x[4]::bigint + 3', 'R', ok)}" if initial != "s" else keep
+
+
+_INSERTS = f"[b[1], b[2], least(b[3], {', '.join(_edit(s, '3', 'I') for s in (1, 2, 4))}), least(b[4], {_edit(3, '3', 'I')})]"
+_ROW = (f"[{_edit(1, '4', 'D')}, least({_edit(2, '4', 'D')}, {_stay(1, 's')}), "
+        f"least({_edit(3, '4', 'D')}, {', '.join(_stay(s, 'u') for s in (1, 2, 4))}), least({_edit(4, '4', 'D')}, {_stay(3, 'a')})]")
+_CRC = ("xor(list_reduce(flatten(list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), "
+        "lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])), "
+        "lambda r, c: case when c >= 0 then xor(r, c) when r % 2 = 1 then xor(r >> 1, 3988292384) else r >> 1 end, 4294967295::bigint), 4294967295)")
+_BODY = "rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
+OP12 = f"""
+with r as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {_CRC} % 20 as d from conversations),
+damaged as (
+    select conv_id, turn, case d when 4 then 'user' else role end as role,
+           case d when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text, unnest([1, 2][:case d when 3 then 2 else 1 end]) as copy
+    from r where d <> 0),
+t as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as n, {_BODY} as body from damaged),
+f as (select *, case when body = '' then 'blank' when row_number() over (partition by conv_id, role, text order by n) > 1 then 'duplicate'
+                     when right(body, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
+             substr(role, 1, 1) as i, lag(substr(role, 1, 1)) over (partition by conv_id order by n) as before from t),
+c as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps, count(*) filter (where fault = 'blank') as blank,
+             count(*) filter (where fault = 'duplicate') as duplicate, count(*) filter (where fault = 'truncated') as truncated,
+             count(*) filter (where n > 1 and (before || i) not in ('su', 'ua', 'au')) as illegal,
+             list(['row', i, case when fault in ('blank', 'duplicate') then 'must' else '' end, case fault when 'truncated' then '3' else '0' end] order by n) as rows
+      from f group by conv_id),
+best as (select * exclude (rows), list_reduce(flatten(list_transform(rows || [['end', '', '', '']], lambda x: [['I', '', '', ''], ['I', '', '', ''], ['I', '', '', ''], x])),
+                                lambda b, x: case x[1] when 'I' then {_INSERTS} when 'row' then {_ROW} else b end,
+                                ['000000000', null, null, null]::varchar[]) as b from c),
+a as (select *, least(b[1], b[4]) as w, substr(least(b[1], b[4]), 10) as audit from best),
+letter as (select conv_id, unnest(string_split(audit, '')) as e, unnest(generate_series(1, length(audit))) as p from a where audit <> ''),
+step as (select *, count(*) filter (where e <> 'I') over (partition by conv_id order by p) as n,
+                count(*) filter (where e <> 'D') over (partition by conv_id order by p) as q from letter),
+kept as (select s.conv_id, p, e, q, f.role, f.text, max(case when q = 1 and e = 'K' and f.i = 's' then 1 else 0 end) over (partition by s.conv_id) as shift
+         from step s left join f on f.conv_id is not distinct from s.conv_id and f.n = s.n and s.e <> 'I' where e <> 'D'),
+done as (select conv_id, sha256(string_agg(case e when 'K' then role else case (q - shift) % 2 when 1 then 'user' else 'assistant' end end
+                                           || ':' || case e when 'I' then '' else text end, chr(10) order by p)) as sha from kept group by conv_id)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+       coalesce(illegal, 0) as illegal, coalesce(substr(w, 1, 9)::bigint, 0) as cost, coalesce(audit, '') as audit, coalesce(sha, sha256('')) as repaired_sha256
+from (select distinct conv_id from conversations) o left join a on a.conv_id is not distinct from o.conv_id
+left join done on done.conv_id is not distinct from o.conv_id
+"""
+
 OP13 = """
 with line as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as t,
                      unnest(generate_series(1, len(string_split(coalesce(text, ''), chr(10))))) as i from documents),
@@ -95,4 +148,5 @@ from k left join low using (k) group by doc_id
 """
 
 ORACLES = {"op1_near_duplicates": OP1, "op2_substring_dedup": OP2, "op4_chat_format": OP4, "op6_decontaminate": OP6,
-           "op9_suffix_dedup": OP9, "op13_line_dedup": OP13}
+           "op9_suffix_dedup": OP9, "op12_conversation_repair": OP12,
+           "op13_line_dedup": OP13}

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.llm import (chat, decontaminate, fingerprint, line_dedup, minhash, packing, pii, quality, shard,
-                           substring_dedup, suffix_dedup)
+from eventlens.llm import (chat, conversation_repair, decontaminate, fingerprint, line_dedup, minhash, packing, pii, quality,
+                           shard, substring_dedup, suffix_dedup)
 from eventlens.llm.oracles import ORACLES
 
 CONTROL = "\\### Assistant: </turn> ok"
@@ -87,6 +87,15 @@ def op10_pack(spark, sf_dir):
     return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op12_conversation_repair(spark, sf_dir):
+    conversations = table(spark, sf_dir, "conversations")
+    audit, edited = conversation_repair.repair(conversation_repair.damage(conversations), conversations)
+    digest = conversation_repair.hashes(edited).withColumnRenamed("conv_id", "_id")
+    found = audit.join(digest, audit.conv_id.eqNullSafe(F.col("_id")), "left")
+    return found.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_line_dedup(spark, sf_dir):
     found = line_dedup.remove_repeats(table(spark, sf_dir, "documents"), min_chars=10)
     return found.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -94,7 +103,8 @@ def op13_line_dedup(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (op1_near_duplicates, op2_substring_dedup, op3_personal_data, op4_chat_format, op5_fingerprints,
-           op6_decontaminate, op7_quality, op8_shards, op9_suffix_dedup, op10_pack, op13_line_dedup)
+           op6_decontaminate, op7_quality, op8_shards, op9_suffix_dedup, op10_pack,
+           op12_conversation_repair, op13_line_dedup)
     return {f.__name__: f for f in ops}
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.llm import (chat, conversation_repair, decontaminate, fingerprint, line_dedup, minhash, packing, pii, quality,
-                           shard, substring_dedup, suffix_dedup)
+                           shard, substring_dedup, suffix_dedup, whitening)
 from eventlens.llm.oracles import ORACLES
 
 CONTROL = "\\### Assistant: </turn> ok"
@@ -87,6 +87,15 @@ def op10_pack(spark, sf_dir):
     return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_whitening(spark, sf_dir):
+    rows, fit, error = whitening.whiten(table(spark, sf_dir, "embeddings"), most=16)
+    share = [] if fit is None else (fit.eigenvalues / fit.trace).tolist()
+    share = F.array(*map(F.lit, share)).cast("array<double>")
+    rows = rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return rows.select("vec_id", (F.col("at") + 1).alias("component"), F.lit(fit.n if fit else 0).cast("long").alias("n"), "deviation",
+                       "whitened", F.get(share, F.col("at")).alias("explained"), F.lit(error).alias("identity_error"))
+
+
 def op12_conversation_repair(spark, sf_dir):
     conversations = table(spark, sf_dir, "conversations")
     audit, edited = conversation_repair.repair(conversation_repair.damage(conversations), conversations)
@@ -104,7 +113,7 @@ def op13_line_dedup(spark, sf_dir):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (op1_near_duplicates, op2_substring_dedup, op3_personal_data, op4_chat_format, op5_fingerprints,
            op6_decontaminate, op7_quality, op8_shards, op9_suffix_dedup, op10_pack,
-           op12_conversation_repair, op13_line_dedup)
+           op11_whitening, op12_conversation_repair, op13_line_dedup)
     return {f.__name__: f for f in ops}
 
 

@@ -30,14 +30,17 @@ def posts(spark: SparkSession, sf_dir: str, per_text=None, keep=()) -> DataFrame
     Each event is a post of document ``event_id % number of documents``, so
     all documents are reached where events outnumber them.  ``per_text``
     (DataFrame -> DataFrame) runs on the documents before the join, once per
-    text; its columns ``keep`` are carried along.  The join is the planner's.
+    text: without the exchange by doc_id, generated code would put its columns
+    off until after a broadcast join and compute them once per post.  A join by
+    shuffle uses that exchange.  Its columns ``keep`` are carried along.
     """
     e = _t(spark, sf_dir, "events")
     d = _t(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    n = max(1, d.count())
+    n = d.agg(F.greatest(F.count("*"), F.lit(1))).scalar()
+    e = e.withColumn("_doc", F.col("event_id") % n)
     if per_text is not None:
-        d = per_text(d)
-    j = e.join(d, (e.event_id % n) == d.doc_id)
+        d = per_text(d).repartition("doc_id")
+    j = e.join(d, e._doc == d.doc_id)
     et = F.col("event_type")
     return j.select(
         *keep,

@@ -1,48 +1,56 @@
-"""IP-range enrichment (J04): ``ip BETWEEN start_ip AND end_ip`` without a
-nested-loop join.
-
-Each range is exploded into the fixed-width address buckets it covers
-(``ip >> (32 - bucket_bits)``), so the lookup becomes an equi-join on the
-bucket plus the ``BETWEEN`` test on the few ranges sharing it.  The planner
-picks the join by size; rows without an address do not take part, so they
-never meet in one partition, and AQE splits a hot network.
+"""IP-range enrichment (J04): the most specific range that holds an address,
+without a nested-loop join.
+
+Each range is cut into the CIDR blocks that make it up (at most 62, whatever
+its width), so a lookup is an equality on (prefix length, address prefix).  The
+distinct addresses of the input meet the blocks at each prefix length that the
+ranges have, the narrowest range wins, and the result is joined back to the
+rows by address.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from eventlens.functions.security import ip_to_long
 
 GEO_COLUMNS = ("country_name", "city_name", "location")
+#: rows without an address are dealt over this many join keys
+SPREAD = 4096
 
 
-def explode_ranges(ranges: DataFrame, bucket_bits: int = 16) -> DataFrame:
-    shift = 32 - bucket_bits
-    return ranges.select(
-        "*", F.explode(F.sequence(F.shiftright(F.col("start_ip"), shift),
-                                  F.shiftright(F.col("end_ip"), shift))).alias("_bucket"))
+def cidr_blocks(ranges: DataFrame) -> DataFrame:
+    """Adds ``host_bits`` and ``prefix`` (address >> host_bits): one row for each
+    maximal aligned block of a range (start_ip, end_ip, both in it).  At a block
+    size of 2**k the blocks from ceil(start / 2**k) to floor((end + 1) / 2**k)
+    fit; an odd first and an odd end are not part of a larger block."""
+    r = ranges.where("start_ip <= end_ip").withColumn("host_bits", F.explode(F.sequence(F.lit(0), F.lit(32))))
+    size = F.expr("shiftleft(1L, host_bits)")
+    first, stop = F.ceil(F.col("start_ip") / size).cast("long"), F.floor((F.col("end_ip") + 1) / size).cast("long")
+    fits = first < stop
+    blocks = F.array(F.when(fits & (first % 2 == 1), first), F.when(fits & (stop % 2 == 1), stop - 1))
+    return r.withColumn("prefix", F.explode(F.array_distinct(F.array_compact(blocks))))
 
 
-def geoip_enrich(df: DataFrame, ip_col: str, ranges: DataFrame, bucket_bits: int = 16) -> DataFrame:
+def geoip_enrich(df: DataFrame, ip_col: str, ranges: DataFrame) -> DataFrame:
     """Left-join ``ranges`` (start_ip, end_ip, geo columns) to ``df`` by the
-    IPv4 in ``ip_col``; rows without an IP or a range keep null geo fields.
-    Ranges are assumed not to overlap (as GeoIP tables are)."""
-    shift = 32 - bucket_bits
+    IPv4 in ``ip_col``; rows without an address or a range keep null geo fields.
+    Of ranges that hold one address the narrowest wins, then the one that starts
+    first.  Rows without an address are dealt over ``SPREAD`` keys."""
     geo = [c for c in GEO_COLUMNS if c in ranges.columns]
-    r = explode_ranges(ranges.select("start_ip", "end_ip", *geo), bucket_bits)
-    r = r.select(F.col("_bucket").alias("_g_bucket"), F.col("start_ip").alias("_g_start"),
-                 F.col("end_ip").alias("_g_end"), *geo)
-    left = df.withColumn("_g_ip", ip_to_long(F.col(ip_col)))
-    no_ip = left.where(F.col("_g_ip").isNull()).drop("_g_ip")
-    left = left.where(F.col("_g_ip").isNotNull())
-    left = left.withColumn("_g_bucket_l", F.shiftright(F.col("_g_ip"), shift))
-    cond = ((F.col("_g_bucket_l") == F.col("_g_bucket"))
-            & F.col("_g_ip").between(F.col("_g_start"), F.col("_g_end")))
-    out = left.join(r, cond, "left")
-    out = out.drop("_g_ip", "_g_bucket_l", "_g_bucket", "_g_start", "_g_end")
-    return out.unionByName(no_ip, allowMissingColumns=True)
+    blocks = cidr_blocks(ranges.select("start_ip", "end_ip", *geo))
+    blocks = blocks.select("host_bits", "prefix", F.struct((F.col("end_ip") - F.col("start_ip")).alias("width"), "start_ip").alias("_rank"), *geo)
+    levels = blocks.agg(F.array_sort(F.collect_set("host_bits"))).scalar()
+    seen = df.select(ip_to_long(F.col(ip_col)).alias("_g_ip")).where("_g_ip is not null").distinct()
+    tried = seen.withColumn("host_bits", F.explode(levels)).withColumn("prefix", F.expr("shiftright(_g_ip, host_bits)"))
+    best = tried.join(blocks, ["host_bits", "prefix"]).groupBy(F.col("_g_ip").alias("_g_key")).agg(
+        F.min_by(F.struct(*geo), "_rank").alias("_g"))
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    key = F.coalesce(ip_to_long(F.col(ip_col)), -1 - F.pmod(F.xxhash64(*plain), F.lit(SPREAD)))
+    out = df.withColumn("_g_ip", key).join(best, F.col("_g_ip") == F.col("_g_key"), "left")
+    return out.select(*df.columns, *[F.col(f"_g.{c}").alias(c) for c in geo])
 
 
 def nation_ranges(nation: DataFrame, region: DataFrame | None = None) -> DataFrame:

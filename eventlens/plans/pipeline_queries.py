@@ -20,7 +20,8 @@ from eventlens.plans.fixture_sql import AS_OF_SQL
 from eventlens.plans.ml_queries import _TIME
 from eventlens.plans.registry import query
 from eventlens.plans.security_queries import LOG_FIELDS, _enriched, _facet_sql, _geo
-from eventlens.plans.sentiment_queries import AS_OF_DATE, _HOURLY_SQL, _scored
+from eventlens.plans.sentiment_queries import AS_OF_DATE, HEALTH_SQL, TRENDING_SQL, _HOURLY_SQL, _scored, _sql_list
+from eventlens.sinks.writers import staged
 from eventlens.sources.tables import read_parquet_table
 
 _JSON_FIELDS = {"firewall": ("src_ip", "dst_port", "packet_count"), "auth": ("src_ip", "username", "result"),
@@ -54,13 +55,18 @@ def raw_lines(spark, sf):
 
 
 @query("raw_log_events", """
-SELECT event_id, log_type, src_ip, array_to_string(list_sort(tag_list), ',') AS tags, threat_type, severity FROM sec_enriched
+WITH n AS (SELECT event_id, ROW_NUMBER() OVER (ORDER BY event_id) AS event_no FROM sec_logs WHERE log_type = 'web')
+SELECT e.event_id, log_type, event_no, 0 AS part, src_ip, array_to_string(list_sort(tag_list), ',') AS tags, threat_type, severity
+FROM sec_enriched e LEFT JOIN n ON n.event_id = e.event_id
+UNION ALL SELECT NULL, 'web', event_no, 1, NULL, NULL, NULL, NULL FROM n WHERE event_id % 10 = 0
 """, fixtures=["sec_enriched"])
 def q_raw_log_events(spark, sf):
-    """S07-S09/F04/U02/R07 text lines folded, parsed by type and enriched."""
-    e = raw_log_events(raw_lines(spark, sf), {t: _schema(f) for t, f in _JSON_FIELDS.items()})
+    """S07-S09/F04/U02/R07 text lines folded, parsed by type and enriched; the
+    bound on an event's row is one line here, so second lines are continuations."""
+    e = raw_log_events(raw_lines(spark, sf), {t: _schema(f) for t, f in _JSON_FIELDS.items()}, max_lines=1)
     event_id = F.coalesce(F.col("event_id"), F.col("response_size").cast("bigint"))
-    return e.select(event_id.alias("event_id"), "log_type", "src_ip", F.array_join(F.array_sort("tags"), ",").alias("tags"), "threat_type", "severity")
+    return e.select(event_id.alias("event_id"), "log_type", "event_no", F.col("part").cast("int").alias("part"), "src_ip",
+                    F.array_join(F.array_sort("tags"), ",").alias("tags"), "threat_type", "severity")
 
 
 @query("web_features", f"""
@@ -246,15 +252,15 @@ FROM h, (SELECT unnest(['total_tweets', 'positive_tweets', 'neutral_tweets', 'ne
                         'unique_authors', 'tweets_last_hour']) AS name) k
 UNION ALL SELECT 'hourly_trends', strftime(hour_timestamp, '%Y-%m-%d %H:%M'), CAST(total_tweets AS VARCHAR) FROM (
   SELECT * FROM ({_HOURLY_SQL}) x WHERE date_partition >= DATE '{AS_OF_DATE}' - 7 ORDER BY hour_timestamp DESC LIMIT 168) y
+UNION ALL SELECT 'pipeline_health', 'health_status', health_status FROM ({HEALTH_SQL}) hs
+UNION ALL SELECT 'trending_topics', word, CAST(total_mentions AS VARCHAR) FROM ({TRENDING_SQL}) tw
 UNION ALL SELECT 'top_influencers', author_id, CAST(e AS VARCHAR) FROM (
   SELECT author_id, CAST(SUM(like_count + retweet_count) AS BIGINT) AS e FROM day GROUP BY author_id HAVING COUNT(*) >= 2
   ORDER BY e DESC, author_id LIMIT 10) z
 """, fixtures=["sentiment"])
 def q_sentiment_report(spark, sf):
-    """The full metrics report (its trending words and status have queries of
-    their own)."""
-    r = sentiment_report(_scored(spark, sf), fx.AS_OF, AS_OF_DATE)
-    return r.where("section <> 'trending_topics' and name <> 'health_status'")
+    """The full metrics report, every section."""
+    return sentiment_report(_scored(spark, sf), fx.AS_OF, AS_OF_DATE)
 
 
 @query("security_report", f"""
@@ -267,12 +273,15 @@ UNION ALL SELECT 'top_attackers', ip, CAST(n AS VARCHAR) FROM (
   GROUP BY src_ip ORDER BY n DESC, ip LIMIT 10) c
 UNION ALL SELECT 'attack_patterns', 'peak_attack_count', CAST(MAX(n) AS VARCHAR) FROM (
   SELECT COUNT(*) AS n FROM sec_enriched WHERE threat_type IS NOT NULL GROUP BY date_trunc('hour', event_time)) d
-UNION ALL SELECT 'recommendations', '1', 'Revisar y actualizar reglas de firewall basadas en IPs atacantes identificadas'
-UNION ALL SELECT 'recommendations', '8', 'Revisar políticas de retención y backup de logs de seguridad'
+UNION ALL SELECT 'attack_patterns', 'common_attack_methods', (
+  SELECT string_agg(value || ':' || CAST(count AS VARCHAR), ',' ORDER BY count DESC, value) FROM (
+    SELECT value, COUNT(*) AS count FROM (SELECT unnest(threat_list) AS value FROM sec_enriched WHERE threat_type IS NOT NULL) x
+    GROUP BY value ORDER BY count DESC, value LIMIT 10) m)
+UNION ALL SELECT 'recommendations', CAST(k AS VARCHAR), line FROM (
+  SELECT unnest(generate_series(1, {len(AL.REPORT_RECOMMENDATIONS)})) AS k, unnest([{_sql_list(AL.REPORT_RECOMMENDATIONS)}]) AS line) r
 """, fixtures=["sec_enriched", "sec_geo"])
 def q_security_report(spark, sf):
-    """The daily security report (of the fixed advice, the first and last
-    line; the attack methods have a query of their own)."""
-    logs = _geo(spark, sf)
-    r = security_report(logs, AL.alerts_from_rules(logs, LOG_FIELDS), ip_col="src_ip")
-    return r.where("name <> 'common_attack_methods' and (section <> 'recommendations' or name in ('1', '8'))")
+    """The daily security report, every section; the enriched logs are staged,
+    so rules and lookup run once and a section reads its own columns."""
+    logs = staged(_geo(spark, sf), "security-report")
+    return security_report(logs, AL.alerts_from_rules(logs, LOG_FIELDS), ip_col="src_ip")

@@ -255,6 +255,31 @@ def q_alert_channels(spark, sf):
                     F.element_at(AL.recommendations("threat_type"), 1).alias("first_step"))
 
 
+@query("geoip_nested", """
+WITH nets AS (SELECT start_ip, end_ip, country_name AS name FROM ranges
+              UNION ALL SELECT 167772160 + r_regionkey * 2048, 167772160 + r_regionkey * 2048 + 2047, r_name FROM region
+              UNION ALL SELECT 167772160 + 300, 167772160 + 1500, 'odd range'
+              UNION ALL SELECT 0, 268435455, 'all below 16.0.0.0')
+SELECT event_id, src_ip, name AS country_name FROM (
+  SELECT e.event_id, e.src_ip, n.name, ROW_NUMBER() OVER (PARTITION BY e.event_id ORDER BY n.end_ip - n.start_ip, n.start_ip) AS k
+  FROM (SELECT event_id, src_ip, CASE WHEN src_ip IS NOT NULL THEN CAST(split_part(src_ip, '.', 1) AS BIGINT) * 16777216
+               + CAST(split_part(src_ip, '.', 2) AS BIGINT) * 65536 + CAST(split_part(src_ip, '.', 3) AS BIGINT) * 256
+               + CAST(split_part(src_ip, '.', 4) AS BIGINT) END AS ip FROM sec_logs) e
+  LEFT JOIN nets n ON e.ip BETWEEN n.start_ip AND n.end_ip) x WHERE k = 1
+""", fixtures=["sec_logs", "ranges"])
+def q_geoip_nested(spark, sf):
+    """J04 with nested, overlapping and very wide ranges: the narrowest wins."""
+    region = read_parquet_table(spark, sf, "region")
+    base = F.lit(167772160).cast("long")
+    first = base + F.col("r_regionkey").cast("long") * 2048
+    wide = region.select(first.alias("start_ip"), (first + 2047).alias("end_ip"), F.col("r_name").alias("country_name"))
+    one = region.where("r_regionkey = 0")
+    odd = one.select((base + 300).alias("start_ip"), (base + 1500).alias("end_ip"), F.lit("odd range").alias("country_name"))
+    all_of = one.select(F.lit(0).cast("long").alias("start_ip"), F.lit(268435455).cast("long").alias("end_ip"), F.lit("all below 16.0.0.0").alias("country_name"))
+    nets = _ranges(spark, sf).select("start_ip", "end_ip", "country_name").unionByName(wide).unionByName(odd).unionByName(all_of)
+    return geoip_enrich(_logs(spark, sf), "src_ip", nets).select("event_id", "src_ip", "country_name")
+
+
 @query("geoip_enrich", """
 SELECT event_id, log_type, src_ip, country_name, city_name FROM sec_geo
 """, fixtures=["sec_geo"])

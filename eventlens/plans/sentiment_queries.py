@@ -23,7 +23,7 @@ def _scored(spark, sf):
     return fx.sentiment_table(spark, sf)
 
 
-@query("trending_words", f"""
+TRENDING_SQL = f"""
 SELECT word, COUNT(*) AS total_mentions,
        COUNT(*) FILTER (WHERE predicted_sentiment = 'positive') AS positive_mentions,
        COUNT(*) FILTER (WHERE predicted_sentiment = 'negative') AS negative_mentions,
@@ -34,7 +34,10 @@ FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-zA-Z]{{3,}}')) AS word,
 WHERE word NOT IN ({_sql_list(TRENDING_STOP_WORDS)})
 GROUP BY word HAVING COUNT(*) >= 5
 ORDER BY total_mentions DESC, word LIMIT 20
-""", fixtures=["sentiment"], doubles=["sentiment_score"])
+"""
+
+
+@query("trending_words", TRENDING_SQL, fixtures=["sentiment"], doubles=["sentiment_score"])
 def q_trending_words(spark, sf):
     """A07 trending words of the last 24 hours."""
     return S.trending_words(_scored(spark, sf), AS_OF)
@@ -125,7 +128,7 @@ def q_hourly_trends(spark, sf):
     return S.hourly_trends(S.sentiment_hourly(_scored(spark, sf)), AS_OF_DATE)
 
 
-@query("pipeline_health", f"""
+HEALTH_SQL = f"""
 SELECT total_tweets, positive_tweets, neutral_tweets, negative_tweets,
        ROUND(CASE WHEN total_tweets > 0 THEN positive_tweets * 100.0 / total_tweets ELSE 0.0 END, 2) AS positive_rate_pct,
        ROUND(CASE WHEN total_tweets > 0 THEN negative_tweets * 100.0 / total_tweets ELSE 0.0 END, 2) AS negative_rate_pct,
@@ -146,7 +149,10 @@ FROM (SELECT COUNT(*) AS total_tweets,
              COUNT(DISTINCT author_id) AS unique_authors,
              COUNT(*) FILTER (WHERE processing_timestamp >= {AS_OF_SQL} - INTERVAL 1 HOUR) AS tweets_last_hour
       FROM sentiment WHERE processing_timestamp >= {AS_OF_SQL} - INTERVAL 24 HOUR) a
-""", fixtures=["sentiment"], doubles=["positive_rate_pct", "negative_rate_pct", "avg_confidence"])
+"""
+
+
+@query("pipeline_health", HEALTH_SQL, fixtures=["sentiment"], doubles=["positive_rate_pct", "negative_rate_pct", "avg_confidence"])
 def q_pipeline_health(spark, sf):
     """A05 pipeline health."""
     return S.pipeline_health(_scored(spark, sf), AS_OF)

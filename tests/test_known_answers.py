@@ -147,3 +147,14 @@ def test_suppression_ties_and_missing_times(spark):
     a = spark.createDataFrame([("k", t, 2), ("k", t, 1), ("k", None, 3), (None, t, 4)], "k string, ts timestamp_ntz, id int")
     out = AL.suppress_alerts(a, ["k"], "ts", 15, ["id"])
     assert sorted(r.id for r in out.where("kept").collect()) == [1, 3, 4] and out.count() == 4
+
+
+def test_work_on_texts_runs_once_a_document(spark):
+    """The exchange above the per-text columns keeps them below the join."""
+    from eventlens import fixtures as fx
+    from eventlens.functions.text import clean_text
+    df = fx.posts(spark, "/root/testdata/sf0.001", lambda d: d.withColumn("cleaned", clean_text("text")), ("cleaned",))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    at = plan.index("RepartitionByExpression")
+    assert plan.index("Join") < at < plan.index("regexp_replace")
+    assert "regexp_replace" not in plan[:at]

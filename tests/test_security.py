@@ -7,7 +7,8 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from eventlens.functions.security import event_hash, ip_to_long, parse_access_log, parse_ts
 from eventlens.operators import alerts as AL
-from eventlens.operators.geoip import geoip_enrich
+from eventlens.operators.geoip import cidr_blocks, geoip_enrich
+from eventlens.operators.ingest import raw_log_events
 from eventlens.operators.security_rules import enrich_logs
 from eventlens.sources.streams import fold_multiline
 
@@ -101,6 +102,35 @@ def test_geoip_range_join(spark):
     assert out == {"10.0.0.7": "X", "11.1.0.1": "Y", "11.9.0.0": None, None: None}
 
 
+def test_geoip_nested_ranges_and_block_counts(spark):
+    lo = 10 * 2 ** 24
+    rows = [(0, 2 ** 28 - 1, "wide"), (lo, lo + 1023, "net"), (lo + 100, lo + 199, "odd"), (lo + 150, lo + 150, "one"),
+            (lo + 500, lo + 1500, "over"), (2 ** 32 - 4, 2 ** 32 - 1, "end"), (9, 3, "empty")]
+    ranges = spark.createDataFrame(rows, "start_ip long, end_ip long, country_name string")
+    n = {r.country_name: r["count"] for r in cidr_blocks(ranges).groupBy("country_name").count().collect()}
+    assert n["wide"] == 1 and n["net"] == 1 and n["one"] == 1 and n["end"] == 1 and "empty" not in n and max(n.values()) <= 62
+    ips = {"10.0.0.0": "net", "10.0.0.99": "net", "10.0.0.100": "odd", "10.0.0.150": "one", "10.0.0.199": "odd", "10.0.0.200": "net",
+           "10.0.1.255": "over", "10.0.5.220": "over", "10.0.5.221": "wide", "15.255.255.255": "wide", "16.0.0.0": None, "255.255.255.255": "end"}
+    df = spark.createDataFrame([(ip, k) for ip in [*ips, None, "10.0.0.150"] for k in range(3)], "ip string, k int")
+    out = geoip_enrich(df, "ip", ranges)
+    got = out.collect()
+    assert len(got) == 3 * (len(ips) + 2) and all(r.country_name == ips.get(r.ip) for r in got)
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+    assert geoip_enrich(df, "ip", ranges.limit(0)).where("country_name is not null").count() == 0
+
+
+def test_event_of_25000_lines_is_one_event(spark):
+    start = '1.2.3.4 - - [10/Oct/2024:13:55:36 +0000] "GET /a HTTP/1.1" 200 5 "-" "x"'
+    rows = [("web", "f", 1, start)] + [("web", "f", k, f"  at frame {k}") for k in range(2, 25001)] + [("web", "f", 25001, start)]
+    lines = spark.createDataFrame(rows, "log_type string, file_id string, line_no long, message string")
+    out = raw_log_events(lines, {}).select("event_no", "part", "message", "severity", "src_ip", "_parsefailure").collect()
+    events = sorted((r.event_no, r.severity, r.src_ip, r._parsefailure) for r in out if r.part == 0)
+    assert [e[0] for e in events] == [1, 2] and {e[2] for e in events} == {"1.2.3.4"} and all(not e[3] for e in events)
+    rest = sorted((r.event_no, r.part, len(r.message.split("\n")), r.severity) for r in out if r.part > 0)
+    assert [r[:2] for r in rest] == [(1, 1), (1, 2)] and all(r[3] is None for r in rest)
+    assert sum(len(r.message.split("\n")) for r in out) == 25001
+
+
 def test_fold_multiline(spark):
     lines = [(1, 1, "1.2.3.4 start"), (1, 2, "  at x"), (1, 3, "  at y"), (1, 4, "5.6.7.8 next"),
              (2, 1, "orphan"), (2, 2, "9.9.9.9 ok")]

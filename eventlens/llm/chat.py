@@ -21,7 +21,9 @@ roles) are escaped, so a reader can split at the marks and get every text back.
 Cases.  Null text: empty; null role: empty; null ``op``: ``message``; null or
 equal ``seq``: ordered by (seq nulls first, turn, op, role, text).  Rows of a
 null conv_id are one conversation.  No rows give no rows.  Extra columns are
-ignored.
+ignored.  A conversation's turns and its formatted text are one row, as the
+format asks, so one that holds a third of all rows is one task's, and a text of
+2 GB or more has no row that could hold it.
 """
 
 from __future__ import annotations
@@ -94,10 +96,42 @@ def read_back(formatted: DataFrame) -> DataFrame:
     return formatted.withColumn("turns", turns).withColumn("loss_text", F.array_join(loss, ""))
 
 
-def conversation_events(conversations: DataFrame) -> DataFrame:
-    """A table of finished turns as an event log: every row is a message of
-    its own, in the order of (turn, role, text)."""
+def conversation_events(conversations: DataFrame, pieces: int = 8, least: int = 24) -> DataFrame:
+    """The event log that a chat service would have written for a table of
+    finished turns: every row is a turn of its own, in the order of (turn, role,
+    text), and its events fold back to it.
+
+    * An assistant turn is streamed twice: deltas of a first answer (the text
+      backwards, cut short), a user's reply to it under the next turn number, a
+      ``regenerate`` that drops both, then at most ``pieces`` deltas of ``least``
+      or more code points that make up the text.
+    * A user turn is a ``message`` with a slip, then an ``edit`` to its text.
+    * Any other turn is one ``message``.
+
+    Events come out newest first; only ``seq`` tells their order."""
     order = [F.col(c).asc_nulls_first() for c in ("turn", "role", "text")]
     at = F.row_number().over(Window.partitionBy("conv_id").orderBy(*order)).cast("long")
-    return conversations.select("conv_id", "turn", "role", "text").select(
-        "conv_id", at.alias("seq"), F.lit("message").alias("op"), at.alias("turn"), "role", "text")
+    rows = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).select("conv_id", at.alias("turn"), "role", "text")
+    # the largest piece of a text cut into ``pieces``, or ``least`` of a short one
+    rows = rows.withColumn("_n", F.char_length("text")).withColumn(
+        "_size", F.greatest(F.lit(least), F.ceil(F.col("_n") / pieces)).cast("int"))
+
+    def event(op, text, turn=F.col("turn"), role=F.col("role")):
+        return F.struct(F.lit(op).alias("op"), turn.alias("turn"), role.alias("role"), text.alias("text"))
+
+    none = F.lit(None).cast("string")
+    cuts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("_n") / F.col("_size")).cast("int") - 1))
+
+    def deltas(text):
+        return F.transform(cuts, lambda k: event("delta", F.substr(text, k * F.col("_size") + 1, F.col("_size"))))
+
+    draft = F.reverse(F.substr(F.col("text"), F.lit(1), F.col("_size")))
+    streamed = F.concat(F.array(event("delta", draft), event("delta", F.lit(" ...")),
+                                event("message", F.lit("Try again?"), F.col("turn") + 1, F.lit("user")),
+                                event("regenerate", F.lit(""))), deltas(F.col("text")))
+    typed = F.array(event("message", F.concat(F.col("text"), F.lit(" (sic)"))), event("edit", F.col("text"), role=none))
+    events = F.when(F.col("role") == "assistant", streamed).when(F.col("role") == "user", typed).otherwise(
+        F.array(event("message", F.col("text"))))
+    e = rows.withColumn("_events", events).select("conv_id", F.col("turn").alias("_at"), F.size("_events").alias("_last"), F.posexplode(F.reverse("_events")))
+    seq = F.col("_at") * F.lit(1 << 20) + F.col("_last") - F.col("pos")
+    return e.select("conv_id", seq.alias("seq"), "col.op", "col.turn", "col.role", "col.text")

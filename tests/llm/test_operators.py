@@ -233,6 +233,39 @@ def test_chat_keeps_repeated_rows_as_turns(spark):
     assert got == {5: [("assistant", ""), ("user", "a"), ("user", "a")], None: [("assistant", "b")]}
 
 
+def folded(events):
+    """Event log -> {conv_id: [(role, text)]}, one event at a time."""
+    out = {}
+    for e in sorted(events, key=lambda e: (repr(e.conv_id), e.seq)):
+        turns = out.setdefault(e.conv_id, {})
+        if e.op == "regenerate":
+            for t in [t for t in turns if t >= e.turn]:
+                del turns[t]
+        role, text = turns.get(e.turn, (None, ""))
+        turns[e.turn] = (e.role if e.role is not None else role, text + e.text if e.op == "delta" else e.text)
+    return {c: [(r or "", x) for _, (r, x) in sorted(t.items())] for c, t in out.items()}
+
+
+def test_derived_log_folds_back_to_the_table(spark):
+    texts = ["", None, "short", "x" * 23, "y" * 24, "Ünï 🙂 " * 50, "\\### Assistant: </turn> ok", "long text " * 2000]
+    rows = [(c, t, ("user", "assistant", "system", "assistant", None)[(c + t) % 5], texts[(c * 3 + t) % len(texts)], "x", "y")
+            for c in range(12) for t in range(c)] + [(None, 0, "assistant", "of no conversation", "x", "y")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, seq string, op string")
+    events = chat.conversation_events(table)
+    log = events.collect()
+    assert {e.op for e in log} == {"message", "delta", "edit", "regenerate"}
+    expected = {}
+    for c, t, role, text, *_ in sorted(rows, key=lambda r: (repr(r[0]), r[1])):
+        expected.setdefault(c, []).append((role or "", text or ""))
+    assert folded(log) == expected
+    got = {r.conv_id: [tuple(t) for t in r.turns] for r in chat.read_back(chat.render(events)).collect()}
+    assert got == expected
+    # without any one of its rules the fold gives other turns
+    plain = lambda op: events.withColumn("op", F.when(F.col("op") == op, "message").otherwise(F.col("op")))
+    for off in (plain("delta"), plain("regenerate"), events.where("op <> 'edit'")):
+        assert {r.conv_id: [tuple(t) for t in r.turns] for r in chat.read_back(chat.render(off)).collect()} != expected
+
+
 # ---- 5
 
 def test_edits_and_likeness(odd_docs, odd_rows, no_docs):

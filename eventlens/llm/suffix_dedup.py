@@ -8,14 +8,20 @@ where equal strings must meet:
    ``SEED``-byte grams.  Neighbouring windows with one minimizer form a segment
    (about 14 windows); equal windows have equal minimizers, so they meet in
    the bucket of that minimizer.
-2. A bucket groups equal segments by hash: of these, all but those of the
-   smallest document are repeats as a whole.  What is left, where the segments
-   of one minimizer differ, goes on as text.
-3. Per bucket, the suffixes of these segments are sorted into a suffix array
-   with its common-prefix array.  A stack scan yields the tree of
-   common-prefix intervals; an interval whose left extensions differ is a
-   maximal repeat, put out with all its occurrences.  Occurrences in documents
-   above the group's smallest are removal spans.
+2. A bucket keeps the minimizers that two documents have: each different segment
+   of them once as text, with all its places and the bytes in front of them.
+   They are cut at minimizers into chunks of about ``CHUNK`` suffixes; equal
+   windows share their minimizer, so chunks are independent.
+3. Per chunk, all suffixes of these segments are sorted into a suffix array with
+   its common-prefix array, eight bytes at a time.  A stack scan yields the tree
+   of common-prefix intervals (a segment with several places is a leaf with as
+   many occurrences) and carries up what the left extensions have in common.  An
+   interval whose left extensions differ is a maximal repeat; one whose
+   occurrences all start their segment after the same byte goes on a repeat of
+   the segment before; any other lies in a longer one and is passed over.
+   Occurrences in documents above the group's smallest are removal spans, each
+   put out once, by the deepest interval that tells it.  Spans of neighbouring
+   segments merge to the whole repeat.
 
 Minimizers that hold a large share of all segments (the edge of a passage that
 many documents share has other text beside it each time) are found in a first
@@ -29,7 +35,8 @@ equal with chance n**2 / 2**81.
 Cases.  Null or empty text, or one below ``width`` bytes: nothing removed.
 Rows with equal doc_id and text count as one document and are each returned; of
 rows that share a doc_id none is smaller; a null doc_id is the smallest.  No
-rows give no rows.  Extra columns are ignored.
+rows give no rows.  Extra columns are ignored.  A text is held whole by its
+task, with some 80 bytes of working memory for each of its bytes.
 """
 
 from __future__ import annotations
@@ -48,8 +55,12 @@ SEED = 24
 #: segments that a map task holds before it ships them
 FLUSH = 1 << 20
 
-FIELDS = (("anchor", np.uint32), ("content", np.uint64), ("key", np.int64), ("th", np.int32), ("pos", np.int32), ("n", np.uint8))
+FIELDS = (("anchor", np.uint32), ("content", np.uint64), ("key", np.int64), ("th", np.int32), ("pos", np.int32), ("n", np.uint8), ("before", np.uint8))
 BLOCK = "bucket int, " + ", ".join(f"{f} binary" for f, _ in FIELDS)
+#: no byte in front: a document's start (0xFF is in no UTF-8 text)
+NONE = 0xFF
+#: left extensions that differ
+DIFFER = -1
 BLOCK_SCHEMA = pa.schema([("bucket", pa.int32())] + [(f, pa.binary()) for f, _ in FIELDS])
 
 
@@ -116,10 +127,10 @@ def _ship(width: int, names: np.ndarray, hot):
 
     def flush(held):
         cols = [np.concatenate(c) for c in zip(*held)]
-        anchor, content, key, th, pos, n = cols
+        anchor, content, key, th, pos, n, before = cols
         if (key[1:] < key[:-1]).any():
             order = np.lexsort((pos, th, key))
-            anchor, content, key, th, pos, n = (c[order] for c in cols)
+            anchor, content, key, th, pos, n, before = (c[order] for c in cols)
         bucket = anchor % A.U(buckets)
         anchor = ((anchor // A.U(buckets)) & A.U(0xFFFFFFFF)).astype(np.uint32)
         content &= A.U((1 << 48) - 1)
@@ -130,7 +141,7 @@ def _ship(width: int, names: np.ndarray, hot):
         for s, e in zip(cut[:-1], cut[1:]):
             sel = order[s:e]
             rows.append((int(names[b[s]]), anchor[sel].tobytes(), A.planes(content[sel])[:6 * len(sel)], A.planes(A.deltas(key[sel])),
-                         A.planes(A.deltas(th[sel])), A.planes(A.deltas(pos[sel])), n[sel].tobytes()))
+                         A.planes(A.deltas(th[sel])), A.planes(A.deltas(pos[sel])), n[sel].tobytes(), before[sel].tobytes()))
         return A.batch_of(BLOCK_SCHEMA, list(zip(*rows)))
 
     def run(batches):
@@ -154,7 +165,8 @@ def _ship(width: int, names: np.ndarray, hot):
                     begin = np.r_[begin[~one], at][order]
                 n = end - begin
                 content = A.mix(A.span_hash(prefix, begin, end, A.BASE) + n.astype(np.uint64))
-                held.append((anchor, content, keys[i + doc], ths[i + doc], (begin - off[doc]).astype(np.int32), n.astype(np.uint8)))
+                before = np.where(begin > off[doc], buf[begin - 1], NONE).astype(np.uint8)
+                held.append((anchor, content, keys[i + doc], ths[i + doc], (begin - off[doc]).astype(np.int32), n.astype(np.uint8), before))
                 size += len(n)
                 if size >= FLUSH:
                     yield flush(held)
@@ -196,18 +208,33 @@ def _blocks(batches):
         yield bucket, columns()
 
 
-def _segment_groups(buckets: int):
-    """Spans of whole repeated segments (kind 0), and the segments to compare
-    as text (kind 1), with their bucket."""
-    schema = pa.schema([("kind", pa.int32()), ("bucket", pa.int32())] + list(SpanRows.SCHEMA))
+#: suffixes that are sorted at a time (one minimizer may have more)
+CHUNK = 1 << 18
+PLACES = (("count", np.int32), ("keys", np.int64), ("ths", np.int32), ("poss", np.int32), ("befores", np.uint8))
+FOUND = "kind int, bucket int, chunk int, key long, th int, asked binary, " + ", ".join(f"{c} binary" for c, _ in PLACES)
+TEXTS = "kind int, bucket int, chunk int, segment int, text binary"
 
-    def rows(kind, bucket, span_rows):
-        b = span_rows.batch()
-        return pa.RecordBatch.from_arrays([pa.array([kind] * len(b), pa.int32()), pa.array([bucket] * len(b), pa.int32())] + b.columns, schema=schema)
+
+def _segment_groups(width: int):
+    """For each chunk of a bucket, its places (kind 0: by segment, places of a
+    segment by document), and the segments' texts to fetch from their first
+    places (kind 1: (pos, n, segment) by document)."""
+    names = ["kind", "bucket", "chunk", "key", "th", "asked", *(c for c, _ in PLACES)]
+    kinds = [pa.int32()] * 3 + [pa.int64(), pa.int32()] + [pa.binary()] * 6
+
+    def rows(bucket, c, count, key, th, pos, n, before):
+        first = np.cumsum(count) - count
+        packed = (count, key, th, pos, before)
+        out = [(0, bucket, c, None, None, None, *(A.planes(x if f in ("count", "befores") else A.deltas(x)) for x, (f, _) in zip(packed, PLACES)))]
+        triple = np.stack([pos[first], n[first].astype(np.int32), np.arange(len(first), dtype=np.int32)], 1)
+        order = np.lexsort((pos[first], th[first], key[first]))
+        k, t, triple = key[first][order], th[first][order], triple[order]
+        cut = np.r_[np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (t[1:] != t[:-1])]), len(k)]
+        out += [(1, bucket, c, int(k[a]), int(t[a]), triple[a:b].tobytes(), *[None] * 5) for a, b in zip(cut[:-1], cut[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(col, kind) for col, kind in zip(zip(*out), kinds)], names=names)
 
     def run(batches):
-        gone, ask = SpanRows(), SpanRows()
-        for bucket, (anchor, content, key, th, pos, n) in _blocks(batches):
+        for bucket, (anchor, content, key, th, pos, n, before) in _blocks(batches):
             order = np.argsort(anchor)
             s = anchor[order]
             twice = np.zeros(len(s), bool)
@@ -217,50 +244,44 @@ def _segment_groups(buckets: int):
             order = order[np.lexsort((key[order], content[order], anchor[order]))]
             if not len(order):
                 continue
-            a, c, k = anchor[order], content[order], key[order]
-            new_a = np.r_[True, a[1:] != a[:-1]]
-            new_c = new_a | np.r_[True, c[1:] != c[:-1]]
-            at = np.flatnonzero(new_c)
-            low = np.repeat(k[at], np.diff(np.r_[at, len(k)]))  # smallest document with this segment
-            again = k > low
-            sel = order[again]
-            gone.add(key[sel], th[sel], pos[sel], n[sel])
-            ga = np.flatnonzero(new_a)
-            size = np.diff(np.r_[ga, len(k)])
-            kinds = np.add.reduceat(new_c.astype(np.int32), ga)
-            spread = np.minimum.reduceat(k, ga) < np.maximum.reduceat(k, ga)
-            compare = np.repeat((kinds > 1) & spread, size) & ~again
-            sel = order[compare]
-            ask.add(key[sel], th[sel], pos[sel], n[sel])
-            if ask.n:
-                yield rows(1, bucket, ask)
-            if gone.full():
-                yield rows(0, -1, gone)
-        if gone.n:
-            yield rows(0, -1, gone)
+            a, k = anchor[order], key[order]
+            at = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+            spread = np.minimum.reduceat(k, at) < np.maximum.reduceat(k, at)
+            order = order[np.repeat(spread, np.diff(np.r_[at, len(k)]))]
+            if not len(order):
+                continue
+            a, c = anchor[order], content[order]
+            new = np.r_[True, (a[1:] != a[:-1]) | (c[1:] != c[:-1])]
+            at = np.flatnonzero(new)
+            count = np.diff(np.r_[at, len(order)]).astype(np.int32)
+            size = n[order][at].astype(np.int64) - width + 1
+            # chunks end where a minimizer does
+            edge = np.flatnonzero(np.r_[True, a[at][1:] != a[at][:-1]])
+            chunk = np.add.accumulate(size)[edge] - size[edge]
+            chunk = np.repeat(chunk // CHUNK, np.diff(np.r_[edge, len(at)]))
+            cut = np.r_[np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]]), len(at)]
+            for j, (x, y) in enumerate(zip(cut[:-1], cut[1:])):
+                sel = order[at[x]:at[y] if y < len(at) else len(order)]
+                yield rows(bucket, j, count[x:y], key[sel], th[sel], pos[sel], n[sel], before[sel])
     return run
 
 
-#: suffixes whose bytes are compared at a time
-CHUNK = 1 << 15
-TEXTS = "bucket int, key long, th int, pos int, before int, text binary"
-
-
 def _texts():
-    """The bytes of the segments asked for, each with the byte before it."""
-    schema = pa.schema([("bucket", pa.int32()), ("key", pa.int64()), ("th", pa.int32()), ("pos", pa.int32()), ("before", pa.int32()), ("text", pa.binary())])
+    """The bytes of the segments asked for."""
+    schema = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int32()), ("segment", pa.int32()), ("text", pa.binary())])
 
     def run(batches):
         for batch in batches:
             raw = A.column(batch, "text").cast(pa.large_binary())
             rows = []
-            keys, ths = A.column(batch, "key").to_pylist(), A.column(batch, "th").to_pylist()
             for r, asked in enumerate(A.column(batch, "asked").to_pylist()):
                 text = raw[r].as_py()
                 for item in asked:
-                    pairs = np.frombuffer(item["spans"], np.int32).reshape(-1, 2)
-                    for p, n in pairs.tolist():
-                        rows.append((item["bucket"], keys[r], ths[r], p, text[p - 1] if p else -1, text[p:p + n]))
+                    for p, n, segment in np.frombuffer(item["asked"], np.int32).reshape(-1, 3).tolist():
+                        rows.append((1, item["bucket"], item["chunk"], segment, text[p:p + n]))
+                if len(rows) > 100_000:
+                    yield A.batch_of(schema, list(zip(*rows)))
+                    rows = []
             if rows:
                 yield A.batch_of(schema, list(zip(*rows)))
     return run
@@ -268,96 +289,172 @@ def _texts():
 
 def suffix_array(texts, width: int):
     """Sorted suffixes of at least ``width`` bytes of ``texts``: (text number,
-    offset, lcp); lcp[i] is the common prefix of suffixes i - 1 and i."""
+    offset, lcp); lcp[i] is the common prefix of suffixes i - 1 and i.
+
+    Runs of suffixes that are equal so far are sorted by their next eight bytes,
+    until none is left; a shorter suffix goes before a longer one."""
     size = np.array([len(t) for t in texts], np.int64)
-    longest = int(size.max())
-    flat = np.frombuffer(b"".join(texts) + b"\0" * (longest + 8), np.uint8)
     count = np.maximum(size - width + 1, 0)
     text = np.repeat(np.arange(len(texts)), count)
     offset = A.ranges(np.zeros(len(texts), np.int64), count)
     left = size[text] - offset
+    longest = int(left.max(initial=0))
+    flat = np.frombuffer(b"".join(texts) + b"\0" * (longest + 16), np.uint8)
+    eight = np.lib.stride_tricks.sliding_window_view(flat, 8)
     place = (np.cumsum(size) - size)[text] + offset
-    cols = -(-longest // 8) * 8
-    view = np.lib.stride_tricks.sliding_window_view(np.r_[flat, np.zeros(8, np.uint8)], cols) if len(flat) + 8 >= cols else flat[None]
-    rows = view[np.minimum(place, len(view) - 1)]
-    lcp = np.zeros(len(rows), np.int64)
-    for i in range(0, len(rows), CHUNK):
-        part = rows[i:i + CHUNK]
-        part[np.arange(cols)[None, :] >= left[i:i + CHUNK, None]] = 0
-    order = np.argsort(rows.view(f"S{cols}").ravel(), kind="stable")
-    for i in range(1, len(rows), CHUNK):
-        one, two = order[i - 1:min(i + CHUNK, len(rows)) - 1], order[i:i + CHUNK]
-        same = rows[one] == rows[two]
-        common = np.where(same.all(1), cols, same.argmin(1))
-        lcp[i:i + CHUNK] = np.minimum(common, np.minimum(left[one], left[two]))
+    order = np.argsort(left, kind="stable")
+    lcp = np.zeros(len(order), np.int64)
+    run = np.zeros(len(order), np.int64)  # the first position of each position's run
+    open_ = np.arange(len(order)) if len(order) > 1 else np.zeros(0, np.int64)
+    for done in range(0, longest, 8):
+        if not len(open_):
+            break
+        suffix = order[open_]
+        word = eight[place[suffix] + done].view(">u8").ravel().astype(np.uint64)
+        rest = left[suffix] - done
+        blank = np.clip(8 - rest, 0, 8).astype(np.uint64)
+        word = np.where(blank >= 8, A.U(0), (word >> (np.minimum(blank, A.U(7)) * A.U(8))) << (np.minimum(blank, A.U(7)) * A.U(8)))
+        by = np.lexsort((word, run[open_]))
+        order[open_], word = suffix[by], word[by]
+        same_run = np.r_[False, (run[open_][1:] == run[open_][:-1]) & (open_[1:] == open_[:-1] + 1)]
+        differ = np.r_[A.U(0), word[1:] ^ word[:-1]]
+        common = sum(((differ >> A.U(64 - 8 * k)) == 0).astype(np.int64) for k in range(1, 8)) + (differ == 0)
+        split = same_run & (differ != 0)
+        lcp[open_[split]] = done + common[split]
+        # equal so far, whether or not the next eight bytes decide
+        lcp[open_[same_run & ~split]] = done + 8
+        begins = ~same_run | split
+        run[open_] = open_[np.flatnonzero(begins)][np.cumsum(begins) - 1]
+        alone = begins & np.r_[begins[1:], True]
+        open_ = open_[~alone]
+    if len(order) > 1:
+        lcp[1:] = np.minimum(lcp[1:], np.minimum(left[order][1:], left[order][:-1]))
     return text[order], offset[order], lcp
 
 
-def prefix_intervals(lcp, least: int):
-    """Stack scan of the common-prefix array: every interval (length, first,
-    last) of the interval tree whose length is ``least`` or more."""
-    stack, out = [], []
-    for i, l in enumerate(lcp.tolist() + [0]):
-        begin = i - 1
-        while stack and stack[-1][0] > l:
-            depth, begin = stack.pop()
-            if depth >= least:
-                out.append((depth, begin, i - 1))
-        if l >= least and (not stack or stack[-1][0] < l):
-            stack.append((l, begin))
-    return out
+def interval_tree(lcp, least: int, left, inner, low):
+    """Stack scan of a common-prefix array: every interval of its tree whose
+    length is ``least`` or more, inner ones first, as (length, first, last, left,
+    inner, settled).
+
+    ``left``: the byte in front of each suffix (DIFFER: there are several);
+    ``inner``: whether it starts inside its text; ``low``: its smallest document.
+    Carried up: the one byte in front of an interval or DIFFER, whether all its
+    suffixes are inner, and those of its smallest document.  ``settled`` are the
+    suffixes that no deeper interval has joined to a smaller document."""
+    stack = []  # [length, first, left, inner, low, suffixes of it, settled]
+
+    def join(entry, byte, inside, smallest, own):
+        entry[2] = byte if entry[2] is None or entry[2] == byte else DIFFER
+        entry[3] &= inside
+        if entry[4] is None or smallest < entry[4]:
+            entry[6] += entry[5]
+            entry[4], entry[5] = smallest, own
+        elif smallest == entry[4]:
+            entry[5] = entry[5] + own
+        else:
+            entry[6] += own
+
+    for i, length in enumerate([*lcp[1:], 0]):
+        child = (left[i], inner[i], low[i], [i])
+        first = i
+        while stack and stack[-1][0] > length:
+            top = stack.pop()
+            join(top, *child)
+            yield top[0], top[1], i, top[2], top[3], top[6]
+            child, first = (top[2], top[3], top[4], top[5]), top[1]
+        if length >= least:
+            if not stack or stack[-1][0] < length:
+                stack.append([length, first, None, True, None, [], []])
+            join(stack[-1], *child)
+
+
+def _in_front(texts, before, text, offset):
+    """The byte in front of each suffix."""
+    joined = np.frombuffer(b"".join(texts) or b"\0", np.uint8)
+    start = np.cumsum([0] + [len(t) for t in texts])[text]
+    return np.where(offset > 0, joined[np.maximum(start + offset - 1, 0)].astype(np.int64), np.asarray(before, np.int64)[text])
+
+
+def repeat_groups(texts, before, width: int):
+    """Groups of equal strings of ``width`` bytes or more that are not part of a
+    longer one inside ``texts``: (length, text numbers, offsets, whether the left
+    extensions differ), all occurrences.  ``before``: the byte in front of each
+    text (DIFFER: none, or several).  A group whose left extensions are one byte
+    goes on a repeat that begins before the texts do."""
+    text, offset, lcp = suffix_array(texts, width)
+    left, inner = _in_front(texts, before, text, offset), offset > 0
+    for length, first, last, byte, inside, _ in interval_tree(lcp.tolist(), width, left.tolist(), inner.tolist(), [0] * len(text)):
+        if byte == DIFFER or not inside:
+            yield length, text[first:last + 1], offset[first:last + 1], byte == DIFFER
 
 
 def maximal_repeats(texts, before, width: int):
-    """Maximal repeats of ``width`` bytes or more: (length, text numbers,
-    offsets) of each group, all occurrences.  ``before``: the byte in front of
-    each text (-1: none); an occurrence at a text's start may go on to the left
-    outside it, so its left extension counts as its own."""
-    text, offset, lcp = suffix_array(texts, width)
-    for length, first, last in prefix_intervals(lcp, width):
-        t, o = text[first:last + 1], offset[first:last + 1]
-        inside = o > 0
-        if inside.all() and len({texts[a][b - 1] for a, b in zip(t.tolist(), o.tolist())}) == 1:
-            continue  # one byte precedes them all: part of a longer repeat
-        yield length, t, o
+    """The groups of :func:`repeat_groups` whose left extensions differ."""
+    for length, text, offset, differ in repeat_groups(texts, before, width):
+        if differ:
+            yield length, text, offset
 
 
-def _compare(width: int):
-    schema = SpanRows.SCHEMA
+def chunk_spans(texts, count, key, th, pos, before, width: int, out: SpanRows):
+    """Removal spans of a chunk: texts of its segments, and their places."""
+    size = np.array([len(t) for t in texts], np.int64)
+    at = np.cumsum(count) - count
+    low = key[at]
+    owner = np.repeat(np.arange(len(texts)), count)
+    later = key > low[owner]
+    # a segment with several places is a leaf of the tree; the tail of a repeated
+    # segment lies in it, so the leaves of whole segments tell all places but the first's
+    out.add(key[later], th[later], pos[later], size[owner[later]])
+    mine = np.add.reduceat((~later).astype(np.int64), at)  # places in the smallest document come first
+    one = (np.minimum.reduceat(before, at) == np.maximum.reduceat(before, at)) & (before[at] != NONE)
+    text, offset, lcp = suffix_array(texts, width)
+    left = _in_front(texts, np.where(one, before[at].astype(np.int64), DIFFER), text, offset)
+    own, inner = low[text], offset > 0
+    begin = np.flatnonzero(lcp < width)
+    stop = np.r_[begin[1:], len(lcp)]
+    suffix, length = [], []
+    if len(begin):
+        spread = np.minimum.reduceat(own, begin) < np.maximum.reduceat(own, begin)
+        for b, e in zip(begin[spread].tolist(), stop[spread].tolist()):
+            common = lcp[b:e].tolist()
+            common[0] = 0
+            for n, _, _, byte, inside, settled in interval_tree(common, width, left[b:e].tolist(), inner[b:e].tolist(), own[b:e].tolist()):
+                if settled and (byte == DIFFER or not inside):
+                    suffix += [b + x for x in settled]
+                    length += [n] * len(settled)
+    suffix, length = np.array(suffix, np.int64), np.array(length, np.int64)
+    t = text[suffix]
+    places = A.ranges(at[t], mine[t])
+    out.add(key[places], th[places], pos[places] + np.repeat(offset[suffix], mine[t]), np.repeat(length, mine[t]))
 
-    def spans(texts, before, key, th, pos, out):
-        for length, t, o in maximal_repeats(texts, before, width):
-            k = key[t]
-            later = k > k.min()
-            if later.any():
-                t, o = t[later], o[later]
-                out.add(key[t], th[t], pos[t] + o, np.full(len(t), length))
 
+def _compare(width: int):
+    """Places and texts by (bucket, chunk) -> removal spans."""
     def run(batches):
-        out, group, bucket = SpanRows(), [], None
+        out, now, texts, parts = SpanRows(), None, [], None
 
         def close():
-            texts = sum((g[0] for g in group), [])
-            before, key, th, pos = (np.concatenate([g[c] for g in group]) for c in range(1, 5))
-            # equal windows share their smallest gram, so parts by it are independent
-            spans(texts, before, key, th, pos, out)
+            count, key, th, pos, before = parts
+            chunk_spans(texts, count, key, th, pos, before, width, out)
 
         for batch in batches:
-            b = A.column(batch, "bucket").to_numpy()
-            texts = A.column(batch, "text").to_pylist()
-            cols = [A.column(batch, c).to_numpy() for c in ("before", "key", "th", "pos")]
-            cut = np.r_[0, np.flatnonzero(b[1:] != b[:-1]) + 1, len(b)]
-            for s, e in zip(cut[:-1], cut[1:]):
-                if e == s:
-                    continue
-                if group and b[s] != bucket:
-                    close()
-                    group = []
-                    if out.full():
-                        yield out.batch()
-                bucket = b[s]
-                group.append((texts[s:e], *(c[s:e] for c in cols)))
-        if group:
+            where = list(zip(A.column(batch, "bucket").to_pylist(), A.column(batch, "chunk").to_pylist()))
+            kind, text = A.column(batch, "kind").to_pylist(), A.column(batch, "text")
+            columns = [A.column(batch, c) for c, _ in PLACES]
+            for r, place in enumerate(where):
+                if place != now:
+                    if texts:
+                        close()
+                        if out.full():
+                            yield out.batch()
+                    now, texts = place, []
+                if kind[r] == 0:
+                    raw = [A.unplanes(c[r].as_py(), k) for c, (_, k) in zip(columns, PLACES)]
+                    parts = [x if f in ("count", "befores") else np.cumsum(x, dtype=k) for x, (f, k) in zip(raw, PLACES)]
+                else:
+                    texts.append(text[r].as_py())
+        if texts:
             close()
         if out.n:
             yield out.batch()
@@ -407,13 +504,12 @@ def remove_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
     docs = keyed(docs)
     hot = spark.sparkContext.broadcast(hot_minimizers(docs, width, parts))
     blocks = docs.mapInArrow(_ship(width, bucket_keys(docs, parts), hot), BLOCK)
-    found = written(blocks.repartition(parts, "bucket").sortWithinPartitions("bucket")
-                    .mapInArrow(_segment_groups(parts), "kind int, bucket int, key long, th int, spans binary"), "segments")
-    asked = found.where("kind = 1").groupBy("key", "th").agg(F.collect_list(F.struct("bucket", "spans")).alias("asked"))
+    found = written(blocks.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_segment_groups(width), FOUND), "segments")
+    asked = found.where("kind = 1").groupBy("key", "th").agg(F.collect_list(F.struct("bucket", "chunk", "asked")).alias("asked"))
     texts = (docs.join(asked, ["key", "th"]).select("doc_id", "key", "th", "text", "asked")
              .dropDuplicates(["key", "th"]).mapInArrow(_texts(), TEXTS))
-    more = (texts.repartition(parts, "bucket").sortWithinPartitions("bucket")
-            .mapInArrow(_compare(width), "key long, th int, spans binary"))
-    spans = found.where("kind = 0").select("key", "th", "spans").unionByName(more)
+    places = found.where("kind = 0").select("kind", "bucket", "chunk", *(c for c, _ in PLACES))
+    spans = (places.unionByName(texts, allowMissingColumns=True).repartition(parts, "bucket")
+             .sortWithinPartitions("bucket", "chunk", "kind", "segment").mapInArrow(_compare(width), "key long, th int, spans binary"))
     return with_spans(docs, spans).select("doc_id", "text", "spans").mapInArrow(
         _cut(), "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")

@@ -424,6 +424,76 @@ def test_prefix_intervals_and_maximal_repeats():
     assert groups == {(3, ((0, 1), (1, 1), (2, 1))), (5, ((0, 1), (1, 1)))}
 
 
+def test_suffix_array_against_sorting():
+    rng = np.random.default_rng(2)
+    for letters, n in ((b"ab", 40), (b"a", 30), (b"\0a", 60), (b"abcdefgh", 90)):
+        texts = [bytes(rng.choice(list(letters), rng.integers(0, n)).astype(np.uint8)) for _ in range(12)] + [b"", letters * 9, letters * 9]
+        text, offset, lcp = suffix_dedup.suffix_array(texts, 3)
+        got = [texts[t][o:] for t, o in zip(text, offset)]
+        assert got == sorted(got) and len(got) == sum(max(0, len(t) - 2) for t in texts)
+        for i in range(1, len(got)):
+            same = next((k for k, (x, y) in enumerate(zip(got[i - 1], got[i])) if x != y), min(len(got[i - 1]), len(got[i])))
+            assert lcp[i] == same
+
+
+def plain_groups(texts, before, width):
+    """{(length, places): left extensions differ} by looking at every string."""
+    where = {}
+    for t, x in enumerate(texts):
+        for o in range(len(x)):
+            for e in range(o + width, len(x) + 1):
+                where.setdefault(x[o:e], []).append((t, o))
+    out = {}
+    for s, places in where.items():
+        after = [texts[t][o + len(s)] if o + len(s) < len(texts[t]) else None for t, o in places]
+        if len(places) < 2 or (None not in after and len(set(after)) == 1):
+            continue
+        left = {texts[t][o - 1] if o else before[t] for t, o in places}
+        differ = len(left) > 1 or suffix_dedup.DIFFER in left
+        if differ or any(o == 0 for _, o in places):
+            out[(len(s), tuple(sorted(places)))] = differ
+    return out
+
+
+def test_repeat_groups_against_all_strings():
+    rng = np.random.default_rng(8)
+    for trial in range(30):
+        texts = [bytes(rng.choice(list(b"ab"), rng.integers(1, 12)).astype(np.uint8)) for _ in range(4)] + [b"abba"]
+        for before in ([-1] * 5, [81] * 5, [81, 81, 82, -1, 81], rng.integers(97, 99, 5).tolist()):
+            found = {(n, tuple(sorted(zip(t.tolist(), o.tolist())))): d for n, t, o, d in suffix_dedup.repeat_groups(texts, before, 3)}
+            assert found == plain_groups(texts, before, 3)
+            most = {(n, tuple(sorted(zip(t.tolist(), o.tolist())))) for n, t, o in suffix_dedup.maximal_repeats(texts, before, 3)}
+            assert most == {k for k, d in found.items() if d}
+
+
+def test_one_byte_in_front_of_a_common_start_is_no_maximal_repeat():
+    texts = [b"commonstart1", b"commonstart2", b"commonstart3"]
+    assert len(list(suffix_dedup.maximal_repeats(texts, [-1] * 3, 5))) == 1
+    assert list(suffix_dedup.maximal_repeats(texts, [ord("Q")] * 3, 5)) == []
+    assert [g[3] for g in suffix_dedup.repeat_groups(texts, [ord("Q")] * 3, 5)] == [False]
+
+
+def test_spans_of_chunks_against_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    words = ["alpha ", "beta ", "gamma ", "delta and ", "x"]
+    rows = [(int(rng.integers(0, 60)), "".join(rng.choice(words, 60))) for _ in range(90)]
+    rows += [(100 + k, rows[k][1][:150] + rows[k + 1][1][100:]) for k in range(60)]
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 50)
+    seen = {}
+    for i, t in sorted(rows):
+        for p in range(len(t) - 49):
+            seen.setdefault(t[p:p + 50], i)
+    expected = []
+    for i, t in rows:
+        gone = [False] * len(t)
+        for p in range(len(t) - 49):
+            if seen[t[p:p + 50]] < i:
+                gone[p:p + 50] = [True] * 50
+        expected.append((i, "".join(x for x, g in zip(t, gone) if not g)))
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, bytes(r.kept).decode()) for r in got) == sorted(expected)
+
+
 def test_hot_minimizers_travel_singly(spark, monkeypatch):
     passage = "The same passage is in each of these documents, with other words on both sides. " * 2
     rows = [(k, f"{k * 7919} {passage}{k * 104729} and more") for k in range(60)]

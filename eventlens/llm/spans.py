@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventlens.llm import arrays as A
+
 NO_ID = -(1 << 63)
 SPAN_ROW = "key long, th int, spans binary"
 
@@ -55,6 +57,70 @@ class SpanRows:
         return pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(th[at]), blobs], schema=self.SCHEMA)
 
 
+SPAN_BLOCK = "bucket int, key binary, th binary, start binary, length binary"
+_BLOCK_SCHEMA = pa.schema([("bucket", pa.int32())] + [(c, pa.binary()) for c in ("key", "th", "start", "length")])
+
+
+def merged(key, th, start, length):
+    """Union of the spans of each document, by (key, th, start); touching spans
+    merge."""
+    order = np.lexsort((start, th, key))
+    key, th, start, length = key[order], th[order], start[order].astype(np.int64), length[order].astype(np.int64)
+    at = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (th[1:] != th[:-1])][:len(key)])
+    doc = np.repeat(np.arange(len(at)), np.diff(np.r_[at, len(key)])) << 32  # documents never touch
+    a, b = A.covered(doc + start, doc + start + length)
+    return key[at][a >> 32], th[at][a >> 32], (a & 0xFFFFFFFF).astype(np.int32), (b - a).astype(np.int32)
+
+
+class SpanBlocks(SpanRows):
+    """Gathers spans like :class:`SpanRows`, and gives one row for each bucket of
+    documents: a document's spans come from many tasks, few from each, so rows by
+    document would be nearly as many as spans."""
+
+    def __init__(self, names, limit: int = 2_000_000):
+        super().__init__(limit)
+        self.names = names
+
+    def batch(self):
+        key, th, start, length = merged(*(np.concatenate(c) for c in zip(*self.parts)))
+        self.parts, self.n = [], 0
+        bucket = A.mix(key.view(np.uint64) ^ A.mix(th.astype(np.uint64))) % A.U(len(self.names))
+        order = np.argsort(bucket, kind="stable")
+        cut = np.searchsorted(bucket[order], np.arange(len(self.names) + 1).astype(np.uint64))
+        rows = []
+        for k in np.flatnonzero(np.diff(cut)):
+            sel = order[cut[k]:cut[k + 1]]
+            rows.append((int(self.names[k]), *(A.planes(A.deltas(c[sel])) for c in (key, th, start, length))))
+        return A.batch_of(_BLOCK_SCHEMA, list(zip(*rows)))
+
+
+def _by_document(batches):
+    """Span blocks by bucket -> one row for each document."""
+    out, group, bucket = SpanRows(), [], None
+
+    def close():
+        kinds = (np.int64, np.int32, np.int32, np.int32)
+        columns = [[np.cumsum(A.unplanes(row[c], t), dtype=t) for c, t in zip(("key", "th", "start", "length"), kinds)] for row in group]
+        out.add(*merged(*(np.concatenate(c) for c in zip(*columns))))
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if group and row["bucket"] != bucket:
+                close()
+                group = []
+                yield out.batch()
+            bucket = row["bucket"]
+            group.append(row)
+    if group:
+        close()
+        yield out.batch()
+
+
+def by_document(blocks: DataFrame, parts: int) -> DataFrame:
+    """Span blocks -> (key, th, spans), one row for each document."""
+    return blocks.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_by_document, SPAN_ROW)
+
+
 def unpack(blobs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lists of packed pairs, one list per row -> (row, start, length)."""
     joined = [b"".join(b) if b else b"" for b in blobs]

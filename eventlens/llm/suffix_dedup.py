@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.llm import arrays as A
-from eventlens.llm.spans import SpanRows, keyed, span_lists, unpack, with_spans
+from eventlens.llm.spans import SPAN_BLOCK, SpanBlocks, SpanRows, by_document, keyed, span_lists, unpack, with_spans
 from eventlens.llm.spill import bucket_keys, shuffle_parts, written
 from eventlens.llm.substring_dedup import _sliding_min
 
@@ -429,10 +429,10 @@ def chunk_spans(texts, count, key, th, pos, before, width: int, out: SpanRows):
     out.add(key[places], th[places], pos[places] + np.repeat(offset[suffix], mine[t]), np.repeat(length, mine[t]))
 
 
-def _compare(width: int):
-    """Places and texts by (bucket, chunk) -> removal spans."""
+def _compare(width: int, names: np.ndarray):
+    """Places and texts by (bucket, chunk) -> blocks of removal spans."""
     def run(batches):
-        out, now, texts, parts = SpanRows(), None, [], None
+        out, now, texts, parts = SpanBlocks(names), None, [], None
 
         def close():
             count, key, th, pos, before = parts
@@ -503,13 +503,14 @@ def remove_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
     spark = docs.sparkSession
     docs = keyed(docs)
     hot = spark.sparkContext.broadcast(hot_minimizers(docs, width, parts))
-    blocks = docs.mapInArrow(_ship(width, bucket_keys(docs, parts), hot), BLOCK)
+    names = bucket_keys(docs, parts)
+    blocks = docs.mapInArrow(_ship(width, names, hot), BLOCK)
     found = written(blocks.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_segment_groups(width), FOUND), "segments")
     asked = found.where("kind = 1").groupBy("key", "th").agg(F.collect_list(F.struct("bucket", "chunk", "asked")).alias("asked"))
     texts = (docs.join(asked, ["key", "th"]).select("doc_id", "key", "th", "text", "asked")
              .dropDuplicates(["key", "th"]).mapInArrow(_texts(), TEXTS))
     places = found.where("kind = 0").select("kind", "bucket", "chunk", *(c for c, _ in PLACES))
     spans = (places.unionByName(texts, allowMissingColumns=True).repartition(parts, "bucket")
-             .sortWithinPartitions("bucket", "chunk", "kind", "segment").mapInArrow(_compare(width), "key long, th int, spans binary"))
-    return with_spans(docs, spans).select("doc_id", "text", "spans").mapInArrow(
+             .sortWithinPartitions("bucket", "chunk", "kind", "segment").mapInArrow(_compare(width, names), SPAN_BLOCK))
+    return with_spans(docs, by_document(spans, parts)).select("doc_id", "text", "spans").mapInArrow(
         _cut(), "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")

@@ -1,10 +1,15 @@
 """Operator 6: benchmark decontamination with a broadcast set of n-grams.
 
-The normalised words of the benchmark items go to every worker in blocks of at
-most ``BLOCK_BYTES`` of text each, whose n-gram hashes are sorted arrays of a
-few times that size.  A benchmark of any size is a number of such blocks, and
-one scan of the documents meets them all; nothing is shuffled.  Every hash hit
-is verified on the words themselves.
+The normalised words of the benchmark items go to every worker in blocks of
+about ``BLOCK_BYTES`` of text each, whose n-gram hashes are sorted arrays of a
+few times that size; a worker builds them once and keeps at most ``GROUP`` of
+them.  One scan of the documents meets a group of at most ``GROUP`` blocks; a
+benchmark of up to that size (the usual case) is one scan, and nothing is
+shuffled.  A larger one is read once more by block, and takes a scan for each
+group; hits of a group are written, its broadcast is dropped before the next,
+and at the end documents meet their hits by key.  So driver and workers hold one
+group, whatever the benchmark's size.  Every hash hit is verified on the words
+themselves.
 
 A window is ``width`` consecutive words of an item; an item of fewer words, but
 not none, is one window.  A document word inside any occurrence of a window is
@@ -19,15 +24,23 @@ give no rows.  Extra columns are ignored, or kept by ``clean``.
 
 from __future__ import annotations
 
+import uuid
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.llm import arrays as A
-from eventlens.llm.spans import span_lists
+from eventlens.llm.spans import document_key, keyed, span_lists
+from eventlens.llm.spill import written
 
 BLOCK_BYTES = 16 << 20
+#: blocks that a scan of the documents meets
+GROUP = 2
+#: windows built by this worker, by block
+_BUILT: dict = {}
 RULE = (1, 20)
 
 
@@ -81,29 +94,41 @@ class _Block:
     """A broadcast block; its windows are built once per worker."""
 
     def __init__(self, shared, width):
-        self.shared, self.width, self.built = shared, width, None
-
-    def __getstate__(self):
-        return {"shared": self.shared, "width": self.width, "built": None}
+        self.shared, self.width, self.name = shared, width, uuid.uuid4().hex
 
     def windows(self):
-        if self.built is None:
-            self.built = Windows(*self.shared.value, self.width)
-        return self.built
+        if self.name not in _BUILT:
+            while len(_BUILT) >= GROUP:
+                del _BUILT[next(iter(_BUILT))]
+            _BUILT[self.name] = Windows(*self.shared.value, self.width)
+        return _BUILT[self.name]
 
 
-def broadcast_items(benchmark: DataFrame, width: int):
-    """The benchmark (item_id, text) as broadcast blocks of bounded size."""
+def block_groups(benchmark: DataFrame, width: int):
+    """The benchmark (item_id, text) in groups of broadcast blocks, one group at
+    a time: (number of groups, groups)."""
     sc = benchmark.sparkSession.sparkContext
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
                              F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // (BLOCK_BYTES // 2)) or 1  # half full on average
-    out = []
-    for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()
-        out.append(_Block(sc.broadcast(([r[0] for r in rows], [r[1] for r in rows])), width))
-    return out
+    groups = -(-blocks // GROUP)
+    items = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
+    if groups > 1:
+        items = items.repartitionByRange(groups, "block").sortWithinPartitions("block")
+
+    def each():
+        rows = items.collect() if groups == 1 else items.toLocalIterator()
+        group = []
+        for _, own in groupby(sorted(rows, key=lambda r: r["block"]) if groups == 1 else rows, lambda r: r["block"]):
+            own = list(own)
+            group.append(_Block(sc.broadcast(([r["item"] for r in own], [r["text"] for r in own])), width))
+            if len(group) == GROUP:
+                yield group
+                group = []
+        if group:
+            yield group
+    return groups, each()
 
 
 def scan(texts: pa.Array, blocks, width: int):
@@ -137,72 +162,113 @@ def scan(texts: pa.Array, blocks, width: int):
         yield i, j, np.diff(first), np.cumsum(step[:-1]) > 0, first, names
 
 
-def _verdict(n_words, n_hit, rule):
-    return (n_hit > 0) & (rule[1] * n_hit >= rule[0] * n_words)
+HITS = "n_words long, hits array<struct<start: long, end: long>>, items array<string>"
+_HITS = pa.schema([("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.string()))])
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, rule=RULE) -> DataFrame:
-    """``docs`` (doc_id, text) -> doc_id, n_words, hits (word intervals, end
-    exclusive), items (names, sorted as strings), contaminated."""
-    blocks = broadcast_items(benchmark, width)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()),
-                        ("hits", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                        ("items", pa.list_(pa.string())), ("contaminated", pa.bool_())])
+def _spans(hit, first, rows):
+    """Hit words as intervals: (document, start, end) and their list array."""
+    edge = np.zeros(len(hit) + 1, bool)
+    edge[first] = True
+    begin = np.flatnonzero(hit & (edge[:-1] | ~np.r_[False, hit[:-1]]))
+    stop = np.flatnonzero(hit & (edge[1:] | ~np.r_[hit[1:], False])) + 1
+    doc = np.searchsorted(first, begin, "right") - 1
+    return span_lists(doc, begin - first[doc], stop - first[doc], rows)
+
 
+def _find(blocks, width, only_hits):
     def run(batches):
         for batch in batches:
-            ids = A.column(batch, "doc_id")
             for i, j, n_words, hit, first, names in scan(A.column(batch, "text"), blocks, width):
-                edge = np.zeros(len(hit) + 1, bool)
-                edge[first] = True
-                begin = np.flatnonzero(hit & (edge[:-1] | ~np.r_[False, hit[:-1]]))
-                stop = np.flatnonzero(hit & (edge[1:] | ~np.r_[hit[1:], False])) + 1
-                doc = np.searchsorted(first, begin, "right") - 1
-                n_hit = np.bincount(doc, stop - begin, j - i).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, j - i), pa.array(n_words.astype(np.int64)),
-                     span_lists(doc, begin - first[doc], stop - first[doc], j - i),
-                     pa.array([sorted(x) for x in names], pa.list_(pa.string())),
-                     pa.array(_verdict(n_words, n_hit, rule))], schema=schema)
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n_words long, hits array<struct<start: long, end: long>>, items array<string>, contaminated boolean")
+                part = batch.slice(i, j - i)
+                found = pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(n_words.astype(np.int64)), _spans(hit, first, j - i), pa.array([sorted(x) for x in names], pa.list_(pa.string()))],
+                    names=[*part.schema.names, *_HITS.names])
+                yield found.filter(pa.array([bool(x) for x in names])).drop_columns(["text"]) if only_hits else found
+    return run
+
+
+def _schema(rows: DataFrame, *names) -> str:
+    return ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names)
+
+
+def annotated(docs: DataFrame, benchmark: DataFrame, width: int, keep) -> DataFrame:
+    """row (struct of the columns ``keep``), text, n_words, hits, items."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.col("text").cast("string").alias("text"))
+    groups, each = block_groups(benchmark, width)
+    if groups == 1:
+        blocks = next(each, [])
+        rows = rows.select("row", "text")
+        return rows.mapInArrow(_find(blocks, width, False), f"{_schema(rows, 'row', 'text')}, {HITS}")
+    texts = keyed(rows).select("key", "th", "text").dropDuplicates(["key", "th"])
+    found = None
+    for blocks in each:
+        part = written(texts.mapInArrow(_find(blocks, width, True), f"key long, th int, {HITS}"), "benchmark-hits")
+        for block in blocks:
+            block.shared.destroy()
+        found = part if found is None else found.unionByName(part)
+    found = found.groupBy("key", "th").agg(F.flatten(F.collect_list("hits")).alias("hits"),
+                                           F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    rows = rows.select("row", "text", *document_key()).join(found, ["key", "th"], "left").select("row", "text", "hits", "items")
+    return rows.mapInArrow(_union, f"{_schema(rows, 'row', 'text')}, {HITS}")
+
+
+def _union(batches):
+    """Hits of several groups as disjoint intervals, and the words of a text."""
+    for batch in batches:
+        hits, items = A.column(batch, "hits"), A.column(batch, "items")
+        for i, j, buf, off in A.pieces(A.column(batch, "text")):
+            first = A.find_words(A.LOWER[buf], off, A.ALNUM)[2]
+            mine = hits.slice(i, j - i)
+            row = np.repeat(np.arange(j - i), np.diff(mine.offsets.to_numpy()))
+            pair = mine.flatten()
+            step = np.zeros(first[-1] + 1, np.int64)
+            np.add.at(step, first[row] + pair.field(0).to_numpy(), 1)
+            np.add.at(step, first[row] + pair.field(1).to_numpy(), -1)
+            part = batch.slice(i, j - i)
+            names = [x or [] for x in items.slice(i, j - i).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [A.column(part, "row"), A.column(part, "text"), pa.array(np.diff(first)), _spans(np.cumsum(step[:-1]) > 0, first, j - i),
+                 pa.array(names, pa.list_(pa.string()))], names=["row", "text", *_HITS.names])
+
+
+def _contaminated(rule):
+    hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return (hit > 0) & (hit * rule[1] >= F.col("n_words") * rule[0])
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, width: int = 13, rule=RULE) -> DataFrame:
-    """``docs`` without the contaminated documents; all columns stay."""
-    blocks = broadcast_items(benchmark, width)
+def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, rule=RULE) -> DataFrame:
+    """``docs`` (doc_id, text) -> doc_id, n_words, hits (word intervals, end
+    exclusive), items (names, sorted as strings), contaminated."""
+    found = annotated(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark, width, ["doc_id"])
+    return found.select("row.doc_id", "n_words", "hits", "items", _contaminated(rule).alias("contaminated"))
 
-    def run(batches):
-        for batch in batches:
-            keep = [np.zeros(0, bool)]
-            for i, j, n_words, hit, first, _ in scan(A.column(batch, "text"), blocks, width):
-                n_hit = np.diff(np.r_[0, np.cumsum(hit)][first])
-                keep.append(~_verdict(n_words, n_hit, rule))
-            yield batch.filter(pa.array(np.concatenate(keep)))
 
-    return docs.mapInArrow(run, docs.schema)
+def clean(docs: DataFrame, benchmark: DataFrame, width: int = 13, rule=RULE) -> DataFrame:
+    """``docs`` without the contaminated documents; all columns stay."""
+    return annotated(docs, benchmark, width, docs.columns).where(~_contaminated(rule)).select("row.*")
 
 
 def without_hits(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> DataFrame:
     """doc_id and text of ``docs``, the hit words cut out; what is left of a
     text with hits is its normalised words, other texts stay as they are."""
-    blocks = broadcast_items(benchmark, width)
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
 
     def run(batches):
         for batch in batches:
-            ids, texts = A.column(batch, "doc_id"), A.column(batch, "text")
-            for i, j, _, hit, first, _ in scan(texts, blocks, width):
-                part = texts.slice(i, j - i)
-                buf, off = A.text_buffer(part)
-                buf = A.LOWER[buf]
-                starts, ends, _ = A.find_words(buf, off, A.ALNUM)
-                out = part.to_pylist()
-                for d in np.unique(np.searchsorted(first, np.flatnonzero(hit), "right") - 1).tolist():
-                    w = np.arange(first[d], first[d + 1])[~hit[first[d]:first[d + 1]]]
-                    out[d] = b" ".join(buf[starts[k]:ends[k]].tobytes() for k in w).decode()
-                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(out, pa.string())], schema=schema)
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, text string")
+            ids, texts, hits = (A.column(batch, c) for c in ("doc_id", "text", "hits"))
+            out = texts.to_pylist()
+            for d, spans in enumerate(hits.to_pylist()):
+                if spans:
+                    buf, off = A.text_buffer(texts.slice(d, 1))
+                    buf = A.LOWER[buf]
+                    starts, ends, _ = A.find_words(buf, off, A.ALNUM)
+                    left = np.ones(len(starts), bool)
+                    for span in spans:
+                        left[span["start"]:span["end"]] = False
+                    out[d] = b" ".join(buf[a:b].tobytes() for a, b in zip(starts[left], ends[left])).decode()
+            yield pa.RecordBatch.from_arrays([ids, pa.array(out, pa.string())], schema=schema)
+
+    found = annotated(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark, width, ["doc_id"])
+    return found.select("row.doc_id", "text", "hits").mapInArrow(run, "doc_id long, text string")

@@ -19,12 +19,16 @@ NO_ID = -(1 << 63)
 SPAN_ROW = "key long, th int, spans binary"
 
 
+def document_key():
+    """The columns key and th of a document (doc_id long, text)."""
+    return (F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("key"),
+            F.shiftright(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), 32).cast("int").alias("th"))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text, key, th."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    doc_id = F.col("doc_id").cast("long")
-    return docs.select(doc_id.alias("doc_id"), text.alias("text"), F.coalesce(doc_id, F.lit(NO_ID)).alias("key"),
-                       F.shiftright(F.xxhash64(text), 32).cast("int").alias("th"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return docs.select("doc_id", "text", *document_key())
 
 
 class SpanRows:

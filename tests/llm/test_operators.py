@@ -329,8 +329,34 @@ def test_many_benchmark_blocks_give_the_same(odd_docs, spark, monkeypatch):
     rows = [(k, f"w{k}x w{k + 1}x") for k in range(30)]
     bench = spark.createDataFrame(rows, "item_id long, text string")
     one = sorted(map(str, decontaminate.contamination(odd_docs, bench).collect()))
+    kept = sorted(map(str, decontaminate.clean(odd_docs, bench).collect()))
+    cut = sorted(map(str, decontaminate.without_hits(odd_docs, bench).collect()))
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 64)
+    groups, each = decontaminate.block_groups(bench, 13)
+    assert groups >= 3 and sum(len(g) for g in each) >= 5
     assert sorted(map(str, decontaminate.contamination(odd_docs, bench).collect())) == one
+    assert sorted(map(str, decontaminate.clean(odd_docs, bench).collect())) == kept
+    assert sorted(map(str, decontaminate.without_hits(odd_docs, bench).collect())) == cut
+
+
+def test_clean_keeps_clashing_columns(spark):
+    rows = [(1, "a b c", "t", [1], "h"), (1, "a b c", "t", [1], "h"), (2, "one two three four", "t", None, "h"), (None, None, None, [2], "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `row` string, items array<int>, `n.words` string")
+    bench = spark.createDataFrame([(1, "two three", "x", "y")], "item_id long, text string, item string, block string")
+    assert sorted(map(str, decontaminate.clean(docs, bench).collect())) == sorted(map(str, docs.where("doc_id is null or doc_id = 1").collect()))
+    assert [r.text for r in decontaminate.without_hits(docs, bench).where("doc_id = 2").collect()] == ["one four"]
+
+
+def test_a_worker_keeps_windows_of_one_group(monkeypatch):
+    class Shared:
+        value = (["i"], ["some words here"])
+    monkeypatch.setattr(decontaminate, "_BUILT", {})
+    blocks = [decontaminate._Block(Shared(), 13) for _ in range(5)]
+    first = blocks[0].windows()
+    assert blocks[0].windows() is first
+    for b in blocks:
+        b.windows()
+    assert len(decontaminate._BUILT) == decontaminate.GROUP
 
 
 # ---- 7

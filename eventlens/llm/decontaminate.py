@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from eventlens.llm import arrays as A
 from eventlens.llm.spans import document_key, keyed, span_lists
@@ -188,8 +189,8 @@ def _find(blocks, width, only_hits):
     return run
 
 
-def _schema(rows: DataFrame, *names) -> str:
-    return ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names)
+def _schema(rows: DataFrame, *names) -> StructType:
+    return StructType([*(rows.schema[n] for n in names), *StructType.fromDDL(HITS).fields])
 
 
 def annotated(docs: DataFrame, benchmark: DataFrame, width: int, keep) -> DataFrame:
@@ -200,7 +201,7 @@ def annotated(docs: DataFrame, benchmark: DataFrame, width: int, keep) -> DataFr
     if groups == 1:
         blocks = next(each, [])
         rows = rows.select("row", "text")
-        return rows.mapInArrow(_find(blocks, width, False), f"{_schema(rows, 'row', 'text')}, {HITS}")
+        return rows.mapInArrow(_find(blocks, width, False), _schema(rows, "row", "text"))
     texts = keyed(rows).select("key", "th", "text").dropDuplicates(["key", "th"])
     found = None
     for blocks in each:
@@ -211,7 +212,7 @@ def annotated(docs: DataFrame, benchmark: DataFrame, width: int, keep) -> DataFr
     found = found.groupBy("key", "th").agg(F.flatten(F.collect_list("hits")).alias("hits"),
                                            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     rows = rows.select("row", "text", *document_key()).join(found, ["key", "th"], "left").select("row", "text", "hits", "items")
-    return rows.mapInArrow(_union, f"{_schema(rows, 'row', 'text')}, {HITS}")
+    return rows.mapInArrow(_union, _schema(rows, "row", "text"))
 
 
 def _union(batches):

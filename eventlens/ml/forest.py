@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlens.ml.features import FEATURES, extract_features
-from eventlens.sinks.writers import table_exists
+from eventlens.sinks.writers import staged, table_exists
 
 N_TREES = 100
 SAMPLE_SIZE = 256
@@ -232,7 +232,7 @@ def fit_forest(df: DataFrame, log_type: str, n_trees: int = N_TREES, sample_size
                contamination: float = CONTAMINATION, seed: int = SEED, id_col: str = "event_id") -> ForestModel:
     """Fit one log type's model on ``df`` (rows of all types allowed)."""
     feats = extract_features(df, log_type, keep=(id_col,))
-    encoders = fit_encoders(feats, log_type).cache()
+    encoders = staged(fit_encoders(feats, log_type), "encoders")
     enc = encode(feats, encoders, log_type)
     scaler = fit_scaler(enc, log_type)
     scaled = scale(enc, scaler)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from eventlens.functions.text import EMPTY_SCORES, LABEL_NAMES, with_lexicon_sentiment
 
 SCORE_SCHEMA = ("positive double, neutral double, negative double, predicted_sentiment string, "
-                "confidence double")
+                "confidence double, score_error string")
 _ORDER = ("positive", "neutral", "negative")
 
 
@@ -51,18 +51,19 @@ def score_text(df: DataFrame, text_col: str = "text",
         for texts in batches:
             rows = [_neutral()] * len(texts)
             idx = [i for i, t in enumerate(texts) if isinstance(t, str) and t]
+            error, sent = None, set(idx)
             if idx:
                 try:
                     results = model([texts.iloc[i] for i in idx])
                     for i, r in zip(idx, results):
                         rows[i] = _row(r)
-                except Exception:
-                    pass                      # the reference falls back to neutral
-            yield pd.DataFrame(rows, columns=["positive", "neutral", "negative",
-                                              "predicted_sentiment", "confidence"])
+                except Exception as failed:   # the texts of the batch stay neutral, and say why
+                    error = f"{type(failed).__name__}: {failed}"
+            out = pd.DataFrame(rows, columns=["positive", "neutral", "negative", "predicted_sentiment", "confidence"])
+            yield out.assign(score_error=[error if error and i in sent else None for i in range(len(texts))])
 
     s = df.withColumn("_s", _score(F.col(text_col)))
     return s.select(*[c for c in df.columns], F.col("_s.positive").alias(f"{prefix}positive"),
                     F.col("_s.neutral").alias(f"{prefix}neutral"), F.col("_s.negative").alias(f"{prefix}negative"),
                     F.col("_s.predicted_sentiment").alias("predicted_sentiment"),
-                    F.col("_s.confidence").alias("confidence"))
+                    F.col("_s.confidence").alias("confidence"), F.col("_s.score_error").alias("score_error"))

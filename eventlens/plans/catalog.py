@@ -11,6 +11,7 @@ _MODULES = (
     "eventlens.plans.ml_queries",
     "eventlens.plans.stream_queries",
     "eventlens.plans.pipeline_queries",
+    "eventlens.plans.path_queries",
 )
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from eventlens import fixtures as fx
@@ -15,6 +16,7 @@ from eventlens.plans.registry import query
 from eventlens.plans.sentiment_queries import MERGED_HOURLY_DOUBLES, MERGED_HOURLY_SQL, with_author_bound
 from eventlens.session import checkpoint_path
 from eventlens.sources.streams import fold_multiline
+from eventlens.streaming.folding import fold_stream, folded_events
 from eventlens.streaming.jobs import hourly_stream, suppress_stream
 
 
@@ -73,14 +75,33 @@ def q_stream_suppress(spark, sf):
     return out.select(F.get_json_object("alert", "$.event_id").cast("long").alias("event_id"), "alert_key", "kept")
 
 
-@query("fold_multiline", """
+_FOLD_SQL = """
 WITH s AS (SELECT *, CASE WHEN regexp_matches(line, '^[A-Z]') THEN 1 ELSE 0 END AS st
            FROM log_lines),
 g AS (SELECT *, SUM(st) OVER (PARTITION BY file_id ORDER BY line_no) AS event_no FROM s)
 SELECT file_id, CAST(event_no AS BIGINT) AS event_no, MIN(line_no) AS first_line, COUNT(*) AS n_lines,
        string_agg(line, chr(10) ORDER BY line_no) AS text, 0::BIGINT AS part
 FROM g GROUP BY file_id, event_no
-""", fixtures=["log_lines"])
+"""
+
+
+@query("stream_fold", _FOLD_SQL, fixtures=["log_lines"])
+def q_stream_fold(spark, sf):
+    """S08 the document lines folded while they arrive, a third of the lines of
+    every file at a time, started anew on its checkpoint: the cuts fall inside
+    events."""
+    base = _scratch(spark, "stream-fold")
+    lines = fx.log_lines(spark, sf)
+    third = F.floor((F.col("line_no") - 1) * 3 / F.max("line_no").over(Window.partitionBy("file_id")))
+    lines = lines.withColumn("arrives", third)
+    for k in range(3):
+        lines.where(F.col("arrives") == k).drop("arrives").write.mode("append").parquet(f"{base}/in")
+        src = spark.readStream.schema(lines.drop("arrives").schema).parquet(f"{base}/in")
+        fold_stream(src, f"{base}/out", f"{base}/open", f"{base}/ckpt", "^[A-Z]", available_now=True).awaitTermination()
+    return folded_events(spark, f"{base}/out", f"{base}/open")
+
+
+@query("fold_multiline", _FOLD_SQL, fixtures=["log_lines"])
 def q_fold_multiline(spark, sf):
     """S08 document lines folded into events: a line starting with an
     upper-case letter starts an event, others join the previous one."""

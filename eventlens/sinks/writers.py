@@ -187,16 +187,28 @@ def drop_older_than(spark: SparkSession, path: str, part_col: str, cutoff) -> li
     return dropped
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The partition columns of a table, by its folders."""
+    fs, p = _hadoop(spark, path)
+    columns = []
+    while True:
+        folders = [st.getPath() for st in fs.listStatus(p) if st.isDirectory() and "=" in st.getPath().getName()]
+        if not folders:
+            return columns
+        p = folders[0]
+        columns.append(p.getName().partition("=")[0])
+
+
 def compact(spark: SparkSession, path: str, part_col: str, value, files: int | None = None, sort_cols=()) -> None:
     """Rewrite one partition into ``files`` sorted files (default: as
     many as the advisory partition size gives), through a staged copy and a
-    dynamic overwrite of that partition alone."""
+    dynamic overwrite of that partition alone; folders below it stay."""
     part = spark.read.parquet(path).where(F.col(part_col) == F.lit(value))
     out = part.repartition(files) if files else part.hint("rebalance")
     if sort_cols:
         out = out.sortWithinPartitions(*sort_cols)
     staged, stage = _staged(out, "compact")
-    overwrite_partitions(staged, path, [part_col])
+    overwrite_partitions(staged, path, partition_columns(spark, path))
     _drop(spark, stage)
 
 

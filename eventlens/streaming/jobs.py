@@ -18,7 +18,7 @@ from eventlens.operators.alerts import build_alerts
 from eventlens.operators.prices import PRICE_TICK_SCHEMA, parse_json_value, unpivot_prices
 from eventlens.operators.security_rules import enrich_logs
 from eventlens.operators.sentiment import hourly_partials, normalise_tweets
-from eventlens.sinks.writers import append_stream, overwrite_partitions, route, topic_sink, write_jdbc
+from eventlens.sinks.writers import append_stream, overwrite_partitions, route, table_exists, topic_sink, write_jdbc
 
 STORE_TRIGGER = "30 seconds"
 TOPIC_TRIGGER = "10 seconds"
@@ -67,8 +67,11 @@ def tweet_stream(spark: SparkSession, tweets: DataFrame, schema, table_path: str
 
     def to_table(batch: DataFrame, batch_id: int):
         overwrite_partitions(batch.withColumn("batch_id", F.lit(batch_id)), table_path, ["batch_id"])
-        if jdbc:
+        # the ledger names the batches that the warehouse has; a replayed one is not appended again
+        done = f"{checkpoint_base}/warehouse/batch={batch_id}"
+        if jdbc and not table_exists(spark, done):
             write_jdbc(spark.read.parquet(table_path).where(F.col("batch_id") == batch_id).drop("batch_id"), **jdbc)
+            spark.range(1).write.mode("overwrite").parquet(done)
 
     q1 = _trigger(scored.writeStream.foreachBatch(to_table)
                   .option("checkpointLocation", f"{checkpoint_base}/store"), STORE_TRIGGER, available_now).start()
@@ -182,10 +185,14 @@ def score_stream(logs: DataFrame, models: dict, out_path: str, checkpoint: str,
     from eventlens.ml.forest import score_all
 
     def handle(batch: DataFrame, batch_id: int):
-        scored = score_all(batch, models, keep=("event_id",)).where(F.col("is_anomaly_pred"))
-        flagged = batch.join(scored.drop("log_type"), "event_id")
-        records = build_alerts(flagged, batch.columns)
-        overwrite_partitions(records.withColumn("batch_id", F.lit(batch_id)), out_path, ["batch_id"])
+        batch = batch.persist()  # each model and the join read it
+        try:
+            scored = score_all(batch, models, keep=("event_id",)).where(F.col("is_anomaly_pred"))
+            flagged = batch.join(scored.drop("log_type"), "event_id")
+            records = build_alerts(flagged, batch.columns)
+            overwrite_partitions(records.withColumn("batch_id", F.lit(batch_id)), out_path, ["batch_id"])
+        finally:
+            batch.unpersist()
 
     w = logs.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return _trigger(w, None, available_now).start()

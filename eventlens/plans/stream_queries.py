@@ -11,13 +11,18 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from eventlens import fixtures as fx
+from eventlens.operators import alerts as AL
 from eventlens.operators import sentiment as S
+from eventlens.operators.security_rules import enrich_logs
 from eventlens.plans.registry import query
+from eventlens.plans.security_queries import LOG_FIELDS, _ENRICHED_ALERTS_SQL, _logs
 from eventlens.plans.sentiment_queries import MERGED_HOURLY_DOUBLES, MERGED_HOURLY_SQL, with_author_bound
 from eventlens.session import checkpoint_path
+from eventlens.sinks.writers import staged
 from eventlens.sources.streams import fold_multiline
+from eventlens.streaming.alerting import await_all, enrich_stream, kept_alerts, outbox_stream
 from eventlens.streaming.folding import fold_stream, folded_events
-from eventlens.streaming.jobs import hourly_stream, suppress_stream
+from eventlens.streaming.jobs import SUPPRESS_OUT, hourly_stream, suppress_stream
 
 
 def _scratch(spark, name):
@@ -75,6 +80,45 @@ def q_stream_suppress(spark, sf):
     return out.select(F.get_json_object("alert", "$.event_id").cast("long").alias("event_id"), "alert_key", "kept")
 
 
+@query("stream_alerts", f"""
+WITH e AS (SELECT * FROM ({_ENRICHED_ALERTS_SQL}) x)
+SELECT alert_id, alert_key, timestamp, severity, related_alerts_count, is_part_of_campaign, recommendations, channels,
+       CASE WHEN channels = '' THEN 0 ELSE len(string_split(channels, ',')) END AS payloads FROM e
+""", fixtures=["sec_enriched"])
+def q_stream_alerts(spark, sf):
+    """ST06, R17, J03, K16 the live path: rule alerts suppressed, enriched by an
+    interval join of streams and put in the outbox, a third of the time span at a
+    time, every 40th alert of a third a batch late; a heartbeat moves the
+    watermark past the last alert."""
+    base = _scratch(spark, "stream-alerts")
+    alerts = AL.alerts_from_rules(enrich_logs(_logs(spark, sf)), LOG_FIELDS + ("event_id",))
+    alerts = staged(alerts.withColumn("alert_key", AL.alert_key(alerts)), "alerts")
+    at = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    low, high = alerts.agg(F.min(at), F.max(at)).first()
+    third = ((high or 0) - (low or 0)) // 3 + 1
+    part = F.floor((at - F.lit(low or 0)) / third).cast("int")
+    # a late alert is of the last hour of its third, so that the watermark has not passed it
+    late = (F.col("original_log.event_id") % 40 == 0) & (part < 2) & ((at - F.lit(low or 0)) % third > third - 3_600_000_000)
+    part = F.when(late, part + 1).otherwise(part)
+    beat = alerts.where(at == high).limit(1).withColumns({
+        "timestamp": F.col("timestamp") + F.expr("INTERVAL 3 DAYS"), "alert_key": F.lit("heartbeat"),
+        "original_log": F.col("original_log").withField("src_ip", F.lit("heartbeat"))})
+    stream = lambda folder, schema: spark.readStream.schema(schema).parquet(f"{base}/{folder}")
+    for k in range(3):
+        alerts.where(part == k).unionByName(beat if k == 2 else beat.limit(0)).write.mode("append").parquet(f"{base}/in")
+        suppress_stream(stream("in", alerts.schema), f"{base}/suppressed", f"{base}/ckpt-1", available_now=True).awaitTermination()
+        kept = kept_alerts(stream("suppressed", SUPPRESS_OUT), alerts)
+        enrich_stream(kept, stream("in", alerts.schema), f"{base}/enriched", f"{base}/ckpt-2", watermark="2 hours",
+                      available_now=True).awaitTermination()
+        enriched = spark.read.parquet(f"{base}/enriched")
+        await_all(spark, [outbox_stream(stream("enriched", enriched.schema), f"{base}/outbox", f"{base}/ckpt-3", available_now=True)])
+    sent = spark.read.parquet(f"{base}/outbox").groupBy("alert_id").agg(F.count("*").alias("payloads"))
+    return enriched.join(sent, "alert_id", "left").select(
+        "alert_id", "alert_key", "timestamp", "severity", "related_alerts_count", "is_part_of_campaign",
+        F.array_join("response_recommendations", " | ").alias("recommendations"), F.array_join("notification_channels", ",").alias("channels"),
+        F.coalesce("payloads", F.lit(0)).alias("payloads"))
+
+
 _FOLD_SQL = """
 WITH s AS (SELECT *, CASE WHEN regexp_matches(line, '^[A-Z]') THEN 1 ELSE 0 END AS st
            FROM log_lines),

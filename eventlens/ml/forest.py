@@ -233,7 +233,8 @@ def fit_forest(df: DataFrame, log_type: str, n_trees: int = N_TREES, sample_size
     """Fit one log type's model on ``df`` (rows of all types allowed)."""
     feats = extract_features(df, log_type, keep=(id_col,))
     encoders = staged(fit_encoders(feats, log_type), "encoders")
-    enc = encode(feats, encoders, log_type)
+    # written once: the scaler, the sample and the offset read these columns, not the logs
+    enc = staged(encode(feats, encoders, log_type).select(id_col, *[n for n, _ in FEATURES[log_type]]), "encoded")
     scaler = fit_scaler(enc, log_type)
     scaled = scale(enc, scaler)
     samples = sample_for_trees(scaled, log_type, n_trees, sample_size, seed, id_col)

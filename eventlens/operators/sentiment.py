@@ -281,6 +281,32 @@ def volume_by_hour(df: DataFrame, as_of, hours: int = 24, ts_col: str = "created
             .orderBy("hour"))
 
 
+#: KLL sketches of this k: a quantile's rank is off by less than RANK_ERROR, with 99 % confidence
+KLL_K = 400
+RANK_ERROR = 0.01
+
+
+def confidence_sketches(df: DataFrame, day_col: str = "date_partition") -> DataFrame:
+    """A13 as mergeable parts: per label and day the count, sum, sum of squares,
+    ends and a KLL sketch of the confidence; bounded by ``KLL_K``, whatever the
+    number of distinct values.  Parts of any days merge."""
+    c = F.col("confidence").cast("double")
+    return df.groupBy("predicted_sentiment", day_col).agg(
+        F.count(c).alias("n"), F.sum(c).alias("total"), F.sum(c * c).alias("squares"), F.min(c).alias("low"), F.max(c).alias("high"),
+        F.kll_sketch_agg_double(c, F.lit(KLL_K)).alias("sketch"))
+
+
+def merged_confidence(parts: DataFrame) -> DataFrame:
+    """A13 from its parts: count, mean, population deviation, ends, and the
+    median within ``RANK_ERROR`` of its rank."""
+    m = parts.groupBy("predicted_sentiment").agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("squares").alias("squares"), F.min("low").alias("low"),
+        F.max("high").alias("high"), F.kll_merge_agg_double("sketch", F.lit(KLL_K)).alias("sketch"))
+    mean = F.col("total") / F.col("n")
+    return m.select("predicted_sentiment", "n", mean.alias("mean"), F.sqrt(F.greatest(F.col("squares") / F.col("n") - mean * mean, F.lit(0.0))).alias("deviation"),
+                    "low", "high", F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)).alias("median"))
+
+
 def confidence_stats(df: DataFrame, as_of, hours: int = 24, ts_col: str = "created_at", exact: bool = False) -> DataFrame:
     """Confidence avg / median / min / max / count per label.
 

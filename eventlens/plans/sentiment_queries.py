@@ -227,6 +227,24 @@ def q_confidence_stats(spark, sf):
     return S.confidence_stats(fx.posts(spark, sf), AS_OF, exact=True)
 
 
+@query("confidence_sketches", """
+SELECT predicted_sentiment, COUNT(*) AS n, AVG(confidence) AS mean, stddev_pop(confidence) AS deviation, MIN(confidence) AS low, MAX(confidence) AS high,
+       TRUE AS median_in_bound
+FROM sentiment GROUP BY predicted_sentiment
+""", fixtures=["sentiment"], doubles=["mean", "deviation", "low", "high"])
+def q_confidence_sketches(spark, sf):
+    """A13 from daily KLL sketches, stored and merged: the median's rank among
+    all values is within the stated bound of one half."""
+    from eventlens.sinks.writers import staged
+    rows = _scored(spark, sf).select("predicted_sentiment", "date_partition", "confidence")
+    merged = S.merged_confidence(staged(S.confidence_sketches(rows), "confidence"))
+    at = F.col("confidence") < F.col("median")
+    rank = rows.join(merged.select("predicted_sentiment", "median"), "predicted_sentiment").groupBy("predicted_sentiment").agg(
+        F.avg(at.cast("int")).alias("below"), F.avg((F.col("confidence") <= F.col("median")).cast("int")).alias("upto"))
+    bound = (F.col("below") <= 0.5 + S.RANK_ERROR) & (F.col("upto") >= 0.5 - S.RANK_ERROR)
+    return merged.join(rank, "predicted_sentiment").select("predicted_sentiment", "n", "mean", "deviation", "low", "high", bound.alias("median_in_bound"))
+
+
 @query("engagement_by_sentiment", f"""
 SELECT predicted_sentiment, AVG(like_count) AS avg_likes, AVG(retweet_count) AS avg_retweets,
        AVG(like_count + retweet_count) AS avg_total_engagement

@@ -208,6 +208,8 @@ def balanced(sizes, capacity: int):
         m += 1
 
 
+#: pieces that a block holds before it looks for its end, at twice as many it ends
+PIECES = 1 << 15
 FIELDS = "doc_id long, start long, ids binary, length long, doc_tokens long, sequence_id long, offset long"
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.binary()), ("length", pa.int64()),
                     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
@@ -250,8 +252,10 @@ def _pack(path, capacity: int, windows: int, end_id: int):
                     if start < total:
                         held.append((doc_ids[i + r], start, own[start:].copy(), total))
                         size += total - start
-                    # a block ends where its windows would have some room each
-                    if size >= (windows - 1) * capacity and (size % capacity < capacity // 2 or size >= (windows + 1) * capacity):
+                    # a block ends where its windows would have some room each, and one of
+                    # many small pieces where its last window is nearly full
+                    many = len(held) >= PIECES and (-size % capacity <= capacity // 64 or len(held) >= 2 * PIECES)
+                    if many or size >= (windows - 1) * capacity and (size % capacity < capacity // 2 or size >= (windows + 1) * capacity):
                         rows, counter = block(held, counter)
                         held, size = [], 0
                         yield A.batch_of(SCHEMA, list(zip(*rows)))

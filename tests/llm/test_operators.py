@@ -589,3 +589,58 @@ def test_differencing_balances():
     load, windows = packing.differencing(sizes, 16)
     assert sorted(k for w in windows for k in w) == list(range(300))
     assert sorted(sum(sizes[k] for k in w) for w in windows) == sorted(load.tolist()) and load.max() - load.min() <= 2
+
+
+def test_blocks_of_very_short_texts_are_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "PIECES", 2000)
+    monkeypatch.setattr(packing.TaskContext, "get", staticmethod(lambda: type("T", (), {"partitionId": lambda self: 0})()))
+    n = 30000
+    batch = pa.record_batch({"doc_id": pa.array(range(n), pa.int64()), "text": pa.array([None, "", "a"] * (n // 3))})
+    out = list(packing._pack(None, 512, 512, 2)([batch]))
+    rows = [r for b in out for r in b.to_pylist()]
+    assert max(b.num_rows for b in out) <= 4000 and sorted(r["doc_id"] for r in rows) == list(range(n))
+    load = {}
+    for r in rows:
+        load[r["sequence_id"]] = load.get(r["sequence_id"], 0) + r["length"]
+    assert max(load.values()) <= 512 and sum(load.values()) > 0.97 * 512 * len(load)
+
+
+
+def test_quality_weights_against_a_plain_loop():
+    """Ftrl and scores against the formulas, one coordinate at a time."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(["good", "text", "buy", "now", "Read", "more", "x1", "漢字"], rng.integers(0, 30))) for _ in range(60)]
+    labels = [int("good" in t) for t in texts]
+    buf, off = arrays.text_buffer(pa.array(texts))
+    kinds = quality.features(buf, off)
+    rows = []
+    for r, y in enumerate(labels):
+        x = {1 << quality.BITS: 1.0}
+        for idx, bounds in kinds:
+            own = idx[bounds[r]:bounds[r + 1]].tolist()
+            for i in own:
+                x[i] = x.get(i, 0.0) + quality.SCALE / len(own)
+        rows.append((x, y))
+    model, z, n = quality.Ftrl((1 << quality.BITS) + 1), {}, {}
+
+    def weight(i):
+        zi, ni = z.get(i, 0.0), n.get(i, 0.0)
+        if abs(zi) <= quality.L1:
+            return 0.0
+        return -(zi - (quality.L1 if zi > 0 else -quality.L1)) / ((quality.BETA + ni ** 0.5) / quality.ALPHA + quality.L2)
+
+    for _ in range(3):
+        for x, y in rows:
+            at = np.array(sorted(x))
+            model.learn(at, np.array([x[i] for i in sorted(x)]), y)
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + np.exp(-sum(w[i] * v for i, v in x.items())))
+            for i, v in x.items():
+                g = (p - y) * v
+                sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / quality.ALPHA
+                z[i], n[i] = z.get(i, 0.0) + g - sigma * w[i], n.get(i, 0.0) + g * g
+    learnt = model.weights()
+    assert np.allclose(learnt[sorted(z)], [weight(i) for i in sorted(z)], atol=1e-9) and np.count_nonzero(learnt) > 5
+    plain = [1 / (1 + np.exp(-sum(weight(i) * v for i, v in x.items()))) for x, _ in rows]
+    assert np.allclose(quality.scores(pa.array(texts), learnt), plain, atol=1e-9)
+    assert np.mean([(p >= 0.5) == y for p, (_, y) in zip(plain, rows)]) > 0.9

@@ -9,16 +9,15 @@ there and stops (tests, backfills).
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from eventlens.operators.alerts import build_alerts
 from eventlens.operators.prices import PRICE_TICK_SCHEMA, parse_json_value, unpivot_prices
 from eventlens.operators.security_rules import enrich_logs
 from eventlens.operators.sentiment import hourly_partials, normalise_tweets
 from eventlens.sinks.writers import append_stream, overwrite_partitions, route, table_exists, topic_sink, write_jdbc
+from eventlens.streaming.suppression import Suppress
 
 STORE_TRIGGER = "30 seconds"
 TOPIC_TRIGGER = "10 seconds"
@@ -113,7 +112,6 @@ def brute_force_stream(logs: DataFrame, out_path: str, checkpoint: str, threshol
     return _trigger(w, None, available_now).start()
 
 
-SUPPRESS_STATE = "last_kept long"
 #: a key's state stays so long after the key's last batch, in milliseconds of the wall clock
 SUPPRESS_IDLE_MS = 24 * 3600 * 1000
 SUPPRESS_OUT = "alert_key string, ts timestamp, alert string, kept boolean"
@@ -122,50 +120,29 @@ SUPPRESS_OUT = "alert_key string, ts timestamp, alert string, kept boolean"
 def suppress_stream(alerts: DataFrame, out_path: str, checkpoint: str, minutes: int = 15,
                     key_col: str = "alert_key", ts_col: str = "timestamp", available_now: bool = False,
                     watermark: str = WATERMARK):
-    """ST06/R10 in a stream: per key, the time of the last kept alert is
-    keyed state (RocksDB store); each micro-batch's alerts of a key are
-    walked in time order against it.  No alert is dropped, however late: the
-    timeout is one of processing time, as with an event-time timeout Spark
-    leaves out rows behind the watermark.  The watermark only says when a
+    """ST06/R10 in a stream: per key, the time of the last kept alert is typed
+    state (RocksDB store); each micro-batch's alerts of a key are judged in time
+    order against it, chunk by chunk (``Suppress``).  No alert is dropped,
+    however late: the timers are of processing time, as with event-time timers
+    Spark leaves out rows behind the watermark.  The watermark only says when a
     key's state may go: it is a window past the last kept alert, and the key
     was idle for ``SUPPRESS_IDLE_MS``.  An alert that comes later still starts
-    anew and is kept.  The whole alert is carried as JSON (``alert``), so the
-    enrichment and the outbox can follow.  A key's alerts of one micro-batch
-    are held by one task: bound the batch at the source."""
-    gap_us = minutes * 60 * 1_000_000
-
-    def fold(key, pdfs, state):
-        if state.hasTimedOut:
-            if state.getCurrentWatermarkMs() >= (state.get[0] + gap_us) // 1000:
-                state.remove()
-            else:
-                state.setTimeoutDuration(SUPPRESS_IDLE_MS)
-            return
-        last = state.get[0] if state.exists else None
-        rows = pd.concat(list(pdfs)).sort_values(["ts", "alert"], kind="mergesort")
-        t = rows["ts"].astype("datetime64[us]").astype("int64").to_numpy()
-        kept = []
-        for v in t:
-            ok = last is None or v - last >= gap_us
-            kept.append(ok)
-            if ok:
-                last = int(v)
-        state.update((last,))
-        state.setTimeoutDuration(SUPPRESS_IDLE_MS)
-        yield pd.DataFrame({"alert_key": [key[0]] * len(rows), "ts": rows["ts"].to_numpy(),
-                            "alert": rows["alert"].to_numpy(), "kept": kept})
-
+    anew and is kept.  Of alerts of one key and time the least is kept; an alert
+    without a time is always kept.  The whole alert is carried as JSON
+    (``alert``), so the enrichment and the outbox can follow."""
+    if minutes <= 0:
+        raise ValueError("a suppression window has at least one minute")
     src = alerts.select(F.col(key_col).alias("alert_key"), F.col(ts_col).alias("ts"),
                         F.to_json(F.struct(*alerts.columns)).alias("alert"))
     src = _event_time(src, "ts").withWatermark("ts", watermark)
-    out = src.groupBy("alert_key").applyInPandasWithState(
-        fold, SUPPRESS_OUT, SUPPRESS_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    out = src.groupBy("alert_key").transformWithStateInPandas(
+        Suppress(minutes * 60 * 1_000_000, SUPPRESS_IDLE_MS), SUPPRESS_OUT, "append", "ProcessingTime")
     w = _trigger(append_stream(out, out_path, checkpoint), None, available_now)
     return _start_drain(alerts.sparkSession, w) if available_now else w.start()
 
 
 def _start_drain(spark: SparkSession, w):
-    """Start without batches that have no rows: with a processing-time timeout
+    """Start without batches that have no rows: with processing-time timers
     there is always one more, and the drain would not end.  The query takes
     the setting from the session when it starts."""
     name = "spark.sql.streaming.noDataMicroBatches.enabled"

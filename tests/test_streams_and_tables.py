@@ -338,3 +338,33 @@ def test_long_events_come_in_parts(spark):
     run = running(lines, ["file_id"], "line_no", {"s": (F.sum, F.col("line_no")), "m": (F.max, F.when(F.col("line_no") % 7 == 0, F.col("line_no")))}, 3)
     rows = {r.line_no: (r.s, r.m) for r in run.collect()}
     assert all(rows[n] == (n * (n + 1) // 2, n // 7 * 7 or None) for n in range(1, 41))
+
+
+def test_suppression_of_a_hot_key_goes_by_chunks(spark, tmpdir_path):
+    """A key with most alerts of a batch comes in chunks of 50 rows in no order
+    of time; the kept rows are those of a plain loop, also over the next batch."""
+    from eventlens.streaming.jobs import suppress_stream
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    t, schema = dt.datetime(2024, 1, 15), "alert_key string, timestamp timestamp, note string"
+    batches = [[("hot", (i * 7919) % 3000, f"{b} {i}") for i in range(1200)] + [(f"k{i % 9}", i * 3, f"{b} k {i}") for i in range(300)] for b in (0, 1)]
+    batches[1].append(("hot", None, "no time"))
+    last, want = {}, set()
+    for b, rows in enumerate(batches):
+        for key, m, note in sorted((r for r in rows if r[1] is not None), key=lambda r: (r[1], r[2])):
+            if key not in last or m + 2000 * b - last[key] >= 15:
+                last[key] = m + 2000 * b
+                want.add((key, note))
+    want.add(("hot", "no time"))
+    try:
+        spark.conf.set(name, "50")
+        for b, rows in enumerate(batches):
+            rows = [(k, None if m is None else t + dt.timedelta(minutes=m + 2000 * b), n) for k, m, n in rows]
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmpdir_path}/in")
+            src = spark.readStream.schema(schema).parquet(f"{tmpdir_path}/in")
+            suppress_stream(src, f"{tmpdir_path}/out", f"{tmpdir_path}/ckpt", available_now=True).awaitTermination()
+    finally:
+        spark.conf.set(name, before)
+    out = spark.read.parquet(f"{tmpdir_path}/out").collect()
+    assert len(out) == sum(map(len, batches))
+    assert {(r.alert_key, json.loads(r.alert)["note"]) for r in out if r.kept} == want

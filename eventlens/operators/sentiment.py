@@ -124,15 +124,20 @@ def hourly_partials(df: DataFrame) -> DataFrame:
                  F.hll_sketch_agg("author_id").alias("authors_sketch")))
 
 
-def hourly_merge(parts: DataFrame) -> DataFrame:
-    """A02 (read side): merge any number of parts per hour into A01's shape."""
-    g = parts.groupBy("hour_timestamp", "date_partition").agg(
+def merge_hourly_partials(parts: DataFrame) -> DataFrame:
+    """A02 (K14): parts of any number of micro-batches as one part per hour."""
+    return parts.groupBy("hour_timestamp", "date_partition").agg(
         *[F.sum(c).cast("bigint").alias(c) for c in
           ("total_tweets", "positive_tweets", "neutral_tweets", "negative_tweets",
            "total_likes", "total_retweets")],
         *[F.sum(c).alias(c) for c in ("sum_positive_score", "sum_neutral_score",
                                       "sum_negative_score", "sum_confidence")],
         F.hll_union_agg("authors_sketch").alias("authors_sketch"))
+
+
+def hourly_merge(parts: DataFrame) -> DataFrame:
+    """A02 (read side): merge any number of parts per hour into A01's shape."""
+    g = merge_hourly_partials(parts)
     n = F.col("total_tweets")
     return g.select(
         "hour_timestamp", "date_partition", "total_tweets", "positive_tweets", "neutral_tweets",

@@ -12,6 +12,7 @@ _MODULES = (
     "eventlens.plans.stream_queries",
     "eventlens.plans.pipeline_queries",
     "eventlens.plans.path_queries",
+    "eventlens.plans.maintenance_queries",
 )
 
 

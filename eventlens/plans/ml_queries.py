@@ -6,9 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventlens import fixtures as fx
-from eventlens.ml.features import extract_features
-from eventlens.ml.forest import fit_forest, score_all
+from eventlens.ml.features import FEATURES, extract_features
+from eventlens.ml.forest import fit_forests, score_all
+from eventlens.operators import alerts as AL
+from eventlens.operators.security_report import anomaly_stats
 from eventlens.plans.registry import query
+from eventlens.sinks.writers import staged
 
 _TIME = ("hour(event_time) AS hour_of_day, isodow(event_time) - 1 AS day_of_week, "
          "CASE WHEN isodow(event_time) - 1 >= 5 THEN 1 ELSE 0 END AS is_weekend")
@@ -43,11 +46,10 @@ def q_auth_features(spark, sf):
 
 @query("score_forest")
 def q_score_forest(spark, sf):
-    """M08/M09 isolation forest per log type fitted on all events and scored
-    on all events (rows-only check: one row per event)."""
+    """M08/M09 isolation forests of all log types fitted together on all events
+    and scored on all events (rows-only check: one row per event)."""
     logs = fx.sec_logs(spark, sf)
-    models = {t: fit_forest(logs, t) for t in ("web", "firewall", "auth", "system", "dns")}
-    return score_all(logs, models)
+    return score_all(logs, fit_forests(logs))
 
 
 @query("score_forest_bounds", """
@@ -61,3 +63,52 @@ def q_score_forest_bounds(spark, sf):
     return s.groupBy("log_type").agg(
         F.count_distinct("event_id").alias("events"), F.bool_and(F.col("anomaly_score").between(0, 1)).alias("scores_in_range"),
         (F.avg((F.col("decision") < 0).cast("int")) <= 0.25).alias("share_in_bounds"))
+
+
+@query("planted_outliers", """
+SELECT log_type, COUNT(*) AS events, COUNT(*) FILTER (WHERE event_id % 97 = 0) AS planted, TRUE AS planted_score_higher
+FROM sec_logs GROUP BY log_type
+""", fixtures=["sec_logs"])
+def q_planted_outliers(spark, sf):
+    """M08/M09 every 97th log is made odd in the fields of its type; the models,
+    fitted on all logs, give them a higher mean anomaly score than the others."""
+    odd = F.col("event_id") % 97 == 0
+    logs = fx.sec_logs(spark, sf)
+    strange = {"status_code": 900, "path": "/phpmyadmin/x", "dst_port": 31337, "packet_count": 1_000_000, "result": "ZZ_LOCKED",
+               "username": "administrator", "event_type": "zz_wiped", "process_name": "nc.exe", "response_code": "ZZFAIL",
+               "query": "bad.com"}
+    logs = logs.withColumns({c: F.when(odd, F.lit(v)).otherwise(F.col(c)) for c, v in strange.items()})
+    scored = score_all(logs, fit_forests(logs))
+    mean = lambda of: F.avg(F.when(of, F.col("anomaly_score")))
+    return scored.groupBy("log_type").agg(F.count("*").alias("events"), F.count_if(odd).alias("planted"),
+                                          (mean(odd) > mean(~odd)).alias("planted_score_higher"))
+
+
+@query("model_figures", """
+SELECT log_type, COUNT(*) AS total, COUNT(*) FILTER (WHERE result = 'FAILED') AS failed, TRUE AS alerts_are_the_flagged,
+       TRUE AS quality_adds_up, TRUE AS severity_follows_score
+FROM sec_logs GROUP BY log_type
+""", fixtures=["sec_logs"])
+def q_model_figures(spark, sf):
+    """A27, D02, P18, R14-R16 on the models' own scores: the alert records are
+    those of the flagged logs, the confusion counts add up to the flagged and the
+    failed logs, and a severity holds scores of its range alone."""
+    logs = fx.sec_logs(spark, sf)
+    scored = staged(score_all(logs, fit_forests(logs)), "scored")
+    logs = logs.join(scored.drop("log_type"), "event_id")
+    stats = anomaly_stats(scored).select("log_type", "flagged", "total")
+    alerts = AL.ml_anomalies(AL.build_alerts(logs.where("is_anomaly_pred"), ("event_id", "src_ip")), 0.0)
+    low = {"CRITICAL": 0.9, "HIGH": 0.8, "MEDIUM": 0.6}
+    floor = F.coalesce(*[F.when(F.col("severity") == s, F.lit(v)) for s, v in low.items()], F.lit(-1.0))
+    alerts = alerts.groupBy("log_type").agg(F.count("*").alias("alerts"), F.bool_and(F.col("anomaly_score") > floor).alias("in_range"))
+    out = None
+    for t in FEATURES:
+        q = AL.detection_quality(logs.where(F.col("log_type") == t).withColumn("label", F.col("result") == "FAILED"), "label", "is_anomaly_pred")
+        q = q.withColumn("log_type", F.lit(t))
+        out = q if out is None else out.unionByName(q)
+    figures = stats.join(out, "log_type").join(alerts, "log_type", "left")
+    return figures.select(
+        "log_type", "total", (F.col("tp") + F.col("fn")).alias("failed"),
+        (F.coalesce("alerts", F.lit(0)) == F.col("flagged")).alias("alerts_are_the_flagged"),
+        ((F.col("tp") + F.col("fp") == F.col("flagged")) & (F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn") == F.col("total"))).alias("quality_adds_up"),
+        F.coalesce("in_range", F.lit(True)).alias("severity_follows_score"))

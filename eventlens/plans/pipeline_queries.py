@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from eventlens import fixtures as fx
-from eventlens.ml.features import extract_features, with_trailing_failure_rate
+from eventlens.ml.features import FEATURES, extract_features, with_trailing_failure_rate
 from eventlens.operators import alerts as AL
 from eventlens.operators import sentiment as S
 from eventlens.operators.common import latest_per_key, time_range
@@ -132,10 +132,12 @@ SELECT event_id, (port - mp) / sp AS dst_port, (packets - mk) / sk AS packet_cou
 """, fixtures=["sec_logs"], doubles=["dst_port", "packet_count", "port_risk_score", "protocol", "action"])
 def q_scaled_features(spark, sf):
     """M06/M07 category codes and standard scores of the firewall features."""
-    from eventlens.ml.forest import encode, fit_encoders, fit_scaler, scale
-    feats = extract_features(fx.sec_logs(spark, sf), "firewall")
-    enc = encode(feats, fit_encoders(feats, "firewall"), "firewall")
-    return scale(enc, fit_scaler(enc, "firewall")).select("event_id", "dst_port", "packet_count", "port_risk_score", "protocol", "action")
+    from eventlens.ml.forest import encode, feature_rows, fit_encoders, fit_scalers, scale
+    rows = feature_rows(fx.sec_logs(spark, sf), ("firewall",))
+    enc = encode(rows, fit_encoders(rows), ("firewall",))
+    return scale(enc, fit_scalers(enc)).select("event_id", *[
+        F.get("x", F.lit(i)).alias(n) for i, (n, _) in enumerate(FEATURES["firewall"])
+        if n in ("dst_port", "packet_count", "port_risk_score", "protocol", "action")])
 
 
 @query("encode_categories", """
@@ -144,9 +146,10 @@ FROM sec_logs WHERE log_type = 'dns'
 """, fixtures=["sec_logs"], doubles=["response_code"])
 def q_encode_categories(spark, sf):
     """M06/J06 codes of a category in the order of its values."""
-    from eventlens.ml.forest import encode, fit_encoders
-    feats = extract_features(fx.sec_logs(spark, sf), "dns")
-    return encode(feats, fit_encoders(feats, "dns"), "dns").select("event_id", "response_code")
+    from eventlens.ml.forest import encode, feature_rows, fit_encoders
+    rows = feature_rows(fx.sec_logs(spark, sf), ("dns",))
+    at = [n for n, _ in FEATURES["dns"]].index("response_code")
+    return encode(rows, fit_encoders(rows), ("dns",)).select("event_id", F.get("x", F.lit(at)).alias("response_code"))
 
 
 def _stand_in_scores(spark, sf):

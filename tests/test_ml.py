@@ -52,3 +52,81 @@ def test_feature_defaults(spark):
     assert (r[1].domain_category, r[1].domain_reputation_score, r[1].is_weekend) == ("suspicious", 0.9, 1)
     assert (r[2].domain_category, r[2].domain_reputation_score, r[2].day_of_week) == ("legitimate", 0.1, 0)
     assert (r[3].domain_category, r[3].query_type, r[3].response_code) == ("unknown", "A", "NOERROR")
+
+
+def _mixed(spark):
+    base = dt.datetime(2024, 1, 15, 10)
+    rows = []
+    for i in range(1500):
+        t = ("firewall", "dns", "auth", None, "printer")[i % 5]
+        rows.append((i, t, base + dt.timedelta(seconds=7 * i), "10.0.0.1", 443 if i % 3 else 80, i % 9, None if i % 11 == 0 else f"m{i % 4}",
+                     None if i % 7 == 0 else "x"))
+    return spark.createDataFrame(rows, "event_id long, log_type string, event_time timestamp_ntz, src_ip string, dst_port int, "
+                                       "packet_count int, response_code string, log_severity string")
+
+
+def test_types_fitted_together_are_as_fitted_alone(spark):
+    from eventlens.ml.forest import fit_forests, score_all
+    df = _mixed(spark)
+    together = fit_forests(df, n_trees=20)
+    assert set(together) == {"firewall", "dns", "auth"}  # no rows: no model
+    for t, m in together.items():
+        alone = fit_forest(df, t, n_trees=20)
+        assert alone.nodes.equals(m.nodes) and alone.offset == m.offset and alone.scaler == m.scaler
+    rows = lambda d: {(r.event_id, r.log_type, r.decision, r.is_anomaly_pred) for r in d.collect()}
+    scored = rows(score_all(df, together))
+    assert scored == set().union(*[rows(m.score(df)) for m in together.values()])
+    assert len(scored) == 900  # logs of other types, or of none, have no score
+
+
+def test_scoring_reads_the_logs_once(spark, tmpdir_path):
+    from eventlens.ml.forest import fit_forests, score_all
+    _mixed(spark).write.parquet(f"{tmpdir_path}/logs")
+    df = spark.read.parquet(f"{tmpdir_path}/logs")
+    plan = score_all(df, fit_forests(df, n_trees=5))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("src_ip#") > 0 and plan.count("MapInPandas") == 1
+    scans = [line for line in plan.splitlines() if "Relation" in line and "event_time#" in line]
+    assert len(scans) == 1
+
+
+def test_path_lengths_against_a_plain_walk():
+    import numpy as np
+    import pandas as pd
+    from eventlens.ml.forest import _c, _grow_tree, _path_lengths, _tree_arrays
+    rng = np.random.default_rng(5)
+    X = np.round(rng.normal(size=(200, 4)), 1)
+    X[::17, 2] = np.nan
+    trees = [_grow_tree(np.nan_to_num(X[k::3]), np.random.default_rng(k)) for k in range(3)]
+    nodes = pd.concat([pd.DataFrame(t, columns=["node", "feature", "threshold", "left", "right", "size"]).assign(tree=k)
+                       for k, t in enumerate(trees)])
+
+    def walk(x, tree):
+        at, depth = 0, 0
+        while tree[at][1] >= 0:
+            _, f, thr, left, right, _ = tree[at]
+            at, depth = (left if x[f] < thr else right), depth + 1
+        return depth + _c(tree[at][5])
+    want = [sum(walk(x, t) for t in trees) / 3 for x in X]
+    assert np.allclose(_path_lengths(X, _tree_arrays(nodes)), want)
+
+
+def test_encoders_and_scalers_on_nulls_and_unseen(spark):
+    from eventlens.ml.features import FEATURES
+    from eventlens.ml.forest import encode, feature_rows, fit_encoders, fit_scalers, scale
+    import pytest
+    df = _mixed(spark)
+    rows = feature_rows(df, ("dns",))
+    enc = fit_encoders(rows.where("event_id % 4 = 1"))  # m2 and others are unseen
+    codes = {(r.feature, r.category): r.code for r in enc.collect()}
+    at = [n for n, _ in FEATURES["dns"]].index("response_code")
+    got = {r.event_id: r.x[at] for r in encode(rows, enc, ("dns",)).collect()}
+    for r in df.where("log_type = 'dns'").collect():
+        assert got[r.event_id] == codes.get(("response_code", r.response_code or "NOERROR"), 0)
+    full = encode(rows, fit_encoders(rows), ("dns",))
+    scalers = fit_scalers(full)
+    assert scalers["dns"]["n"] == 300 and scalers["dns"]["std"][1] == 1.0  # one weekday: no spread
+    back = scale(full, scalers).selectExpr("avg(x[3])", f"stddev_pop(x[{at}])").first()
+    assert abs(back[0]) < 1e-9 and abs(back[1] - 1) < 1e-9
+    assert fit_scalers(full.limit(0)) == {}
+    with pytest.raises(ValueError):
+        fit_forest(df, "web")

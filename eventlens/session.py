@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -78,8 +81,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+#: the folder of the running block, below the shared checkpoint folder
+_RUN: ContextVar[str] = ContextVar("run", default="")
+
+
 def checkpoint_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint dir (for streaming checkpoints
-    and lineage-cutting table writes)."""
+    and lineage-cutting table writes), within :func:`scratch_run` of its folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+    return f"{base}/{_RUN.get()}{name}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` in whatever store it is in; no folder is no error."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession, name: str = "run"):
+    """A block whose intermediate tables lie in one folder, which is dropped at
+    its end, also after an error.  Results are computed lazily from these tables:
+    write them, to a folder of their own, before the block ends.  Blocks may be
+    nested.  Tables that another thread writes (``foreachBatch``) are not in it."""
+    folder = f"{_RUN.get()}{name}-{uuid.uuid4().hex}/"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{folder}"
+    token = _RUN.set(folder)
+    try:
+        yield path
+    finally:
+        _RUN.reset(token)
+        drop_folder(spark, path)

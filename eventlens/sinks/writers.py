@@ -14,6 +14,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlens.session import checkpoint_path, drop_folder as _drop
+
 
 def _hadoop(spark: SparkSession, path: str):
     """The file system of ``path`` and the path as Hadoop objects."""
@@ -33,7 +35,6 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def _staged(df: DataFrame, name: str):
     """``df`` written to a folder of its own below the shared checkpoint
     folder, and that folder's path; the caller drops it after use."""
-    from eventlens.session import checkpoint_path
     spark = df.sparkSession
     path = checkpoint_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
@@ -78,11 +79,6 @@ def replace_table(df: DataFrame, target: str, partition_by=()) -> None:
     w.parquet(target) if "/" in target else w.saveAsTable(target)
 
 
-def _drop(spark: SparkSession, path: str) -> None:
-    fs, p = _hadoop(spark, path)
-    fs.delete(p, True)
-
-
 def append(df: DataFrame, path: str, partition_by=()) -> None:
     w = df.write.mode("append")
     if partition_by:

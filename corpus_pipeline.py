@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.llm import decontaminate, minhash, packing, pii, quality
-from eventlens.llm.spill import written
+from eventlens.llm.spill import table_path, written
+from eventlens.session import drop_folder, scratch_run
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +55,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written and read again.  What a stage
+    wrote for itself and the table before it are dropped when its own table is
+    there; the last of these tables stays, as the result reads it."""
+    docs, path = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, path = path, table_path(spark, f"pipeline-{name}")
+        with scratch_run(spark, f"pipeline-{name}"):
+            docs = written(stage(spark, docs, sf_dir), name, path)
+        if before:
+            drop_folder(spark, before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -11,16 +11,22 @@ import math
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.session import checkpoint_path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared checkpoint folder, read it back."""
+def table_path(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder (or the running block's)."""
+    return checkpoint_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
+
+
+def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet below the shared checkpoint folder (or at
+    ``path``), read it back."""
     spark = df.sparkSession
-    path = checkpoint_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
+    path = path or table_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

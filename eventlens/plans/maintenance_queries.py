@@ -20,6 +20,7 @@ from eventlens.session import checkpoint_path
 from eventlens.sinks.merged import compact_parts, compact_versions, latest, read_parts, upsert
 from eventlens.sinks.skipping import cluster, lookup_cost, row_groups
 from eventlens.sinks.writers import staged
+from eventlens.sources.streams import batch_files
 from eventlens.sources.tables import read_parquet_table
 from eventlens.streaming.checks import check_stream, stream_report
 from eventlens.streaming.jobs import hourly_stream
@@ -77,12 +78,13 @@ def q_stream_checks(spark, sf):
     rows are written in three micro-batches."""
     base = _scratch(spark, "stream-checks")
     stg = V.stg_videos(fx.videos_raw(spark, sf))
-    stg.repartition(3).write.parquet(f"{base}/in/stg_videos")
-    V.fct_video_trends(spark.read.parquet(f"{base}/in/stg_videos")).repartition(3).write.parquet(f"{base}/in/fct_video_trends")
+    n = stg.count()  # the facts are no more than the staged rows
+    files = {"stg_videos": batch_files(stg, f"{base}/in/stg_videos", n)}
+    files["fct_video_trends"] = batch_files(V.fct_video_trends(spark.read.parquet(f"{base}/in/stg_videos")), f"{base}/in/fct_video_trends", n)
     out = None
     for model in ("stg_videos", "fct_video_trends"):
         path = f"{base}/in/{model}"
-        src = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+        src = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files[model]).parquet(path)
         check_stream(src, model, video_suite(), f"{base}/out/{model}", f"{base}/report/{model}", f"{base}/ckpt/{model}",
                      available_now=True).awaitTermination()
         report = stream_report(spark, model, video_suite(), f"{base}/report/{model}")

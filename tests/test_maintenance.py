@@ -12,6 +12,7 @@ from eventlens.operators import keywords as KW
 from eventlens.operators import sentiment as S
 from eventlens.operators.quality import Check, run_checks
 from eventlens.sinks.merged import compact_parts, compact_versions, latest, read_parts, upsert
+from eventlens.sources.streams import batch_files
 from eventlens.sinks.skipping import cluster, lookup_cost, row_groups
 from eventlens.streaming.checks import check_stream, stream_report
 from eventlens.streaming.suppression import Suppress
@@ -247,3 +248,30 @@ def test_clustered_table_skips_files(spark, tmpdir_path):
         # every file that has the value is among those counted
         for v in (7.0, 250.0, 499.0):
             assert back.where(F.col(c) == v).select(F.input_file_name()).distinct().count() <= met[v]
+
+
+def test_stream_input_has_files_by_rows(spark, tmpdir_path):
+    rows = spark.range(100)
+    assert batch_files(rows, f"{tmpdir_path}/few", 100) == 1
+    assert batch_files(rows, f"{tmpdir_path}/many", 100, rows_a_file=10) == 4
+    assert batch_files(rows, f"{tmpdir_path}/ranges", 100, by="id", rows_a_file=10) == 4
+    for name, files in (("few", 3), ("many", 12), ("ranges", 12)):
+        back = spark.read.parquet(f"{tmpdir_path}/{name}")
+        assert len(back.inputFiles()) == files and back.exceptAll(rows).count() == 0 and back.count() == 100
+
+
+def test_lookup_cost_of_overlapping_and_nested_ranges(spark):
+    ranges = [("a", 0, 0.0, 10.0), ("a", 1, 5.0, 20.0), ("a", 2, 30.0, 30.0), ("b", 0, 2.0, 1000.0), ("b", 1, 3.0, 4.0), ("c", 0, None, None),
+              ("d", 0, 30.0, 31.0), ("d", 1, 31.0, 40.0)]
+    groups = spark.createDataFrame([(p, g, 1, "x", lo, hi) for p, g, lo, hi in ranges],
+                                   "path string, row_group int, n_rows long, column string, low double, high double")
+    wanted = [-1.0, 0.0, 1.5, 3.5, 4.5, 7.0, 10.0, 25.0, 30.0, 31.0, 40.0, 999.0, 1000.0, 1001.0, float("nan")]
+    cost = lookup_cost(groups, "x", spark.createDataFrame([(v,) for v in wanted + [7.0, None]], "value double"))
+    got = {str(r.value): (r.files, r.row_groups) for r in cost.collect()}
+    for v in wanted:
+        met = [(p, g) for p, g, lo, hi in ranges if lo is None or lo <= v <= hi]
+        assert got[str(v)] == (len({p for p, _ in met}), len(met)), v
+    assert len(got) == len(wanted)
+    # values are not joined with the row groups: only with one row a cell
+    plan = cost._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1

@@ -22,7 +22,7 @@ from eventlens.plans.sentiment_queries import _N0, _P0
 from eventlens.session import checkpoint_path
 from eventlens.sinks.writers import (append_stream, compact, create_views, drop_older_than, merge_insert_only_table, replace_table,
                                      write_csv, write_daily, write_report)
-from eventlens.sources.streams import read_incidents_json, read_prices_csv, read_topic, read_videos_csv
+from eventlens.sources.streams import batch_files, read_incidents_json, read_prices_csv, read_topic, read_videos_csv
 from eventlens.sources.tables import read_daily, read_parquet_table
 from eventlens.streaming.jobs import brute_force_stream, log_stream, price_stream, score_stream, tweet_stream
 
@@ -88,8 +88,8 @@ def q_tweet_store(spark, sf):
 def _log_files(spark, sf, base, columns=None):
     logs = fx.sec_logs(spark, sf)
     logs = logs.select(*columns) if columns else logs
-    logs.repartition(3).write.parquet(f"{base}/in")
-    return spark.readStream.schema(logs.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    files = batch_files(logs, f"{base}/in", logs.count())
+    return spark.readStream.schema(logs.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/in")
 
 
 @query("log_store", """

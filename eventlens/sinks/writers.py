@@ -141,13 +141,14 @@ def route(batch: DataFrame, batch_id: int, base: str, high_col: str = "severity"
     """One micro-batch to the store and the topic folders, HIGH rows
     also to the alerts folder.  The batch is persisted once for the three
     writes, and each write overwrites its own ``batch_id`` partition, so a
-    replayed batch replaces rather than duplicates (exactly-once)."""
-    b = batch.withColumn("batch_id", F.lit(batch_id)).persist()
+    replayed batch replaces rather than duplicates (exactly-once).  The batch id
+    is a literal of each write: as a persisted column it would be sorted by, all
+    rows of a task at once."""
+    b = batch.persist()
     try:
-        overwrite_partitions(b, f"{base}/store", ["batch_id"])
-        overwrite_partitions(b.select("batch_id", F.to_json(F.struct(*batch.columns)).alias("value")),
-                             f"{base}/topic", ["batch_id"])
-        overwrite_partitions(b.where(F.col(high_col) == "HIGH"), f"{base}/alerts", ["batch_id"])
+        for rows, name in ((b, "store"), (b.select(F.to_json(F.struct(*batch.columns)).alias("value")), "topic"),
+                           (b.where(F.col(high_col) == "HIGH"), "alerts")):
+            overwrite_partitions(rows.withColumn("batch_id", F.lit(batch_id)), f"{base}/{name}", ["batch_id"])
     finally:
         b.unpersist()
 

@@ -368,3 +368,31 @@ def test_suppression_of_a_hot_key_goes_by_chunks(spark, tmpdir_path):
     out = spark.read.parquet(f"{tmpdir_path}/out").collect()
     assert len(out) == sum(map(len, batches))
     assert {(r.alert_key, json.loads(r.alert)["note"]) for r in out if r.kept} == want
+
+
+def test_routed_rows_are_not_sorted(spark, tmpdir_path):
+    """The batch id is a literal of each write: a persisted one is sorted by."""
+    from eventlens.sinks.writers import route
+    logs = spark.range(50).select(F.col("id").alias("event_id"), F.when(F.col("id") % 5 == 0, "HIGH").otherwise("LOW").alias("severity"))
+    seen, real = [], route.__globals__["overwrite_partitions"]
+    route.__globals__["overwrite_partitions"] = lambda df, path, by: (seen.append(df.sort(*by)._jdf.queryExecution().optimizedPlan().toString()), real(df, path, by))
+    try:
+        route(logs, 3, f"{tmpdir_path}/out")
+    finally:
+        route.__globals__["overwrite_partitions"] = real
+    assert len(seen) == 3 and not any("Sort" in p for p in seen)
+    assert {(r.batch_id, r.n) for r in spark.read.parquet(f"{tmpdir_path}/out/store").groupBy("batch_id").agg(F.count("*").alias("n")).collect()} == {(3, 50)}
+    assert spark.read.parquet(f"{tmpdir_path}/out/alerts").count() == 10 and spark.read.parquet(f"{tmpdir_path}/out/topic").count() == 50
+
+
+def test_brute_force_stream_deals_rows_before_windows(spark, tmpdir_path):
+    from eventlens.streaming.jobs import brute_force_stream
+    t = dt.datetime(2024, 1, 15, 10)
+    rows = [(f"10.0.0.{i % 3}", t + dt.timedelta(seconds=7 * i), "FAILED") for i in range(300)]
+    spark.createDataFrame(rows, "src_ip string, event_time timestamp, result string").coalesce(1).write.parquet(f"{tmpdir_path}/in")
+    src = spark.readStream.schema("src_ip string, event_time timestamp, result string").parquet(f"{tmpdir_path}/in")
+    q = brute_force_stream(src, f"{tmpdir_path}/out", f"{tmpdir_path}/ckpt", available_now=True)
+    q.awaitTermination()
+    plan = q._jsq.explainInternal(False)
+    # the rows are exchanged by address and minute below the windows' expansion
+    assert plan.index("Expand") < plan.rindex("Exchange") and "REPARTITION_BY_COL" in plan

@@ -120,7 +120,7 @@ def q_stream_brute_force(spark, sf):
     windows that it has passed are put out."""
     base = _scratch(spark, "stream-brute-force")
     logs = fx.sec_logs(spark, sf).select("src_ip", "event_time", "result")
-    logs.repartitionByRange(3, "event_time").write.parquet(f"{base}/in")
+    batch_files(logs, f"{base}/in", logs.count(), by="event_time")
     src = spark.readStream.schema(logs.schema).parquet(f"{base}/in")
     brute_force_stream(src, f"{base}/out", f"{base}/ckpt", BF_THRESHOLD, f"{BF_WINDOW_MIN} minutes", f"{BF_SLIDE_MIN} minutes",
                        available_now=True).awaitTermination()

@@ -135,6 +135,10 @@ def q_topics_summary(spark, sf):
     return must.join(found, key, "left").select(*key, "mention_count", F.coalesce(near, F.lit(False)).alias("within_bound"))
 
 
+#: rows of a clustered file where 32 files would have more
+CLUSTER_ROWS = 1_000_000
+
+
 @query("skipping", """
 SELECT 'l_partkey' AS column_name, CAST(COUNT(*) AS BIGINT) AS n_rows, TRUE AS fewer_than_half, TRUE AS same_rows FROM lineitem
 UNION ALL SELECT 'l_suppkey', COUNT(*), TRUE, TRUE FROM lineitem
@@ -146,8 +150,9 @@ def q_skipping(spark, sf):
     base = _scratch(spark, "skipping")
     cols = ("l_partkey", "l_suppkey")
     rows = read_parquet_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *cols)
-    rows.repartition(32).write.parquet(f"{base}/plain")
-    cluster(rows, f"{base}/clustered", cols, files=32)
+    files = max(32, -(-rows.count() // CLUSTER_ROWS))
+    rows.repartition(files).write.parquet(f"{base}/plain")
+    cluster(rows, f"{base}/clustered", cols, files=files)
     plain, clustered = spark.read.parquet(f"{base}/plain"), spark.read.parquet(f"{base}/clustered")
     total = lambda df: df.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)")).alias("s"))
     same = total(plain).crossJoin(total(clustered).select(F.col("n").alias("n2"), F.col("s").alias("s2")))  # one row each

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: bits of a column's rank in the clustering key
@@ -72,16 +72,37 @@ def row_groups(spark: SparkSession, path: str, cols) -> DataFrame:
 
 def lookup_cost(groups: DataFrame, col: str, values: DataFrame, value_col: str = "value") -> DataFrame:
     """For each distinct value the files and row groups (rows of ``row_groups``)
-    that a lookup of ``col`` has to read.  The values meet the row groups by a
-    join on 256 steps of the column's range, not against all of them."""
+    that a lookup of ``col`` has to read.  No value meets a row group: the column's
+    range is cut into 256 cells, and a value's figures are those of the ranges that
+    reach into its cell from below, and of the bounds in the cell up to the value,
+    as a running sum.  So the work is that of the values and the row groups, not of
+    their pairs."""
     groups = groups.where(F.col("column") == col)
     span = groups.agg(F.min("low").alias("lo"), F.max("high").alias("hi")).first()
-    step = max(((span.hi or 0.0) - (span.lo or 0.0)) / 256, 1e-9)
-    cell = lambda c: F.floor((c - F.lit(span.lo or 0.0)) / F.lit(step))
-    known = groups.where("low is not null").withColumn("cell", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))))
+    lo, hi = span.lo or 0.0, span.hi or 0.0
+    step = max((hi - lo) / 256, 1e-9)
+    cell = lambda c: F.floor((c - F.lit(lo)) / F.lit(step))
+    known = groups.where("low is not null").select("path", "low", "high")
+    # a file's row groups that overlap are one range of the file
+    before = F.max("high").over(Window.partitionBy("path").orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1))
+    ranges = known.withColumn("new", F.when(F.col("low") <= before, 0).otherwise(1))
+    ranges = ranges.withColumn("island", F.sum("new").over(Window.partitionBy("path").orderBy("low", "high").rowsBetween(Window.unboundedPreceding, 0)))
+    ranges = ranges.groupBy("path", "island").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    ranges = ranges.select("low", "high", F.lit(1).alias("files"), F.lit(0).alias("row_groups")).unionByName(
+        known.select("low", "high", F.lit(0).alias("files"), F.lit(1).alias("row_groups")))
+    ranges = ranges.withColumns({"from": cell(F.col("low")), "to": cell(F.col("high"))})
+    reach = ranges.where(F.col("to") > F.col("from")).withColumn("cell", F.explode(F.sequence(F.col("from") + 1, F.col("to"))))
+    reach = reach.groupBy("cell").agg(F.sum("files").alias("base_files"), F.sum("row_groups").alias("base_groups"))
+
     wanted = values.select(F.col(value_col).cast("double").alias("value")).where("value is not null").distinct()
-    met = wanted.withColumn("cell", cell(F.col("value"))).join(known, "cell").where("value between low and high")
+    # of equal places a range's low comes before the value, its high after it
+    points = wanted.select(cell(F.col("value")).alias("cell"), F.col("value").alias("at"), F.lit(1).alias("turn"), F.lit(0).alias("f"), F.lit(0).alias("g"))
+    for place, at, turn, sign in (("from", "low", 0, 1), ("to", "high", 2, -1)):
+        bounds = ranges.groupBy(F.col(place).alias("cell"), F.col(at).alias("at")).agg((sign * F.sum("files")).alias("f"), (sign * F.sum("row_groups")).alias("g"))
+        points = points.unionByName(bounds.withColumn("turn", F.lit(turn)))
+    up_to = Window.partitionBy("cell").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0)
+    met = points.withColumns({"f": F.sum("f").over(up_to), "g": F.sum("g").over(up_to)}).where("turn = 1").join(F.broadcast(reach), "cell", "left")
     blind = groups.where("low is null").agg(F.count("*").alias("n"), F.count_distinct("path").alias("f")).first()
-    met = met.groupBy("value").agg(F.count_distinct("path").alias("files"), F.count("*").alias("row_groups"))
-    return wanted.join(met, "value", "left").select("value", (F.coalesce("files", F.lit(0)) + blind.f).alias("files"),
-                                                   (F.coalesce("row_groups", F.lit(0)) + blind.n).alias("row_groups"))
+    inside = lambda n, base: F.when(F.col("at").between(lo, hi), n + F.coalesce(base, F.lit(0))).otherwise(0)
+    return met.select(F.col("at").alias("value"), (inside(F.col("f"), F.col("base_files")) + blind.f).alias("files"),
+                      (inside(F.col("g"), F.col("base_groups")) + blind.n).alias("row_groups"))

@@ -17,7 +17,7 @@ from eventlens.operators.prices import PRICE_TICK_SCHEMA, parse_json_value, unpi
 from eventlens.operators.security_rules import enrich_logs
 from eventlens.operators.sentiment import hourly_partials, normalise_tweets
 from eventlens.sinks.writers import append_stream, overwrite_partitions, route, table_exists, topic_sink, write_jdbc
-from eventlens.streaming.suppression import Suppress
+from eventlens.streaming.suppression import SuppressKeys
 
 STORE_TRIGGER = "30 seconds"
 TOPIC_TRIGGER = "10 seconds"
@@ -117,6 +117,8 @@ def brute_force_stream(logs: DataFrame, out_path: str, checkpoint: str, threshol
 
 #: a key's state stays so long after the key's last batch, in milliseconds of the wall clock
 SUPPRESS_IDLE_MS = 24 * 3600 * 1000
+#: alert keys are judged in so many groups; a checkpoint is bound to the number
+SUPPRESS_GROUPS = 1024
 SUPPRESS_OUT = "alert_key string, ts timestamp, alert string, kept boolean"
 
 
@@ -125,7 +127,8 @@ def suppress_stream(alerts: DataFrame, out_path: str, checkpoint: str, minutes:
                     watermark: str = WATERMARK):
     """ST06/R10 in a stream: per key, the time of the last kept alert is typed
     state (RocksDB store); each micro-batch's alerts of a key are judged in time
-    order against it, chunk by chunk (``Suppress``).  No alert is dropped,
+    order against it, chunk by chunk, the keys of a hash group together
+    (``SuppressKeys``).  No alert is dropped,
     however late: the timers are of processing time, as with event-time timers
     Spark leaves out rows behind the watermark.  The watermark only says when a
     key's state may go: it is a window past the last kept alert, and the key
@@ -138,8 +141,9 @@ def suppress_stream(alerts: DataFrame, out_path: str, checkpoint: str, minutes:
     src = alerts.select(F.col(key_col).alias("alert_key"), F.col(ts_col).alias("ts"),
                         F.to_json(F.struct(*alerts.columns)).alias("alert"))
     src = _event_time(src, "ts").withWatermark("ts", watermark)
-    out = src.groupBy("alert_key").transformWithStateInPandas(
-        Suppress(minutes * 60 * 1_000_000, SUPPRESS_IDLE_MS), SUPPRESS_OUT, "append", "ProcessingTime")
+    src = src.withColumn("key_group", F.pmod(F.xxhash64("alert_key"), F.lit(SUPPRESS_GROUPS)).cast("int"))
+    out = src.groupBy("key_group").transformWithStateInPandas(
+        SuppressKeys(minutes * 60 * 1_000_000, SUPPRESS_IDLE_MS), SUPPRESS_OUT, "append", "ProcessingTime")
     w = _trigger(append_stream(out, out_path, checkpoint), None, available_now)
     return _start_drain(alerts.sparkSession, w) if available_now else w.start()
 

@@ -15,7 +15,7 @@ from eventlens.sinks.merged import compact_parts, compact_versions, latest, read
 from eventlens.sources.streams import batch_files
 from eventlens.sinks.skipping import cluster, lookup_cost, row_groups
 from eventlens.streaming.checks import check_stream, stream_report
-from eventlens.streaming.suppression import Suppress
+from eventlens.streaming.suppression import Suppress, SuppressKeys
 
 T = dt.datetime(2024, 1, 15, 10)
 
@@ -275,3 +275,69 @@ def test_lookup_cost_of_overlapping_and_nested_ranges(spark):
     # values are not joined with the row groups: only with one row a cell
     plan = cost._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1
+
+
+def test_summary_of_many_hours_is_not_sorted(spark, tmpdir_path):
+    """More hours than Spark's hash aggregate holds by default (128); no mention is sorted for them."""
+    hour = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, id % 300)")
+    posts = spark.range(0, 3000, 1, 2).select(hour.alias("created_at"), F.to_date(hour).alias("date_partition"),
+                                              F.concat(F.lit("alpha beta w"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("text"))
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before, seen, real = spark.conf.get(name), [], KW.staged
+    KW.staged = lambda df, as_: (seen.append(spark.conf.get(name)), real(df, as_))[1]
+    try:
+        out = KW.topics_summary(posts, 64)
+    finally:
+        KW.staged = real
+    assert spark.conf.get(name) == before and int(seen[0]) >= 300
+    assert out.count() == 300 and {r.mentions for r in out.collect()} <= set(range(20, 31))
+    # the summary is there: it is not computed again, with another threshold
+    assert "FileScan parquet" in out._jdf.queryExecution().executedPlan().toString()
+
+
+class _Lists(_Handle):
+    """A handle whose ``keys`` is a list."""
+    def getListState(self, *_):
+        self.rows = []
+        return self
+
+    def exists(self):
+        return bool(self.rows)
+
+    def get(self):
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.rows = list(rows)
+        self.puts = getattr(self, "puts", 0) + 1
+
+    def clear(self):
+        self.rows = []
+
+
+def test_keys_of_a_group_are_judged_as_each_alone():
+    rows = [(f"k{i % 5}" if i % 11 else None, None if i % 23 == 0 else (i * 37) % 200, f"{i:03d}") for i in range(230)]
+    frame = lambda part: _chunk([m for _, m, _ in part]).assign(alert_key=[k for k, _, _ in part], alert=[a for _, _, a in part])
+    want = {a for _, m, a in rows if m is None}
+    for key in {k for k, _, _ in rows}:
+        last = None
+        for m, a in sorted((m, a) for k, m, a in rows if k == key and m is not None):
+            if last is None or m - last >= 15:
+                last = m
+                want.add(a)
+    for size in (len(rows), 9):
+        h = _Lists()
+        s = SuppressKeys(15 * 60 * 1_000_000, 1000)
+        s.init(h)
+        out = pd.concat(s.handleInputRows((3,), iter([frame(rows[i:i + size]) for i in range(0, len(rows), size)]), h))
+        assert sorted(out["alert"]) == [a for _, _, a in rows] and set(out[out["kept"]]["alert"]) == want
+        # one write of the state and one timer for all keys
+        assert h.puts == 1 and len(h.timers) == 1 and {k for k, _, _ in h.rows} == {k for k, m, _ in rows if m is not None}
+        # idle keys stay until the watermark is behind them
+        h.now = 5000
+        list(s.handleExpiredTimer((3,), h, None))
+        assert len(h.rows) == 6 and h.timers[-1] == 6000
+        h.now, h.watermark = 7000, int(pd.Timestamp(T).timestamp() * 1000) + 215 * 60 * 1000
+        list(s.handleInputRows((3,), iter([frame([("k1", 500, "late")])]), h))
+        list(s.handleExpiredTimer((3,), h, None))
+        assert [k for k, _, _ in h.rows] == ["k1"] and h.timers[-1] == 8000

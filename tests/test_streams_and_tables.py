@@ -396,3 +396,29 @@ def test_brute_force_stream_deals_rows_before_windows(spark, tmpdir_path):
     plan = q._jsq.explainInternal(False)
     # the rows are exchanged by address and minute below the windows' expansion
     assert plan.index("Expand") < plan.rindex("Exchange") and "REPARTITION_BY_COL" in plan
+
+
+def test_hourly_topics_of_a_hot_hour_in_chunks(spark, monkeypatch):
+    """Chunks of an hour, hours and dates without a time, copies, and texts without keywords."""
+    t = dt.datetime(2024, 1, 15, 10)
+    rows = [(t + dt.timedelta(minutes=i % 90), dt.date(2024, 1, 15), ("positive", "neutral", "negative")[i % 3], i / 8, 0.25, f"Alpha beta ALPHA the w{'abc'[i % 3] * 3} {i}")
+            for i in range(120)] + [(None, None, "neutral", 0.5, None, "alpha"), (t, dt.date(2024, 1, 15), "neutral", 0.5, 0.5, "1 a the"), (t, dt.date(2024, 1, 15), "x", 0.5, 0.5, None)]
+    df = spark.createDataFrame(rows, "created_at timestamp_ntz, date_partition date, predicted_sentiment string, sentiment_positive double, "
+                                     "sentiment_negative double, text string")
+    whole = {tuple(r)[:7]: r.avg_sentiment_score for r in S.trending_topics_hourly(df).collect()}
+    monkeypatch.setattr(S, "HOUR_CHUNK", 7)
+    out = S.trending_topics_hourly(df)
+    got = {tuple(r)[:7]: r.avg_sentiment_score for r in out.collect()}
+    assert got.keys() == whole.keys() and all(got[k] is whole[k] or abs(got[k] - whole[k]) < 1e-9 for k in got)
+    want = {}
+    for at, day, mood, pos, neg, text in rows:
+        for word in (text or "").lower().split():
+            if len(word) >= 3 and word.isalpha() and word != "the":
+                n = want.setdefault((day, at and at.replace(minute=0), word), [0, 0, 0, 0])
+                n[0] += 1
+                for k, m in enumerate(("positive", "neutral", "negative")):
+                    n[k + 1] += mood == m
+    assert {k[:3]: list(k[3:]) for k in got} == want
+    # no text is sorted or met by a join on a text: the posts are dealt by hour once
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "SortMergeJoin" not in plan and "REPARTITION_BY_NUM" in plan

@@ -22,7 +22,7 @@ from eventlens.sinks.writers import staged
 from eventlens.sources.streams import fold_multiline
 from eventlens.streaming.alerting import await_all, enrich_stream, kept_alerts, outbox_stream
 from eventlens.streaming.folding import fold_stream, folded_events
-from eventlens.streaming.jobs import SUPPRESS_OUT, hourly_stream, suppress_stream
+from eventlens.streaming.jobs import SUPPRESS_OUT, hourly_stream, state_partitions, suppress_stream
 
 
 def _scratch(spark, name):
@@ -69,13 +69,14 @@ def q_stream_suppress(spark, sf):
               .select("event_id", F.concat_ws(":", F.lit("rule"), "log_type", "src_ip").alias("alert_key"),
                       F.col("event_time").alias("timestamp")))
     at = F.unix_micros(F.col("timestamp").cast("timestamp"))
-    low, high = alerts.agg(F.min(at), F.max(at)).first()
+    low, high, n = alerts.agg(F.min(at), F.max(at), F.count("*")).first()
+    states = state_partitions(spark, -(-n // 3))
     third = ((high or 0) - (low or 0)) // 3 + 1
     part = F.when(at >= (low or 0) + 2 * third, 2).when(at >= (low or 0) + third, 1).otherwise(0)
     for k in range(3):
         alerts.where(part == k).write.mode("append").parquet(f"{base}/in")
         src = spark.readStream.schema(alerts.schema).parquet(f"{base}/in")
-        suppress_stream(src, f"{base}/out", f"{base}/ckpt", available_now=True).awaitTermination()
+        suppress_stream(src, f"{base}/out", f"{base}/ckpt", available_now=True, partitions=states).awaitTermination()
     out = spark.read.parquet(f"{base}/out")
     return out.select(F.get_json_object("alert", "$.event_id").cast("long").alias("event_id"), "alert_key", "kept")
 
@@ -94,7 +95,8 @@ def q_stream_alerts(spark, sf):
     alerts = AL.alerts_from_rules(enrich_logs(_logs(spark, sf)), LOG_FIELDS + ("event_id",))
     alerts = staged(alerts.withColumn("alert_key", AL.alert_key(alerts)), "alerts")
     at = F.unix_micros(F.col("timestamp").cast("timestamp"))
-    low, high = alerts.agg(F.min(at), F.max(at)).first()
+    low, high, n = alerts.agg(F.min(at), F.max(at), F.count("*")).first()
+    states = state_partitions(spark, -(-n // 3))
     third = ((high or 0) - (low or 0)) // 3 + 1
     part = F.floor((at - F.lit(low or 0)) / third).cast("int")
     # a late alert is of the last hour of its third, so that the watermark has not passed it
@@ -106,10 +108,11 @@ def q_stream_alerts(spark, sf):
     stream = lambda folder, schema: spark.readStream.schema(schema).parquet(f"{base}/{folder}")
     for k in range(3):
         alerts.where(part == k).unionByName(beat if k == 2 else beat.limit(0)).write.mode("append").parquet(f"{base}/in")
-        suppress_stream(stream("in", alerts.schema), f"{base}/suppressed", f"{base}/ckpt-1", available_now=True).awaitTermination()
+        suppress_stream(stream("in", alerts.schema), f"{base}/suppressed", f"{base}/ckpt-1", available_now=True,
+                        partitions=states).awaitTermination()
         kept = kept_alerts(stream("suppressed", SUPPRESS_OUT), alerts)
         enrich_stream(kept, stream("in", alerts.schema), f"{base}/enriched", f"{base}/ckpt-2", watermark="2 hours",
-                      available_now=True).awaitTermination()
+                      available_now=True, partitions=states).awaitTermination()
         enriched = spark.read.parquet(f"{base}/enriched")
         await_all(spark, [outbox_stream(stream("enriched", enriched.schema), f"{base}/outbox", f"{base}/ckpt-3", available_now=True)])
     sent = spark.read.parquet(f"{base}/outbox").groupBy("alert_id").agg(F.count("*").alias("payloads"))

@@ -15,7 +15,7 @@ from eventlens.functions.security import alert_id
 from eventlens.operators.alerts import (CAMPAIGN_MIN, RELATED_HOURS, _orig, alert_ip, channels_for, notification_outbox,
                                         recommendations)
 from eventlens.sinks.writers import append_stream
-from eventlens.streaming.jobs import WATERMARK, _trigger
+from eventlens.streaming.jobs import WATERMARK, _trigger, start_with, state_conf
 
 #: alerts without an address are dealt over this many join keys
 SPREAD = 256
@@ -50,12 +50,14 @@ def with_related(kept: DataFrame, alerts: DataFrame, hours: int = RELATED_HOURS,
 
 
 def enrich_stream(kept: DataFrame, alerts: DataFrame, out_path: str, checkpoint: str, hours: int = RELATED_HOURS,
-                  watermark: str = WATERMARK, available_now: bool = False):
-    """R17 in a stream: the columns that ``enrich_alerts`` gives."""
+                  watermark: str = WATERMARK, available_now: bool = False, partitions: int | None = None):
+    """R17 in a stream: the columns that ``enrich_alerts`` gives.  ``partitions``
+    are those of a new checkpoint's state (default: the session's shuffle
+    partitions)."""
     a = with_related(kept, alerts, hours, watermark)
     a = a.withColumns({"alert_id": alert_id(F.col("timestamp"), F.col("alert_key")), "processed_at": F.col("timestamp")})
     a = a.withColumns({"response_recommendations": recommendations(_orig(a, "threat_type")), "notification_channels": channels_for("severity")})
-    return _trigger(append_stream(a, out_path, checkpoint), None, available_now).start()
+    return start_with(kept.sparkSession, _trigger(append_stream(a, out_path, checkpoint), None, available_now), state_conf(partitions))
 
 
 def outbox_stream(enriched: DataFrame, out_path: str, checkpoint: str, available_now: bool = False):

@@ -120,11 +120,24 @@ SUPPRESS_IDLE_MS = 24 * 3600 * 1000
 #: alert keys are judged in so many groups; a checkpoint is bound to the number
 SUPPRESS_GROUPS = 1024
 SUPPRESS_OUT = "alert_key string, ts timestamp, alert string, kept boolean"
+#: rows of a micro-batch for which a partition of a query's state is laid out
+ROWS_A_STATE = 50_000
+
+
+def state_partitions(spark: SparkSession, batch_rows: int) -> int:
+    """Partitions of the state of a query whose micro-batches have some
+    ``batch_rows`` rows.  A partition costs a load and a commit in every batch,
+    whatever it holds, so their number follows the rows (in whole waves of the
+    cores) and not the setting for batch shuffles; a setting below one wave holds
+    while the rows need no more."""
+    need, cores = max(1, -(-batch_rows // ROWS_A_STATE)), spark.sparkContext.defaultParallelism
+    least = min(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)
+    return least if need <= least else -(-need // cores) * cores
 
 
 def suppress_stream(alerts: DataFrame, out_path: str, checkpoint: str, minutes: int = 15,
                     key_col: str = "alert_key", ts_col: str = "timestamp", available_now: bool = False,
-                    watermark: str = WATERMARK):
+                    watermark: str = WATERMARK, partitions: int | None = None):
     """ST06/R10 in a stream: per key, the time of the last kept alert is typed
     state (RocksDB store); each micro-batch's alerts of a key are judged in time
     order against it, chunk by chunk, the keys of a hash group together
@@ -135,7 +148,8 @@ def suppress_stream(alerts: DataFrame, out_path: str, checkpoint: str, minutes:
     was idle for ``SUPPRESS_IDLE_MS``.  An alert that comes later still starts
     anew and is kept.  Of alerts of one key and time the least is kept; an alert
     without a time is always kept.  The whole alert is carried as JSON
-    (``alert``), so the enrichment and the outbox can follow."""
+    (``alert``), so the enrichment and the outbox can follow.  ``partitions`` are
+    those of a new checkpoint's state (default: the session's shuffle partitions)."""
     if minutes <= 0:
         raise ValueError("a suppression window has at least one minute")
     src = alerts.select(F.col(key_col).alias("alert_key"), F.col(ts_col).alias("ts"),
@@ -145,20 +159,26 @@ def suppress_stream(alerts: DataFrame, out_path: str, checkpoint: str, minutes:
     out = src.groupBy("key_group").transformWithStateInPandas(
         SuppressKeys(minutes * 60 * 1_000_000, SUPPRESS_IDLE_MS), SUPPRESS_OUT, "append", "ProcessingTime")
     w = _trigger(append_stream(out, out_path, checkpoint), None, available_now)
-    return _start_drain(alerts.sparkSession, w) if available_now else w.start()
+    # with processing-time timers there is always one more batch without rows, and a drain would not end
+    drain = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"} if available_now else {}
+    return start_with(alerts.sparkSession, w, drain | state_conf(partitions))
+
+
+def state_conf(partitions: int | None) -> dict[str, str]:
+    return {"spark.sql.shuffle.partitions": str(partitions)} if partitions else {}
 
 
-def _start_drain(spark: SparkSession, w):
-    """Start without batches that have no rows: with processing-time timers
-    there is always one more, and the drain would not end.  The query takes
-    the setting from the session when it starts."""
-    name = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
+def start_with(spark: SparkSession, w, conf: dict[str, str]):
+    """Start a query under settings of its own: it takes them from the session
+    when it starts."""
+    before = {name: spark.conf.get(name) for name in conf}
     try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
         return w.start()
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def score_stream(logs: DataFrame, models: dict, out_path: str, checkpoint: str, available_now: bool = False):

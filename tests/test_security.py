@@ -179,3 +179,22 @@ def test_log_files_decode_and_fold(spark, tmpdir_path):
     rows = sorted(dec.collect(), key=lambda r: r.message)
     assert rows[1].packet_count == 99 and rows[1]._json_error is None
     assert rows[0].src_ip is None and rows[0]._json_error == "not json"
+
+
+def test_severity_asks_the_rules_and_builds_no_tags(spark):
+    """The severity is that of the tags, for events of every rule and none; a
+    filter on it makes no array of tags."""
+    from eventlens.operators.security_rules import ATTACK_TAGS, ERROR_TAGS, enrich_logs
+    schema = ("event_id long, log_type string, path string, user_agent string, status_code int, packet_count int, dst_port int, "
+              "result string, username string, process_name string, event_type string, query string, response_code string")
+    seen = [[t, p, a, s, n, d, r, u, x, e, q, c]
+            for t in ("web", "firewall", "auth", "system", "dns", "other", None)
+            for p, a in (("/union-select", "x"), ("/page", "sqlmap/1"), (None, None)) for s in (200, 404, 500, None)
+            for n, d in ((60, 22), (1, 443), (None, None)) for r, u in (("FAILED", "admin"), ("FAILED", "u1"), (None, None))
+            for x, e, q, c in (("cmd.exe", "start", "evil.com", "NOERROR"), ("bash", "privilege_escalation", "a.org", "NXDOMAIN"), (None,) * 4)]
+    logs = enrich_logs(spark.createDataFrame([(i, *r) for i, r in enumerate(seen)], schema))
+    for r in logs.select("tags", "severity", "alert_required").collect():
+        want = "HIGH" if set(r.tags) & set(ATTACK_TAGS) else "MEDIUM" if set(r.tags) & set(ERROR_TAGS) else "LOW"
+        assert (r.severity, r.alert_required) == (want, want == "HIGH")
+    plan = logs.where("alert_required").select("event_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "array" not in plan

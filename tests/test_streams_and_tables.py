@@ -422,3 +422,39 @@ def test_hourly_topics_of_a_hot_hour_in_chunks(spark, monkeypatch):
     # no text is sorted or met by a join on a text: the posts are dealt by hour once
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "SortMergeJoin" not in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_partitions_of_alert_state_follow_the_rows(spark, tmpdir_path, monkeypatch):
+    """The states of the alert path are laid out for the rows of a batch, not for
+    the session's shuffle partitions, and the session keeps its setting."""
+    from eventlens.operators import alerts as AL
+    from eventlens.streaming import jobs
+    from eventlens.streaming.alerting import enrich_stream, kept_alerts
+    monkeypatch.setattr(jobs, "ROWS_A_STATE", 10)
+    t = dt.datetime(2024, 1, 15)
+    schema = "timestamp timestamp, alert_type string, log_type string, severity string, original_log struct<src_ip:string,threat_type:string>"
+    rows = [(t + dt.timedelta(minutes=5 * i), "rule", "web", "HIGH", (f"10.0.0.{i % 3}", "web_attack")) for i in range(48)]
+    rows.append((t + dt.timedelta(days=3), "rule", "web", "HIGH", ("heartbeat", None)))
+    alerts = spark.createDataFrame(rows, schema)
+    alerts = alerts.withColumn("alert_key", AL.alert_key(alerts))
+    alerts.write.parquet(f"{tmpdir_path}/in")
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "40")
+        n, cores = jobs.state_partitions(spark, len(rows)), spark.sparkContext.defaultParallelism
+        assert n % cores == 0 and 5 <= n < 5 + cores and jobs.state_partitions(spark, 1) == cores
+        read = lambda folder, schema: spark.readStream.schema(schema).parquet(f"{tmpdir_path}/{folder}")
+        jobs.suppress_stream(read("in", alerts.schema), f"{tmpdir_path}/kept", f"{tmpdir_path}/c1", available_now=True,
+                             partitions=n).awaitTermination()
+        kept = kept_alerts(read("kept", jobs.SUPPRESS_OUT), alerts)
+        enrich_stream(kept, read("in", alerts.schema), f"{tmpdir_path}/out", f"{tmpdir_path}/c2", available_now=True,
+                      partitions=n).awaitTermination()
+        assert spark.conf.get(name) == "40"
+    finally:
+        spark.conf.set(name, before)
+    for state in ("c1/state/0", "c2/state/0", "c2/state/1"):
+        assert sorted(int(p) for p in os.listdir(f"{tmpdir_path}/{state}") if p.isdigit()) == list(range(n))
+    # every alert is 15 minutes after the one of its address before, so all are kept; 8 lie in two hours
+    got = {r.timestamp: r.related_alerts_count for r in spark.read.parquet(f"{tmpdir_path}/out").collect()}
+    assert got == {r[0]: min(i // 3, 8) or None for i, r in enumerate(rows[:-1])}

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.functions.text import (EXPLORE_STOP_WORDS, TRENDING_STOP_WORDS, explode_words,
-                                      with_lexicon_sentiment, words)
+                                      with_lexicon_sentiment)
 from eventlens.operators.common import recent, safe_div, top_k, top_n_per_group
+from eventlens.operators.mentions import hourly_mentions
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's.
@@ -150,7 +151,7 @@ def hourly_merge(parts: DataFrame) -> DataFrame:
         F.hll_sketch_estimate("authors_sketch").alias("unique_authors"))
 
 
-#: posts of an hour that are counted together
+#: posts for which there is one more task that brings keywords together
 HOUR_CHUNK = 20_000
 
 
@@ -159,27 +160,11 @@ def trending_topics_hourly(df: DataFrame, min_len: int = 3, stop_words=TRENDING_
     (``sentiment_positive - sentiment_negative``).  The reference declares
     the table without a writer; the keyword rule is F02's.
 
-    Posts travel to their hour with their words as one text, and are cut into
-    mentions and counted there: an hour's mentions meet before they are shuffled
-    by keyword.  The posts of an hour come in chunks of ``HOUR_CHUNK`` and there
-    are as many tasks as chunks, so a task's keywords grow neither with the table
-    nor with a hot hour."""
-    said = F.filter(words("text", min_len), lambda w: ~w.isin(*sorted(set(stop_words)))) if stop_words else words("text", min_len)
-    posts = df.select("date_partition", F.date_trunc("hour", "created_at").alias("hour_timestamp"), "predicted_sentiment",
-                      (F.col("sentiment_positive") - F.col("sentiment_negative")).alias("score"),
-                      F.array_join(F.array_sort(said), " ").alias("said"), F.xxhash64("created_at", "text").alias("_post"))
-    hours = df.groupBy("date_partition", F.date_trunc("hour", "created_at").alias("hour_timestamp")).agg(F.count("*").alias("n"))
-    chunks = hours.select(F.col("date_partition").alias("_d"), F.col("hour_timestamp").alias("_h"), F.ceil(F.col("n") / HOUR_CHUNK).alias("_chunks"))
-    tasks = max(int(hours.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // HOUR_CHUNK + 1, df.sparkSession.sparkContext.defaultParallelism)
-    same = F.col("date_partition").eqNullSafe(F.col("_d")) & F.col("hour_timestamp").eqNullSafe(F.col("_h"))
-    # one row for each hour there is
-    posts = posts.join(F.broadcast(chunks), same).withColumn("_chunk", F.pmod("_post", "_chunks"))
-    posts = posts.drop("_post", "_d", "_h", "_chunks").repartition(tasks, "date_partition", "hour_timestamp", "_chunk")
-    mentions = posts.select("date_partition", "hour_timestamp", "predicted_sentiment", "score", F.explode(F.split("said", " ")).alias("keyword"))
-    return (mentions.where("keyword <> ''").groupBy("date_partition", "hour_timestamp", "keyword")
-            .agg(F.count("*").alias("mention_count"), _count_if(_is("positive")).alias("positive_mentions"),
-                 _count_if(_is("neutral")).alias("neutral_mentions"), _count_if(_is("negative")).alias("negative_mentions"),
-                 F.avg("score").alias("avg_sentiment_score")))
+    Mentions are added up where the posts are, a block of posts at a time, and only
+    the compressed sums travel, by keyword: neither the posts' words nor a row for
+    each mention are shuffled."""
+    score = F.col("sentiment_positive") - F.col("sentiment_negative")
+    return hourly_mentions(df, SENTIMENTS, score, min_len, stop_words or (), HOUR_CHUNK)
 
 
 def author_metrics(df: DataFrame, impact: Column | None = None) -> DataFrame:

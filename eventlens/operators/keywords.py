@@ -6,7 +6,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.functions.text import TRENDING_STOP_WORDS, words
+from eventlens.functions.text import TRENDING_STOP_WORDS
+from eventlens.operators.mentions import hour_sketches
 from eventlens.sinks.writers import staged
 
 #: an automaton takes up to about this many characters of keywords (some 100 bytes of memory each)
@@ -56,15 +57,12 @@ def keyword_search(df: DataFrame, keywords: DataFrame, keyword_col: str = "keywo
 
 def topics_summary(df: DataFrame, items: int = 4096, min_len: int = 3, stop_words=TRENDING_STOP_WORDS) -> DataFrame:
     """A03 as a summary that merges: per date and hour the mentions of all
-    keywords and a frequent-items sketch that tracks ``items`` of them.  Partial
-    sketches are merged before the shuffle, so neither the keywords nor a hot
-    hour grow a task.  The summary is written to the shared checkpoint folder."""
-    word = F.explode(words("text", min_len))
-    out = df.select("date_partition", F.date_trunc("hour", "created_at").alias("hour_timestamp"), word.alias("keyword"))
-    out = out.where(~F.col("keyword").isin(*sorted(set(stop_words))))
-    out = out.groupBy("date_partition", "hour_timestamp").agg(
-        F.count("*").alias("mentions"), F.expr(f"approx_top_k_accumulate(keyword, {int(items)})").alias("sketch"))
-    # beyond 128 hours Spark would sort all mentions of a task, on disk, instead of updating a sketch an hour
+    keywords and a frequent-items sketch that tracks ``items`` of them.  Sketches
+    are made of the sums of a block of posts and merged before the shuffle, so
+    neither the keywords nor a hot hour grow a task.  The summary is written to the
+    shared checkpoint folder."""
+    out = merge_summaries(hour_sketches(df, items, min_len, stop_words), items)
+    # beyond 128 hours Spark would sort the sketches of a task's blocks, on disk, instead of merging them an hour
     spark, name = df.sparkSession, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
     before = spark.conf.get(name)
     spark.conf.set(name, str(max(128, TASK_ITEMS // int(items))))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -21,7 +22,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StringType, StructField, StructType
+
+from eventlens.functions.text import words
 
 #: a block ends at so many posts, or so many distinct words of its texts together (8 bytes each, some 30 while it is counted)
 BLOCK_POSTS, BLOCK_WORDS = 2_000_000, 6_000_000
@@ -50,6 +53,16 @@ def _added(key: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     return [key[first], *(np.add.reduceat(v[order], first) if len(key) else v for v in values)]
 
 
+def _numbered(*columns: pa.Array) -> tuple[np.ndarray, list[pa.Array]]:
+    """A number for each row's values (null is one), and the values of each number."""
+    key = np.zeros(len(columns[0]), np.int64)
+    for c in columns:
+        d = c.dictionary_encode(null_encoding="encode")
+        key = key * max(1, len(d.dictionary)) + d.indices.to_numpy()
+    _, first, number = np.unique(key, return_index=True, return_inverse=True)
+    return number, [c.take(pa.array(first)) for c in columns]
+
+
 def _row_numbers(columns: list[pa.Array], table: list[pa.Array]) -> np.ndarray:
     """The row of ``table`` that holds each row's values."""
     values = [pc.unique(t) for t in table]
@@ -103,6 +116,22 @@ class Block:
         """The date and the hour of each post."""
         return [pa.concat_arrays([p[i] for p in self.posts]) for i in (0, 1)]
 
+    def by_hour(self, hour: np.ndarray):
+        """The sums of the block as arrays of ``hour * number of words + word`` and
+        mentions; an hour of more than ``PAIRS`` is in several of them."""
+        text = np.concatenate([p[4] for p in self.posts])
+        order = _ordered(hour)[1]
+        size = np.array([len(x) for x in self.ids])
+        start, n = (np.cumsum(size) - size)[text[order]], size[text[order]]
+        said, times = np.concatenate(self.ids), np.concatenate(self.times).astype(np.int64)
+        ends, low = np.cumsum(n), 0
+        while low < len(n):
+            high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + PAIRS, "right")))
+            many = n[low:high]
+            pairs = np.repeat(start[low:high] - np.cumsum(many) + many, many) + np.arange(many.sum())
+            yield _added(np.repeat(hour[order[low:high]], many) * len(self.number) + said[pairs], times[pairs])
+            low = high
+
     def cells(self, hour: np.ndarray, hours: int, parts: int = 1):
         """The words by part and the part of each, then the sums of the block in slabs:
         arrays of ``(word * hours + hour) * KINDS + kind``, mentions and their scores'
@@ -151,6 +180,65 @@ def _posts(df: DataFrame, kind: Column, score: Column) -> DataFrame:
                      score.cast("double").alias("score"), F.col("text").cast("string").alias("text"))
 
 
+def sketch(words: list[bytes], counts: np.ndarray, off: int, mentions: int, most: int) -> bytes:
+    """What ``approx_top_k_accumulate`` stores: a DataSketches sketch of frequent items
+    with a table of ``most`` places, and the number of nulls, none.  ``off`` was taken
+    from each count; words come with their lengths before them (:func:`with_length`)."""
+    size = 8
+    while size * 0.75 < len(words):
+        size *= 2
+    head = struct.pack("<BBBBBxxxIxxxxqq", 4, 1, 10, most.bit_length() - 1, size.bit_length() - 1, len(words), mentions, off)
+    return head + counts.astype("<i8").tobytes() + b"".join(words) + bytes(8)
+
+
+def with_length(word: bytes) -> bytes:
+    return struct.pack("<i", len(word)) + word
+
+
+def _sketches(min_len: int, stop_words, most: int, names: list[str]):
+    """Posts -> a sketch for each block and hour.  Of an hour with more words than three
+    quarters of the table, the count of the first that does not fit is taken from each."""
+    def run(batches):
+        fits = most * 3 // 4
+        for block in _blocks(batches, min_len, stop_words):
+            hour, groups = _numbered(*block.hours())
+            words = [with_length(w) for w in block.number]
+            for key, n in block.by_hour(hour):
+                of, word = np.divmod(key, max(1, len(words)))
+                cuts = [*np.flatnonzero(np.diff(of, prepend=-1)), len(of)]
+                totals, sketches = [], []
+                for a, b in zip(cuts, cuts[1:]):
+                    counts, said, off = n[a:b], word[a:b], 0
+                    totals.append(int(counts.sum()))
+                    if b - a > fits:
+                        off = int(np.partition(counts, b - a - fits - 1)[b - a - fits - 1])
+                        said, counts = said[counts > off], counts[counts > off] - off
+                    sketches.append(sketch([words[i] for i in said], counts, off, totals[-1], most))
+                columns = [*(g.take(pa.array(of[cuts[:-1]])) for g in groups), pa.array(totals, pa.int64()), pa.array(sketches, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names)
+    return run
+
+
+def hour_sketches(df: DataFrame, items: int, min_len: int, stop_words) -> DataFrame:
+    """Rows (date, hour, mentions, sketch), any number for an hour, that
+    ``approx_top_k_combine`` merges.  Mentions are added up where the posts are, so a
+    sketch is given a word's count at once.  A Spark that stores its sketches otherwise
+    updates them itself, by one mention at a time."""
+    one, most = f"approx_top_k_accumulate(keyword, {int(items)})", 8
+    while most * 0.75 < items:
+        most *= 2
+    like = df.sparkSession.range(1).select(F.lit("word").alias("keyword")).agg(F.expr(one).alias("s")).first()["s"]
+    if bytes(like["sketch"]) != sketch([with_length(b"word")], np.array([1]), 0, 1, most):
+        said = df.select("date_partition", F.date_trunc("hour", "created_at").alias("hour_timestamp"), F.explode(words("text", min_len)).alias("keyword"))
+        return (said.where(~F.col("keyword").isin(*stop_words)).groupBy("date_partition", "hour_timestamp")
+                .agg(F.count("*").alias("mentions"), F.expr(one).alias("sketch")))
+    posts = _posts(df, F.lit(0), F.lit(0.0))
+    schema = StructType([*posts.schema.fields[:2], StructField("mentions", LongType()), StructField("sketch", BinaryType())])
+    stored = [F.lit(like[c]).cast(t).alias(c) for c, t in (("maxItemsTracked", "int"), ("itemDataType", "string"), ("itemDataTypeDDL", "string"))]
+    rows = posts.mapInArrow(_sketches(min_len, sorted(set(stop_words)), most, schema.names), schema)
+    return rows.withColumn("sketch", F.struct("sketch", *stored))
+
+
 #: a row for each block and part of its words
 PACKED = "part int, n_words int, n_cells int, words_size long, words binary, sums binary"
 

@@ -130,7 +130,8 @@ def q_topics_summary(spark, sf):
     key = ["date_partition", "hour_timestamp", "keyword"]
     exact = S.trending_topics_hourly(posts).select(*key, "mention_count")
     hours = merged.select("date_partition", "hour_timestamp", F.ceil(F.col("mentions") * F.lit(KW.summary_error(ITEMS))).alias("_b"))
-    must = exact.join(hours, key[:2]).where(F.col("mention_count") > 2 * F.col("_b"))
+    # one row for each hour there is
+    must = exact.join(F.broadcast(hours), key[:2]).where(F.col("mention_count") > 2 * F.col("_b"))
     near = F.abs(F.col("mentions_estimate") - F.col("mention_count")) <= F.col("_b")
     return must.join(found, key, "left").select(*key, "mention_count", F.coalesce(near, F.lit(False)).alias("within_bound"))
 

@@ -15,7 +15,7 @@ import re
 import struct
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +27,9 @@ from pyspark.sql.types import BinaryType, DoubleType, LongType, StringType, Stru
 from eventlens.functions.text import words
 
 #: a block ends at so many posts, or so many distinct words of its texts together (8 bytes each, some 30 while it is counted)
-BLOCK_POSTS, BLOCK_WORDS = 2_000_000, 6_000_000
+BLOCK_POSTS, BLOCK_WORDS = 1_000_000, 3_000_000
 #: pairs of a post and a word of it that are added up together (some 60 bytes each)
-PAIRS = 1_000_000
+PAIRS = 400_000
 #: rows that are given to Spark together
 ROWS = 100_000
 #: what a post adds to: its sentiment times two, and one more if it has no score
@@ -46,7 +46,7 @@ def _ordered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return packed >> bits, packed & ((1 << bits) - 1)
 
 
-def _added(key: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+def _added(key: np.ndarray, values: Iterable[np.ndarray]) -> list[np.ndarray]:
     """The distinct keys in order, and the sum of each of ``values`` for them."""
     key, order = _ordered(key)
     first = np.flatnonzero(np.diff(key, prepend=-1))
@@ -106,10 +106,12 @@ class Block:
 
     def add(self, batch: pa.RecordBatch) -> None:
         """Posts: date, hour, kind, score, text; those without a text say nothing."""
-        days, hours, kind, score, text = batch.filter(batch.column(4).is_valid()).columns
-        texts = text.cast(pa.large_binary() if pa.types.is_large_string(text.type) else pa.binary()).dictionary_encode()
-        number = np.fromiter((self._text(t) for t in texts.dictionary.to_pylist()), np.int64, len(texts.dictionary))
-        self.posts.append((days, hours, kind.to_numpy().astype(np.int64), score.fill_null(0.0).to_numpy(), number[texts.indices.to_numpy()]))
+        texts = batch.column(4).dictionary_encode()
+        there = texts.is_valid()
+        as_bytes = pa.large_binary() if pa.types.is_large_string(texts.type.value_type) else pa.binary()
+        number = np.fromiter((self._text(t.as_py()) for t in texts.dictionary.cast(as_bytes)), np.int32, len(texts.dictionary))
+        days, hours, kind, score, text = (c.filter(there) for c in (*batch.columns[:4], texts.indices))
+        self.posts.append((days, hours, kind.to_numpy(), score.fill_null(0.0).to_numpy(), number[text.to_numpy()]))
         self.n_posts += len(days)
 
     def hours(self) -> list[pa.Array]:
@@ -129,7 +131,7 @@ class Block:
             high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + PAIRS, "right")))
             many = n[low:high]
             pairs = np.repeat(start[low:high] - np.cumsum(many) + many, many) + np.arange(many.sum())
-            yield _added(np.repeat(hour[order[low:high]], many) * len(self.number) + said[pairs], times[pairs])
+            yield _added(np.repeat(hour[order[low:high]], many) * len(self.number) + said[pairs], [times[pairs]])
             low = high
 
     def cells(self, hour: np.ndarray, hours: int, parts: int = 1):
@@ -148,9 +150,10 @@ class Block:
         # the texts' words in the order of the parts, so that a range of words is a slice of each text
         key, order = _ordered(owner * max(1, len(words)) + rank[np.concatenate(self.ids)])
         said = np.concatenate(self.times)[order]
-        del rank, order
-        rank = key - owner * max(1, len(words))
+        rank = (key - owner * max(1, len(words))).astype(np.int32)
+        del order
         ends = np.cumsum(np.bincount(rank, weights=np.bincount(text, minlength=len(self.ids))[owner], minlength=len(words)))
+        del owner
         low = 0
         while low < len(words):
             high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + PAIRS, "right")))
@@ -160,7 +163,7 @@ class Block:
             here = np.flatnonzero(n)
             n, at = n[here], start[text[here]]
             pairs = np.repeat(at - np.cumsum(n) + n, n) + np.arange(n.sum())
-            yield _added(rank[pairs] * width + np.repeat(what[here], n), said[pairs].astype(np.int64), said[pairs] * np.repeat(score[here], n))
+            yield _added(rank[pairs].astype(np.int64) * width + np.repeat(what[here], n), (said[pairs].astype(np.int64), said[pairs] * np.repeat(score[here], n)))
             low = high
 
 
@@ -281,8 +284,13 @@ def _unpack(hours: pa.Table, names: list[str]):
         groups = [c.combine_chunks() for c in hours.columns]
         width = len(groups[0]) * KINDS
         number: dict[bytes, int] = {}
-        found, size, most = [], 0, 2 * PAIRS
-        add = lambda parts: _added(*map(np.concatenate, zip(*parts, strict=True)))
+        found, size, most = [], 0, PAIRS
+
+        def add(parts):  # one column after the other is put together
+            columns = [*zip(*parts, strict=True)][::-1]
+            parts.clear()
+            return _added(np.concatenate(columns.pop()), (np.concatenate(columns.pop()) for _ in range(2)))
+
         for batch in batches:
             for row in batch.to_pylist():
                 m = row["n_cells"]
@@ -295,23 +303,25 @@ def _unpack(hours: pa.Table, names: list[str]):
                 if size > most:
                     found = [add(found)]
                     size = len(found[0][0])
-                    most = 2 * max(PAIRS, size)
+                    most = size + max(PAIRS, size // 2)
         if not found:
             return
         key, n, score = add(found)
         words = pa.array(list(number), pa.binary()).cast(pa.string())
-        cell, kind = np.divmod(key, KINDS)
-        first = np.flatnonzero(np.diff(cell, prepend=-1))
-        total = lambda which: np.add.reduceat(np.where(which, n, 0), first)
-        counts = [np.add.reduceat(n, first), *(total(kind // 2 == k) for k in range(3))]
-        scored = total(kind % 2 == 0)
-        mean = np.add.reduceat(score, first) / np.maximum(scored, 1)
-        cell = cell[first]
-        for i in range(0, len(cell), ROWS):
-            word, hour = np.divmod(cell[i:i + ROWS], len(groups[0]))
-            columns = [*(g.take(pa.array(hour)) for g in groups), words.take(pa.array(word)), *(pa.array(c[i:i + ROWS]) for c in counts),
-                       pa.array(mean[i:i + ROWS], mask=scored[i:i + ROWS] == 0)]
+        low = 0
+        while low < len(key):
+            high = min(low + ROWS, len(key))
+            high += int(np.searchsorted(key[high:high + KINDS], (key[high - 1] // KINDS + 1) * KINDS))  # to the end of a word and hour
+            cell, kind = np.divmod(key[low:high], KINDS)
+            first = np.flatnonzero(np.diff(cell, prepend=-1))
+            total = lambda which: np.add.reduceat(np.where(which, n[low:high], 0), first)  # noqa: B023, E731
+            counts = [np.add.reduceat(n[low:high], first), *(total(kind // 2 == k) for k in range(3))]
+            scored = total(kind % 2 == 0)
+            mean = np.add.reduceat(score[low:high], first) / np.maximum(scored, 1)
+            word, hour = np.divmod(cell[first], len(groups[0]))
+            columns = [*(g.take(pa.array(hour)) for g in groups), words.take(pa.array(word)), *map(pa.array, counts), pa.array(mean, mask=scored == 0)]
             yield pa.RecordBatch.from_arrays(columns, names)
+            low = high
     return run
 
 

@@ -152,7 +152,7 @@ def hourly_merge(parts: DataFrame) -> DataFrame:
 
 
 #: posts for which there is one more task that brings keywords together
-HOUR_CHUNK = 20_000
+HOUR_CHUNK = 10_000
 
 
 def trending_topics_hourly(df: DataFrame, min_len: int = 3, stop_words=TRENDING_STOP_WORDS) -> DataFrame:
